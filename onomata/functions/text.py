@@ -71,9 +71,12 @@ def ngrams(words: Column, n: int) -> Column:
     return F.when(size >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
-def phrase_set(text: str | Column, max_words: int) -> Column:
-    """Distinct phrases of 1..max_words words of a text."""
-    words = phrase_words(text)
+def phrase_set_of_words(words: Column, max_words: int) -> Column:
+    """Distinct phrases of 1..max_words words from an ordered word array.
+
+    ``words`` should be a plain column reference: each n-gram slices it once per
+    position, so an inline expression would be re-evaluated per position.
+    """
     parts = [ngrams(words, n) for n in range(1, max(1, max_words) + 1)]
     return F.array_distinct(F.flatten(F.array(*parts)) if len(parts) > 1 else parts[0])
 

@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import combined_text, phrase_key, phrase_set, token_set
+from ..functions.text import combined_text, phrase_key, phrase_set_of_words, phrase_words, token_set
 from ..plans.strategy import DictionaryShape, choose_join, measure_dictionary
 
 MATCH_MODES = ("token", "phrase")
@@ -45,8 +45,12 @@ def key_dictionary(dictionary: DataFrame, match: str = "token") -> DataFrame:
 def post_terms(posts: DataFrame, id_cols: Sequence[str], match: str = "token", max_words: int = 1) -> DataFrame:
     """``(id_cols..., term)``: each distinct term of each post once."""
     text = combined_text("title", "selftext")
-    terms = token_set(text) if match == "token" else phrase_set(text, max_words)
-    return posts.select(*id_cols, F.explode(terms).alias("term"))
+    if match == "token":
+        return posts.select(*id_cols, F.explode(token_set(text)).alias("term"))
+    # Materialise the word array once; the n-gram lambdas then slice a column
+    # instead of re-splitting the text for every position.
+    words = posts.select(*id_cols, phrase_words(text).alias("_words"))
+    return words.select(*id_cols, F.explode(phrase_set_of_words(F.col("_words"), max_words)).alias("term"))
 
 
 class Detection:

@@ -26,12 +26,41 @@ class DictionaryShape:
     text_bytes: int
     max_words: int
 
-    def fits_broadcast(self, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    def fits_broadcast(self, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+        max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+        max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
         return self.rows <= max_rows and self.text_bytes <= max_bytes
 
 
+# Shapes of dictionaries whose plan reads only driver-side literal rows: the
+# plan itself holds the data, so equal plans have equal shapes.
+_LOCAL_SHAPES: list[tuple[DataFrame, DictionaryShape]] = []
+
+
+def _reads_only_literals(df: DataFrame) -> bool:
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return all(leaves.apply(i).getClass().getSimpleName() == "LocalRelation" for i in range(leaves.size()))
+
+
 def measure_dictionary(keyed: DataFrame, key_col: str = "match_key") -> DictionaryShape:
-    """Exact row count, key+name byte total and longest key (in words), in one job."""
+    """Exact row count, key+name byte total and longest key (in words), in one job.
+
+    The result for a literal-only dictionary is remembered, keyed by plan
+    equality, so repeated queries with the same inline dictionary skip the job.
+    """
+    local = _reads_only_literals(keyed)
+    if local:
+        for df, shape in _LOCAL_SHAPES:
+            if df.sparkSession is keyed.sparkSession and df.sameSemantics(keyed):
+                return shape
+    shape = _measure(keyed, key_col)
+    if local:
+        _LOCAL_SHAPES.append((keyed, shape))
+        del _LOCAL_SHAPES[:-64]
+    return shape
+
+
+def _measure(keyed: DataFrame, key_col: str) -> DictionaryShape:
     row = keyed.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(
@@ -61,3 +90,19 @@ def choose_join(shape: DictionaryShape, strategy: str = "auto") -> str:
 def physical_plan(df: DataFrame) -> str:
     """Executed-plan text (for plan tests and notes)."""
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer input splits than the cluster has cores.
+
+    A table stored as one unsplittable file (one parquet row group, one gzip
+    file) is read by a single task, and every narrow operator above it (text
+    splitting, JSON decoding, the broadcast probe) stays in that task. The
+    split count is known at planning time from the file listing, so the check
+    costs no job. On a large table the splits far outnumber the cores and this
+    is a no-op; only a small single-split input pays one shuffle.
+    """
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        return df.repartition(parallelism)
+    return df

@@ -384,14 +384,14 @@ _DOC_DICT_CLEAN = "SELECT entity_type, entity_name FROM docdict WHERE entity_nam
 def _phrase_words(expr: str) -> str:
     return (
         f"list_filter(list_transform(regexp_split_to_array(lower({expr}), {WS}), "
-        f"w -> regexp_replace(w, {PUNCT_EDGES}, '', 'g')), w -> w <> '')"
+        f"lambda w: regexp_replace(w, {PUNCT_EDGES}, '', 'g')), lambda w: w <> '')"
     )
 
 
 def _phrase_sql() -> str:
     max_words = max(len(n.split()) for _, n in S.PHRASE_DICTIONARY)
     grams = ", ".join(
-        f"list_transform(range(1, len(words) - {n - 1} + 1), i -> array_to_string(words[i:i + {n - 1}], ' '))"
+        f"list_transform(range(1, len(words) - {n - 1} + 1), lambda i: array_to_string(words[i:i + {n - 1}], ' '))"
         for n in range(1, max_words + 1)
     )
     return f"""WITH {POSTS},

@@ -12,12 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import after_first_line, first_line
+from ..plans.strategy import spread_scan
 
 FEED_URL_PREFIX = "feeds/"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One stored table; a single-split file is spread over the cores (see ``spread_scan``)."""
+    return spread_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def posts_from_documents(documents: DataFrame) -> DataFrame:
