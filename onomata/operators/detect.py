@@ -12,10 +12,15 @@ on the token and a name with a space never matches.
 Join plan. The dictionary is measured first (one small aggregate). Within the
 broadcast bound it is broadcast and each task probes its own posts: no
 shuffle of posts, and only matched rows reach the aggregation. Past the bound
-the join shuffles on the term; there, counts are pre-aggregated per term
-before the exchange so frequent words ("the") arrive as one row per map task
-instead of one per post, and per-post mentions rely on AQE skew-join splitting
-for hot terms.
+the join shuffles on the term. Frequent words ("the") would then send a large
+share of all rows to one reducer, so:
+
+* counts are pre-aggregated per term before the exchange: a hot term arrives
+  as one row per map task instead of one per post;
+* per-post mentions salt the hot terms: terms that hold a large share of a
+  small sample of the posts are spread over ``salt_buckets`` partitions by a
+  hash of the post id, and only their dictionary rows are replicated once per
+  bucket. The sample only chooses the plan; every row is still joined exactly.
 """
 
 from __future__ import annotations
@@ -25,6 +30,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Skew handling for the shuffled mention join.
+HOT_SAMPLE_FRACTION = 0.01
+HOT_MAX_TERMS = 1000
+
 from ..functions.text import combined_text, phrase_key, phrase_set_of_words, phrase_words, token_set
 from ..plans.strategy import DictionaryShape, choose_join, measure_dictionary
 
@@ -66,15 +75,60 @@ class Detection:
     def max_words(self) -> int:
         return self.shape.max_words if self.match == "phrase" else 1
 
-    def _dict_side(self, df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if self.strategy == "broadcast" else df
-
     def mentions(self, posts: DataFrame, id_cols: Sequence[str] = ("post_id",)) -> DataFrame:
         """One row per (post, matching dictionary line): ``(id_cols..., entity_type, entity_name)``."""
         terms = post_terms(posts, id_cols, self.match, self.max_words)
-        joined = terms.join(self._dict_side(self.keyed), F.col("term") == F.col("match_key"), "inner")
+        if self.strategy == "broadcast":
+            joined = terms.join(F.broadcast(self.keyed), F.col("term") == F.col("match_key"), "inner")
+            return joined.select(*id_cols, "entity_type", "entity_name")
+        # Shuffled hash join: hash the dictionary partitions, stream the terms
+        # (no sort of the large side). AQE can still split skewed partitions.
+        hot = self.hot_terms(posts)
+        if not hot or not id_cols:
+            joined = terms.join(self.keyed.hint("shuffle_hash"), F.col("term") == F.col("match_key"), "inner")
+            return joined.select(*id_cols, "entity_type", "entity_name")
+        buckets = salt_buckets(posts)
+        is_hot_term = F.col("term").isin(hot)
+        salted_terms = terms.withColumn(
+            "salt", F.when(is_hot_term, F.pmod(F.xxhash64(*id_cols), F.lit(buckets))).otherwise(F.lit(0))
+        )
+        is_hot_key = F.col("match_key").isin(hot)
+        salted_dict = self.keyed.withColumn(
+            "salt",
+            F.explode(F.when(is_hot_key, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))),
+        ).withColumnRenamed("salt", "key_salt")
+        joined = salted_terms.join(
+            salted_dict.hint("shuffle_hash"),
+            (F.col("term") == F.col("match_key")) & (F.col("salt") == F.col("key_salt")),
+            "inner",
+        )
         return joined.select(*id_cols, "entity_type", "entity_name")
 
+    def hot_terms(self, posts: DataFrame, fraction: float | None = None) -> list[str]:
+        """Dictionary keys that hold a large share of term rows in a sample of the posts.
+
+        A key is hot when it holds at least 1/(4 * buckets) of the sampled term
+        rows, so at most 4 * buckets keys can qualify; the list is also capped at
+        ``HOT_MAX_TERMS``. Keys past the cap are still joined exactly, only
+        without salting. The sample decides the plan, never the result.
+        """
+        fraction = HOT_SAMPLE_FRACTION if fraction is None else fraction
+        sample = post_terms(posts.sample(fraction=fraction, seed=17), (), self.match, self.max_words)
+        keys = self.keyed.select(F.col("match_key").alias("term")).distinct()
+        freq = sample.groupBy("term").agg(F.count(F.lit(1)).alias("c"))
+        total = freq.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("t")).first()["t"]
+        if not total:
+            return []
+        threshold = max(1, total // (4 * salt_buckets(posts)))
+        top = (
+            freq.filter(F.col("c") >= threshold)
+            .join(keys, "term", "left_semi")
+            .orderBy(F.desc("c"), "term")
+            .limit(HOT_MAX_TERMS)
+            .collect()
+        )
+        return [r["term"] for r in top]
+
     def counts(self, posts: DataFrame) -> DataFrame:
         """``(entity_type, entity_name, n)``: posts mentioning each name, times its multiplicity."""
         if self.strategy == "broadcast":
@@ -91,6 +145,11 @@ class Detection:
         )
 
 
+def salt_buckets(df: DataFrame) -> int:
+    """Salt fan-out: the session's shuffle partition count (at least 2)."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
 def detect_entities(
     posts: DataFrame,
     dictionary: DataFrame,

@@ -93,3 +93,26 @@ def test_counts_match_python_model(spark, docs):
     got = {(r["entity_type"], r["entity_name"]): r["n"] for r in entity_counts(p, d).collect()}
     # title + " " + "" is what gets tokenised
     assert got == _model([t + " " for t in texts], DICT)
+
+
+def test_salted_join_for_hot_terms(spark, monkeypatch):
+    """One word in every post: the shuffled mention join salts it and stays exact."""
+    import onomata.operators.detect as D
+    from onomata.plans.strategy import physical_plan
+
+    monkeypatch.setattr(D, "HOT_SAMPLE_FRACTION", 1.0)
+    texts = [f"the w{i} than" if i % 3 else f"the w{i}" for i in range(300)]
+    p = posts(spark, texts)
+    d = dictionary_from_rows(spark, DICT + [("Person", "The"), ("Person", "w7")])
+    det = Detection(d, strategy="shuffle")
+    assert "the" in det.hot_terms(p)
+    m = det.mentions(p)
+    got = sorted((r["post_id"], r["entity_name"]) for r in m.collect())
+    want = sorted(
+        [(i, "The") for i in range(300)]
+        + [(i, n) for i in range(300) if i % 3 for n in ("THAN", "THAN", "Than")]
+        + [(7, "w7")]
+    )
+    assert got == want
+    plan = physical_plan(m)
+    assert "xxhash64" in plan and "ShuffledHashJoin" in plan
