@@ -13,13 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import scenario as S
-from .constants import ENTITY_TYPES, MSG_INVALID_JSON, MSG_SKIPPED_SUBSCRIPTION, TOTAL_LABEL
+from .constants import (
+    ENTITY_TYPES,
+    MSG_FETCH_FAILED,
+    MSG_INVALID_JSON,
+    MSG_PARSE_FAILED,
+    MSG_SKIPPED_SUBSCRIPTION,
+    TOTAL_LABEL,
+)
 from .functions.text import describe
 from .operators.aggregate import count_by_type, rank_entities
 from .operators.detect import Detection, count_entities, post_terms
 from .operators.posts import filter_posts
 from .operators.report import entity_report, processing_report, type_report
 from .operators.stats import post_length_stats, processing_stats
+from .plans.analysis import analyze
 from .sources.dictionary import dictionary_from_rows, typed_dictionary
 from .sources.feeds import attach_feeds, feed_posts, feed_status
 from .sources.subscriptions import subscription_diagnostics, valid_subscriptions
@@ -184,6 +192,12 @@ def q_entity_top_10_conversations(spark: SparkSession, sf_dir: str) -> DataFrame
     return rank_entities(Detection(_probe(spark)).counts(posts), 10)
 
 
+def q_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = S.documents_posts(spark, sf_dir)
+    classified = S.classified_subscriptions(spark, posts)
+    return analyze(classified, S.faulty_pages(posts), _probe(spark)).diagnostics
+
+
 def q_entity_counts_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select(
         "page_id", F.col("url").alias("title"), F.col("html").alias("selftext")
@@ -220,6 +234,7 @@ QUERIES: dict[str, QueryFn] = {
     "entity_phrase_counts": q_entity_phrase_counts,
     "entity_top_10_conversations": q_entity_top_10_conversations,
     "entity_counts_pages": q_entity_counts_pages,
+    "diagnostics": q_diagnostics,
 }
 
 # --------------------------------------------------------------------------
@@ -334,6 +349,11 @@ st AS (
   FROM pg)"""
 
 _SKIP_MSG = _q(MSG_SKIPPED_SUBSCRIPTION + ": ")
+_SUB_DIAG = f"""SELECT CASE WHEN sub_status = 'INVALID_JSON' THEN 'ERROR' ELSE 'WARN' END AS severity,
+       CASE WHEN sub_status = 'INVALID_JSON' THEN 'INVALID_JSON' ELSE 'SUBSCRIPTION_SKIPPED' END AS code,
+       coalesce(name, url, '') AS subject,
+       CASE WHEN sub_status = 'INVALID_JSON' THEN {_q(MSG_INVALID_JSON)} ELSE {_SKIP_MSG} || reason END AS message
+FROM classified WHERE sub_status <> 'VALID'"""
 
 _STATS_SQL = f"""WITH {POSTS}, {SUBS}, {PAGES},
 okp AS (SELECT p.* FROM posts p JOIN st ON p.feed = st.feed AND p.post_id // {S.PAGE_ROWS} = st.page
@@ -461,6 +481,12 @@ counts AS (SELECT entity_type, entity_name, count(*) AS n FROM terms JOIN dict O
            GROUP BY entity_type, entity_name)"""
     return {
         "subscriptions_valid": f"WITH {POSTS}, {SUBS} SELECT name, url FROM valid",
+        "diagnostics": f"""WITH {POSTS}, {SUBS}, {PAGES}
+{_SUB_DIAG}
+UNION ALL SELECT 'WARN', st.status, v.url, printf({_q(MSG_PARSE_FAILED)}, v.name)
+FROM valid v JOIN st ON v.url = st.url WHERE st.status NOT IN ('OK', 'EMPTY')
+UNION ALL SELECT 'WARN', 'FETCH_FAILED', url, printf({_q(MSG_FETCH_FAILED)}, name, url)
+FROM valid WHERE url NOT IN (SELECT url FROM st)""",
         "subscriptions_skipped": f"""WITH {POSTS}, {SUBS}
 SELECT CASE WHEN sub_status = 'INVALID_JSON' THEN 'ERROR' ELSE 'WARN' END AS severity,
        CASE WHEN sub_status = 'INVALID_JSON' THEN 'INVALID_JSON' ELSE 'SUBSCRIPTION_SKIPPED' END AS code,

@@ -1,0 +1,92 @@
+"""End-to-end runs on files, one per scenario of the reference's shell tests."""
+
+import json
+
+import pytest
+
+from onomata.plans.analysis import analyze
+from onomata.sources.dictionary import load_dictionary
+from onomata.sources.subscriptions import classify_subscriptions, read_subscriptions
+
+
+def _write_inputs(tmp_path, subs, partial=False):
+    (tmp_path / "subs.json").write_text(json.dumps(subs))
+    ent = tmp_path / "entities"
+    ent.mkdir()
+    (ent / "languages.txt").write_text("# langs\nScala\nPython\nJava\nJavaScript\nC++\nGo\n")
+    (ent / "places.txt").write_text("Berkeley\nParis\nTokyo\nParis\n")
+    if not partial:
+        (ent / "people.txt").write_text("Turing\nKnuth\nHopper\n")
+        (ent / "universities.txt").write_text("MIT\nBerkeley\n")
+        (ent / "organizations.txt").write_text("Google\nMeta\n")
+    texts = ["Scala Python Java Turing MIT Paris", "Go Knuth Google Tokyo JavaScript", "C++ Hopper Meta Berkeley",
+             "Scala Paris", "Python Tokyo Turing"]
+    children = [{"data": {"title": t.split()[0], "selftext": t}} for t in texts]
+    pages = [("u/scala", 0, json.dumps({"data": {"children": children[:3]}})),
+             ("u/python", 0, json.dumps({"data": {"children": children[3:]}}))]
+    return ent, pages
+
+
+def _run(spark, tmp_path, subs, k=10, partial=False):
+    ent, pages = _write_inputs(tmp_path, subs, partial)
+    classified = classify_subscriptions(read_subscriptions(spark, str(tmp_path / "subs.json")))
+    dictionary, dict_diag = load_dictionary(spark, str(ent))
+    landed = spark.createDataFrame(pages, "url string, page bigint, body string")
+    return analyze(classified, landed, dictionary, k=k, dictionary_diagnostics=dict_diag)
+
+
+GOOD = [{"name": "Scala", "url": "u/scala"}, {"name": "Python", "url": "u/python"}]
+
+
+def test_default_run_ten_lines(spark, tmp_path):
+    a = _run(spark, tmp_path, GOOD)
+    lines = [r["line"] for r in a.entity_report.orderBy("line_no").collect()]
+    assert lines[0].startswith("============ ENTIDADES") and len(lines) == 11
+    assert lines[1] == "[Type=Place] Paris: 4 apariciones"  # Paris listed twice, in two posts
+    assert a.diagnostics.filter("severity = 'ERROR'").count() == 0
+
+
+def test_top_k_two(spark, tmp_path):
+    a = _run(spark, tmp_path, GOOD, k=2)
+    assert a.entity_report.count() == 3
+    assert a.diagnostics.filter("code like 'SUBSCRIPTION%' or code = 'FETCH_FAILED'").count() == 0
+
+
+def test_unreachable_feed_counts_as_failed(spark, tmp_path):
+    a = _run(spark, tmp_path, GOOD + [{"name": "This URL should fail", "url": "https://lalalala"}])
+    s = a.stats.first()
+    assert s["feeds_failed"] == 1 and s["feeds_ok"] == 2
+    assert a.diagnostics.filter("code = 'FETCH_FAILED'").count() == 1
+    assert "Feeds fallidos: 1" in [r["line"] for r in a.processing_report.collect()]
+
+
+def test_incorrect_format_entry_is_skipped(spark, tmp_path):
+    a = _run(spark, tmp_path, GOOD + [{"incorrect_name": "incorrect_value"}])
+    d = a.diagnostics.filter("code = 'SUBSCRIPTION_SKIPPED'").collect()
+    assert len(d) == 1 and "Skipping malformed subscription" in d[0]["message"]
+    assert a.ranking.count() == 10
+
+
+def test_malformed_json_file(spark, tmp_path):
+    (tmp_path / "bad.json").write_text("This is not json")
+    classified = classify_subscriptions(read_subscriptions(spark, str(tmp_path / "bad.json")))
+    landed = spark.createDataFrame([], "url string, page bigint, body string")
+    d = spark.createDataFrame([("Person", "Turing")], "entity_type string, entity_name string")
+    a = analyze(classified, landed, d)
+    codes = sorted(r["code"] for r in a.diagnostics.collect())
+    assert codes == ["INVALID_JSON", "NO_POSTS", "NO_SUBSCRIPTIONS"]
+    assert a.ranking.count() == 0
+
+
+def test_missing_entities_directory(spark, tmp_path):
+    with pytest.raises(ValueError, match="entities directory"):
+        load_dictionary(spark, str(tmp_path / "nonexistent"))
+
+
+def test_partial_dictionaries_warn_and_continue(spark, tmp_path):
+    a = _run(spark, tmp_path, GOOD, partial=True)
+    warn = a.diagnostics.filter("code = 'DICT_FILE_MISSING'").collect()
+    assert len(warn) == 3 and all("Could not load" in r["message"] for r in warn)
+    assert {r["entity_type"] for r in a.ranking.collect()} <= {"ProgrammingLanguage", "Place"}
+    types = {r["entity_type"]: r["n"] for r in a.type_stats.collect()}
+    assert types["Person"] == 0 and types["total"] == sum(r["n"] for r in a.counts.collect())
