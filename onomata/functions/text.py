@@ -61,23 +61,33 @@ def phrase_key(name: str | Column) -> Column:
     return F.array_join(phrase_words(name), " ")
 
 
-def ngrams(words: Column, n: int) -> Column:
-    """All contiguous n-word phrases of an ordered word array, joined by a space."""
+def ngrams(words: Column, n: int, first_words: list[str] | tuple[str, ...] | None = None) -> Column:
+    """Contiguous n-word phrases of an ordered word array, joined by a space.
+
+    With ``first_words``, only phrases starting with one of those words are
+    built (a hash-set membership test per position).
+    """
     size = F.size(words)
-    grams = F.transform(
-        F.sequence(F.lit(1), size - F.lit(n - 1)),
-        lambda i: F.array_join(F.slice(words, i, n), " "),
-    )
+    starts = F.sequence(F.lit(1), size - F.lit(n - 1))
+    if first_words is not None:
+        starts = F.filter(starts, lambda i: F.element_at(words, i).isin(list(first_words)))
+    grams = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
     return F.when(size >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
-def phrase_set_of_words(words: Column, max_words: int) -> Column:
-    """Distinct phrases of 1..max_words words from an ordered word array.
+def phrase_set_of_words(
+    words: Column,
+    max_words: int,
+    lengths: list[int] | tuple[int, ...] | None = None,
+    first_words: list[str] | tuple[str, ...] | None = None,
+) -> Column:
+    """Distinct phrases of 1..max_words words (or of the given ``lengths``) from an ordered word array.
 
     ``words`` should be a plain column reference: each n-gram slices it once per
     position, so an inline expression would be re-evaluated per position.
     """
-    parts = [ngrams(words, n) for n in range(1, max(1, max_words) + 1)]
+    ns = sorted(set(lengths)) if lengths else list(range(1, max(1, max_words) + 1))
+    parts = [words if n == 1 else ngrams(words, n, first_words) for n in ns]
     return F.array_distinct(F.flatten(F.array(*parts)) if len(parts) > 1 else parts[0])
 
 

@@ -35,7 +35,7 @@ HOT_SAMPLE_FRACTION = 0.01
 HOT_MAX_TERMS = 1000
 
 from ..functions.text import combined_text, phrase_key, phrase_set_of_words, phrase_words, token_set
-from ..plans.strategy import DictionaryShape, choose_join, measure_dictionary
+from ..plans.strategy import DictionaryShape, PhraseProfile, choose_join, measure_dictionary, phrase_profile
 
 MATCH_MODES = ("token", "phrase")
 
@@ -51,15 +51,29 @@ def key_dictionary(dictionary: DataFrame, match: str = "token") -> DataFrame:
     )
 
 
-def post_terms(posts: DataFrame, id_cols: Sequence[str], match: str = "token", max_words: int = 1) -> DataFrame:
-    """``(id_cols..., term)``: each distinct term of each post once."""
+def post_terms(
+    posts: DataFrame,
+    id_cols: Sequence[str],
+    match: str = "token",
+    max_words: int = 1,
+    profile: PhraseProfile | None = None,
+) -> DataFrame:
+    """``(id_cols..., term)``: each distinct term of each post once.
+
+    In phrase mode a ``profile`` of the dictionary limits the phrases built to
+    the lengths and start words that can match; without it every phrase of
+    1..max_words words is built.
+    """
     text = combined_text("title", "selftext")
     if match == "token":
         return posts.select(*id_cols, F.explode(token_set(text)).alias("term"))
     # Materialise the word array once; the n-gram lambdas then slice a column
     # instead of re-splitting the text for every position.
     words = posts.select(*id_cols, phrase_words(text).alias("_words"))
-    return words.select(*id_cols, F.explode(phrase_set_of_words(F.col("_words"), max_words)).alias("term"))
+    lengths = profile.lengths if profile else None
+    first = profile.first_words if profile else None
+    terms = phrase_set_of_words(F.col("_words"), max_words, lengths, first)
+    return words.select(*id_cols, F.explode(terms).alias("term"))
 
 
 class Detection:
@@ -70,6 +84,12 @@ class Detection:
         self.keyed = key_dictionary(dictionary, match)
         self.shape: DictionaryShape = measure_dictionary(self.keyed)
         self.strategy = choose_join(self.shape, strategy)
+        # Phrase mode with a bounded dictionary: build only phrases that can match.
+        self.profile = (
+            phrase_profile(self.keyed)
+            if match == "phrase" and self.strategy == "broadcast" and self.shape.max_words > 1
+            else None
+        )
 
     @property
     def max_words(self) -> int:
@@ -77,7 +97,7 @@ class Detection:
 
     def mentions(self, posts: DataFrame, id_cols: Sequence[str] = ("post_id",)) -> DataFrame:
         """One row per (post, matching dictionary line): ``(id_cols..., entity_type, entity_name)``."""
-        terms = post_terms(posts, id_cols, self.match, self.max_words)
+        terms = post_terms(posts, id_cols, self.match, self.max_words, self.profile)
         if self.strategy == "broadcast":
             joined = terms.join(F.broadcast(self.keyed), F.col("term") == F.col("match_key"), "inner")
             return joined.select(*id_cols, "entity_type", "entity_name")
@@ -113,7 +133,7 @@ class Detection:
         without salting. The sample decides the plan, never the result.
         """
         fraction = HOT_SAMPLE_FRACTION if fraction is None else fraction
-        sample = post_terms(posts.sample(fraction=fraction, seed=17), (), self.match, self.max_words)
+        sample = post_terms(posts.sample(fraction=fraction, seed=17), (), self.match, self.max_words, self.profile)
         keys = self.keyed.select(F.col("match_key").alias("term")).distinct()
         freq = sample.groupBy("term").agg(F.count(F.lit(1)).alias("c"))
         total = freq.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("t")).first()["t"]
@@ -135,7 +155,7 @@ class Detection:
             return count_entities(self.mentions(posts, ()))
         # Wide dictionary: document frequency per term first (partial aggregation
         # collapses hot terms map-side), then a vocabulary-sized join.
-        term_df = post_terms(posts, (), self.match, self.max_words).groupBy("term").agg(
+        term_df = post_terms(posts, (), self.match, self.max_words, self.profile).groupBy("term").agg(
             F.count(F.lit(1)).alias("df")
         )
         lines = self.keyed.groupBy("match_key", "entity_type", "entity_name").agg(F.count(F.lit(1)).alias("mult"))

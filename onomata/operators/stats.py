@@ -35,42 +35,47 @@ def post_length_stats(posts: DataFrame, mode: str | None = "blank", utf16: bool
     )
 
 
-def processing_stats(parsed: DataFrame, skipped: DataFrame | None = None, mode: str = "blank") -> DataFrame:
+def processing_stats(parsed: DataFrame, subscriptions: DataFrame, mode: str = "blank") -> DataFrame:
     """One row of run counters from decoded feeds (``sources.feeds.parse_feeds``).
 
-    ``feeds_ok``: subscriptions with at least one landed page; ``feeds_failed``:
-    subscriptions with nothing landed; ``feeds_without_posts``: bodies that
-    failed, did not decode or held no posts (plus failed fetches);
-    ``posts_filtered``: posts dropped by the filter. Everything comes from one
-    scan of ``parsed`` with a single-row aggregate (partial per task).
+    ``subscriptions`` are the classified entries (``sub_status`` VALID /
+    SKIPPED / INVALID_JSON). ``feeds_ok``: valid subscriptions with at least
+    one landed page; ``feeds_failed``: those with nothing landed;
+    ``feeds_without_posts``: bodies that failed, did not decode or held no posts
+    (plus failed fetches); ``posts_filtered``: posts dropped by the filter.
+
+    One scan of ``parsed`` (plus the small subscription list) feeds a single
+    global aggregate; every counter is a plain ``count_if``/``sum``, so each
+    task pre-aggregates to one row and no distinct aggregation (which would
+    expand every post row) is needed.
     """
-    rows = parsed.select("url", "status", "child_pos", "title", "selftext")
-    if skipped is not None:
-        rows = rows.unionByName(
-            skipped.select(
-                "url",
-                F.lit("SKIPPED").alias("status"),
-                F.lit(None).cast("int").alias("child_pos"),
-                F.lit(None).cast("string").alias("title"),
-                F.lit(None).cast("string").alias("selftext"),
-            )
+    rows = parsed.select(
+        F.lit(None).cast("string").alias("sub_status"), "status", "child_pos", "title", "selftext"
+    ).unionByName(
+        subscriptions.select(
+            "sub_status",
+            F.lit(None).cast("string").alias("status"),
+            F.lit(None).cast("int").alias("child_pos"),
+            F.lit(None).cast("string").alias("title"),
+            F.lit(None).cast("string").alias("selftext"),
         )
+    )
     is_post = F.col("child_pos").isNotNull()
+    is_body = F.col("status").isNotNull()
     keep = is_post & keep_post(mode)
-    fetched = ~F.col("status").isin("FETCH_FAILED", "SKIPPED")
     agg = rows.agg(
-        F.count_if(F.col("status") == "SKIPPED").alias("subscriptions_skipped"),
-        F.count_distinct(F.when(fetched, F.col("url"))).alias("feeds_ok"),
+        F.count_if(F.col("sub_status").isNotNull() & (F.col("sub_status") != "VALID")).alias("subscriptions_skipped"),
+        F.count_if(F.col("sub_status") == "VALID").alias("subscriptions_valid"),
         F.count_if(F.col("status") == "FETCH_FAILED").alias("feeds_failed"),
         F.count_if(is_post).alias("posts_ok"),
-        F.count_if(~is_post & (F.col("status") != "SKIPPED")).alias("feeds_without_posts"),
+        F.count_if(is_body & ~is_post).alias("feeds_without_posts"),
         F.count_if(keep).alias("posts_kept"),
         F.coalesce(F.sum(F.when(keep, post_length())), F.lit(0)).cast("bigint").alias("total_chars"),
     )
     avg = F.when(F.col("posts_kept") > 0, F.col("total_chars") / F.col("posts_kept")).otherwise(F.lit(0.0))
     return agg.select(
         F.col("subscriptions_skipped").cast("bigint").alias("subscriptions_skipped"),
-        F.col("feeds_ok").cast("bigint").alias("feeds_ok"),
+        (F.col("subscriptions_valid") - F.col("feeds_failed")).cast("bigint").alias("feeds_ok"),
         F.col("feeds_failed").cast("bigint").alias("feeds_failed"),
         F.col("posts_ok").cast("bigint").alias("posts_ok"),
         F.col("feeds_without_posts").cast("bigint").alias("feeds_without_posts"),

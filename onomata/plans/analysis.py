@@ -67,13 +67,12 @@ def analyze(
     file reader); ``landed`` is ``(url, page, body)``.
     """
     valid = valid_subscriptions(classified_subscriptions)
-    skipped = classified_subscriptions.filter(F.col("sub_status") != "VALID")
     parsed = parse_feeds(attach_feeds(valid, landed))
     posts = filter_posts(feed_posts(parsed), mode)
     counts = Detection(dictionary, match, strategy).counts(posts).cache()
     ranking = rank_entities(counts, k)
     type_stats = count_by_type(counts)
-    stats = processing_stats(parsed, skipped, mode)
+    stats = processing_stats(parsed, classified_subscriptions, mode)
     parts = [
         subscription_diagnostics(classified_subscriptions),
         zero_guard(

@@ -34,7 +34,7 @@ class DictionaryShape:
 
 # Shapes of dictionaries whose plan reads only driver-side literal rows: the
 # plan itself holds the data, so equal plans have equal shapes.
-_LOCAL_SHAPES: list[tuple[DataFrame, DictionaryShape]] = []
+_LOCAL_SHAPES: list[tuple[str, DataFrame, object]] = []
 
 
 def _reads_only_literals(df: DataFrame) -> bool:
@@ -42,22 +42,60 @@ def _reads_only_literals(df: DataFrame) -> bool:
     return all(leaves.apply(i).getClass().getSimpleName() == "LocalRelation" for i in range(leaves.size()))
 
 
+def _cached_local(df: DataFrame, tag: str, compute):
+    """``compute(df)``, remembered for literal-only plans (equal plans, equal data)."""
+    local = _reads_only_literals(df)
+    if local:
+        for cached_tag, cached_df, value in _LOCAL_SHAPES:
+            if cached_tag == tag and cached_df.sparkSession is df.sparkSession and cached_df.sameSemantics(df):
+                return value
+    value = compute(df)
+    if local:
+        _LOCAL_SHAPES.append((tag, df, value))
+        del _LOCAL_SHAPES[:-64]
+    return value
+
+
 def measure_dictionary(keyed: DataFrame, key_col: str = "match_key") -> DictionaryShape:
     """Exact row count, key+name byte total and longest key (in words), in one job.
 
     The result for a literal-only dictionary is remembered, keyed by plan
     equality, so repeated queries with the same inline dictionary skip the job.
     """
-    local = _reads_only_literals(keyed)
-    if local:
-        for df, shape in _LOCAL_SHAPES:
-            if df.sparkSession is keyed.sparkSession and df.sameSemantics(keyed):
-                return shape
-    shape = _measure(keyed, key_col)
-    if local:
-        _LOCAL_SHAPES.append((keyed, shape))
-        del _LOCAL_SHAPES[:-64]
-    return shape
+    return _cached_local(keyed, "shape", lambda df: _measure(df, key_col))
+
+
+# A phrase profile lists at most this many (length, first word) pairs.
+PHRASE_PROFILE_MAX = 20_000
+
+
+@dataclass(frozen=True)
+class PhraseProfile:
+    lengths: tuple[int, ...]          # word counts that occur among the keys
+    first_words: tuple[str, ...]      # first words of keys with two or more words
+
+
+def phrase_profile(keyed: DataFrame, key_col: str = "match_key") -> PhraseProfile | None:
+    """Which n-gram lengths and start words can match; None when the profile is too big.
+
+    Only called for a dictionary already proven to fit the broadcast bound.
+    """
+    def compute(df: DataFrame) -> PhraseProfile | None:
+        n = F.size(F.split(F.col(key_col), " "))
+        pairs = (
+            df.select(n.alias("n"), F.when(n > 1, F.substring_index(F.col(key_col), " ", 1)).alias("w"))
+            .distinct()
+            .limit(PHRASE_PROFILE_MAX + 1)
+            .collect()
+        )
+        if len(pairs) > PHRASE_PROFILE_MAX:
+            return None
+        return PhraseProfile(
+            tuple(sorted({int(r["n"]) for r in pairs})),
+            tuple(sorted({r["w"] for r in pairs if r["w"] is not None})),
+        )
+
+    return _cached_local(keyed, "phrase", compute)
 
 
 def _measure(keyed: DataFrame, key_col: str) -> DictionaryShape:

@@ -163,7 +163,7 @@ def q_entity_top_10_unfiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_processing_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed, classified = S.parsed_feeds(spark, sf_dir, faulty=True)
-    return processing_stats(parsed, classified.filter(F.col("sub_status") != "VALID"), "blank")
+    return processing_stats(parsed, classified, "blank")
 
 
 def q_describe_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -362,7 +362,7 @@ bodies AS (SELECT v.url, st.status FROM valid v JOIN st ON v.url = st.url),
 failed AS (SELECT v.url FROM valid v WHERE v.url NOT IN (SELECT url FROM st)),
 a AS (
   SELECT (SELECT count(*) FROM classified WHERE sub_status <> 'VALID') AS subscriptions_skipped,
-         (SELECT count(DISTINCT url) FROM bodies) AS feeds_ok,
+         (SELECT count(*) FROM valid v WHERE v.url IN (SELECT url FROM st)) AS feeds_ok,
          (SELECT count(*) FROM failed) AS feeds_failed,
          (SELECT count(*) FROM okp) AS posts_ok,
          (SELECT count(*) FROM bodies WHERE status <> 'OK') + (SELECT count(*) FROM failed) AS feeds_without_posts,

@@ -71,11 +71,20 @@ def parse_feeds(attached: DataFrame) -> DataFrame:
     selftext``. ``child_pos`` is null on rows that carry no post. Numbers as a
     title become text; JSON null becomes null (dropped later by the post filter).
     """
-    body = F.col("body")
-    parsed = F.try_parse_json(body)
-    children = F.try_variant_get(parsed, "$.data.children", _CHILDREN)
-    decoded = attached.select(
-        "name", "url", "page", feed_status_expr(body, parsed, children).alias("status"), children.alias("children")
+    # One projection per step so each body is parsed once: the later steps
+    # reference the parsed value several times (status tests, children), and
+    # Catalyst keeps a costly expression in its own projection when it is
+    # referenced more than once rather than inlining it.
+    with_variant = attached.select("name", "url", "page", "body", F.try_parse_json("body").alias("_v"))
+    with_children = with_variant.select(
+        "name", "url", "page", "body", "_v", F.try_variant_get("_v", "$.data.children", _CHILDREN).alias("children")
+    )
+    decoded = with_children.select(
+        "name",
+        "url",
+        "page",
+        feed_status_expr(F.col("body"), F.col("_v"), F.col("children")).alias("status"),
+        "children",
     )
     ok_children = F.when(F.col("status") == "OK", F.col("children"))
     exploded = decoded.select(

@@ -49,16 +49,18 @@ def test_filters(spark):
 
 def test_processing_stats_and_reports(spark):
     subs = spark.createDataFrame([("a", "u/a"), ("b", "u/b"), ("c", "u/c")], "name string, url string")
-    skipped = spark.createDataFrame([(None, "u/x")], "name string, url string")
+    classified = spark.createDataFrame(
+        [("a", "u/a", "VALID"), ("b", "u/b", "VALID"), ("c", "u/c", "VALID"), (None, "u/x", "SKIPPED")],
+        "name string, url string, sub_status string")
     ok = '{"data":{"children":[{"data":{"title":"t","selftext":"hello"}},{"data":{"title":"t","selftext":" "}}]}}'
     landed = spark.createDataFrame([("u/a", 0, ok), ("u/a", 1, ok), ("u/b", 0, "bad")],
                                    "url string, page bigint, body string")
     parsed = parse_feeds(attach_feeds(subs, landed))
-    s = processing_stats(parsed, skipped).first().asDict()
+    s = processing_stats(parsed, classified).first().asDict()
     assert s == {"subscriptions_skipped": 1, "feeds_ok": 2, "feeds_failed": 1, "posts_ok": 4,
                  "feeds_without_posts": 2, "posts_filtered": 2, "posts_kept": 2, "avg_chars": 6.0,
                  "avg_chars_int": 6}
-    lines = [r["line"] for r in processing_report(processing_stats(parsed, skipped)).orderBy("line_no").collect()]
+    lines = [r["line"] for r in processing_report(processing_stats(parsed, classified)).orderBy("line_no").collect()]
     assert lines[1:] == ["Feeds descargados exitosamente: 2", "Feeds fallidos: 1",
                          "Posts descargados exitosamente: 4", "Posts fallidos: 2",
                          "Posts filtrados (vacíos/nulos): 2", "Largo promedio en posts: 6"]
