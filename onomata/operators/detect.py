@@ -18,7 +18,7 @@ share of all rows to one reducer, so:
 * counts are pre-aggregated per term before the exchange: a hot term arrives
   as one row per map task instead of one per post;
 * per-post mentions salt the hot terms: terms that hold a large share of a
-  small sample of the posts are spread over ``salt_buckets`` partitions by a
+  bounded sample of the posts are spread over ``salt_buckets`` partitions by a
   hash of the post id, and only their dictionary rows are replicated once per
   bucket. The sample only chooses the plan; every row is still joined exactly.
 """
@@ -30,8 +30,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Skew handling for the shuffled mention join.
-HOT_SAMPLE_FRACTION = 0.01
+# Skew handling for the shuffled mention join: hot terms are found in the first
+# HOT_SAMPLE_POSTS posts (a limit reads only as many splits as it needs).
+HOT_SAMPLE_POSTS = 20_000
 HOT_MAX_TERMS = 1000
 
 from ..functions.text import combined_text, phrase_key, phrase_set_of_words, phrase_words, token_set
@@ -124,16 +125,21 @@ class Detection:
         )
         return joined.select(*id_cols, "entity_type", "entity_name")
 
-    def hot_terms(self, posts: DataFrame, fraction: float | None = None) -> list[str]:
+    def hot_terms(self, posts: DataFrame, sample_posts: int | None = None) -> list[str]:
         """Dictionary keys that hold a large share of term rows in a sample of the posts.
 
+        The sample is the first ``HOT_SAMPLE_POSTS`` posts: a limit stops
+        reading once it has them, where a fractional sample would scan the
+        whole input. Common words are hot everywhere; a term hot only further
+        on is still joined exactly, with AQE skew splitting as the fallback.
+
         A key is hot when it holds at least 1/(4 * buckets) of the sampled term
         rows, so at most 4 * buckets keys can qualify; the list is also capped at
         ``HOT_MAX_TERMS``. Keys past the cap are still joined exactly, only
         without salting. The sample decides the plan, never the result.
         """
-        fraction = HOT_SAMPLE_FRACTION if fraction is None else fraction
-        sample = post_terms(posts.sample(fraction=fraction, seed=17), (), self.match, self.max_words, self.profile)
+        n = HOT_SAMPLE_POSTS if sample_posts is None else sample_posts
+        sample = post_terms(posts.limit(n), (), self.match, self.max_words, self.profile)
         keys = self.keyed.select(F.col("match_key").alias("term")).distinct()
         freq = sample.groupBy("term").agg(F.count(F.lit(1)).alias("c"))
         total = freq.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("t")).first()["t"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import post_length
@@ -35,7 +35,9 @@ def post_length_stats(posts: DataFrame, mode: str | None = "blank", utf16: bool
     )
 
 
-def processing_stats(parsed: DataFrame, subscriptions: DataFrame, mode: str = "blank") -> DataFrame:
+def processing_stats(
+    parsed: DataFrame, subscriptions: DataFrame, mode: str = "blank", utf16: bool = False
+) -> DataFrame:
     """One row of run counters from decoded feeds (``sources.feeds.parse_feeds``).
 
     ``subscriptions`` are the classified entries (``sub_status`` VALID /
@@ -70,7 +72,7 @@ def processing_stats(parsed: DataFrame, subscriptions: DataFrame, mode: str = "b
         F.count_if(is_post).alias("posts_ok"),
         F.count_if(is_body & ~is_post).alias("feeds_without_posts"),
         F.count_if(keep).alias("posts_kept"),
-        F.coalesce(F.sum(F.when(keep, post_length())), F.lit(0)).cast("bigint").alias("total_chars"),
+        F.coalesce(F.sum(F.when(keep, post_length(utf16=utf16))), F.lit(0)).cast("bigint").alias("total_chars"),
     )
     avg = F.when(F.col("posts_kept") > 0, F.col("total_chars") / F.col("posts_kept")).otherwise(F.lit(0.0))
     return agg.select(
@@ -84,3 +86,21 @@ def processing_stats(parsed: DataFrame, subscriptions: DataFrame, mode: str = "b
         avg.alias("avg_chars"),
         avg.cast("bigint").alias("avg_chars_int"),
     )
+
+
+def observe_posts(posts: DataFrame, mode: str = "blank", name: str = "posts") -> tuple[DataFrame, Observation]:
+    """Counters gathered while ``posts`` is written by some other action.
+
+    ``Observation`` values are collected once per successful action, so a
+    retried task is not counted twice (unlike an accumulator updated in a
+    transformation). Read ``observation.get`` after the action.
+    """
+    obs = Observation(name)
+    keep = keep_post(mode)
+    observed = posts.observe(
+        obs,
+        F.count(F.lit(1)).alias("posts"),
+        F.count_if(keep).alias("posts_kept"),
+        F.coalesce(F.sum(F.when(keep, post_length())), F.lit(0)).cast("bigint").alias("total_chars"),
+    )
+    return observed, obs

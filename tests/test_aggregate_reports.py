@@ -73,3 +73,13 @@ def test_type_and_entity_reports(spark):
     assert t[-1] == "    [ProgrammingLanguage]: 0" and len(t) == 9
     e = [r["line"] for r in entity_report(rank_entities(c, 10)).orderBy("line_no").collect()]
     assert e[1:] == ["[Type=Place] Cordoba: 3 apariciones", "[Type=Person] Turing: 1 apariciones"]
+
+
+def test_observed_counters_on_write(spark):
+    from onomata.operators.stats import observe_posts
+
+    rows = [(1, "f", "t", "body"), (2, "f", "", "body"), (3, "f", "t", "  ")]
+    p = spark.createDataFrame(rows, "post_id bigint, feed string, title string, selftext string")
+    observed, obs = observe_posts(p)
+    observed.write.format("noop").mode("overwrite").save()
+    assert obs.get == {"posts": 3, "posts_kept": 1, "total_chars": 5}

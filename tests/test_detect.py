@@ -100,7 +100,6 @@ def test_salted_join_for_hot_terms(spark, monkeypatch):
     import onomata.operators.detect as D
     from onomata.plans.strategy import physical_plan
 
-    monkeypatch.setattr(D, "HOT_SAMPLE_FRACTION", 1.0)
     texts = [f"the w{i} than" if i % 3 else f"the w{i}" for i in range(300)]
     p = posts(spark, texts)
     d = dictionary_from_rows(spark, DICT + [("Person", "The"), ("Person", "w7")])
@@ -116,3 +115,39 @@ def test_salted_join_for_hot_terms(spark, monkeypatch):
     assert got == want
     plan = physical_plan(m)
     assert "xxhash64" in plan and "ShuffledHashJoin" in plan
+
+
+_PUNCT = "".join(c for c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" if c not in "+#")
+
+
+def _phrase_model(texts, dictionary):
+    def words(t):
+        ws = [w.strip(_PUNCT) for w in re.split(r"[ \t\n\x0b\f\r]+", t.lower())]
+        return [w for w in ws if w]
+
+    out = {}
+    for t in texts:
+        ws = words(t)
+        grams = {" ".join(ws[i:i + n]) for n in range(1, 5) for i in range(len(ws) - n + 1)}
+        for etype, name in dictionary:
+            key = " ".join(words(name))
+            if key and key in grams:
+                out[(etype, name)] = out.get((etype, name), 0) + 1
+    return out
+
+
+PHRASE_DICT = DICT + [("Place", "Ho Chi Minh City"), ("Technology", "MIT License"), ("Place", "York")]
+PWORDS = st.sampled_from(["New", "York,", "(Ho", "Chi", "Minh", "City).", "MIT", "License.", "x", "C++", "than!"])
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.tuples(PWORDS, SEPS), max_size=10), min_size=1, max_size=5))
+def test_phrase_counts_match_model_with_and_without_profile(spark, docs):
+    texts = ["".join(w + s for w, s in doc) for doc in docs]
+    d = dictionary_from_rows(spark, PHRASE_DICT)
+    p = posts(spark, texts)
+    bounded = Detection(d, "phrase", "broadcast")
+    assert bounded.profile is not None and 4 in bounded.profile.lengths
+    a = {(r["entity_type"], r["entity_name"]): r["n"] for r in bounded.counts(p).collect()}
+    b = {(r["entity_type"], r["entity_name"]): r["n"] for r in Detection(d, "phrase", "shuffle").counts(p).collect()}
+    assert a == b == _phrase_model(texts, PHRASE_DICT)
