@@ -20,11 +20,34 @@ from .operators.posts import filter_posts
 from .operators.report import diagnostics, entity_report, processing_report, type_report
 from .operators.stats import post_length_stats, processing_stats
 from .sources.dictionary import dictionary_from_rows, load_dictionary, typed_dictionary
-from .sources.feeds import attach_feeds, feed_posts, feed_status, parse_diagnostics, parse_feeds
-from .sources.subscriptions import load_subscriptions, parse_subscription_records, subscription_diagnostics
+from .plans.analysis import Analysis, analyze
+from .sources.feeds import (
+    attach_feeds,
+    feed_posts,
+    feed_status,
+    parse_diagnostics,
+    parse_feeds,
+    read_landed_bodies,
+    read_landed_pages,
+)
+from .sources.subscriptions import (
+    classify_subscriptions,
+    load_subscriptions,
+    parse_subscription_records,
+    read_subscriptions,
+    subscription_diagnostics,
+    valid_subscriptions,
+)
 
 __all__ = [
+    "Analysis",
     "Detection",
+    "analyze",
+    "classify_subscriptions",
+    "read_landed_bodies",
+    "read_landed_pages",
+    "read_subscriptions",
+    "valid_subscriptions",
     "attach_feeds",
     "count_by_type",
     "count_entities",

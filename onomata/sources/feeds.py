@@ -146,3 +146,26 @@ def parse_diagnostics(parsed: DataFrame) -> DataFrame:
         .otherwise(F.format_string(MSG_PARSE_FAILED, F.col("name")))
         .alias("message"),
     )
+
+
+LANDED_SCHEMA = "url string, page bigint, body string"
+
+
+def read_landed_pages(spark, path: str | list[str]) -> DataFrame:
+    """Landed pages stored as JSON lines ``{"url", "page", "body"}`` (splittable, any size)."""
+    return spark.read.schema(LANDED_SCHEMA).option("mode", "PERMISSIVE").json(path)
+
+
+def read_landed_bodies(spark, path: str | list[str], url_prefix: str = "") -> DataFrame:
+    """Landed pages stored one raw body per file; ``url`` = prefix + file name, ``page`` = 0.
+
+    Each file is read whole (one page of a feed, bounded by the source's page
+    size); an unreadable or empty file becomes an empty body and decodes as
+    ``BAD_JSON``.
+    """
+    raw = spark.read.option("wholetext", True).text(path)
+    return raw.select(
+        F.concat(F.lit(url_prefix), F.col("_metadata.file_name")).alias("url"),
+        F.lit(0).cast("bigint").alias("page"),
+        F.col("value").alias("body"),
+    )

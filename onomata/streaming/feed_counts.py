@@ -15,9 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.detect import Detection, count_entities
 from ..operators.posts import filter_posts
-from ..sources.feeds import feed_posts, parse_feeds
-
-LANDED_SCHEMA = "url string, page bigint, body string"
+from ..sources.feeds import LANDED_SCHEMA, feed_posts, parse_feeds
 
 
 def read_landed_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 1000) -> DataFrame:

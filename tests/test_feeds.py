@@ -97,3 +97,21 @@ def test_subscription_records(spark):
     assert got == [("INVALID_JSON", "not a JSON object"), ("INVALID_JSON", "not a JSON object"),
                    ("SKIPPED", "missing name"), ("VALID", "")]
     assert subscription_diagnostics(classified).count() == 3
+
+
+def test_landed_readers(spark, tmp_path):
+    from onomata.sources.feeds import read_landed_bodies, read_landed_pages
+
+    d = tmp_path / "bodies"
+    d.mkdir()
+    (d / "scala.json").write_text(listing(child("a", "b")))
+    (d / "broken.json").write_text("{not json")
+    bodies = read_landed_bodies(spark, str(d), url_prefix="u/")
+    subs = spark.createDataFrame([("s", "u/scala.json"), ("b", "u/broken.json")], "name string, url string")
+    got = {r["name"]: r["status"] for r in feed_status(parse_feeds(attach_feeds(subs, bodies))).collect()}
+    assert got == {"s": "OK", "b": "BAD_JSON"}
+    j = tmp_path / "pages.jsonl"
+    j.write_text("\n".join(json.dumps({"url": "u/x", "page": i, "body": listing(child(f"t{i}", "s"))}) for i in range(3)))
+    pages = read_landed_pages(spark, str(j))
+    subs = spark.createDataFrame([("x", "u/x")], "name string, url string")
+    assert feed_posts(parse_feeds(attach_feeds(subs, pages))).count() == 3
