@@ -33,6 +33,8 @@ def test_token_rules(spark, strategy):
                                                                       ("ProgrammingLanguage", "C++")]
     assert found(spark, "java JAVA Java", strategy=strategy) == [("ProgrammingLanguage", "Java")]
     assert found(spark, "  New York  ", strategy=strategy) == []
+    assert found(spark, "Scala Java", strategy=strategy) == []  # NBSP does not separate words
+    assert found(spark, "\tScala\n", strategy=strategy) == [("ProgrammingLanguage", "Scala")]
     assert found(spark, "java scala", strategy=strategy) == []
 
 
