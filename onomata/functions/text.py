@@ -75,11 +75,19 @@ def ngrams(words: Column, n: int, first_words: list[str] | tuple[str, ...] | Non
     return F.when(size >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
+def matching_set(terms: Column, keys: list[str] | tuple[str, ...] | None = None) -> Column:
+    """Distinct terms; with ``keys``, only those among the keys (one in-row set intersection)."""
+    if keys is None:
+        return F.array_distinct(terms)
+    return F.array_intersect(terms, F.array(*[F.lit(k) for k in keys]).cast("array<string>"))
+
+
 def phrase_set_of_words(
     words: Column,
     max_words: int,
     lengths: list[int] | tuple[int, ...] | None = None,
     first_words: list[str] | tuple[str, ...] | None = None,
+    keys: list[str] | tuple[str, ...] | None = None,
 ) -> Column:
     """Distinct phrases of 1..max_words words (or of the given ``lengths``) from an ordered word array.
 
@@ -88,7 +96,7 @@ def phrase_set_of_words(
     """
     ns = sorted(set(lengths)) if lengths else list(range(1, max(1, max_words) + 1))
     parts = [words if n == 1 else ngrams(words, n, first_words) for n in ns]
-    return F.array_distinct(F.flatten(F.array(*parts)) if len(parts) > 1 else parts[0])
+    return matching_set(F.flatten(F.array(*parts)) if len(parts) > 1 else parts[0], keys)
 
 
 def post_length(title: str | Column = "title", selftext: str | Column = "selftext", utf16: bool = False) -> Column:

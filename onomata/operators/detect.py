@@ -25,18 +25,26 @@ share of all rows to one reducer, so:
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Skew handling for the shuffled mention join: hot terms are found in the first
-# HOT_SAMPLE_POSTS posts (a limit reads only as many splits as it needs).
-HOT_SAMPLE_POSTS = 20_000
+# HOT_SAMPLE_TERMS term rows (a terminal limit reads only the splits it needs).
+HOT_SAMPLE_TERMS = 200_000
 HOT_MAX_TERMS = 1000
 
-from ..functions.text import combined_text, phrase_key, phrase_set_of_words, phrase_words, token_set
-from ..plans.strategy import DictionaryShape, PhraseProfile, choose_join, measure_dictionary, phrase_profile
+from ..functions.text import combined_text, matching_set, phrase_key, phrase_set_of_words, phrase_words, word_tokens
+from ..plans.strategy import (
+    DictionaryShape,
+    PhraseProfile,
+    choose_join,
+    literal_keys,
+    measure_dictionary,
+    phrase_profile,
+)
 
 MATCH_MODES = ("token", "phrase")
 
@@ -58,22 +66,24 @@ def post_terms(
     match: str = "token",
     max_words: int = 1,
     profile: PhraseProfile | None = None,
+    keys: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """``(id_cols..., term)``: each distinct term of each post once.
 
     In phrase mode a ``profile`` of the dictionary limits the phrases built to
     the lengths and start words that can match; without it every phrase of
-    1..max_words words is built.
+    1..max_words words is built. With ``keys`` (a small dictionary's key list)
+    only terms among the keys are emitted, so the join sees matches only.
     """
     text = combined_text("title", "selftext")
     if match == "token":
-        return posts.select(*id_cols, F.explode(token_set(text)).alias("term"))
+        return posts.select(*id_cols, F.explode(matching_set(word_tokens(text), keys)).alias("term"))
     # Materialise the word array once; the n-gram lambdas then slice a column
     # instead of re-splitting the text for every position.
     words = posts.select(*id_cols, phrase_words(text).alias("_words"))
     lengths = profile.lengths if profile else None
     first = profile.first_words if profile else None
-    terms = phrase_set_of_words(F.col("_words"), max_words, lengths, first)
+    terms = phrase_set_of_words(F.col("_words"), max_words, lengths, first, keys)
     return words.select(*id_cols, F.explode(terms).alias("term"))
 
 
@@ -91,6 +101,8 @@ class Detection:
             if match == "phrase" and self.strategy == "broadcast" and self.shape.max_words > 1
             else None
         )
+        # A small broadcast dictionary also filters terms in-row before the join.
+        self.keys = literal_keys(self.keyed) if self.strategy == "broadcast" else None
 
     @property
     def max_words(self) -> int:
@@ -98,7 +110,7 @@ class Detection:
 
     def mentions(self, posts: DataFrame, id_cols: Sequence[str] = ("post_id",)) -> DataFrame:
         """One row per (post, matching dictionary line): ``(id_cols..., entity_type, entity_name)``."""
-        terms = post_terms(posts, id_cols, self.match, self.max_words, self.profile)
+        terms = post_terms(posts, id_cols, self.match, self.max_words, self.profile, self.keys)
         if self.strategy == "broadcast":
             joined = terms.join(F.broadcast(self.keyed), F.col("term") == F.col("match_key"), "inner")
             return joined.select(*id_cols, "entity_type", "entity_name")
@@ -125,35 +137,29 @@ class Detection:
         )
         return joined.select(*id_cols, "entity_type", "entity_name")
 
-    def hot_terms(self, posts: DataFrame, sample_posts: int | None = None) -> list[str]:
-        """Dictionary keys that hold a large share of term rows in a sample of the posts.
+    def hot_terms(self, posts: DataFrame, sample_terms: int | None = None) -> list[str]:
+        """Terms that hold a large share of term rows in a bounded sample of the posts.
 
-        The sample is the first ``HOT_SAMPLE_POSTS`` posts: a limit stops
-        reading once it has them, where a fractional sample would scan the
-        whole input. Common words are hot everywhere; a term hot only further
-        on is still joined exactly, with AQE skew splitting as the fallback.
+        The sample is the first ``HOT_SAMPLE_TERMS`` term rows, fetched with a
+        terminal ``limit().collect()``: Spark then scans partitions
+        incrementally (one, then four times as many, ...) and stops once it
+        has enough rows, so the cost does not grow with the input. Only short
+        term strings, at most ``HOT_SAMPLE_TERMS`` of them, reach the driver.
 
-        A key is hot when it holds at least 1/(4 * buckets) of the sampled term
-        rows, so at most 4 * buckets keys can qualify; the list is also capped at
-        ``HOT_MAX_TERMS``. Keys past the cap are still joined exactly, only
-        without salting. The sample decides the plan, never the result.
+        A term is hot when it holds at least 1/(4 * buckets) of the sampled
+        rows, so at most 4 * buckets terms qualify (capped at ``HOT_MAX_TERMS``).
+        Membership in the dictionary is not required: a frequent term is
+        shuffled whether it matches or not, so salting it spreads that load too.
+        The sample decides the plan, never the result: every row is joined.
         """
-        n = HOT_SAMPLE_POSTS if sample_posts is None else sample_posts
-        sample = post_terms(posts.limit(n), (), self.match, self.max_words, self.profile)
-        keys = self.keyed.select(F.col("match_key").alias("term")).distinct()
-        freq = sample.groupBy("term").agg(F.count(F.lit(1)).alias("c"))
-        total = freq.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("t")).first()["t"]
-        if not total:
+        n = HOT_SAMPLE_TERMS if sample_terms is None else sample_terms
+        rows = post_terms(posts, (), self.match, self.max_words, self.profile, self.keys).limit(n).collect()
+        if not rows:
             return []
-        threshold = max(1, total // (4 * salt_buckets(posts)))
-        top = (
-            freq.filter(F.col("c") >= threshold)
-            .join(keys, "term", "left_semi")
-            .orderBy(F.desc("c"), "term")
-            .limit(HOT_MAX_TERMS)
-            .collect()
-        )
-        return [r["term"] for r in top]
+        threshold = max(2, len(rows) // (4 * salt_buckets(posts)))
+        freq = Counter(r["term"] for r in rows)
+        hot = [t for t, c in freq.most_common(HOT_MAX_TERMS) if c >= threshold]
+        return sorted(hot)
 
     def counts(self, posts: DataFrame) -> DataFrame:
         """``(entity_type, entity_name, n)``: posts mentioning each name, times its multiplicity."""
@@ -161,7 +167,7 @@ class Detection:
             return count_entities(self.mentions(posts, ()))
         # Wide dictionary: document frequency per term first (partial aggregation
         # collapses hot terms map-side), then a vocabulary-sized join.
-        term_df = post_terms(posts, (), self.match, self.max_words, self.profile).groupBy("term").agg(
+        term_df = post_terms(posts, (), self.match, self.max_words, self.profile, self.keys).groupBy("term").agg(
             F.count(F.lit(1)).alias("df")
         )
         lines = self.keyed.groupBy("match_key", "entity_type", "entity_name").agg(F.count(F.lit(1)).alias("mult"))

@@ -65,6 +65,22 @@ def measure_dictionary(keyed: DataFrame, key_col: str = "match_key") -> Dictiona
     return _cached_local(keyed, "shape", lambda df: _measure(df, key_col))
 
 
+# Dictionaries with at most this many distinct keys are also matched with an
+# in-row set intersection against the literal key list before the join.
+LITERAL_KEYS_MAX = 10_000
+
+
+def literal_keys(keyed: DataFrame, key_col: str = "match_key") -> tuple[str, ...] | None:
+    """Sorted distinct keys when there are at most ``LITERAL_KEYS_MAX``; else None."""
+    def compute(df: DataFrame) -> tuple[str, ...] | None:
+        rows = df.select(key_col).distinct().limit(LITERAL_KEYS_MAX + 1).collect()
+        if len(rows) > LITERAL_KEYS_MAX:
+            return None
+        return tuple(sorted(r[0] for r in rows))
+
+    return _cached_local(keyed, "keys", compute)
+
+
 # A phrase profile lists at most this many (length, first word) pairs.
 PHRASE_PROFILE_MAX = 20_000
 
