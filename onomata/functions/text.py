@@ -124,7 +124,11 @@ def first_line(text: str | Column) -> Column:
 
 
 def after_first_line(text: str | Column) -> Column:
-    """Text after the first newline; empty when there is none."""
+    """Text after the first newline; empty when there is none.
+
+    Two-argument ``substr`` reads to the end without first counting the
+    characters of the whole text (a length argument would cost a full pass).
+    """
     t = _col(text)
     pos = F.instr(t, "\n")
-    return F.when(pos > 0, t.substr(pos + 1, F.length(t))).otherwise(F.lit(""))
+    return F.when(pos > 0, F.substr(t, pos + 1)).otherwise(F.lit(""))
