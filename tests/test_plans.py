@@ -39,3 +39,13 @@ def test_feed_pages_are_bounded_groups(spark):
     pages = S.clean_pages(S.documents_posts(spark, SF_SMALL))
     biggest = pages.select(F.size(F.split("body", '"kind":"t3"')).alias("n")).agg(F.max("n")).first()[0] - 1
     assert 0 < biggest <= S.PAGE_ROWS
+
+
+def test_spread_scan_only_for_few_splits(spark, tmp_path):
+    from onomata.plans.strategy import spread_scan
+
+    one = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    assert one.rdd.getNumPartitions() == 1
+    assert spread_scan(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
+    assert spread_scan(many) is many
