@@ -20,7 +20,7 @@ from .operators.posts import filter_posts
 from .operators.report import diagnostics, entity_report, processing_report, type_report
 from .operators.stats import post_length_stats, processing_stats
 from .sources.dictionary import dictionary_from_rows, load_dictionary, typed_dictionary
-from .plans.analysis import Analysis, analyze
+from .plans.analysis import Analysis, analyze, analyze_paths
 from .sources.feeds import (
     attach_feeds,
     feed_posts,
@@ -43,6 +43,7 @@ __all__ = [
     "Analysis",
     "Detection",
     "analyze",
+    "analyze_paths",
     "classify_subscriptions",
     "read_landed_bodies",
     "read_landed_pages",

@@ -58,6 +58,7 @@ TYPE_LINE_FORMAT = "    [%s]: %d"
 # Diagnostic messages.
 MSG_SKIPPED_SUBSCRIPTION = "Skipping malformed subscription (missing 'name' or 'url' field)"
 MSG_INVALID_JSON = "Could not load subscriptions - invalid JSON format"
+MSG_FILE_NOT_FOUND = "Could not load %s - file not found"
 MSG_FETCH_FAILED = "Failed to download from '%s' (%s)"
 MSG_PARSE_FAILED = "Failed to parse JSON from '%s'"
 MSG_DICT_MISSING = "Could not load %s"

@@ -15,14 +15,22 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import DEFAULT_TOP_K, MSG_NO_POSTS, MSG_NO_SUBSCRIPTIONS
+from ..constants import DEFAULT_TOP_K, MSG_FILE_NOT_FOUND, MSG_NO_POSTS, MSG_NO_SUBSCRIPTIONS
 from ..operators.aggregate import count_by_type, rank_entities
 from ..operators.detect import Detection
 from ..operators.posts import filter_posts
 from ..operators.report import diagnostics, entity_report, processing_report, type_report
 from ..operators.stats import processing_stats
-from ..sources.feeds import attach_feeds, feed_posts, parse_diagnostics, parse_feeds
-from ..sources.subscriptions import subscription_diagnostics, valid_subscriptions
+from ..sources.diagnostics import diagnostics_frame
+from ..sources.dictionary import load_dictionary, path_exists
+from ..sources.feeds import LANDED_SCHEMA, attach_feeds, feed_posts, parse_diagnostics, parse_feeds, read_landed_pages
+from ..sources.subscriptions import (
+    SUBSCRIPTION_SCHEMA,
+    classify_subscriptions,
+    read_subscriptions,
+    subscription_diagnostics,
+    valid_subscriptions,
+)
 
 
 @dataclass
@@ -97,3 +105,42 @@ def analyze(
         processing_report=processing_report(stats),
         diagnostics=diagnostics(*parts),
     )
+
+
+def analyze_paths(
+    spark,
+    subscription_file: str,
+    entities_dir: str,
+    landed: str | DataFrame,
+    k: int = DEFAULT_TOP_K,
+    mode: str = "blank",
+    match: str = "token",
+    dedupe: bool = False,
+) -> Analysis:
+    """The same run from paths: a subscription JSON file, a dictionary directory
+    and landed pages (a JSON-lines path or a DataFrame ``(url, page, body)``).
+
+    A missing subscription file gives an ERROR row and no posts; a missing
+    dictionary directory raises ``ValueError``; a missing dictionary file gives
+    a WARN row.
+    """
+    dictionary, dict_diag = load_dictionary(spark, entities_dir, dedupe=dedupe)
+    extra = []
+    if path_exists(spark, subscription_file):
+        classified = classify_subscriptions(read_subscriptions(spark, subscription_file))
+    else:
+        classified = classify_subscriptions(spark.createDataFrame([], SUBSCRIPTION_SCHEMA))
+        extra.append(
+            diagnostics_frame(
+                spark,
+                [("ERROR", "SUBSCRIPTIONS_NOT_FOUND", subscription_file, MSG_FILE_NOT_FOUND % subscription_file)],
+            )
+        )
+    if isinstance(landed, str):
+        pages = read_landed_pages(spark, landed) if path_exists(spark, landed) else spark.createDataFrame([], LANDED_SCHEMA)
+    else:
+        pages = landed
+    result = analyze(classified, pages, dictionary, k, mode, match, dictionary_diagnostics=dict_diag)
+    if extra:
+        result.diagnostics = diagnostics(result.diagnostics, *extra)
+    return result

@@ -42,7 +42,8 @@ def typed_dictionary(lines: DataFrame, type_col: str, line_col: str = "value", d
     return out.dropDuplicates(["entity_type", "entity_name"]) if dedupe else out
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop file system of the path (works for any cluster FS)."""
     jvm = spark._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -61,11 +62,11 @@ def load_dictionary(
     missing file gives a WARN row and the other files are still used.
     """
     base = directory.rstrip("/")
-    if not _path_exists(spark, base):
+    if not path_exists(spark, base):
         raise ValueError(f"entities directory '{directory}' not found")
     present, missing = [], []
     for name, etype in files:
-        (present if _path_exists(spark, f"{base}/{name}") else missing).append((name, etype))
+        (present if path_exists(spark, f"{base}/{name}") else missing).append((name, etype))
     diagnostics = diagnostics_frame(
         spark,
         [("WARN", "DICT_FILE_MISSING", f"{base}/{n}", MSG_DICT_MISSING % f"{base}/{n}") for n, _ in missing],

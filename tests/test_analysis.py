@@ -90,3 +90,16 @@ def test_partial_dictionaries_warn_and_continue(spark, tmp_path):
     assert {r["entity_type"] for r in a.ranking.collect()} <= {"ProgrammingLanguage", "Place"}
     types = {r["entity_type"]: r["n"] for r in a.type_stats.collect()}
     assert types["Person"] == 0 and types["total"] == sum(r["n"] for r in a.counts.collect())
+
+
+def test_run_from_paths(spark, tmp_path):
+    from onomata.plans.analysis import analyze_paths
+
+    ent, pages = _write_inputs(tmp_path, GOOD)
+    landed = tmp_path / "landed.jsonl"
+    landed.write_text("\n".join(json.dumps({"url": u, "page": p, "body": b}) for u, p, b in pages))
+    a = analyze_paths(spark, str(tmp_path / "subs.json"), str(ent), str(landed), k=3)
+    assert [r["rank"] for r in a.ranking.orderBy("rank").collect()] == [1, 2, 3]
+    missing = analyze_paths(spark, str(tmp_path / "nope.json"), str(ent), str(landed))
+    codes = sorted(r["code"] for r in missing.diagnostics.collect())
+    assert codes == ["NO_POSTS", "NO_SUBSCRIPTIONS", "SUBSCRIPTIONS_NOT_FOUND"]
