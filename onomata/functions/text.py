@@ -75,11 +75,19 @@ def ngrams(words: Column, n: int, first_words: list[str] | tuple[str, ...] | Non
     return F.when(size >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
+# array_intersect hashes its right-hand array for every row, so it is used only
+# for short key lists; longer lists use IN, which Catalyst turns into a
+# hash set built once per task.
+_INTERSECT_MAX_KEYS = 100
+
+
 def matching_set(terms: Column, keys: list[str] | tuple[str, ...] | None = None) -> Column:
-    """Distinct terms; with ``keys``, only those among the keys (one in-row set intersection)."""
+    """Distinct terms; with ``keys``, only those among the keys."""
     if keys is None:
         return F.array_distinct(terms)
-    return F.array_intersect(terms, F.array(*[F.lit(k) for k in keys]).cast("array<string>"))
+    if len(keys) <= _INTERSECT_MAX_KEYS:
+        return F.array_intersect(terms, F.array(*[F.lit(k) for k in keys]).cast("array<string>"))
+    return F.array_distinct(F.filter(terms, lambda t: t.isin(list(keys))))
 
 
 def phrase_set_of_words(

@@ -53,3 +53,12 @@ def test_describe_and_lines(spark):
     assert one(spark, T.first_line("s"), "t\nb\nc") == "t"
     assert one(spark, T.after_first_line("s"), "t\nb\nc") == "b\nc"
     assert one(spark, T.after_first_line("s"), "only") == ""
+
+
+def test_matching_set_both_forms(spark):
+    df = spark.createDataFrame([(["a", "b", "a", "c", ""],)], "t array<string>")
+    small = df.select(T.matching_set(F.col("t"), ("a", "c", "z")).alias("m")).first()["m"]
+    many = tuple(["a", "c"] + [f"k{i}" for i in range(200)])
+    big = df.select(T.matching_set(F.col("t"), many).alias("m")).first()["m"]
+    assert sorted(small) == sorted(big) == ["a", "c"]
+    assert sorted(df.select(T.matching_set(F.col("t")).alias("m")).first()["m"]) == ["", "a", "b", "c"]
