@@ -38,7 +38,10 @@ _LOCAL_SHAPES: list[tuple[str, DataFrame, object]] = []
 
 
 def _reads_only_literals(df: DataFrame) -> bool:
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    except AttributeError:  # Spark Connect: no JVM handle, just skip the cache
+        return False
     return all(leaves.apply(i).getClass().getSimpleName() == "LocalRelation" for i in range(leaves.size()))
 
 
@@ -156,7 +159,11 @@ def spread_scan(df: DataFrame) -> DataFrame:
     costs no job. On a large table the splits far outnumber the cores and this
     is a no-op; only a small single-split input pays one shuffle.
     """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
+    try:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect has no RDD view; leave the scan as it is
+        return df
+    if splits < parallelism:
         return df.repartition(parallelism)
     return df
