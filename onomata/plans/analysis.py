@@ -47,6 +47,18 @@ class Analysis:
     processing_report: DataFrame
     diagnostics: DataFrame
 
+    OUTPUTS = ("counts", "ranking", "type_stats", "stats", "entity_report", "type_report", "processing_report",
+               "diagnostics")
+
+    def write(self, path: str, mode: str = "overwrite") -> None:
+        """Write every result as parquet under ``path/<name>``; each is small except the counts.
+
+        The per-name counts are cached, so the ranking and type statistics do
+        not rescan the posts; the processing statistics make one more pass.
+        """
+        for name in self.OUTPUTS:
+            getattr(self, name).write.mode(mode).parquet(f"{path.rstrip('/')}/{name}")
+
 
 def zero_guard(counted: DataFrame, column: str, code: str, message: str) -> DataFrame:
     """One ERROR row when the one-row frame ``counted`` has ``column == 0`` (no driver-side action)."""

@@ -103,3 +103,12 @@ def test_run_from_paths(spark, tmp_path):
     missing = analyze_paths(spark, str(tmp_path / "nope.json"), str(ent), str(landed))
     codes = sorted(r["code"] for r in missing.diagnostics.collect())
     assert codes == ["NO_POSTS", "NO_SUBSCRIPTIONS", "SUBSCRIPTIONS_NOT_FOUND"]
+
+
+def test_write_outputs(spark, tmp_path):
+    a = _run(spark, tmp_path, GOOD, k=3)
+    out = tmp_path / "out"
+    a.write(str(out))
+    assert spark.read.parquet(str(out / "ranking")).count() == 3
+    assert spark.read.parquet(str(out / "type_stats")).count() == 7
+    assert spark.read.parquet(str(out / "processing_report")).count() == 7
