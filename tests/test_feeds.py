@@ -115,3 +115,51 @@ def test_landed_readers(spark, tmp_path):
     pages = read_landed_pages(spark, str(j))
     subs = spark.createDataFrame([("x", "u/x")], "name string, url string")
     assert feed_posts(parse_feeds(attach_feeds(subs, pages))).count() == 3
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_MISSING = object()
+VALUES = st.sampled_from([_MISSING, None, "text", "", 7, 1.5, True, {"x": 1}, [1]])
+
+
+def _child(title, selftext):
+    data = {}
+    if title is not _MISSING:
+        data["title"] = title
+    if selftext is not _MISSING:
+        data["selftext"] = selftext
+    return {"data": data}
+
+
+def _status_model(children):
+    if children is None:
+        return "NO_CHILDREN"
+    fields = [(c, k) for c in children for k in ("title", "selftext")]
+    if any(not isinstance(c, dict) or k not in c.get("data", {}) for c, k in fields):
+        return "MISSING_FIELD"
+    if any(isinstance(c["data"][k], (dict, list)) for c, k in fields):
+        return "BAD_FIELD"
+    return "EMPTY" if not children else "OK"
+
+
+PAGE = st.one_of(
+    st.none(),
+    st.lists(st.one_of(st.tuples(VALUES, VALUES).map(lambda p: _child(*p)), st.just(5)), max_size=4),
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(PAGE, min_size=1, max_size=6))
+def test_status_matches_model(spark, pages):
+    bodies = [json.dumps({"data": {} if ch is None else {"children": ch}}) for ch in pages]
+    subs = spark.createDataFrame([(f"f{i}", f"u/{i}") for i in range(len(pages))], "name string, url string")
+    landed = spark.createDataFrame([(f"u/{i}", 0, b) for i, b in enumerate(bodies)], "url string, page bigint, body string")
+    parsed = parse_feeds(attach_feeds(subs, landed))
+    got = {r["name"]: (r["status"], r["n_posts"]) for r in feed_status(parsed).collect()}
+    want = {}
+    for i, ch in enumerate(pages):
+        status = _status_model(ch)
+        want[f"f{i}"] = (status, len(ch) if status == "OK" else 0)
+    assert got == want
