@@ -49,3 +49,21 @@ def test_spread_scan_only_for_few_splits(spark, tmp_path):
     assert spread_scan(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
     assert spread_scan(many) is many
+
+
+def test_broadcast_mentions_never_shuffle_posts(spark):
+    plan = _plan(Q.q_entity_mentions(spark, SF_SMALL))
+    assert "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning" not in plan
+
+
+def test_dictionary_past_bound_goes_to_shuffle(spark, monkeypatch):
+    import onomata.plans.strategy as S
+    from onomata.operators.detect import Detection
+
+    posts = Q._kept_posts(spark, SF_SMALL)
+    small = sorted(tuple(r) for r in Detection(Q._probe(spark)).counts(posts).collect())
+    monkeypatch.setattr(S, "BROADCAST_MAX_ROWS", 3)
+    wide = Detection(Q._probe(spark))
+    assert wide.strategy == "shuffle" and wide.keys is None
+    assert sorted(tuple(r) for r in wide.counts(posts).collect()) == small
