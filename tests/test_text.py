@@ -62,3 +62,19 @@ def test_matching_set_both_forms(spark):
     big = df.select(T.matching_set(F.col("t"), many).alias("m")).first()["m"]
     assert sorted(small) == sorted(big) == ["a", "c"]
     assert sorted(df.select(T.matching_set(F.col("t")).alias("m")).first()["m"]) == ["", "a", "b", "c"]
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_LOW = "".join(chr(i) for i in range(0x21))
+CHARS = st.sampled_from(list("ab #+") + ["\t", "\n", "\x0b", "\x00", "\x1f", " ", "é", " "])
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(alphabet=CHARS, max_size=8), min_size=1, max_size=20))
+def test_java_trim_and_blank_match_python(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, s string")
+    got = {r["i"]: (r["t"], r["b"]) for r in df.select("i", T.java_trim("s").alias("t"), T.is_not_blank("s").alias("b")).collect()}
+    want = {i: (v.strip(_LOW), v.strip(_LOW) != "") for i, v in enumerate(values)}
+    assert got == want
