@@ -21,6 +21,7 @@ from ..operators.detect import Detection
 from ..operators.posts import filter_posts
 from ..operators.report import diagnostics, entity_report, processing_report, type_report
 from ..operators.stats import processing_stats
+from .strategy import stage_table
 from ..sources.diagnostics import diagnostics_frame
 from ..sources.dictionary import load_dictionary, path_exists
 from ..sources.feeds import LANDED_SCHEMA, attach_feeds, feed_posts, parse_diagnostics, parse_feeds, read_landed_pages
@@ -80,14 +81,22 @@ def analyze(
     match: str = "token",
     strategy: str = "auto",
     dictionary_diagnostics: DataFrame | None = None,
+    stage_parsed: bool = False,
 ) -> Analysis:
     """Wire the operators the way a full run uses them.
 
     ``classified_subscriptions`` comes from ``classify_subscriptions`` (or the
     file reader); ``landed`` is ``(url, page, body)``.
+
+    ``stage_parsed=True`` decodes the landed JSON once and writes the decoded
+    pages as a parquet table under ``spark.checkpoint.dir``; detection, the
+    statistics and the diagnostics then read that table instead of decoding
+    the bodies three times.
     """
     valid = valid_subscriptions(classified_subscriptions)
     parsed = parse_feeds(attach_feeds(valid, landed))
+    if stage_parsed:
+        parsed = stage_table(parsed, "parsed-feeds")
     posts = filter_posts(feed_posts(parsed), mode)
     counts = Detection(dictionary, match, strategy).counts(posts).cache()
     ranking = rank_entities(counts, k)

@@ -167,3 +167,35 @@ def spread_scan(df: DataFrame) -> DataFrame:
     if splits < parallelism:
         return df.repartition(parallelism)
     return df
+
+
+def shared_dir(spark) -> str:
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir`` (or the context's checkpoint dir).
+
+    Never falls back to a machine-local folder: on a cluster only a shared
+    file system survives the loss of an executor.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        try:
+            base = spark.sparkContext.getCheckpointDir()
+        except Exception:
+            base = None
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a shared folder to stage intermediate tables")
+    return base.rstrip("/")
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the shared folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads the table instead of recomputing
+    the plan) and lets several consumers share one computation; the columnar
+    copy is pruned to the columns each consumer reads.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

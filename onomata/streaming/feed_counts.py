@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.detect import Detection, count_entities
 from ..operators.posts import filter_posts
+from ..plans.strategy import shared_dir
 from ..sources.feeds import LANDED_SCHEMA, feed_posts, parse_feeds
 
 
@@ -48,10 +49,7 @@ def entity_count_stream(
 
 def checkpoint_location(spark: SparkSession, name: str) -> str:
     """``<spark.checkpoint.dir>/<name>``; the directory must be set by the cluster (or a test)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a shared directory for streaming checkpoints")
-    return f"{base.rstrip('/')}/{name}"
+    return f"{shared_dir(spark)}/{name}"
 
 
 def start_entity_counts(counts: DataFrame, table: str, checkpoint: str) -> StreamingQuery:

@@ -112,3 +112,16 @@ def test_write_outputs(spark, tmp_path):
     assert spark.read.parquet(str(out / "ranking")).count() == 3
     assert spark.read.parquet(str(out / "type_stats")).count() == 7
     assert spark.read.parquet(str(out / "processing_report")).count() == 7
+
+
+def test_staged_parse_gives_same_results(spark, tmp_path):
+    ent, pages = _write_inputs(tmp_path, GOOD)
+    classified = classify_subscriptions(read_subscriptions(spark, str(tmp_path / "subs.json")))
+    dictionary, _ = load_dictionary(spark, str(ent))
+    landed = spark.createDataFrame(pages, "url string, page bigint, body string")
+    a = analyze(classified, landed, dictionary)
+    b = analyze(classified, landed, dictionary, stage_parsed=True)
+    assert "FileScan parquet" in b.parsed._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in b.ranking.collect()) == sorted(tuple(r) for r in a.ranking.collect())
+    assert b.stats.first() == a.stats.first()
+    assert sorted(tuple(r) for r in b.diagnostics.collect()) == sorted(tuple(r) for r in a.diagnostics.collect())
