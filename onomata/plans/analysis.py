@@ -60,6 +60,10 @@ class Analysis:
         for name in self.OUTPUTS:
             getattr(self, name).write.mode(mode).parquet(f"{path.rstrip('/')}/{name}")
 
+    def release(self) -> None:
+        """Drop the cached per-name counts once every output has been used."""
+        self.counts.unpersist()
+
 
 def zero_guard(counted: DataFrame, column: str, code: str, message: str) -> DataFrame:
     """One ERROR row when the one-row frame ``counted`` has ``column == 0`` (no driver-side action)."""

@@ -112,6 +112,8 @@ def test_write_outputs(spark, tmp_path):
     assert spark.read.parquet(str(out / "ranking")).count() == 3
     assert spark.read.parquet(str(out / "type_stats")).count() == 7
     assert spark.read.parquet(str(out / "processing_report")).count() == 7
+    a.release()
+    assert not a.counts.is_cached
 
 
 def test_staged_parse_gives_same_results(spark, tmp_path):
