@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.detect import Detection, count_entities
 from ..operators.posts import filter_posts
-from ..plans.strategy import shared_dir
+from ..plans.strategy import BROADCAST_MAX_ROWS, shared_dir
 from ..sources.feeds import LANDED_SCHEMA, feed_posts, parse_feeds
 
 
@@ -41,7 +41,10 @@ def entity_count_stream(
     broadcast bound (a stream cannot be sampled or measured up front).
     """
     detection = Detection(dictionary, match, strategy="broadcast")
-    subs = F.broadcast(subscriptions.select("name", "url"))
+    subs = subscriptions.select("name", "url")
+    # The static side is broadcast only when its row count is within the bound.
+    if subs.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS:
+        subs = F.broadcast(subs)
     attached = landed.join(subs, "url", "inner").select("name", "url", "page", "body")
     posts = filter_posts(feed_posts(parse_feeds(attached)), mode)
     return count_entities(detection.mentions(posts, ()))
