@@ -17,20 +17,25 @@ def entity_type_dimension(spark: SparkSession) -> DataFrame:
 def count_by_type(counts: DataFrame) -> DataFrame:
     """``(entity_type, n, display_order)``: all six types zero-filled, plus ``total``.
 
-    Rolls up the per-name counts (already small) instead of re-reading mentions.
-    The total counts every mention, including types outside the six.
+    Rolls up the per-name counts (already small) instead of re-reading
+    mentions, then adds a zero row per label and sums per label: no join, and
+    an empty input still yields all seven rows. The total counts every
+    mention, including types outside the six.
     """
+    labels = list(ENTITY_TYPES) + [TOTAL_LABEL]
+    order = F.create_map(*[x for i, t in enumerate(labels) for x in (F.lit(t), F.lit((i + 1) % len(labels)))])
     rolled = counts.rollup("entity_type").agg(
         F.sum("n").cast("bigint").alias("n"), F.grouping("entity_type").alias("g")
     )
     labelled = rolled.select(
         F.when(F.col("g") == 1, F.lit(TOTAL_LABEL)).otherwise(F.col("entity_type")).alias("entity_type"), "n"
-    )
-    dim = entity_type_dimension(counts.sparkSession)
-    # Both sides hold at most a few rows; the seven-row dimension is broadcast.
+    ).filter(F.col("entity_type").isin(labels))
+    zeros = entity_type_dimension(counts.sparkSession).select("entity_type", F.lit(0).cast("bigint").alias("n"))
     return (
-        labelled.join(F.broadcast(dim), "entity_type", "right")
-        .select("entity_type", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"), "display_order")
+        labelled.unionByName(zeros)
+        .groupBy("entity_type")
+        .agg(F.sum("n").cast("bigint").alias("n"))
+        .select("entity_type", "n", order[F.col("entity_type")].cast("int").alias("display_order"))
     )
 
 
