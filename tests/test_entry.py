@@ -22,3 +22,7 @@ def test_sf001_expected_counts(spark):
     assert s["posts"] == 1000
     emp = Q.q_posts_filter_empty(spark, SF_MID).count()
     assert emp == 931
+    from onomata.operators.stats import post_length_stats
+
+    kept = post_length_stats(Q.S.documents_posts(spark, SF_MID), "empty").first()
+    assert (kept["posts_kept"], round(kept["avg_chars"], 2), kept["avg_chars_int"]) == (931, 2503.84, 2503)
