@@ -99,7 +99,6 @@ def test_counts_match_python_model(spark, docs):
 
 def test_salted_join_for_hot_terms(spark, monkeypatch):
     """One word in every post: the shuffled mention join salts it and stays exact."""
-    import onomata.operators.detect as D
     from onomata.plans.strategy import physical_plan
 
     texts = [f"the w{i} than" if i % 3 else f"the w{i}" for i in range(300)]
