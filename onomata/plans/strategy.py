@@ -149,22 +149,28 @@ def physical_plan(df: DataFrame) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+# Spread a scan only when the cores outnumber its splits by this factor: a table
+# that already keeps most cores busy is not worth a full shuffle of its data.
+SPREAD_FACTOR = 4
+
+
 def spread_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer input splits than the cluster has cores.
+    """Round-robin a scan whose input splits are far fewer than the cluster's cores.
 
     A table stored as one unsplittable file (one parquet row group, one gzip
     file) is read by a single task, and every narrow operator above it (text
     splitting, JSON decoding, the broadcast probe) stays in that task. The
     split count is known at planning time from the file listing, so the check
-    costs no job. On a large table the splits far outnumber the cores and this
-    is a no-op; only a small single-split input pays one shuffle.
+    costs no job. Only when the cores outnumber the splits ``SPREAD_FACTOR``
+    times is the data shuffled once; a large table, whose splits keep the
+    cluster busy, is left as it is.
     """
     try:
         parallelism = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:  # Spark Connect has no RDD view; leave the scan as it is
         return df
-    if splits < parallelism:
+    if splits * SPREAD_FACTOR <= parallelism:
         return df.repartition(parallelism)
     return df
 

@@ -47,7 +47,7 @@ def test_spread_scan_only_for_few_splits(spark, tmp_path):
     one = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     assert one.rdd.getNumPartitions() == 1
     assert spread_scan(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
+    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism // 2)
     assert spread_scan(many) is many
 
 
