@@ -149,28 +149,40 @@ def physical_plan(df: DataFrame) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-# Spread a scan only when the cores outnumber its splits by this factor: a table
-# that already keeps most cores busy is not worth a full shuffle of its data.
-SPREAD_FACTOR = 4
+# Spread a scan only when it has fewer input splits than the cluster has cores
+# and its estimated size is at most this much per core. Parquet splits are byte
+# ranges, so a file with few row groups can show several splits of which only
+# one holds rows; the split count alone overstates the parallelism of small
+# inputs. A large table is never reshuffled: its data already spans the cores.
+SPREAD_MAX_BYTES_PER_CORE = 64 * 1024 * 1024
+
+
+def _estimated_bytes(df: DataFrame) -> int | None:
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())
+    except Exception:
+        return None
 
 
 def spread_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan whose input splits are far fewer than the cluster's cores.
+    """Round-robin a small scan that would otherwise run in fewer tasks than cores.
 
-    A table stored as one unsplittable file (one parquet row group, one gzip
+    A table stored as one unsplittable unit (one parquet row group, one gzip
     file) is read by a single task, and every narrow operator above it (text
-    splitting, JSON decoding, the broadcast probe) stays in that task. The
-    split count is known at planning time from the file listing, so the check
-    costs no job. Only when the cores outnumber the splits ``SPREAD_FACTOR``
-    times is the data shuffled once; a large table, whose splits keep the
-    cluster busy, is left as it is.
+    splitting, JSON decoding, the broadcast probe) stays in that task. Both
+    the split count (file listing) and the size estimate (file sizes) are
+    known at planning time, so the check costs no job. Only inputs of at most
+    ``SPREAD_MAX_BYTES_PER_CORE`` per core are shuffled, once; larger tables
+    are left as they are.
     """
     try:
         parallelism = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:  # Spark Connect has no RDD view; leave the scan as it is
         return df
-    if splits * SPREAD_FACTOR <= parallelism:
+    size = _estimated_bytes(df)
+    if splits < parallelism and size is not None and size <= SPREAD_MAX_BYTES_PER_CORE * parallelism:
         return df.repartition(parallelism)
     return df
 

@@ -47,8 +47,17 @@ def test_spread_scan_only_for_few_splits(spark, tmp_path):
     one = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     assert one.rdd.getNumPartitions() == 1
     assert spread_scan(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism // 2)
+    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism)
     assert spread_scan(many) is many
+    import onomata.plans.strategy as S
+
+    big = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    old = S.SPREAD_MAX_BYTES_PER_CORE
+    try:
+        S.SPREAD_MAX_BYTES_PER_CORE = 1  # pretend the file is huge relative to the cluster
+        assert spread_scan(big) is big
+    finally:
+        S.SPREAD_MAX_BYTES_PER_CORE = old
 
 
 def test_broadcast_mentions_never_shuffle_posts(spark):
