@@ -163,3 +163,14 @@ def test_status_matches_model(spark, pages):
         status = _status_model(ch)
         want[f"f{i}"] = (status, len(ch) if status == "OK" else 0)
     assert got == want
+
+
+def test_subscriptions_as_json_lines(spark, tmp_path):
+    from onomata.sources.subscriptions import read_subscriptions
+
+    p = tmp_path / "subs.jsonl"
+    p.write_text('{"name": "a", "url": "u/a"}\n{"name": "", "url": "u/b"}\nnot json\n{"url": "u/c"}\n')
+    classified = classify_subscriptions(read_subscriptions(spark, str(p), multiline=False))
+    got = sorted((r["sub_status"], r["reason"] or "") for r in classified.collect())
+    assert got == [("INVALID_JSON", "not a JSON object"), ("SKIPPED", "empty name"), ("SKIPPED", "missing name"),
+                   ("VALID", "")]
