@@ -64,3 +64,21 @@ def start_entity_counts(counts: DataFrame, table: str, checkpoint: str) -> Strea
         .option("checkpointLocation", checkpoint)
         .start()
     )
+
+
+def start_entity_counts_to_path(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Keep ``path`` holding the current running counts as parquet.
+
+    Complete mode hands each micro-batch the whole count table (at most one row
+    per dictionary line), and each batch overwrites ``path`` with it, so a batch
+    replayed after a failure rewrites the same table.
+    """
+    def write_batch(batch: DataFrame, _batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    return (
+        counts.writeStream.outputMode("complete")
+        .foreachBatch(write_batch)
+        .option("checkpointLocation", checkpoint)
+        .start()
+    )

@@ -32,3 +32,21 @@ def test_stream_counts_accumulate(spark):
         assert got == {"Scala": 2, "Berkeley": 1}
     finally:
         q.stop()
+
+
+def test_stream_counts_to_parquet_path(spark):
+    from onomata.streaming.feed_counts import start_entity_counts_to_path
+
+    landing = tempfile.mkdtemp(prefix="landing-", dir="/tmp")
+    out = tempfile.mkdtemp(prefix="out-", dir="/tmp") + "/counts"
+    ckpt = tempfile.mkdtemp(prefix="ckpt-", dir="/tmp")
+    subs = spark.createDataFrame([("a", "u/a")], "name string, url string")
+    d = dictionary_from_rows(spark, [("ProgrammingLanguage", "Scala")])
+    with open(os.path.join(landing, "p1.json"), "w") as f:
+        f.write(_page("u/a", 0, [("Scala", "scala again"), ("x", "Scala")]) + "\n")
+    q = start_entity_counts_to_path(entity_count_stream(read_landed_stream(spark, landing), subs, d), out, ckpt + "/q")
+    try:
+        q.processAllAvailable()
+        assert [tuple(r) for r in spark.read.parquet(out).collect()] == [("ProgrammingLanguage", "Scala", 2)]
+    finally:
+        q.stop()
