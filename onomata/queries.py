@@ -145,6 +145,12 @@ def q_entity_counts_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counts(spark, sf_dir, strategy="shuffle")
 
 
+def q_entity_counts_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = spark.createDataFrame([(t, n) for t, n in S.PROBE_DICTIONARY], "declared_type string, value string")
+    dictionary = typed_dictionary(lines, "declared_type", dedupe=True)
+    return Detection(dictionary).counts(_kept_posts(spark, sf_dir))
+
+
 def q_entity_type_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by_type(_counts(spark, sf_dir))
 
@@ -222,6 +228,7 @@ QUERIES: dict[str, QueryFn] = {
     "entity_mentions_shuffle": q_entity_mentions_shuffle,
     "entity_counts": q_entity_counts,
     "entity_counts_shuffle": q_entity_counts_shuffle,
+    "entity_counts_dedupe": q_entity_counts_dedupe,
     "entity_type_stats": q_entity_type_stats,
     "entity_top_10": q_entity_top_10,
     "entity_top_2": q_entity_top_2,
@@ -540,6 +547,13 @@ SELECT term AS token, count(*) AS n_posts FROM terms WHERE term <> '' GROUP BY t
         "entity_mentions_shuffle": mentions,
         "entity_counts": f"{counts} SELECT entity_type, entity_name, n FROM counts",
         "entity_counts_shuffle": f"{counts} SELECT entity_type, entity_name, n FROM counts",
+        "entity_counts_dedupe": f"""WITH {POSTS},
+kept AS (SELECT * FROM posts WHERE {KEEP_BLANK}),
+{_dict_cte(S.PROBE_DICTIONARY)},
+ddict AS (SELECT DISTINCT entity_type, entity_name FROM dict),
+terms AS ({_token_terms('kept')})
+SELECT entity_type, entity_name, count(*) AS n FROM terms JOIN ddict ON term = lower(entity_name)
+GROUP BY entity_type, entity_name""",
         "entity_type_stats": _type_stats_sql(),
         "entity_top_10": _rank_sql(10, counts),
         "entity_top_2": _rank_sql(2, counts),
