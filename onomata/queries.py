@@ -102,6 +102,10 @@ def q_avg_post_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return post_length_stats(S.documents_posts(spark, sf_dir), "blank")
 
 
+def q_avg_post_chars_utf16(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return post_length_stats(S.documents_posts(spark, sf_dir), "blank", utf16=True)
+
+
 def _document_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = S.document_dictionary_lines(read_table(spark, sf_dir, "documents"))
     return typed_dictionary(lines, "declared_type")
@@ -221,6 +225,7 @@ QUERIES: dict[str, QueryFn] = {
     "posts_filter_empty": q_posts_filter_empty,
     "posts_filter_blank": q_posts_filter_blank,
     "avg_post_chars": q_avg_post_chars,
+    "avg_post_chars_utf16": q_avg_post_chars_utf16,
     "dictionary_clean": q_dictionary_clean,
     "dictionary_union": q_dictionary_union,
     "post_tokens": q_post_tokens,
@@ -269,6 +274,11 @@ POSTS = r"""posts AS (
   FROM documents)"""
 
 KEEP_EMPTY = "title <> '' AND selftext <> ''"
+# characters outside the BMP take two UTF-16 units
+_ASTRAL = (
+    r"length(regexp_replace(title, '[^\x{10000}-\x{10FFFF}]', '', 'g'))"
+    r" + length(regexp_replace(selftext, '[^\x{10000}-\x{10FFFF}]', '', 'g'))"
+)
 KEEP_BLANK = f"title <> '' AND selftext <> '' AND regexp_matches(selftext, {NOT_BLANK})"
 
 
@@ -530,6 +540,16 @@ SELECT CAST(posts AS BIGINT) AS posts, CAST(posts_kept AS BIGINT) AS posts_kept,
        CASE WHEN posts_kept > 0 THEN CAST(total_chars AS DOUBLE) / posts_kept ELSE 0.0 END AS avg_chars,
        CAST(trunc(CASE WHEN posts_kept > 0 THEN CAST(total_chars AS DOUBLE) / posts_kept ELSE 0.0 END) AS BIGINT)
          AS avg_chars_int
+FROM a""",
+        "avg_post_chars_utf16": f"""WITH {POSTS},
+a AS (SELECT count(*) AS posts, count(*) FILTER (WHERE {KEEP_BLANK}) AS posts_kept,
+             coalesce(sum(length(title) + length(selftext) + {_ASTRAL}) FILTER (WHERE {KEEP_BLANK}), 0) AS total_chars
+      FROM posts)
+SELECT CAST(posts AS BIGINT) AS posts, CAST(posts_kept AS BIGINT) AS posts_kept,
+       CAST(total_chars AS BIGINT) AS total_chars,
+       CASE WHEN posts_kept > 0 THEN CAST(total_chars AS DOUBLE) / posts_kept ELSE 0.0 END AS avg_chars,
+       CAST(trunc(CASE WHEN posts_kept > 0 THEN CAST(total_chars AS DOUBLE) / posts_kept ELSE 0.0 END) AS BIGINT)
+         AS avg_chars_int
 FROM a""",
         "dictionary_clean": f"WITH {_DOC_DICT} {_DOC_DICT_CLEAN}",
         "dictionary_union": f"""WITH {_DOC_DICT},
