@@ -167,6 +167,10 @@ def q_entity_top_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_entities(_counts(spark, sf_dir), 2)
 
 
+def q_entity_top_10_empty_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_entities(_counts(spark, sf_dir, mode="empty"), 10)
+
+
 def q_entity_top_10_unfiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_entities(_counts(spark, sf_dir, mode=None), 10)
 
@@ -238,6 +242,7 @@ QUERIES: dict[str, QueryFn] = {
     "entity_top_10": q_entity_top_10,
     "entity_top_2": q_entity_top_2,
     "entity_top_10_unfiltered": q_entity_top_10_unfiltered,
+    "entity_top_10_empty_filter": q_entity_top_10_empty_filter,
     "processing_stats": q_processing_stats,
     "describe_entities": q_describe_entities,
     "entity_report": q_entity_report,
@@ -578,6 +583,7 @@ GROUP BY entity_type, entity_name""",
         "entity_top_10": _rank_sql(10, counts),
         "entity_top_2": _rank_sql(2, counts),
         "entity_top_10_unfiltered": _rank_sql(10, _counts_sql(None)),
+        "entity_top_10_empty_filter": _rank_sql(10, _counts_sql(KEEP_EMPTY)),
         "processing_stats": _STATS_SQL,
         "describe_entities": f"""{counts}
 SELECT entity_type, entity_name, '[' || entity_type || '] ' || entity_name AS description, n FROM counts""",
