@@ -201,6 +201,11 @@ def q_entity_phrase_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Detection(dictionary, "phrase").counts(_kept_posts(spark, sf_dir))
 
 
+def q_entity_phrase_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dictionary = dictionary_from_rows(spark, S.PHRASE_DICTIONARY)
+    return Detection(dictionary, "phrase").mentions(_kept_posts(spark, sf_dir))
+
+
 def q_entity_top_10_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = filter_posts(posts_from_conversations(read_table(spark, sf_dir, "conversations")), "blank")
     return rank_entities(Detection(_probe(spark)).counts(posts), 10)
@@ -249,6 +254,7 @@ QUERIES: dict[str, QueryFn] = {
     "type_report": q_type_report,
     "processing_report": q_processing_report,
     "entity_phrase_counts": q_entity_phrase_counts,
+    "entity_phrase_mentions": q_entity_phrase_mentions,
     "entity_top_10_conversations": q_entity_top_10_conversations,
     "entity_counts_pages": q_entity_counts_pages,
     "diagnostics": q_diagnostics,
@@ -430,7 +436,7 @@ def _phrase_words(expr: str) -> str:
     )
 
 
-def _phrase_sql() -> str:
+def _phrase_sql(per_post: bool = False) -> str:
     max_words = max(len(n.split()) for _, n in S.PHRASE_DICTIONARY)
     grams = ", ".join(
         f"list_transform(range(1, len(words) - {n - 1} + 1), lambda i: array_to_string(words[i:i + {n - 1}], ' '))"
@@ -441,10 +447,10 @@ kept AS (SELECT * FROM posts WHERE {KEEP_BLANK}),
 {_dict_cte(S.PHRASE_DICTIONARY)},
 keyed AS (SELECT entity_type, entity_name, array_to_string({_phrase_words('entity_name')}, ' ') AS match_key FROM dict),
 w AS (SELECT post_id, {_phrase_words("concat(title, ' ', selftext)")} AS words FROM kept),
-terms AS (SELECT post_id, unnest(list_distinct(flatten([{grams}]))) AS term FROM w)
-SELECT entity_type, entity_name, count(*) AS n
-FROM terms JOIN keyed ON term = match_key WHERE match_key <> ''
-GROUP BY entity_type, entity_name"""
+terms AS (SELECT post_id, unnest(list_distinct(flatten([{grams}]))) AS term FROM w),
+matched AS (SELECT post_id, entity_type, entity_name FROM terms JOIN keyed ON term = match_key WHERE match_key <> '')
+""" + ("SELECT post_id, entity_type, entity_name FROM matched" if per_post else
+       "SELECT entity_type, entity_name, count(*) AS n FROM matched GROUP BY entity_type, entity_name")
 
 
 def _processing_report_sql() -> str:
@@ -591,6 +597,7 @@ SELECT entity_type, entity_name, '[' || entity_type || '] ' || entity_name AS de
         "type_report": _type_report_sql(),
         "processing_report": _processing_report_sql(),
         "entity_phrase_counts": _phrase_sql(),
+        "entity_phrase_mentions": _phrase_sql(per_post=True),
         "entity_top_10_conversations": _rank_sql(10, conv_counts),
         "entity_counts_pages": f"""WITH pg AS (SELECT page_id, url AS title, html AS selftext FROM pages),
 {_dict_cte(S.PROBE_DICTIONARY)},
