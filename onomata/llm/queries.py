@@ -8,18 +8,33 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontam import contamination_report
+from .langid import language_report
+from .mixing import mixing_report
 from .quality import quality_rules
+from .sharding import sharding_report
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_report(table(spark, sf_dir, "documents"))
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding_report(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return report.drop("longest_match")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_report(table(spark, sf_dir, "documents"))
+
+
 #: One statement over the tables of the given names, registered as views.
 OP5_SQL = r"""
 WITH w AS (
@@ -46,9 +61,41 @@ FROM w LEFT JOIN places ON places.doc_id = w.id LEFT JOIN found ON found.doc_id
 """
 
 
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5(concat_ws('|', CAST(doc_id AS VARCHAR), source, text)) AS key FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) AS rank FROM d GROUP BY source
+), w AS (
+  SELECT *, CASE (rank - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s
+), l AS (
+  SELECT *, row_number() OVER o AS place,
+         (CAST(sum(source_size) OVER () AS DOUBLE) * CAST(1.5 AS DOUBLE) - CAST(coalesce(sum(2 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE))
+         / CAST(sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
+  FROM w WINDOW o AS (ORDER BY CAST(2 * source_size AS DOUBLE) / weight, rank)
+), f AS (
+  SELECT level FROM l WHERE level <= CAST(2 * source_size AS DOUBLE) / weight ORDER BY place LIMIT 1
+), t AS (
+  SELECT l.source, source_size, rank, least(CAST(2 * source_size AS DOUBLE), weight * f.level) AS target FROM l, f
+), timed AS (
+  SELECT d.doc_id, d.size, d.key, t.source_size, t.rank, t.target,
+         CAST(sum(size) OVER (PARTITION BY d.source ORDER BY key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS done
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), copies AS (
+  SELECT *, CAST(done + copy * source_size AS DOUBLE) / target AS time FROM timed, (SELECT unnest([0, 1]) AS copy) WHERE size > 0 AND target > 0
+), ended AS (
+  SELECT *, sum(size) OVER (ORDER BY time, rank, key, copy RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ends FROM copies
+), taken AS (
+  SELECT key, count(DISTINCT copy) AS n FROM ended WHERE ends <= (SELECT CAST(sum(size) AS DOUBLE) * CAST(1.5 AS DOUBLE) FROM d) GROUP BY key
+)
+SELECT doc_id, size, source_size, target, CAST(coalesce(n, 0) * size AS BIGINT) AS taken FROM timed LEFT JOIN taken USING (key)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontamination": OP5_SQL}
+    return {"op2_mixing": OP2_SQL, "op5_decontamination": OP5_SQL}
