@@ -10,6 +10,8 @@ from .common import table
 from .decontam import contamination_report
 from .langid import language_report
 from .mixing import mixing_report
+from .neighbours import classifier_report
+from .pii import personal_data_report
 from .quality import quality_rules
 from .sharding import sharding_report
 
@@ -31,6 +33,14 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.drop("longest_match")
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_report(table(spark, sf_dir, "documents"))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(table(spark, sf_dir, "documents"))
 
