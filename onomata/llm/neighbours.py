@@ -10,6 +10,7 @@ vote with weights by similarity.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,10 +22,9 @@ from pyspark.sql import types as T
 from .common import fresh, held_out, learns, slices, text_bytes, with_columns
 from .words import SPACED, per_text, run_hashes, runs, windows
 
-#: Bound of the labelled sample, half of it for each label; bytes of each text that go to the driver are not cut, the
-#: hashed features are (they are FEATURES wide).
-SAMPLE = 3000
-FEATURE_BITS, RANK, NEIGHBOURS = 14, 48, 15
+#: Bound of the labelled sample, half of it for each label. Only the hashed features of its texts go to the driver.
+SAMPLE = 2400
+FEATURE_BITS, RANK, NEIGHBOURS = 13, 48, 15
 #: Votes count similarity to this power.
 SHARPNESS = 4
 THRESHOLD = 0.7
@@ -120,18 +120,15 @@ class Space:
         return np.clip(out, 0, 1)
 
 
-def fit(texts: list[str], labels: list[int], prior: float, seed: int = 5) -> Space:
-    """Weights and latent axes from the labelled texts (randomised truncated decomposition), and their vectors."""
-    both = pa.array(texts, pa.large_string())
-    row, column, value = features(both)
-    n = len(texts)
+def fit(row: np.ndarray, column: np.ndarray, value: np.ndarray, labels: list[int], prior: float, seed: int = 5) -> Space:
+    """Weights and latent axes from the labelled texts' features (randomised truncated decomposition), and their
+    vectors."""
+    n = len(labels)
     there = np.bincount(column, minlength=FEATURES)
     weight = np.log((1 + n) / (1 + there)).astype(np.float32) + 0.1
     weight[FEATURES - _STYLES :] = 1.0
     value = value * weight[column]
     value /= np.sqrt(np.maximum(np.bincount(row, value.astype(np.float64) ** 2, n), 1e-9))[row].astype(np.float32)
-    order = np.argsort(row, kind="stable")
-    row, column, value = row[order], column[order], value[order]
     dense = np.zeros((n, FEATURES), np.float32)
     dense[row, column] = value
     rng = np.random.Generator(np.random.PCG64(seed))
@@ -143,7 +140,8 @@ def fit(texts: list[str], labels: list[int], prior: float, seed: int = 5) -> Spa
     some, _ = np.linalg.qr(some)
     _, _, axes = np.linalg.svd(some.T @ dense, full_matrices=False)
     space = Space(weight, np.ascontiguousarray(axes[:rank].T, np.float32))
-    space.vectors = np.concatenate([space.place(both.slice(a, 256)) for a in range(0, n, 256)])
+    vectors = dense @ space.axes
+    space.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     space.labels, space.prior = np.array(labels, np.float32), prior
     return space
 
@@ -159,14 +157,31 @@ def learn(docs: DataFrame, labels: DataFrame) -> Space:
         part = known.where(F.col("quality") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE // 2)
         picked = part if picked is None else picked.union(part)
     # At most SAMPLE ids are broadcast.
-    rows = docs.where(F.col("text").isNotNull()).join(F.broadcast(picked), "doc_id").select("text", "quality").orderBy("quality", F.xxhash64("text"), "text").limit(SAMPLE).toLocalIterator()
-    texts, quality = [], []
-    for text, label in rows:
-        texts.append(text)
-        quality.append(label)
-    if not texts:
+    chosen = docs.where(F.col("text").isNotNull()).join(F.broadcast(picked), "doc_id").select("text", "quality")
+    sparse = chosen.mapInArrow(_sparse, "quality int, h bigint, columns array<int>, values array<float>")
+    quality, rows, columns, values = [], [], [], []
+    for r in sparse.orderBy("quality", "h").limit(SAMPLE).toLocalIterator():
+        rows.append(np.full(len(r["columns"]), len(quality)))
+        columns.append(np.array(r["columns"], np.int64))
+        values.append(np.array(r["values"], np.float32))
+        quality.append(r["quality"])
+    if not quality:
         return Space(np.ones(FEATURES, np.float32), np.zeros((FEATURES, 1), np.float32))
-    return fit(texts, quality, prior)
+    return fit(np.concatenate(rows), np.concatenate(columns), np.concatenate(values), quality, prior)
+
+
+def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Label, an order by the text's bytes, and the features of each text."""
+    for batch in slices(batches):
+        texts = batch.column("text")
+        row, column, value = features(texts)
+        order = np.lexsort((column, row))
+        row, column, value = row[order], column[order], value[order]
+        cut = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
+        data, at = text_bytes(texts)
+        h = [zlib.crc32(data[at[k] : at[k + 1]].tobytes()) for k in range(batch.num_rows)]
+        lists = [pa.ListArray.from_arrays(cut, pa.array(column.astype(np.int32))), pa.ListArray.from_arrays(cut, pa.array(value))]
+        yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(h, pa.int64()), *lists], names=["quality", "h", "columns", "values"])
 
 
 def classify(docs: DataFrame, space: Space, threshold: float = THRESHOLD) -> DataFrame:

@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat import conversation_report, with_probe
 from .common import table
 from .decontam import contamination_report
+from .jaccard import near_duplicates
 from .langid import language_report
+from .lines import line_report
 from .mixing import mixing_report
 from .neighbours import classifier_report
 from .pii import personal_data_report
@@ -28,11 +31,19 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding_report(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return report.drop("longest_match")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data_report(table(spark, sf_dir, "documents"))
 
@@ -41,6 +52,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_report(with_probe(table(spark, sf_dir, "conversations")))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(table(spark, sf_dir, "documents"))
 
@@ -103,9 +118,26 @@ SELECT doc_id, size, source_size, target, CAST(coalesce(n, 0) * size AS BIGINT)
 """
 
 
+OP9_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), e AS (
+  SELECT *, length(role) + length(text) + len(regexp_extract_all(role || chr(10) || text, '\\|<\||</s>|<s>|\[/INST\]|\[INST\]|<</SYS>>|<<SYS>>')) AS chars FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars + 25) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": OP2_SQL, "op5_decontamination": OP5_SQL}
+    return {"op2_mixing": OP2_SQL, "op5_decontamination": OP5_SQL, "op9_chat_formatting": OP9_SQL}
