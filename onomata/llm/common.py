@@ -21,13 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with files in the shared folder that the cluster names in
-    ``spark.checkpoint.dir``; only a session without that setting gets a folder of its own."""
-    spark = df.sparkSession
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``; only a session without that setting gets
+    one of its own."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="llm-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage with files in the shared checkpoint folder, which outlive lost executors."""
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 

@@ -31,11 +31,13 @@ from .words import SPACED, mix, run_hashes, runs, windows
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Minhashes of a signature; members that are compared by brute force; splits of a path at most.
-PLACES, SMALL, DEPTH = 64, 256, 6
+PLACES, SMALL, DEPTH = 64, 2048, 4
 #: Share of places that must agree for a candidate: five standard deviations below the threshold.
 AGREE = 0.55
 #: Probability with which a pair at the threshold meets in some run, for paths of up to EXPECTED_DEPTH splits.
 RECALL, EXPECTED_DEPTH = 0.999, 3
+#: Runs of the first round. In the second, nodes whose members are all connected already need no comparison.
+FIRST_RUNS = 2
 #: Classes of a block in the exact comparison.
 BLOCK = 128
 
@@ -134,8 +136,8 @@ def _children(path: np.ndarray, place: np.ndarray, value: np.ndarray) -> np.ndar
     return mix(mix(path + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) + value.astype(np.uint64))
 
 
-def _split(batches: Iterator[pa.RecordBatch], similarity: float, runs_: int) -> Iterator[pa.RecordBatch]:
-    """Rows (path, class) of the next level: all runs' roots where rows have no path yet."""
+def _split(batches: Iterator[pa.RecordBatch], similarity: float, some_runs: range) -> Iterator[pa.RecordBatch]:
+    """Rows (path, label, class) of the next level; the first one of the given runs where rows have no path yet."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -145,14 +147,15 @@ def _split(batches: Iterator[pa.RecordBatch], similarity: float, runs_: int) ->
             row, place = np.nonzero(_picked(path, similarity))
             path = path[row]
         else:
-            roots = mix(np.arange(1, runs_ + 1, dtype=np.uint64))
+            roots = mix(np.array(some_runs, np.uint64) + np.uint64(1))
             root, place = np.nonzero(_picked(roots, similarity))
             row = np.repeat(np.arange(batch.num_rows), len(root))
             path, place = np.tile(roots[root], batch.num_rows), np.tile(place, batch.num_rows)
         child = _children(path, place, sig[row, place])
         for a in range(0, len(row), 1 << 16):
             some = slice(a, a + (1 << 16))
-            yield pa.RecordBatch.from_arrays([pa.array(child[some].view(np.int64)), batch.column("class").take(pa.array(row[some]))], names=["path", "class"])
+            here = pa.array(row[some])
+            yield pa.RecordBatch.from_arrays([pa.array(child[some].view(np.int64)), batch.column("label").take(here), batch.column("class").take(here)], names=["path", "label", "class"])
 
 
 def _connect(similar, n: int) -> np.ndarray:
@@ -191,14 +194,14 @@ def _brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], names=["u", "v"])
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, root) for all nodes of edges (u, v) that are not the lowest of their component.
 
     Alternates two steps until nothing changes: every node hands its larger neighbours, then its smaller ones, to the
-    lowest it knows. Neighbourhoods are only aggregated, never gathered.
+    lowest it knows. Neighbourhoods are only aggregated, never gathered. After a given number of rounds the roots may
+    not be the last ones yet, but lie in the component, and every node has one at least.
     """
-    oriented = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    now, state = checkpoint(oriented), None
+    now, state, done = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), None, 0
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("low"))
@@ -206,39 +209,45 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("low"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).where("u <> v").union(low.select("u", F.col("low").alias("v"))).distinct()
         now = checkpoint(small)
+        done += 1
+        if rounds and done == rounds:
+            return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
+        if rounds:
+            continue
         before, state = state, now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
+        if state == before or not state[0]:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def _buckets(classes: DataFrame, similarity: float) -> DataFrame:
-    """Distinct buckets (as ids) with their members (class, sig): the small nodes of all runs, and blocks against
-    blocks of those that stay large to the end."""
-    n_runs = run_count(similarity)
-    kind = "path bigint, class binary"
-    level = classes.where("n > 0").select("class", "sig").mapInArrow(lambda b: _split(b, similarity, n_runs), kind)
+def _candidates(classes: DataFrame, similarity: float, some_runs: range) -> DataFrame:
+    """Edges (u, v) of the candidates' graph that the given runs find, at least as many as connect what is connected.
+
+    ``classes`` has class, sig and label; classes of one label are known to be connected. Small nodes are compared by
+    brute force; those that stay large to the end are cut into blocks, and every two blocks are compared.
+    """
+    kind = "path bigint, label bigint, class binary"
+    sig = classes.select("class", "sig")
+    level = classes.select("class", "sig", "label").mapInArrow(lambda b: _split(b, similarity, some_runs), kind)
     found = None
     for depth in range(1, DEPTH + 1):
-        sizes = level.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        sized = level.join(sizes, "path")
+        sizes = level.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        sized = checkpoint(level.join(sizes.select("path", "size"), "path"))
         small = sized.where(F.col("size") <= SMALL).groupBy("path").agg(F.array_sort(F.collect_list("class")).alias("all")).select("all").distinct()
         small = small.select(F.xxhash64("all", F.lit(0)).alias("bucket"), F.explode("all").alias("class"))
-        large = checkpoint(sized.where(F.col("size") > SMALL))
+        found = small if found is None else found.union(small)
+        large = sized.where(F.col("size") > SMALL)
         if large.isEmpty():
-            found = small if found is None else found.union(small)
             break
         if depth == DEPTH:
             # Still together after all splits: blocks by a hash of the class, every two of them one bucket.
             blocks = F.ceil(F.col("size") / (SMALL // 2)).cast("int")
             own = F.pmod(F.xxhash64("class"), blocks).cast("int")
             pairs = large.select("path", "class", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-            rest = pairs.select(F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("bucket"), "class").distinct()
-            small = small.union(rest)
+            found = found.union(pairs.select(F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("bucket"), "class"))
         else:
-            level = large.select("path", "class").join(classes.select("class", "sig"), "class").mapInArrow(lambda b: _split(b, similarity, 0), kind)
-        found = small if found is None else found.union(small)
-    with_sig = found.join(classes.select("class", "sig"), "class")
-    return with_sig.groupBy("bucket").agg(F.collect_list(F.struct("class", "sig")).alias("members"))
+            level = large.select("path", "label", "class").join(sig, "class").mapInArrow(lambda b: _split(b, similarity, range(0)), kind)
+    members = found.join(sig, "class").groupBy("bucket").agg(F.collect_list(F.struct("class", "sig")).alias("members"))
+    return checkpoint(members.select("members").mapInArrow(_brute, "u binary, v binary"))
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,8 +323,11 @@ def join_near(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFram
     texts = described.groupBy("class", "text_key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sig").alias("sig"))
     classes = checkpoint(texts.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("texts"), F.first("n").alias("n"), F.first("sig").alias("sig")))
 
-    candidates = _buckets(classes, similarity).mapInArrow(_brute, "u binary, v binary")
-    linked = components(candidates)
+    worded = classes.where("n > 0").select("class", "sig", F.xxhash64("class").alias("label"))
+    edges = _candidates(worded, similarity, range(FIRST_RUNS))
+    known = components(edges, rounds=2).select(F.col("node").alias("class"), F.xxhash64("root").alias("known"))
+    labelled = worded.join(known, "class", "left").select("class", "sig", F.coalesce("known", "label").alias("label"))
+    linked = components(edges.union(_candidates(labelled, similarity, range(FIRST_RUNS, run_count(similarity)))))
     members = linked.union(linked.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "class")
     sizes = linked.groupBy("root").agg((F.count(F.lit(1)) + 1).alias("size"))
     wanted = members.join(sizes, "root").join(classes.select("class", "doc_id", "texts"), "class")

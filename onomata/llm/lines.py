@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpoint, fresh, slices, text_bytes, with_columns
+from .common import checkpoint, fresh, slices, text_bytes
 from .words import LINED, SPACED, mix, run_hashes, runs
 
 #: Leading tokens that lead to a leaf; share of places in which a line must agree with a template.
@@ -146,6 +146,7 @@ def recurring_shapes(docs: DataFrame, lines: DataFrame, documents: int = DOCUMEN
     rows = spelled.join(open_, ["leaf", "shape"]).groupBy("leaf", "shape", "parts", "n").agg(F.first("tokens").alias("tokens"))
     constant = F.expr("cast(repeat(decode(unhex('01'), 'UTF-8'), cast(length(tokens) / 4 as int)) as binary)")
     rows = rows.select("leaf", F.pmod(F.xxhash64("shape"), F.col("parts")).alias("part"), F.col("shape").alias("id"), "tokens", constant.alias("constant"), "n", "parts")
+    rows = checkpoint(rows)
     small = _gathered(rows.where("parts = 1")).where(F.col("n") >= documents).select(F.explode("ids").alias("shape"))
 
     # Large leaves: each part's templates of several lines, and its most frequent others, meet in a second round.
@@ -201,4 +202,5 @@ def drop_lines(docs: DataFrame, documents: int = DOCUMENTS) -> DataFrame:
     found = dropped_lines(docs, documents).where(F.size("dropped") > 0).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("dropped").alias(dropped))
     keyed = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
     both = keyed.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col(key) == F.col("__key")), "left").select(*(F.col(f"`{c}`") for c in docs.columns), dropped)
-    return both.mapInArrow(lambda b: _without(b, dropped, docs.columns), T.StructType(docs.schema.fields))
+    columns = docs.columns
+    return both.mapInArrow(lambda b: _without(b, dropped, columns), T.StructType(docs.schema.fields))
