@@ -60,7 +60,7 @@ MSG_SKIPPED_SUBSCRIPTION = "Skipping malformed subscription (missing 'name' or '
 MSG_INVALID_JSON = "Could not load subscriptions - invalid JSON format"
 MSG_FILE_NOT_FOUND = "Could not load %s - file not found"
 MSG_FETCH_FAILED = "Failed to download from '%s' (%s)"
-MSG_PARSE_FAILED = "Failed to parse JSON from '%s'"
+MSG_PARSE_FAILED = "Failed to parse posts from '%s' (%s)"
 MSG_DICT_MISSING = "Could not load %s"
 MSG_NO_SUBSCRIPTIONS = "No valid subscriptions found"
 MSG_NO_POSTS = "No valid posts downloaded after filtering"
@@ -71,6 +71,7 @@ FEED_STATUSES = (
     "FETCH_FAILED",
     "BAD_JSON",
     "NO_CHILDREN",
+    "TOO_LARGE",
     "MISSING_FIELD",
     "BAD_FIELD",
     "EMPTY",

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 # Java regex classes. ``\s`` in Java is ASCII whitespace only
 # ([ \t\n\x0B\f\r]); NBSP is not a separator.
 WHITESPACE_RUN = r"\s+"
-# Java ``String.trim`` strips every char <= U+0020 at both ends.
-_JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
+# Java ``String.trim`` strips every char <= U+0020 at both ends. ``\z`` is the very end: ``$`` also matches before a
+# final line terminator such as U+0085 or U+2028.
+_JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+\z"
 # Any char above U+0020: the string is not blank after Java trim.
 _NOT_BLANK = r"[^\x00-\x20]"
 # ASCII punctuation except '+' and '#', which belong to names like C++ / C#.
-_EDGE_PUNCT = r"^[\p{Punct}&&[^+#]]+|[\p{Punct}&&[^+#]]+$"
+_EDGE_PUNCT = r"^[\p{Punct}&&[^+#]]+|[\p{Punct}&&[^+#]]+\z"
 
 
 def _col(c: str | Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..constants import ENTITY_TYPES, TOTAL_LABEL
+from ..constants import ENTITY_TYPES, PARENT_TYPE, TOTAL_LABEL
 
 
 def entity_type_dimension(spark: SparkSession) -> DataFrame:
@@ -54,3 +54,9 @@ def rank_entities(counts: DataFrame, k: int = 10) -> DataFrame:
         raise ValueError("k must be a positive integer")
     top = counts.select("entity_type", "entity_name", "n").orderBy(*_rank_order()).limit(k)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(*_rank_order())))
+
+
+def with_parent_type(type_stats: DataFrame) -> DataFrame:
+    """Type statistics with ``parent_type`` (null for types without one, and for the total); nothing is rolled up."""
+    pairs = [x for t, p in PARENT_TYPE.items() if p for x in (F.lit(t), F.lit(p))]
+    return type_stats.withColumn("parent_type", F.create_map(*pairs)[F.col("entity_type")])

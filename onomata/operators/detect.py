@@ -6,26 +6,25 @@ frequency), and a name listed twice matches twice.
 
 ``match="token"``: terms are lower-cased whitespace tokens; punctuation stays
 on the token and a name with a space never matches.
-``match="phrase"``: terms are runs of 1..N words with edge punctuation removed
-(except ``+`` and ``#``), N = the longest dictionary name in words.
+``match="phrase"``: terms are runs of words with edge punctuation removed
+(except ``+`` and ``#``), of the lengths that occur in the dictionary.
 
 Join plan. The dictionary is measured first (one small aggregate). Within the
 broadcast bound it is broadcast and each task probes its own posts: no
 shuffle of posts, and only matched rows reach the aggregation. Past the bound
-the join shuffles on the term. Frequent words ("the") would then send a large
-share of all rows to one reducer, so:
+the join shuffles on the term:
 
+* a dictionary of few keys filters the terms in-row before anything else, so
+  only matching rows are exploded and shuffled, whatever the join;
 * counts are pre-aggregated per term before the exchange: a hot term arrives
   as one row per map task instead of one per post;
-* per-post mentions salt the hot terms: terms that hold a large share of a
-  bounded sample of the posts are spread over ``salt_buckets`` partitions by a
-  hash of the post id, and only their dictionary rows are replicated once per
-  bucket. The sample only chooses the plan; every row is still joined exactly.
+* per-post mentions need every post's row. Both sides are plain shuffle
+  inputs, so adaptive execution splits the partitions of frequent words, from
+  the sizes it measures over all rows.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -43,11 +42,6 @@ from ..plans.strategy import (
 
 MATCH_MODES = ("token", "phrase")
 
-# Skew handling for the shuffled mention join: hot terms are found in the first
-# HOT_SAMPLE_TERMS term rows (a terminal limit reads only the splits it needs).
-HOT_SAMPLE_TERMS = 200_000
-HOT_MAX_TERMS = 1000
-
 
 def key_dictionary(dictionary: DataFrame, match: str = "token") -> DataFrame:
     """``(entity_type, entity_name, match_key)``; names with an empty key are dropped."""
@@ -70,14 +64,19 @@ def post_terms(
 ) -> DataFrame:
     """``(id_cols..., term)``: each distinct term of each post once.
 
-    In phrase mode a ``profile`` of the dictionary limits the phrases built to
-    the lengths and start words that can match; without it every phrase of
-    1..max_words words is built. With ``keys`` (a small dictionary's key list)
-    only terms among the keys are emitted, so the join sees matches only.
+    The empty token of a text with blanks at its ends is no term: no name has
+    an empty key. In phrase mode a ``profile`` of the dictionary limits the
+    phrases built to the lengths and start words that can match; without it
+    every phrase of 1..max_words words is built. With ``keys`` (a small
+    dictionary's key list) only terms among the keys are emitted, so the join
+    sees matches only.
     """
     text = combined_text("title", "selftext")
     if match == "token":
-        return posts.select(*id_cols, F.explode(matching_set(word_tokens(text), keys)).alias("term"))
+        tokens = word_tokens(text)
+        if keys is None:
+            tokens = F.array_remove(tokens, "")
+        return posts.select(*id_cols, F.explode(matching_set(tokens, keys)).alias("term"))
     # Materialise the word array once; the n-gram lambdas then slice a column
     # instead of re-splitting the text for every position.
     words = posts.select(*id_cols, phrase_words(text).alias("_words"))
@@ -95,81 +94,34 @@ class Detection:
         self.keyed = key_dictionary(dictionary, match)
         self.shape: DictionaryShape = measure_dictionary(self.keyed)
         self.strategy = choose_join(self.shape, strategy)
-        # Phrase mode with a bounded dictionary: build only phrases that can match.
-        self.profile = (
-            phrase_profile(self.keyed)
-            if match == "phrase" and self.strategy == "broadcast" and self.shape.max_words > 1
-            else None
-        )
-        # A small broadcast dictionary also filters terms in-row before the join.
-        self.keys = literal_keys(self.keyed) if self.strategy == "broadcast" else None
+        # Phrase mode: build only phrases of lengths (and with first words) that can match.
+        self.profile = phrase_profile(self.keyed) if match == "phrase" and self.shape.max_words > 1 else None
+        # A dictionary of few keys also filters terms in-row before the join.
+        self.keys = literal_keys(self.keyed)
 
     @property
     def max_words(self) -> int:
         return self.shape.max_words if self.match == "phrase" else 1
 
+    def terms(self, posts: DataFrame, id_cols: Sequence[str] = ()) -> DataFrame:
+        """``(id_cols..., term)``: the terms that the join gets to see."""
+        return post_terms(posts, id_cols, self.match, self.max_words, self.profile, self.keys)
+
     def mentions(self, posts: DataFrame, id_cols: Sequence[str] = ("post_id",)) -> DataFrame:
         """One row per (post, matching dictionary line): ``(id_cols..., entity_type, entity_name)``."""
-        terms = post_terms(posts, id_cols, self.match, self.max_words, self.profile, self.keys)
-        if self.strategy == "broadcast":
-            joined = terms.join(F.broadcast(self.keyed), F.col("term") == F.col("match_key"), "inner")
-            return joined.select(*id_cols, "entity_type", "entity_name")
-        # Shuffled hash join: hash the dictionary partitions, stream the terms
-        # (no sort of the large side). AQE can still split skewed partitions.
-        hot = self.hot_terms(posts)
-        if not hot or not id_cols:
-            joined = terms.join(self.keyed.hint("shuffle_hash"), F.col("term") == F.col("match_key"), "inner")
-            return joined.select(*id_cols, "entity_type", "entity_name")
-        buckets = salt_buckets(posts)
-        is_hot_term = F.col("term").isin(hot)
-        salted_terms = terms.withColumn(
-            "salt", F.when(is_hot_term, F.pmod(F.xxhash64(*id_cols), F.lit(buckets))).otherwise(F.lit(0))
-        )
-        is_hot_key = F.col("match_key").isin(hot)
-        salted_dict = self.keyed.withColumn(
-            "salt",
-            F.explode(F.when(is_hot_key, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))),
-        ).withColumnRenamed("salt", "key_salt")
-        joined = salted_terms.join(
-            salted_dict.hint("shuffle_hash"),
-            (F.col("term") == F.col("match_key")) & (F.col("salt") == F.col("key_salt")),
-            "inner",
-        )
+        # Past the bound a shuffled hash join: hash the dictionary's partitions,
+        # stream the terms (no sort of the large side).
+        right = F.broadcast(self.keyed) if self.strategy == "broadcast" else self.keyed.hint("shuffle_hash")
+        joined = self.terms(posts, id_cols).join(right, F.col("term") == F.col("match_key"), "inner")
         return joined.select(*id_cols, "entity_type", "entity_name")
 
-    def hot_terms(self, posts: DataFrame, sample_terms: int | None = None) -> list[str]:
-        """Terms that hold a large share of term rows in a bounded sample of the posts.
-
-        The sample is the first ``HOT_SAMPLE_TERMS`` term rows, fetched with a
-        terminal ``limit().collect()``: Spark then scans partitions
-        incrementally (one, then four times as many, ...) and stops once it
-        has enough rows, so the cost does not grow with the input. Only short
-        term strings, at most ``HOT_SAMPLE_TERMS`` of them, reach the driver.
-
-        A term is hot when it holds at least 1/(4 * buckets) of the sampled
-        rows, so at most 4 * buckets terms qualify (capped at ``HOT_MAX_TERMS``).
-        Membership in the dictionary is not required: a frequent term is
-        shuffled whether it matches or not, so salting it spreads that load too.
-        The sample decides the plan, never the result: every row is joined.
-        """
-        n = HOT_SAMPLE_TERMS if sample_terms is None else sample_terms
-        rows = post_terms(posts, (), self.match, self.max_words, self.profile, self.keys).limit(n).collect()
-        if not rows:
-            return []
-        threshold = max(2, len(rows) // (4 * salt_buckets(posts)))
-        freq = Counter(r["term"] for r in rows)
-        hot = [t for t, c in freq.most_common(HOT_MAX_TERMS) if c >= threshold]
-        return sorted(hot)
-
     def counts(self, posts: DataFrame) -> DataFrame:
         """``(entity_type, entity_name, n)``: posts mentioning each name, times its multiplicity."""
         if self.strategy == "broadcast":
             return count_entities(self.mentions(posts, ()))
         # Wide dictionary: document frequency per term first (partial aggregation
         # collapses hot terms map-side), then a vocabulary-sized join.
-        term_df = post_terms(posts, (), self.match, self.max_words, self.profile, self.keys).groupBy("term").agg(
-            F.count(F.lit(1)).alias("df")
-        )
+        term_df = self.terms(posts).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
         lines = self.keyed.groupBy("match_key", "entity_type", "entity_name").agg(F.count(F.lit(1)).alias("mult"))
         joined = term_df.join(lines, F.col("term") == F.col("match_key"), "inner")
         return joined.groupBy("entity_type", "entity_name").agg(
@@ -177,11 +129,6 @@ class Detection:
         )
 
 
-def salt_buckets(df: DataFrame) -> int:
-    """Salt fan-out: the session's shuffle partition count (at least 2)."""
-    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-
-
 def detect_entities(
     posts: DataFrame,
     dictionary: DataFrame,

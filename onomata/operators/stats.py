@@ -1,4 +1,4 @@
-"""Processing statistics in one aggregate pass (no accumulators, no repeated actions)."""
+"""Processing statistics in aggregate passes (no accumulators, no repeated actions)."""
 
 from __future__ import annotations
 
@@ -38,51 +38,66 @@ def post_length_stats(posts: DataFrame, mode: str | None = "blank", utf16: bool
 def processing_stats(
     parsed: DataFrame, subscriptions: DataFrame, mode: str = "blank", utf16: bool = False
 ) -> DataFrame:
-    """One row of run counters from decoded feeds (``sources.feeds.parse_feeds``).
+    """One row of run counters from decoded feeds (``sources.feeds.parse_feeds``); see ``page_stats``."""
+    from ..sources.feeds import page_summary
+
+    return page_stats(page_summary(parsed, mode, utf16), subscriptions)
+
+
+def page_stats(pages: DataFrame, subscriptions: DataFrame) -> DataFrame:
+    """One row of run counters from ``sources.feeds.page_summary``.
 
     ``subscriptions`` are the classified entries (``sub_status`` VALID /
-    SKIPPED / INVALID_JSON). ``feeds_ok``: valid subscriptions with at least
-    one landed page; ``feeds_failed``: those with nothing landed;
-    ``feeds_without_posts``: bodies that failed, did not decode or held no posts
-    (plus failed fetches); ``posts_filtered``: posts dropped by the filter.
-
-    One scan of ``parsed`` (plus the small subscription list) feeds a single
-    global aggregate; every counter is a plain ``count_if``/``sum``, so each
-    task pre-aggregates to one row and no distinct aggregation (which would
-    expand every post row) is needed.
+    SKIPPED / INVALID_JSON). Feeds are counted, not pages: the pages are reduced
+    to one row per subscription first. ``feeds_ok``: valid subscriptions with at
+    least one body; ``feeds_failed``: those without (nothing landed, or null
+    bodies only); ``feeds_without_posts``: those of which no page gave a post,
+    failed ones included; a subscription listed twice counts twice.
+    ``posts_filtered``: posts dropped by the filter.
     """
-    rows = parsed.select(
-        F.lit(None).cast("string").alias("sub_status"), "status", "child_pos", "title", "selftext"
-    ).unionByName(
-        subscriptions.select(
-            "sub_status",
-            F.lit(None).cast("string").alias("status"),
-            F.lit(None).cast("int").alias("child_pos"),
-            F.lit(None).cast("string").alias("title"),
-            F.lit(None).cast("string").alias("selftext"),
-        )
+    zero = F.lit(0).cast("bigint")
+    listed = subscriptions.select(
+        F.when(F.col("sub_status") == "VALID", F.col("name")).alias("name"),
+        F.when(F.col("sub_status") == "VALID", F.col("url")).alias("url"),
+        (F.col("sub_status") == "VALID").cast("bigint").alias("valid"),
+        (F.col("sub_status") != "VALID").cast("bigint").alias("skipped"),
+        F.lit(False).alias("body"),
+        zero.alias("posts"),
+        zero.alias("kept"),
+        zero.alias("chars"),
     )
-    is_post = F.col("child_pos").isNotNull()
-    is_body = F.col("status").isNotNull()
-    keep = is_post & keep_post(mode)
-    agg = rows.agg(
-        F.count_if(F.col("sub_status").isNotNull() & (F.col("sub_status") != "VALID")).alias("subscriptions_skipped"),
-        F.count_if(F.col("sub_status") == "VALID").alias("subscriptions_valid"),
-        F.count_if(F.col("status") == "FETCH_FAILED").alias("feeds_failed"),
-        F.count_if(is_post).alias("posts_ok"),
-        F.count_if(is_body & ~is_post).alias("feeds_without_posts"),
-        F.count_if(keep).alias("posts_kept"),
-        F.coalesce(F.sum(F.when(keep, post_length(utf16=utf16))), F.lit(0)).cast("bigint").alias("total_chars"),
+    fetched = pages.select(
+        "name", "url", zero.alias("valid"), zero.alias("skipped"), (F.col("status") != "FETCH_FAILED").alias("body"), "posts", "kept", "chars"
+    )
+    feeds = listed.unionByName(fetched).groupBy("name", "url").agg(
+        F.sum("valid").alias("valid"),
+        F.sum("skipped").alias("skipped"),
+        F.max("body").alias("body"),
+        *(F.sum(c).alias(c) for c in ("posts", "kept", "chars")),
+    )
+
+    def total(c) -> "F.Column":
+        return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+
+    valid = F.col("valid")
+    agg = feeds.agg(
+        total("skipped").alias("subscriptions_skipped"),
+        total(F.when(F.col("body"), valid)).alias("feeds_ok"),
+        total(F.when(~F.col("body"), valid)).alias("feeds_failed"),
+        total("posts").alias("posts_ok"),
+        total(F.when(F.col("posts") == 0, valid)).alias("feeds_without_posts"),
+        total("kept").alias("posts_kept"),
+        total("chars").alias("total_chars"),
     )
     avg = F.when(F.col("posts_kept") > 0, F.col("total_chars") / F.col("posts_kept")).otherwise(F.lit(0.0))
     return agg.select(
-        F.col("subscriptions_skipped").cast("bigint").alias("subscriptions_skipped"),
-        (F.col("subscriptions_valid") - F.col("feeds_failed")).cast("bigint").alias("feeds_ok"),
-        F.col("feeds_failed").cast("bigint").alias("feeds_failed"),
-        F.col("posts_ok").cast("bigint").alias("posts_ok"),
-        F.col("feeds_without_posts").cast("bigint").alias("feeds_without_posts"),
-        (F.col("posts_ok") - F.col("posts_kept")).cast("bigint").alias("posts_filtered"),
-        F.col("posts_kept").cast("bigint").alias("posts_kept"),
+        "subscriptions_skipped",
+        "feeds_ok",
+        "feeds_failed",
+        "posts_ok",
+        "feeds_without_posts",
+        (F.col("posts_ok") - F.col("posts_kept")).alias("posts_filtered"),
+        "posts_kept",
         avg.alias("avg_chars"),
         avg.cast("bigint").alias("avg_chars_int"),
     )

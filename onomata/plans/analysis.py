@@ -1,11 +1,10 @@
 """End-to-end analysis: subscriptions + landed feeds + dictionaries -> reports.
 
 Each output is its own DataFrame; the caller decides what to run or write.
-Work is shared where it is cheap to keep: the per-name counts (at most one row
-per dictionary line) are cached once and feed both the ranking and the type
-statistics. Decoded posts are never cached: at scale they are the size of the
-input, so the processing statistics and the detection each scan the landed
-bodies once.
+Decoded posts are never cached: at scale they are the size of the input.
+Warnings, guard and statistics come from one summary per page, which the
+branches of a query share; detection is a pass of its own. ``stage_parsed``
+decodes once for all, into a table of the shared folder.
 """
 
 from __future__ import annotations
@@ -20,11 +19,19 @@ from ..operators.aggregate import count_by_type, rank_entities
 from ..operators.detect import Detection
 from ..operators.posts import filter_posts
 from ..operators.report import diagnostics, entity_report, processing_report, type_report
-from ..operators.stats import processing_stats
-from .strategy import stage_table
+from ..operators.stats import page_stats
+from .strategy import remove_table, stage_table
 from ..sources.diagnostics import diagnostics_frame
 from ..sources.dictionary import load_dictionary, path_exists
-from ..sources.feeds import LANDED_SCHEMA, attach_feeds, feed_posts, parse_diagnostics, parse_feeds, read_landed_pages
+from ..sources.feeds import (
+    LANDED_SCHEMA,
+    attach_feeds,
+    feed_posts,
+    page_summary,
+    parse_diagnostics,
+    parse_feeds,
+    read_landed_pages,
+)
 from ..sources.subscriptions import (
     SUBSCRIPTION_SCHEMA,
     classify_subscriptions,
@@ -47,6 +54,7 @@ class Analysis:
     type_report: DataFrame
     processing_report: DataFrame
     diagnostics: DataFrame
+    staged: str | None = None
 
     OUTPUTS = ("counts", "ranking", "type_stats", "stats", "entity_report", "type_report", "processing_report",
                "diagnostics")
@@ -54,15 +62,22 @@ class Analysis:
     def write(self, path: str, mode: str = "overwrite") -> None:
         """Write every result as parquet under ``path/<name>``; each is small except the counts.
 
-        The per-name counts are cached, so the ranking and type statistics do
-        not rescan the posts; the processing statistics make one more pass.
+        The per-name counts are held while the results are written, so the
+        ranking and type statistics do not rescan the posts.
         """
-        for name in self.OUTPUTS:
-            getattr(self, name).write.mode(mode).parquet(f"{path.rstrip('/')}/{name}")
+        self.counts.cache()
+        try:
+            for name in self.OUTPUTS:
+                getattr(self, name).write.mode(mode).parquet(f"{path.rstrip('/')}/{name}")
+        finally:
+            self.counts.unpersist()
 
     def release(self) -> None:
-        """Drop the cached per-name counts once every output has been used."""
+        """Drop what the run holds once every output has been used: cached counts and the staged table."""
         self.counts.unpersist()
+        if self.staged:
+            remove_table(self.counts.sparkSession, self.staged)
+            self.staged = None
 
 
 def zero_guard(counted: DataFrame, column: str, code: str, message: str) -> DataFrame:
@@ -94,26 +109,26 @@ def analyze(
 
     ``stage_parsed=True`` decodes the landed JSON once and writes the decoded
     pages as a parquet table under ``spark.checkpoint.dir``; detection, the
-    statistics and the diagnostics then read that table instead of decoding
-    the bodies three times.
+    statistics and the diagnostics then read that table, until ``release``.
     """
     valid = valid_subscriptions(classified_subscriptions)
-    parsed = parse_feeds(attach_feeds(valid, landed))
+    parsed, staged = parse_feeds(attach_feeds(valid, landed)), None
     if stage_parsed:
-        parsed = stage_table(parsed, "parsed-feeds")
+        parsed, staged = stage_table(parsed, "parsed-feeds")
     posts = filter_posts(feed_posts(parsed), mode)
-    counts = Detection(dictionary, match, strategy).counts(posts).cache()
+    counts = Detection(dictionary, match, strategy).counts(posts)
     ranking = rank_entities(counts, k)
     type_stats = count_by_type(counts)
-    stats = processing_stats(parsed, classified_subscriptions, mode)
+    pages = page_summary(parsed, mode)
+    stats = page_stats(pages, classified_subscriptions)
     parts = [
         subscription_diagnostics(classified_subscriptions),
         zero_guard(
             classified_subscriptions.agg(F.count_if(F.col("sub_status") == "VALID").alias("n_valid")),
             "n_valid", "NO_SUBSCRIPTIONS", MSG_NO_SUBSCRIPTIONS,
         ),
-        parse_diagnostics(parsed),
-        zero_guard(stats, "posts_kept", "NO_POSTS", MSG_NO_POSTS),
+        parse_diagnostics(pages),
+        zero_guard(pages.agg(F.coalesce(F.sum("kept"), F.lit(0)).alias("posts_kept")), "posts_kept", "NO_POSTS", MSG_NO_POSTS),
     ]
     if dictionary_diagnostics is not None:
         parts.append(dictionary_diagnostics)
@@ -129,43 +144,50 @@ def analyze(
         type_report=type_report(type_stats),
         processing_report=processing_report(stats),
         diagnostics=diagnostics(*parts),
+        staged=staged,
     )
 
 
+def _present(spark, paths: str | list[str]) -> tuple[list[str], list[str]]:
+    """Paths and globs that match something, and those that match nothing."""
+    wanted = [paths] if isinstance(paths, str) else list(paths)
+    there = [p for p in wanted if path_exists(spark, p)]
+    return there, [p for p in wanted if p not in there]
+
+
 def analyze_paths(
     spark,
-    subscription_file: str,
+    subscription_file: str | list[str],
     entities_dir: str,
-    landed: str | DataFrame,
+    landed: str | list[str] | DataFrame,
     k: int = DEFAULT_TOP_K,
     mode: str = "blank",
     match: str = "token",
     dedupe: bool = False,
+    strategy: str = "auto",
+    stage_parsed: bool = False,
 ) -> Analysis:
-    """The same run from paths: a subscription JSON file, a dictionary directory
-    and landed pages (a JSON-lines path or a DataFrame ``(url, page, body)``).
+    """The same run from paths: subscription JSON files, a dictionary directory
+    and landed pages (JSON lines, or a DataFrame ``(url, page, body)``). Files may
+    be paths, globs, directories or lists of them.
 
-    A missing subscription file gives an ERROR row and no posts; a missing
-    dictionary directory raises ``ValueError``; a missing dictionary file gives
-    a WARN row.
+    A subscription or landed path that matches nothing gives an ERROR row (the
+    others are still used); a missing dictionary directory raises
+    ``ValueError``; a missing dictionary file gives a WARN row.
     """
     dictionary, dict_diag = load_dictionary(spark, entities_dir, dedupe=dedupe)
-    extra = []
-    if path_exists(spark, subscription_file):
-        classified = classify_subscriptions(read_subscriptions(spark, subscription_file))
-    else:
-        classified = classify_subscriptions(spark.createDataFrame([], SUBSCRIPTION_SCHEMA))
-        extra.append(
-            diagnostics_frame(
-                spark,
-                [("ERROR", "SUBSCRIPTIONS_NOT_FOUND", subscription_file, MSG_FILE_NOT_FOUND % subscription_file)],
-            )
-        )
-    if isinstance(landed, str):
-        pages = read_landed_pages(spark, landed) if path_exists(spark, landed) else spark.createDataFrame([], LANDED_SCHEMA)
-    else:
-        pages = landed
-    result = analyze(classified, pages, dictionary, k, mode, match, dictionary_diagnostics=dict_diag)
-    if extra:
-        result.diagnostics = diagnostics(result.diagnostics, *extra)
+    files, lost = _present(spark, subscription_file)
+    errors = [("ERROR", "SUBSCRIPTIONS_NOT_FOUND", p, MSG_FILE_NOT_FOUND % p) for p in lost]
+    raw = read_subscriptions(spark, files) if files else spark.createDataFrame([], SUBSCRIPTION_SCHEMA)
+    pages = landed
+    if not isinstance(landed, DataFrame):
+        files, lost = _present(spark, landed)
+        errors += [("ERROR", "LANDED_NOT_FOUND", p, MSG_FILE_NOT_FOUND % p) for p in lost]
+        pages = read_landed_pages(spark, files) if files else spark.createDataFrame([], LANDED_SCHEMA)
+    result = analyze(
+        classify_subscriptions(raw), pages, dictionary, k, mode, match, strategy,
+        dictionary_diagnostics=dict_diag, stage_parsed=stage_parsed,
+    )
+    if errors:
+        result.diagnostics = diagnostics(result.diagnostics, diagnostics_frame(spark, errors))
     return result

@@ -1,6 +1,6 @@
 """Physical-strategy choices that Catalyst cannot make on its own.
 
-The only one is whether the dictionary side of entity detection may be
+The main one is whether the dictionary side of entity detection may be
 broadcast. Catalyst's estimate for a file or VALUES source is not a proof of
 size (string widths are guessed, parquet is compressed), so the size is
 measured with one aggregate over the dictionary before the plan is built.
@@ -32,42 +32,6 @@ class DictionaryShape:
         return self.rows <= max_rows and self.text_bytes <= max_bytes
 
 
-# Shapes of dictionaries whose plan reads only driver-side literal rows: the
-# plan itself holds the data, so equal plans have equal shapes.
-_LOCAL_SHAPES: list[tuple[str, DataFrame, object]] = []
-
-
-def _reads_only_literals(df: DataFrame) -> bool:
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    except AttributeError:  # Spark Connect: no JVM handle, just skip the cache
-        return False
-    return all(leaves.apply(i).getClass().getSimpleName() == "LocalRelation" for i in range(leaves.size()))
-
-
-def _cached_local(df: DataFrame, tag: str, compute):
-    """``compute(df)``, remembered for literal-only plans (equal plans, equal data)."""
-    local = _reads_only_literals(df)
-    if local:
-        for cached_tag, cached_df, value in _LOCAL_SHAPES:
-            if cached_tag == tag and cached_df.sparkSession is df.sparkSession and cached_df.sameSemantics(df):
-                return value
-    value = compute(df)
-    if local:
-        _LOCAL_SHAPES.append((tag, df, value))
-        del _LOCAL_SHAPES[:-64]
-    return value
-
-
-def measure_dictionary(keyed: DataFrame, key_col: str = "match_key") -> DictionaryShape:
-    """Exact row count, key+name byte total and longest key (in words), in one job.
-
-    The result for a literal-only dictionary is remembered, keyed by plan
-    equality, so repeated queries with the same inline dictionary skip the job.
-    """
-    return _cached_local(keyed, "shape", lambda df: _measure(df, key_col))
-
-
 # Dictionaries with at most this many distinct keys are also matched with an
 # in-row set intersection against the literal key list before the join.
 LITERAL_KEYS_MAX = 10_000
@@ -75,13 +39,10 @@ LITERAL_KEYS_MAX = 10_000
 
 def literal_keys(keyed: DataFrame, key_col: str = "match_key") -> tuple[str, ...] | None:
     """Sorted distinct keys when there are at most ``LITERAL_KEYS_MAX``; else None."""
-    def compute(df: DataFrame) -> tuple[str, ...] | None:
-        rows = df.select(key_col).distinct().limit(LITERAL_KEYS_MAX + 1).collect()
-        if len(rows) > LITERAL_KEYS_MAX:
-            return None
-        return tuple(sorted(r[0] for r in rows))
-
-    return _cached_local(keyed, "keys", compute)
+    rows = keyed.select(key_col).distinct().limit(LITERAL_KEYS_MAX + 1).collect()
+    if len(rows) > LITERAL_KEYS_MAX:
+        return None
+    return tuple(sorted(r[0] for r in rows))
 
 
 # A phrase profile lists at most this many (length, first word) pairs.
@@ -90,34 +51,26 @@ PHRASE_PROFILE_MAX = 20_000
 
 @dataclass(frozen=True)
 class PhraseProfile:
-    lengths: tuple[int, ...]          # word counts that occur among the keys
-    first_words: tuple[str, ...]      # first words of keys with two or more words
+    lengths: tuple[int, ...]                  # word counts that occur among the keys
+    first_words: tuple[str, ...] | None       # first words of keys with two or more words; None: too many to list
 
 
-def phrase_profile(keyed: DataFrame, key_col: str = "match_key") -> PhraseProfile | None:
-    """Which n-gram lengths and start words can match; None when the profile is too big.
+def phrase_profile(keyed: DataFrame, key_col: str = "match_key") -> PhraseProfile:
+    """Which n-gram lengths and start words can match.
 
-    Only called for a dictionary already proven to fit the broadcast bound.
+    The lengths are always listed (there are no more of them than the longest
+    key has words), so no other phrases are ever built; the first words only up
+    to ``PHRASE_PROFILE_MAX``.
     """
-    def compute(df: DataFrame) -> PhraseProfile | None:
-        n = F.size(F.split(F.col(key_col), " "))
-        pairs = (
-            df.select(n.alias("n"), F.when(n > 1, F.substring_index(F.col(key_col), " ", 1)).alias("w"))
-            .distinct()
-            .limit(PHRASE_PROFILE_MAX + 1)
-            .collect()
-        )
-        if len(pairs) > PHRASE_PROFILE_MAX:
-            return None
-        return PhraseProfile(
-            tuple(sorted({int(r["n"]) for r in pairs})),
-            tuple(sorted({r["w"] for r in pairs if r["w"] is not None})),
-        )
+    n = F.size(F.split(F.col(key_col), " "))
+    lengths = keyed.agg(F.array_sort(F.collect_set(n))).first()[0]
+    first = keyed.where(n > 1).select(F.substring_index(F.col(key_col), " ", 1).alias("w")).distinct()
+    words = [r["w"] for r in first.limit(PHRASE_PROFILE_MAX + 1).collect()]
+    return PhraseProfile(tuple(lengths), tuple(sorted(words)) if len(words) <= PHRASE_PROFILE_MAX else None)
 
-    return _cached_local(keyed, "phrase", compute)
 
-
-def _measure(keyed: DataFrame, key_col: str) -> DictionaryShape:
+def measure_dictionary(keyed: DataFrame, key_col: str = "match_key") -> DictionaryShape:
+    """Exact row count, key+name byte total and longest key (in words), in one job."""
     row = keyed.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(
@@ -150,11 +103,11 @@ def physical_plan(df: DataFrame) -> str:
 
 
 # Spread a scan only when it has fewer input splits than the cluster has cores
-# and its estimated size is at most this much per core. Parquet splits are byte
-# ranges, so a file with few row groups can show several splits of which only
-# one holds rows; the split count alone overstates the parallelism of small
-# inputs. A large table is never reshuffled: its data already spans the cores.
-SPREAD_MAX_BYTES_PER_CORE = 64 * 1024 * 1024
+# and its estimated size is at most this much in all, whatever the cluster.
+# Parquet splits are byte ranges, so a file with few row groups can show several
+# splits of which only one holds rows; the split count alone overstates the
+# parallelism of small inputs. A large table is never reshuffled.
+SPREAD_MAX_BYTES = 1024 * 1024 * 1024
 
 
 def _estimated_bytes(df: DataFrame) -> int | None:
@@ -173,8 +126,8 @@ def spread_scan(df: DataFrame) -> DataFrame:
     splitting, JSON decoding, the broadcast probe) stays in that task. Both
     the split count (file listing) and the size estimate (file sizes) are
     known at planning time, so the check costs no job. Only inputs of at most
-    ``SPREAD_MAX_BYTES_PER_CORE`` per core are shuffled, once; larger tables
-    are left as they are.
+    ``SPREAD_MAX_BYTES`` are shuffled; larger tables are left as they are on
+    any cluster.
     """
     try:
         parallelism = df.sparkSession.sparkContext.defaultParallelism
@@ -182,7 +135,7 @@ def spread_scan(df: DataFrame) -> DataFrame:
     except Exception:  # Spark Connect has no RDD view; leave the scan as it is
         return df
     size = _estimated_bytes(df)
-    if splits < parallelism and size is not None and size <= SPREAD_MAX_BYTES_PER_CORE * parallelism:
+    if splits < parallelism and size is not None and size <= SPREAD_MAX_BYTES:
         return df.repartition(parallelism)
     return df
 
@@ -204,16 +157,23 @@ def shared_dir(spark) -> str:
     return base.rstrip("/")
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as parquet under the shared folder and read it back.
+def stage_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` once as parquet under the shared folder; the table read back, and its path.
 
     Cuts the lineage (a lost executor re-reads the table instead of recomputing
     the plan) and lets several consumers share one computation; the columnar
-    copy is pruned to the columns each consumer reads.
+    copy is pruned to the columns each consumer reads. The caller removes the
+    path with ``remove_table`` when it is done.
     """
     import uuid
 
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def remove_table(spark, path: str) -> None:
+    """Delete a staged table through the file system of its path."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)

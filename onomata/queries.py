@@ -15,18 +15,15 @@ from pyspark.sql import functions as F
 from . import scenario as S
 from .constants import (
     ENTITY_TYPES,
-    MSG_FETCH_FAILED,
-    MSG_INVALID_JSON,
-    MSG_PARSE_FAILED,
-    MSG_SKIPPED_SUBSCRIPTION,
+    PARENT_TYPE,
     TOTAL_LABEL,
 )
 from .functions.text import describe
-from .operators.aggregate import count_by_type, rank_entities
+from .operators.aggregate import count_by_type, rank_entities, with_parent_type
 from .operators.detect import Detection, count_entities, post_terms
 from .operators.posts import filter_posts
 from .operators.report import entity_report, processing_report, type_report
-from .operators.stats import post_length_stats, processing_stats
+from .operators.stats import observe_posts, post_length_stats, processing_stats
 from .plans.analysis import analyze
 from .sources.dictionary import dictionary_from_rows, typed_dictionary
 from .sources.feeds import attach_feeds, feed_posts, feed_status
@@ -225,7 +222,103 @@ def q_entity_counts_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_entities(mentions)
 
 
+def _vocabulary(spark: SparkSession, sf_dir: str, table: str, where: str | None = None) -> DataFrame:
+    """A dictionary of all words of a table's texts, each with a type by its length."""
+    rows = read_table(spark, sf_dir, table)
+    words = (rows.where(where) if where else rows).select(F.explode(F.split("text", " ")).alias("entity_name"))
+    return words.where("entity_name <> '' and not contains(entity_name, chr(10))").distinct().select(
+        F.element_at(F.array(*map(F.lit, ENTITY_TYPES)), (F.length("entity_name") % 6 + 1).cast("int")).alias("entity_type"), "entity_name"
+    )
+
+
+def _phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dictionary of the first two, three and twelve words of every benchmark text."""
+    words = F.split(F.regexp_replace("text", "\n", " "), " ")
+    names = read_table(spark, sf_dir, "benchmark").select(
+        F.explode(F.array(*(F.array_join(F.slice(words, 1, n), " ") for n in (2, 3, 12)))).alias("entity_name")
+    )
+    return names.distinct().select(F.lit("Place").alias("entity_type"), "entity_name")
+
+
+def q_entity_counts_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Detection(_vocabulary(spark, sf_dir, "benchmark")).counts(_kept_posts(spark, sf_dir))
+
+
+def q_entity_top_25_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_entities(q_entity_counts_vocabulary(spark, sf_dir), 25)
+
+
+def q_entity_mentions_vocabulary_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Detection(_vocabulary(spark, sf_dir, "benchmark"), strategy="shuffle").mentions(_kept_posts(spark, sf_dir))
+
+
+def _conversation_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_posts(posts_from_conversations(read_table(spark, sf_dir, "conversations")), "blank")
+
+
+def q_entity_counts_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Detection(_vocabulary(spark, sf_dir, "documents", "lang = 'en'")).counts(_conversation_posts(spark, sf_dir))
+
+
+def q_entity_counts_wide_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    detection = Detection(_vocabulary(spark, sf_dir, "documents", "lang = 'en'"), strategy="shuffle")
+    return detection.counts(_conversation_posts(spark, sf_dir))
+
+
+def q_entity_mentions_wide_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    detection = Detection(_vocabulary(spark, sf_dir, "documents", "lang = 'en'"), strategy="shuffle")
+    return detection.mentions(_conversation_posts(spark, sf_dir), ("conv_id", "turn"))
+
+
+def q_entity_phrase_counts_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Detection(_phrases(spark, sf_dir), "phrase").counts(_kept_posts(spark, sf_dir))
+
+
+def q_entity_phrase_counts_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Detection(_phrases(spark, sf_dir), "phrase", "shuffle").counts(_kept_posts(spark, sf_dir))
+
+
+def q_type_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_parent_type(q_entity_type_stats(spark, sf_dir))
+
+
+def q_diagnostics_no_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run's diagnostics where every landed post has an empty body, so the filter keeps none."""
+    posts = S.documents_posts(spark, sf_dir).withColumn("selftext", F.lit(""))
+    classified = S.classified_subscriptions(spark, posts)
+    return analyze(classified, S.clean_pages(posts), _probe(spark)).diagnostics
+
+
+def q_diagnostics_no_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run's diagnostics where no subscription is valid."""
+    posts = S.documents_posts(spark, sf_dir)
+    classified = S.classified_subscriptions(spark, posts).where("sub_status <> 'VALID'")
+    return analyze(classified, S.clean_pages(posts), _probe(spark)).diagnostics
+
+
+def q_observed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters observed while the posts are written by another action."""
+    observed, metrics = observe_posts(S.documents_posts(spark, sf_dir))
+    observed.write.format("noop").mode("overwrite").save()
+    row = metrics.get
+    return spark.createDataFrame(
+        [(row["posts"], row["posts_kept"], row["total_chars"])], "posts bigint, posts_kept bigint, total_chars bigint"
+    )
+
+
 QUERIES: dict[str, QueryFn] = {
+    "entity_counts_vocabulary": q_entity_counts_vocabulary,
+    "entity_top_25_vocabulary": q_entity_top_25_vocabulary,
+    "entity_mentions_vocabulary_shuffle": q_entity_mentions_vocabulary_shuffle,
+    "entity_counts_wide": q_entity_counts_wide,
+    "entity_counts_wide_shuffle": q_entity_counts_wide_shuffle,
+    "entity_mentions_wide_shuffle": q_entity_mentions_wide_shuffle,
+    "entity_phrase_counts_vocabulary": q_entity_phrase_counts_vocabulary,
+    "entity_phrase_counts_shuffle": q_entity_phrase_counts_shuffle,
+    "type_parents": q_type_parents,
+    "diagnostics_no_posts": q_diagnostics_no_posts,
+    "diagnostics_no_subscriptions": q_diagnostics_no_subscriptions,
+    "observed_posts": q_observed_posts,
     "subscriptions_valid": q_subscriptions_valid,
     "subscriptions_skipped": q_subscriptions_skipped,
     "feed_fetch_status": q_feed_fetch_status,
@@ -376,24 +469,25 @@ st AS (
               ELSE 'OK' END AS status
   FROM pg)"""
 
-_SKIP_MSG = _q(MSG_SKIPPED_SUBSCRIPTION + ": ")
+# The expected texts are written out here, not taken from the code under test.
+_SKIP_MSG = _q("Skipping malformed subscription (missing 'name' or 'url' field): ")
+_INVALID_MSG = _q("Could not load subscriptions - invalid JSON format")
 _SUB_DIAG = f"""SELECT CASE WHEN sub_status = 'INVALID_JSON' THEN 'ERROR' ELSE 'WARN' END AS severity,
        CASE WHEN sub_status = 'INVALID_JSON' THEN 'INVALID_JSON' ELSE 'SUBSCRIPTION_SKIPPED' END AS code,
        coalesce(name, url, '') AS subject,
-       CASE WHEN sub_status = 'INVALID_JSON' THEN {_q(MSG_INVALID_JSON)} ELSE {_SKIP_MSG} || reason END AS message
+       CASE WHEN sub_status = 'INVALID_JSON' THEN {_INVALID_MSG} ELSE {_SKIP_MSG} || reason END AS message
 FROM classified WHERE sub_status <> 'VALID'"""
 
 _STATS_SQL = f"""WITH {POSTS}, {SUBS}, {PAGES},
 okp AS (SELECT p.* FROM posts p JOIN st ON p.feed = st.feed AND p.post_id // {S.PAGE_ROWS} = st.page
         WHERE st.status = 'OK'),
-bodies AS (SELECT v.url, st.status FROM valid v JOIN st ON v.url = st.url),
 failed AS (SELECT v.url FROM valid v WHERE v.url NOT IN (SELECT url FROM st)),
 a AS (
   SELECT (SELECT count(*) FROM classified WHERE sub_status <> 'VALID') AS subscriptions_skipped,
          (SELECT count(*) FROM valid v WHERE v.url IN (SELECT url FROM st)) AS feeds_ok,
          (SELECT count(*) FROM failed) AS feeds_failed,
          (SELECT count(*) FROM okp) AS posts_ok,
-         (SELECT count(*) FROM bodies WHERE status <> 'OK') + (SELECT count(*) FROM failed) AS feeds_without_posts,
+         (SELECT count(*) FROM valid v WHERE v.url NOT IN (SELECT url FROM st WHERE status = 'OK')) AS feeds_without_posts,
          (SELECT count(*) FROM okp WHERE {KEEP_BLANK}) AS posts_kept,
          (SELECT coalesce(sum(length(title) + length(selftext)), 0) FROM okp WHERE {KEEP_BLANK}) AS total_chars)
 SELECT CAST(subscriptions_skipped AS BIGINT) AS subscriptions_skipped,
@@ -494,8 +588,52 @@ UNION ALL SELECT CAST(rank + 1 AS INTEGER), '[Type=' || entity_type || '] ' || e
   || CAST(n AS VARCHAR) || ' apariciones' FROM r"""
 
 
+_TYPE_CASE = "CASE length(w) % 6 " + " ".join(f"WHEN {i} THEN {_q(t)}" for i, t in enumerate(ENTITY_TYPES)) + " END"
+
+
+def _vocabulary_cte(table: str, where: str = "") -> str:
+    return f"""dict AS (SELECT DISTINCT {_TYPE_CASE} AS entity_type, w AS entity_name
+  FROM (SELECT unnest(string_split(text, ' ')) AS w FROM {table}{where}) WHERE w <> '' AND instr(w, chr(10)) = 0)"""
+
+
+_CONV_KEPT = f"""kept AS (SELECT conv_id, turn, role AS title, text AS selftext FROM conversations
+  WHERE role <> '' AND text <> '' AND regexp_matches(text, {NOT_BLANK}))"""
+_COUNTED = """counts AS (SELECT entity_type, entity_name, count(*) AS n FROM terms JOIN dict ON term = lower(entity_name)
+  GROUP BY entity_type, entity_name)"""
+
+
+def _vocabulary_sql() -> str:
+    return f"""WITH {POSTS}, kept AS (SELECT * FROM posts WHERE {KEEP_BLANK}), {_vocabulary_cte('benchmark')},
+terms AS ({_token_terms('kept')}), {_COUNTED}"""
+
+
+def _wide_sql() -> str:
+    return f"""WITH {_CONV_KEPT}, {_vocabulary_cte('documents', " WHERE lang = 'en'")},
+terms AS ({_token_terms('kept', 'conv_id, turn')}), {_COUNTED}"""
+
+
+def _benchmark_phrase_sql() -> str:
+    grams = ", ".join(
+        f"list_transform(range(1, len(words) - {n - 1} + 1), lambda i: array_to_string(words[i:i + {n - 1}], ' '))" for n in range(1, 13)
+    )
+    starts = " UNION ALL ".join(
+        f"SELECT array_to_string(list_slice(string_split(replace(text, chr(10), ' '), ' '), 1, {n}), ' ') AS entity_name FROM benchmark" for n in (2, 3, 12)
+    )
+    return f"""WITH {POSTS}, kept AS (SELECT * FROM posts WHERE {KEEP_BLANK}),
+dict AS (SELECT DISTINCT 'Place' AS entity_type, entity_name FROM ({starts})),
+keyed AS (SELECT entity_type, entity_name, array_to_string({_phrase_words('entity_name')}, ' ') AS match_key FROM dict),
+w AS (SELECT post_id, {_phrase_words("concat(title, ' ', selftext)")} AS words FROM kept),
+terms AS (SELECT post_id, unnest(list_distinct(flatten([{grams}]))) AS term FROM w)
+SELECT entity_type, entity_name, count(*) AS n FROM terms JOIN keyed ON term = match_key WHERE match_key <> ''
+GROUP BY entity_type, entity_name"""
+
+
+_PARENTS = _values([(t, p) for t, p in PARENT_TYPE.items() if p])
+
+
 def oracle_sql() -> dict[str, str]:
     counts = _counts_sql()
+    vocabulary, wide = _vocabulary_sql(), _wide_sql()
     mentions = f"""WITH {POSTS},
 kept AS (SELECT * FROM posts WHERE {KEEP_BLANK}),
 {_dict_cte(S.PROBE_DICTIONARY)},
@@ -508,18 +646,39 @@ terms AS ({_token_terms('kept', 'conv_id, turn')}),
 counts AS (SELECT entity_type, entity_name, count(*) AS n FROM terms JOIN dict ON term = lower(entity_name)
            GROUP BY entity_type, entity_name)"""
     return {
+        "entity_counts_vocabulary": f"{vocabulary} SELECT entity_type, entity_name, n FROM counts",
+        "entity_top_25_vocabulary": _rank_sql(25, vocabulary),
+        "entity_mentions_vocabulary_shuffle": f"{vocabulary} SELECT post_id, entity_type, entity_name FROM terms JOIN dict ON term = lower(entity_name)",
+        "entity_counts_wide": f"{wide} SELECT entity_type, entity_name, n FROM counts",
+        "entity_counts_wide_shuffle": f"{wide} SELECT entity_type, entity_name, n FROM counts",
+        "entity_mentions_wide_shuffle": f"{wide} SELECT conv_id, turn, entity_type, entity_name FROM terms JOIN dict ON term = lower(entity_name)",
+        "entity_phrase_counts_vocabulary": _benchmark_phrase_sql(),
+        "entity_phrase_counts_shuffle": _benchmark_phrase_sql(),
+        "type_parents": f"""SELECT ts.*, p.parent_type FROM ({_type_stats_sql()}) ts
+LEFT JOIN (VALUES {_PARENTS}) p(entity_type, parent_type) ON ts.entity_type = p.entity_type""",
+        "diagnostics_no_posts": f"""WITH {POSTS}, {SUBS}
+{_SUB_DIAG}
+UNION ALL SELECT 'WARN', 'FETCH_FAILED', url, 'Failed to download from ''' || name || ''' (' || url || ')'
+FROM valid WHERE name NOT IN (SELECT source FROM documents)
+UNION ALL SELECT 'ERROR', 'NO_POSTS', '', 'No valid posts downloaded after filtering'""",
+        "diagnostics_no_subscriptions": f"""WITH {POSTS}, {SUBS}
+{_SUB_DIAG}
+UNION ALL SELECT 'ERROR', 'NO_SUBSCRIPTIONS', '', 'No valid subscriptions found'
+UNION ALL SELECT 'ERROR', 'NO_POSTS', '', 'No valid posts downloaded after filtering'""",
+        "observed_posts": f"""WITH {POSTS} SELECT count(*) AS posts, count(*) FILTER (WHERE {KEEP_BLANK}) AS posts_kept,
+       CAST(coalesce(sum(length(title) + length(selftext)) FILTER (WHERE {KEEP_BLANK}), 0) AS BIGINT) AS total_chars FROM posts""",
         "subscriptions_valid": f"WITH {POSTS}, {SUBS} SELECT name, url FROM valid",
         "diagnostics": f"""WITH {POSTS}, {SUBS}, {PAGES}
 {_SUB_DIAG}
-UNION ALL SELECT 'WARN', st.status, v.url, printf({_q(MSG_PARSE_FAILED)}, v.name)
+UNION ALL SELECT 'WARN', st.status, v.url, 'Failed to parse posts from ''' || v.name || ''' (' || v.url || ')'
 FROM valid v JOIN st ON v.url = st.url WHERE st.status NOT IN ('OK', 'EMPTY')
-UNION ALL SELECT 'WARN', 'FETCH_FAILED', url, printf({_q(MSG_FETCH_FAILED)}, name, url)
+UNION ALL SELECT 'WARN', 'FETCH_FAILED', url, 'Failed to download from ''' || name || ''' (' || url || ')'
 FROM valid WHERE url NOT IN (SELECT url FROM st)""",
         "subscriptions_skipped": f"""WITH {POSTS}, {SUBS}
 SELECT CASE WHEN sub_status = 'INVALID_JSON' THEN 'ERROR' ELSE 'WARN' END AS severity,
        CASE WHEN sub_status = 'INVALID_JSON' THEN 'INVALID_JSON' ELSE 'SUBSCRIPTION_SKIPPED' END AS code,
        coalesce(name, url, '') AS subject,
-       CASE WHEN sub_status = 'INVALID_JSON' THEN {_q(MSG_INVALID_JSON)} ELSE {_SKIP_MSG} || reason END AS message
+       CASE WHEN sub_status = 'INVALID_JSON' THEN {_INVALID_MSG} ELSE {_SKIP_MSG} || reason END AS message
 FROM classified WHERE sub_status <> 'VALID'""",
         "feed_fetch_status": f"""WITH {POSTS}, {SUBS}, {PAGES}
 SELECT v.name, v.url,

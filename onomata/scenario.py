@@ -46,12 +46,12 @@ PHRASE_DICTIONARY = PROBE_DICTIONARY + [
 
 # Raw subscription entries appended to the derived ones.
 EXTRA_SUBSCRIPTION_RECORDS = [
-    '{"incorrect_name": "incorrect_value"}',
+    '{"title": "neither name nor url"}',
     '{"name": "", "url": "feeds/empty-name"}',
     '{"name": "no-url"}',
     '{"name": "empty-url", "url": ""}',
     '{"name": "   ", "url": "feeds/blank-name"}',
-    "This is not json",
+    "plain words, no braces",
 ]
 
 # Posts per landed page, and which feeds get which fault.

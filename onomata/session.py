@@ -3,13 +3,11 @@
 Library functions never create or reconfigure a session; they take the
 caller's. This helper only builds a local one with the settings the plans
 assume: AQE on (runtime partition coalescing and skew-join splitting), UI off.
-A checkpoint directory is set only when the session has none configured.
+It sets no checkpoint folder: a cluster names a shared one in spark.checkpoint.dir.
 """
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -28,7 +26,4 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.sparkContext.getCheckpointDir():
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="onomata-ckpt-"))
     return spark

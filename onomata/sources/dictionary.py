@@ -42,12 +42,20 @@ def typed_dictionary(lines: DataFrame, type_col: str, line_col: str = "value", d
     return out.dropDuplicates(["entity_type", "entity_name"]) if dedupe else out
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop file system of the path (works for any cluster FS)."""
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
+def _matches(spark: SparkSession, path: str) -> list:
+    """File statuses that a path or glob matches (empty for none), on any Hadoop file system."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    return list(fs.globStatus(hpath) or [])
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether something is at the path, or matches it if it is a glob."""
+    return bool(_matches(spark, path))
+
+
+def is_directory(spark: SparkSession, path: str) -> bool:
+    return any(s.isDirectory() for s in _matches(spark, path))
 
 
 def load_dictionary(
@@ -58,11 +66,11 @@ def load_dictionary(
 ) -> tuple[DataFrame, DataFrame]:
     """Read every dictionary file of ``directory`` in one distributed text scan.
 
-    Returns ``(dictionary, diagnostics)``. A missing directory is an error; a
-    missing file gives a WARN row and the other files are still used.
+    Returns ``(dictionary, diagnostics)``. A path that is missing or no directory
+    is an error; a missing file gives a WARN row and the other files are still used.
     """
     base = directory.rstrip("/")
-    if not path_exists(spark, base):
+    if not is_directory(spark, base):
         raise ValueError(f"entities directory '{directory}' not found")
     present, missing = [], []
     for name, etype in files:
@@ -81,5 +89,6 @@ def load_dictionary(
 
 
 def dictionary_from_rows(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
-    """An inline dictionary of ``(entity_type, entity_name)`` rows, used as given."""
-    return spark.createDataFrame(rows, DICTIONARY_SCHEMA)
+    """An inline dictionary of ``(entity_type, entity_name)`` rows; an unknown type becomes the fallback type."""
+    given = spark.createDataFrame(rows, DICTIONARY_SCHEMA)
+    return given.select(resolve_type("entity_type").alias("entity_type"), "entity_name")

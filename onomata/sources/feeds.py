@@ -10,9 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.strategy import BROADCAST_MAX_ROWS
+from ..functions.text import post_length
+from ..operators.posts import keep_post
+from ..plans.strategy import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
 
-_CHILDREN = "array<variant>"
+# The body is read as text per child, which has no size limit; each child alone becomes a variant.
+_BODY_SCHEMA = "data struct<children: array<string>>, _corrupt_record string"
+# One child beyond the size of a variant cannot be decoded; its page says so.
+CHILD_MAX_BYTES = 16 * 1024 * 1024 - 1024
 
 
 def _field(child: Column, name: str) -> Column:
@@ -28,34 +33,50 @@ def _not_scalar(child: Column, name: str) -> Column:
     return F.schema_of_variant(_field(child, name)).rlike("^(OBJECT|ARRAY)")
 
 
-def feed_status_expr(body: Column, parsed: Column, children: Column) -> Column:
-    """Outcome of one body; tests run in the order of ``constants.FEED_STATUSES``."""
+def feed_status_expr(body: Column, texts: Column, children: Column) -> Column:
+    """Outcome of one body; tests run in the order of ``constants.FEED_STATUSES``.
+
+    ``texts`` are the children as JSON text (null unless the body is JSON with a
+    list of children), ``children`` the same as variants. A child that is no
+    readable object (a string, null, or an object that repeats a key) has no
+    fields, so it counts as ``MISSING_FIELD``.
+    """
     return (
         F.when(body.isNull(), F.lit("FETCH_FAILED"))
-        .when(parsed.isNull(), F.lit("BAD_JSON"))
-        .when(children.isNull(), F.lit("NO_CHILDREN"))
-        .when(F.exists(children, lambda c: _missing(c, "title") | _missing(c, "selftext")), F.lit("MISSING_FIELD"))
+        # Without a list of children: valid JSON of another shape, or no JSON at all.
+        .when(texts.isNull() & F.get_json_object(body, "$").isNull(), F.lit("BAD_JSON"))
+        .when(texts.isNull(), F.lit("NO_CHILDREN"))
+        .when(F.exists(texts, lambda t: F.octet_length(t) > CHILD_MAX_BYTES), F.lit("TOO_LARGE"))
+        .when(F.exists(children, lambda c: c.isNull() | _missing(c, "title") | _missing(c, "selftext")), F.lit("MISSING_FIELD"))
         .when(F.exists(children, lambda c: _not_scalar(c, "title") | _not_scalar(c, "selftext")), F.lit("BAD_FIELD"))
         .when(F.size(children) == 0, F.lit("EMPTY"))
         .otherwise(F.lit("OK"))
     )
 
 
+def fits_broadcast(subscriptions: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether the list's measured rows and bytes are within the bound (one aggregate)."""
+    size = F.sum(F.octet_length("name") + F.octet_length("url"))
+    rows, text_bytes = subscriptions.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    return rows <= max_rows and text_bytes <= max_bytes
+
+
 def attach_feeds(subscriptions: DataFrame, landed: DataFrame, max_broadcast_subscriptions: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Valid subscriptions x landed pages on ``url``.
 
     Returns ``(name, url, page, body)``: one row per landed page, and one row with
     null page/body for a subscription with nothing landed (fetch failed).
 
-    The landed side is the big one and one feed may own a third of its pages, so
-    it is never shuffled on ``url``: the subscription list is broadcast when its
-    measured size allows, and missing feeds come from an anti join against the
-    distinct landed urls (partially aggregated before the exchange).
+    The landed side is the big one and one feed may own a third of its pages.
+    The subscription list is broadcast when its measured rows and bytes allow,
+    and landed pages are then not shuffled. A longer list joins by a shuffle on
+    ``url``, where adaptive execution splits a hot feed's partition. Missing
+    feeds come from an anti join against the distinct landed urls, which are
+    aggregated partially before the exchange.
     """
     subs = subscriptions.select("name", "url")
     pages = landed.select("url", "page", "body")
-    n_subs = subs.limit(max_broadcast_subscriptions + 1).count()
-    right = F.broadcast(subs) if n_subs <= max_broadcast_subscriptions else subs
+    right = F.broadcast(subs) if fits_broadcast(subs, max_broadcast_subscriptions) else subs
     fetched = pages.join(right, "url", "inner").select("name", "url", "page", "body")
     landed_urls = pages.select("url").distinct()
     failed = subs.join(landed_urls, "url", "left_anti").select(
@@ -70,20 +91,25 @@ def parse_feeds(attached: DataFrame) -> DataFrame:
     Columns: ``name, url, page, status, n_children, child_pos, post_id, title,
     selftext``. ``child_pos`` is null on rows that carry no post. Numbers as a
     title become text; JSON null becomes null (dropped later by the post filter).
+    A body may be of any size: only a single child is held to a variant's limit.
     """
     # One projection per step so each body is parsed once: the later steps
     # reference the parsed value several times (status tests, children), and
     # Catalyst keeps a costly expression in its own projection when it is
     # referenced more than once rather than inlining it.
-    with_variant = attached.select("name", "url", "page", "body", F.try_parse_json("body").alias("_v"))
-    with_children = with_variant.select(
-        "name", "url", "page", "body", "_v", F.try_variant_get("_v", "$.data.children", _CHILDREN).alias("children")
+    body = F.from_json("body", _BODY_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    with_body = attached.select("name", "url", "page", "body", body.alias("_j"))
+    with_texts = with_body.select(
+        "name", "url", "page", "body", F.when(F.col("_j._corrupt_record").isNull(), F.col("_j.data.children")).alias("texts")
+    )
+    with_children = with_texts.select(
+        "name", "url", "page", "body", "texts", F.transform("texts", lambda t: F.try_parse_json(t)).alias("children")
     )
     decoded = with_children.select(
         "name",
         "url",
         "page",
-        feed_status_expr(F.col("body"), F.col("_v"), F.col("children")).alias("status"),
+        feed_status_expr(F.col("body"), F.col("texts"), F.col("children")).alias("status"),
         "children",
     )
     ok_children = F.when(F.col("status") == "OK", F.col("children"))
@@ -133,17 +159,34 @@ def feed_status(parsed: DataFrame, skipped: DataFrame | None = None) -> DataFram
     )
 
 
-def parse_diagnostics(parsed: DataFrame) -> DataFrame:
-    """WARN rows for bodies that failed to download or decode."""
+def page_summary(parsed: DataFrame, mode: str = "blank", utf16: bool = False) -> DataFrame:
+    """The decoded pages reduced to ``(name, url, page, status, bodies, posts, kept, chars)``.
+
+    Warnings, the empty-run guard and the statistics all follow from it. It is
+    one aggregate, so branches of a query share its exchange and the bodies are
+    decoded once. ``bodies`` counts equal pages that landed several times.
+    """
+    is_post = F.col("child_pos").isNotNull()
+    keep = is_post & keep_post(mode)
+    return parsed.groupBy("name", "url", "page", "status").agg(
+        F.count_if(~is_post | (F.col("child_pos") == 0)).alias("bodies"),
+        F.count_if(is_post).alias("posts"),
+        F.count_if(keep).alias("kept"),
+        F.coalesce(F.sum(F.when(keep, post_length(utf16=utf16))), F.lit(0)).cast("bigint").alias("chars"),
+    )
+
+
+def parse_diagnostics(pages: DataFrame) -> DataFrame:
+    """WARN rows, one per body, for those that failed to download or decode (from ``page_summary``)."""
     from ..constants import MSG_FETCH_FAILED, MSG_PARSE_FAILED
 
-    bad = feed_status(parsed).filter(~F.col("status").isin("OK", "EMPTY"))
+    bad = pages.filter(~F.col("status").isin("OK", "EMPTY")).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "bodies")))
     return bad.select(
         F.lit("WARN").alias("severity"),
         F.col("status").alias("code"),
         F.col("url").alias("subject"),
         F.when(F.col("status") == "FETCH_FAILED", F.format_string(MSG_FETCH_FAILED, F.col("name"), F.col("url")))
-        .otherwise(F.format_string(MSG_PARSE_FAILED, F.col("name")))
+        .otherwise(F.format_string(MSG_PARSE_FAILED, F.col("name"), F.col("url")))
         .alias("message"),
     )
 
@@ -152,8 +195,8 @@ LANDED_SCHEMA = "url string, page bigint, body string"
 
 
 def read_landed_pages(spark, path: str | list[str]) -> DataFrame:
-    """Landed pages stored as JSON lines ``{"url", "page", "body"}`` (splittable, any size)."""
-    return spark.read.schema(LANDED_SCHEMA).option("mode", "PERMISSIVE").json(path)
+    """Landed pages stored as JSON lines ``{"url", "page", "body"}`` (splittable, any size); paths, lists and globs."""
+    return spark.read.schema(LANDED_SCHEMA).option("mode", "PERMISSIVE").option("maxStringLen", 2**31 - 1).json(path)
 
 
 def read_landed_bodies(spark, path: str | list[str], url_prefix: str = "") -> DataFrame:

@@ -31,6 +31,7 @@ def classify_subscriptions(raw: DataFrame) -> DataFrame:
         .when(F.col("name") == "", F.lit("empty name"))
         .when(F.col("url") == "", F.lit("empty url"))
         .alias("reason"),
+        *([F.col("source_file")] if "source_file" in raw.columns else []),
     )
 
 
@@ -41,10 +42,12 @@ def valid_subscriptions(classified: DataFrame) -> DataFrame:
 def subscription_diagnostics(classified: DataFrame) -> DataFrame:
     """One diagnostic row per refused entry."""
     bad = classified.filter(F.col("sub_status") != "VALID")
+    # The file is named where it is known, so a bad one among several can be told.
+    file = F.col("source_file") if "source_file" in classified.columns else F.lit("")
     return bad.select(
         F.when(F.col("sub_status") == "INVALID_JSON", F.lit("ERROR")).otherwise(F.lit("WARN")).alias("severity"),
         F.when(F.col("sub_status") == "INVALID_JSON", F.lit("INVALID_JSON")).otherwise(F.lit("SUBSCRIPTION_SKIPPED")).alias("code"),
-        F.coalesce(F.col("name"), F.col("url"), F.lit("")).alias("subject"),
+        F.coalesce(F.col("name"), F.col("url"), file).alias("subject"),
         F.when(F.col("sub_status") == "INVALID_JSON", F.lit(MSG_INVALID_JSON))
         .otherwise(F.concat(F.lit(MSG_SKIPPED_SUBSCRIPTION + ": "), F.col("reason")))
         .alias("message"),
@@ -58,7 +61,8 @@ def read_subscriptions(spark: SparkSession, path: str | list[str], multiline: bo
     file never hides the entries of another.
     """
     reader = spark.read.schema(SUBSCRIPTION_SCHEMA).option("mode", "PERMISSIVE")
-    return reader.option("multiLine", multiline).json(path)
+    entries = reader.option("multiLine", multiline).json(path)
+    return entries.select("name", "url", "_corrupt_record", F.col("_metadata.file_path").alias("source_file"))
 
 
 def parse_subscription_records(records: DataFrame, json_col: str = "value") -> DataFrame:

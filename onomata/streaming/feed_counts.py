@@ -2,7 +2,7 @@
 
 Landed pages arrive as JSON-lines files ``{"url", "page", "body"}`` in a
 directory. The same stateless steps as the batch path run per micro-batch
-(decode, filter, broadcast probe); the only state is the running count per
+(decode, filter, dictionary join); the only state is the running count per
 (type, name), bounded by the dictionary size, kept by Spark's state store and
 recovered from the checkpoint after a failure.
 """
@@ -15,8 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.detect import Detection, count_entities
 from ..operators.posts import filter_posts
-from ..plans.strategy import BROADCAST_MAX_ROWS, shared_dir
-from ..sources.feeds import LANDED_SCHEMA, feed_posts, parse_feeds
+from ..plans.strategy import shared_dir
+from ..sources.feeds import LANDED_SCHEMA, feed_posts, fits_broadcast, parse_feeds
 
 
 def read_landed_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 1000) -> DataFrame:
@@ -37,13 +37,13 @@ def entity_count_stream(
 ) -> DataFrame:
     """Running ``(entity_type, entity_name, n)`` over the pages of subscribed feeds.
 
-    ``subscriptions`` and ``dictionary`` are static; the dictionary must fit the
-    broadcast bound (a stream cannot be sampled or measured up front).
+    ``subscriptions`` and ``dictionary`` are static and measured like in a batch
+    run: within the bounds they are broadcast, past them each micro-batch joins
+    them by a shuffle. A page that lands twice counts twice.
     """
-    detection = Detection(dictionary, match, strategy="broadcast")
+    detection = Detection(dictionary, match)
     subs = subscriptions.select("name", "url")
-    # The static side is broadcast only when its row count is within the bound.
-    if subs.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS:
+    if fits_broadcast(subs):
         subs = F.broadcast(subs)
     attached = landed.join(subs, "url", "inner").select("name", "url", "page", "body")
     posts = filter_posts(feed_posts(parse_feeds(attached)), mode)
@@ -67,14 +67,16 @@ def start_entity_counts(counts: DataFrame, table: str, checkpoint: str) -> Strea
 
 
 def start_entity_counts_to_path(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep ``path`` holding the current running counts as parquet.
+    """Keep the running counts under ``path``, a folder ``batch=<id>`` for each micro-batch.
 
     Complete mode hands each micro-batch the whole count table (at most one row
-    per dictionary line), and each batch overwrites ``path`` with it, so a batch
-    replayed after a failure rewrites the same table.
+    per dictionary line). Earlier folders stay as they are, so readers never
+    meet a missing table; the highest batch with a ``_SUCCESS`` file is the
+    current one (``read_current_counts``). A batch replayed after a failure
+    rewrites its own folder with the same rows.
     """
-    def write_batch(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
 
     return (
         counts.writeStream.outputMode("complete")
@@ -82,3 +84,14 @@ def start_entity_counts_to_path(counts: DataFrame, path: str, checkpoint: str) -
         .option("checkpointLocation", checkpoint)
         .start()
     )
+
+
+def read_current_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The counts of the last finished micro-batch below ``path``."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/batch=*/_SUCCESS")
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = [s.getPath().getParent() for s in fs.globStatus(hpath) or []]
+    if not done:
+        raise ValueError(f"no finished batch below '{path}'")
+    last = max(done, key=lambda p: int(p.getName().split("=")[1]))
+    return spark.read.parquet(last.toString())

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -11,6 +12,7 @@ def spark():
     from onomata.session import local_session
 
     s = local_session(cores="*", shuffle_partitions=8, memory="4g")
+    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="onomata-tests-"))
     yield s
     s.stop()
 

@@ -127,3 +127,48 @@ def test_staged_parse_gives_same_results(spark, tmp_path):
     assert sorted(tuple(r) for r in b.ranking.collect()) == sorted(tuple(r) for r in a.ranking.collect())
     assert b.stats.first() == a.stats.first()
     assert sorted(tuple(r) for r in b.diagnostics.collect()) == sorted(tuple(r) for r in a.diagnostics.collect())
+
+
+def test_paths_globs_lists_and_missing_ones(spark, tmp_path):
+    import json
+
+    import pytest
+
+    from onomata.plans.analysis import analyze_paths
+
+    entities = tmp_path / "names"
+    entities.mkdir()
+    (entities / "people.txt").write_text("Ada\n")
+    for k in (1, 2):
+        (tmp_path / f"subs{k}.json").write_text(json.dumps([{"name": f"n{k}", "url": f"u/{k}"}]))
+        body = json.dumps({"data": {"children": [{"data": {"title": "Ada", "selftext": "said ada"}}]}})
+        landed = tmp_path / "landed"
+        landed.mkdir(exist_ok=True)
+        (landed / f"p{k}.jsonl").write_text(json.dumps({"url": f"u/{k}", "page": 0, "body": body}) + "\n")
+    subs, names = str(tmp_path / "subs*.json"), str(entities)
+
+    def counted(landed, **more):
+        a = analyze_paths(spark, subs, names, landed, **more)
+        return [tuple(r) for r in a.counts.collect()], {r["code"] for r in a.diagnostics.collect()}
+
+    whole = counted(str(tmp_path / "landed"))
+    assert whole[0] == [("Person", "Ada", 2)]
+    assert counted(str(tmp_path / "landed" / "*.jsonl"), strategy="shuffle") == whole
+    assert counted([str(tmp_path / "landed" / f"p{k}.jsonl") for k in (1, 2)]) == whole
+    rows, codes = counted(str(tmp_path / "nowhere" / "*.jsonl"))
+    assert rows == [] and "LANDED_NOT_FOUND" in codes and "LANDED_NOT_FOUND" not in whole[1]
+    a = analyze_paths(spark, subs, names, str(tmp_path / "landed"), stage_parsed=True)
+    assert a.counts.collect() and a.staged
+    a.release()
+    assert a.staged is None
+    with pytest.raises(ValueError):
+        analyze_paths(spark, subs, str(entities / "people.txt"), str(tmp_path / "landed"))
+
+
+def test_a_bad_subscription_file_is_named(spark, tmp_path):
+    from onomata.sources.subscriptions import classify_subscriptions, read_subscriptions, subscription_diagnostics
+
+    (tmp_path / "good.json").write_text('[{"name": "a", "url": "b"}]')
+    (tmp_path / "bad.json").write_text("no braces")
+    rows = subscription_diagnostics(classify_subscriptions(read_subscriptions(spark, str(tmp_path / "*.json")))).collect()
+    assert [r["code"] for r in rows] == ["INVALID_JSON"] and rows[0]["subject"].endswith("/bad.json")

@@ -97,15 +97,17 @@ def test_counts_match_python_model(spark, docs):
     assert got == _model([t + " " for t in texts], DICT)
 
 
-def test_salted_join_for_hot_terms(spark, monkeypatch):
-    """One word in every post: the shuffled mention join salts it and stays exact."""
+def test_shuffled_join_with_a_word_in_every_post(spark, monkeypatch):
+    """Past the bound and past the key list: terms are shuffled, the empty one is not among them."""
+    import onomata.operators.detect as D
     from onomata.plans.strategy import physical_plan
 
+    monkeypatch.setattr(D, "literal_keys", lambda keyed: None)
     texts = [f"the w{i} than" if i % 3 else f"the w{i}" for i in range(300)]
     p = posts(spark, texts)
     d = dictionary_from_rows(spark, DICT + [("Person", "The"), ("Person", "w7")])
     det = Detection(d, strategy="shuffle")
-    assert "the" in det.hot_terms(p)
+    assert det.terms(posts(spark, ["  the  "])).collect() == [("the",)]
     m = det.mentions(p)
     got = sorted((r["post_id"], r["entity_name"]) for r in m.collect())
     want = sorted(
@@ -115,7 +117,7 @@ def test_salted_join_for_hot_terms(spark, monkeypatch):
     )
     assert got == want
     plan = physical_plan(m)
-    assert "xxhash64" in plan and "ShuffledHashJoin" in plan
+    assert "ShuffledHashJoin" in plan
 
 
 _PUNCT = "".join(c for c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" if c not in "+#")
@@ -152,3 +154,23 @@ def test_phrase_counts_match_model_with_and_without_profile(spark, docs):
     a = {(r["entity_type"], r["entity_name"]): r["n"] for r in bounded.counts(p).collect()}
     b = {(r["entity_type"], r["entity_name"]): r["n"] for r in Detection(d, "phrase", "shuffle").counts(p).collect()}
     assert a == b == _phrase_model(texts, PHRASE_DICT)
+
+
+def test_a_long_phrase_builds_its_own_length_only(spark):
+    words = [f"w{i}" for i in range(300)]
+    d = dictionary_from_rows(spark, [("Place", " ".join(words)), ("Place", "a b")])
+    p = posts(spark, ["x a b " + " ".join(words) + " y", "a c b"])
+    for strategy in ("broadcast", "shuffle"):
+        det = Detection(d, "phrase", strategy)
+        assert det.profile.lengths == (2, 300) and det.profile.first_words == ("a", "w0")
+        assert {(r["entity_name"][:3], r["n"]) for r in det.counts(p).collect()} == {("a b", 1), ("w0 ", 1)}
+
+
+def test_shuffled_terms_of_a_small_dictionary_are_matches(spark):
+    d = dictionary_from_rows(spark, [("Place", "Than")])
+    p = posts(spark, ["one two three than", "four five"])
+    assert Detection(d, strategy="shuffle").terms(p).count() == 1
+
+
+def test_an_unknown_type_falls_back(spark):
+    assert dictionary_from_rows(spark, [("Alien", "x")]).first()["entity_type"] == "Person"

@@ -1,7 +1,7 @@
 import json
 
 from onomata.constants import FEED_STATUSES
-from onomata.sources.feeds import attach_feeds, feed_posts, feed_status, parse_diagnostics, parse_feeds
+from onomata.sources.feeds import attach_feeds, feed_posts, feed_status, page_summary, parse_diagnostics, parse_feeds
 from onomata.sources.subscriptions import (
     classify_subscriptions,
     load_subscriptions,
@@ -30,7 +30,7 @@ BODIES = {
     "nulltitle": listing(child(None, "b")),
     "numtitle": listing(child(12, "b")),
     "objtitle": listing(child({"x": 1}, "b")),
-    "notjson": "This is not json",
+    "notjson": "no braces in here",
     "truncated": listing(child("a", "b"))[:20],
     "nodata": '{"data":{}}',
     "empty": '{"data":{"children":[]}}',
@@ -67,7 +67,7 @@ def test_post_counts_and_diagnostics(spark):
     parsed = _parsed(spark)
     n = {r["name"]: r["n_posts"] for r in feed_status(parsed).collect()}
     assert n["ok"] == 2 and n["empty"] == 0 and n["missing"] == 0
-    codes = sorted(r["code"] for r in parse_diagnostics(parsed).collect())
+    codes = sorted(r["code"] for r in parse_diagnostics(page_summary(parsed)).collect())
     assert "FETCH_FAILED" in codes and "BAD_JSON" in codes and "OK" not in codes
 
 
@@ -77,14 +77,14 @@ def test_subscription_file_rules(spark, tmp_path):
         {"name": "Scala", "url": "u/scala"},
         {"name": "", "url": "u/empty"},
         {"name": "   ", "url": "u/blank"},
-        {"incorrect_name": "incorrect_value"},
+        {"label": "incorrect_value"},
         {"name": "no-url"},
     ]))
     valid, diag = load_subscriptions(spark, str(good))
     assert sorted(tuple(r) for r in valid.collect()) == [("   ", "u/blank"), ("Scala", "u/scala")]
     assert diag.count() == 3
     bad = tmp_path / "bad.json"
-    bad.write_text("This is not json")
+    bad.write_text("no braces in here")
     valid, diag = load_subscriptions(spark, str(bad))
     assert valid.count() == 0
     assert [r["code"] for r in diag.collect()] == ["INVALID_JSON"]
@@ -174,3 +174,58 @@ def test_subscriptions_as_json_lines(spark, tmp_path):
     got = sorted((r["sub_status"], r["reason"] or "") for r in classified.collect())
     assert got == [("INVALID_JSON", "not a JSON object"), ("SKIPPED", "empty name"), ("SKIPPED", "missing name"),
                    ("VALID", "")]
+
+
+def _one(spark, body):
+    return parse_feeds(spark.createDataFrame([("n", "u", 0, body)], "name string, url string, page bigint, body string"))
+
+
+def test_a_body_over_20_mb_keeps_all_posts(spark):
+    import json
+
+    children = [{"data": {"title": f"t{i}", "selftext": "x" * 1_000_000}} for i in range(21)]
+    parsed = _one(spark, json.dumps({"data": {"children": children}}))
+    assert [tuple(r) for r in feed_status(parsed).collect()] == [("n", "u", 0, "OK", 21)]
+    assert feed_posts(parsed).selectExpr("sum(length(selftext))").first()[0] == 21_000_000
+
+
+def test_children_that_are_no_readable_objects(spark):
+    for child, status in (('"text"', "MISSING_FIELD"), ("null", "MISSING_FIELD"), ('{"data":{"title":"a","title":"b","selftext":"c"}}', "MISSING_FIELD"), ("[1]", "MISSING_FIELD")):
+        body = '{"data":{"children":[' + child + "]}}"
+        assert feed_status(_one(spark, body)).first()["status"] == status, child
+    for body, status in (('{"data":{"children":"x"}}', "NO_CHILDREN"), ('{"data":"x"}', "NO_CHILDREN"), ("[]", "NO_CHILDREN"), ("{", "BAD_JSON"), ("", "BAD_JSON")):
+        assert feed_status(_one(spark, body)).first()["status"] == status, body
+
+
+def test_feeds_are_counted_not_pages(spark):
+    import random
+
+    from onomata.operators.stats import processing_stats
+    from onomata.sources.subscriptions import classify_subscriptions
+
+    good, empty = '{"data":{"children":[{"data":{"title":"a","selftext":"b"}}]}}', '{"data":{"children":[]}}'
+    rng = random.Random(3)
+    for _ in range(4):
+        names = [f"f{k}" for k in range(rng.randint(1, 5))]
+        pages = [(f"u/{n}", p, rng.choice([None, good, empty, "{"])) for n in names for p in range(rng.randint(0, 4))]
+        subs = spark.createDataFrame([(n, f"u/{n}") for n in names] + [("", "x")], "name string, url string")
+        landed = spark.createDataFrame(pages, "url string, page bigint, body string")
+        classified = classify_subscriptions(subs)
+        parsed = parse_feeds(attach_feeds(classified.where("sub_status = 'VALID'"), landed))
+        got = processing_stats(parsed, classified).first()
+        bodies = {n: [b for u, _, b in pages if u == f"u/{n}" and b is not None] for n in names}
+        assert (got["subscriptions_skipped"], got["feeds_ok"], got["feeds_failed"]) == (1, sum(map(bool, bodies.values())), sum(not b for b in bodies.values()))
+        assert got["feeds_without_posts"] == sum(good not in b for b in bodies.values())
+        assert got["posts_ok"] == sum(b.count(good) for b in bodies.values())
+
+
+def test_warnings_guard_and_statistics_share_one_decoding(spark):
+    from onomata import queries as Q
+    from onomata.plans.strategy import physical_plan
+
+    from .conftest import SF_SMALL
+
+    df = Q.q_diagnostics(spark, SF_SMALL)
+    df.collect()
+    final = physical_plan(df).split("== Initial Plan ==")[0]
+    assert final.count("ReusedExchange") >= 1

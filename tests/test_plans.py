@@ -52,12 +52,12 @@ def test_spread_scan_only_for_few_splits(spark, tmp_path):
     import onomata.plans.strategy as S
 
     big = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    old = S.SPREAD_MAX_BYTES_PER_CORE
+    old = S.SPREAD_MAX_BYTES
     try:
-        S.SPREAD_MAX_BYTES_PER_CORE = 1  # pretend the file is huge relative to the cluster
+        S.SPREAD_MAX_BYTES = 1  # pretend the file is huge relative to the cluster
         assert spread_scan(big) is big
     finally:
-        S.SPREAD_MAX_BYTES_PER_CORE = old
+        S.SPREAD_MAX_BYTES = old
 
 
 def test_broadcast_mentions_never_shuffle_posts(spark):
@@ -74,5 +74,5 @@ def test_dictionary_past_bound_goes_to_shuffle(spark, monkeypatch):
     small = sorted(tuple(r) for r in Detection(Q._probe(spark)).counts(posts).collect())
     monkeypatch.setattr(S, "BROADCAST_MAX_ROWS", 3)
     wide = Detection(Q._probe(spark))
-    assert wide.strategy == "shuffle" and wide.keys is None
+    assert wide.strategy == "shuffle" and wide.keys
     assert sorted(tuple(r) for r in wide.counts(posts).collect()) == small

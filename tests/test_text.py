@@ -78,3 +78,12 @@ def test_java_trim_and_blank_match_python(spark, values):
     got = {r["i"]: (r["t"], r["b"]) for r in df.select("i", T.java_trim("s").alias("t"), T.is_not_blank("s").alias("b")).collect()}
     want = {i: (v.strip(_LOW), v.strip(_LOW) != "") for i, v in enumerate(values)}
     assert got == want
+
+
+def test_trim_at_line_terminators(spark):
+    from onomata.functions.text import java_trim
+
+    texts = ["a \u0085", "a \u2028", "a \u2029", "a \n", "\x01 a\x00"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = [t.strip("".join(map(chr, range(33)))) for t in texts]
+    assert [r[0] for r in df.select(java_trim("t")).collect()] == want
