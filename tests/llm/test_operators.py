@@ -17,7 +17,11 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def tables(spark):
-    return {t: spark.read.parquet(f"{SF}/{t}.parquet").cache() for t in ("documents", "labels", "benchmark", "conversations")}
+    held = {t: spark.read.parquet(f"{SF}/{t}.parquet").cache() for t in ("documents", "labels", "benchmark", "conversations")}
+    yield held
+    # A cached table would replace the scans in the plans of later tests.
+    for df in held.values():
+        df.unpersist()
 
 
 def awkward_rows():
