@@ -24,8 +24,9 @@ from pyspark.sql import types as T
 from .common import fresh, slices, with_columns
 
 KINDS = ("email", "ip", "card", "phone")
-#: Bound of the training sample: documents with personal data, by order of a hash of their texts.
-SAMPLE_DOCS = 600
+#: Bounds of the training sample: documents with personal data, by order of a hash of their texts, and characters that
+#: each gives of the surroundings of its digits and at signs. They bind the training only: decoding covers whole texts.
+SAMPLE_DOCS, SAMPLE_CHARS = 600, 20_000
 #: Characters of a window, and by how many the next one is further on; characters kept around a digit or at sign.
 WINDOW, STRIDE, MARGIN = 64, 32, 24
 HIDDEN, EMBED, EPOCHS, BATCH, RATE = 12, 12, 6, 32, 0.02
@@ -353,12 +354,12 @@ def all_spans(text: str | None, added: list[Span]) -> tuple[list[Span], list[Spa
 
 
 def learn(docs: DataFrame) -> Tagger:
-    """The network, trained on at most SAMPLE_DOCS texts with an at sign or a stretch of digits."""
+    """The network, trained on at most SAMPLE_DOCS texts with an at sign or a stretch of digits, SAMPLE_CHARS of each."""
     text = F.col("text")
     marked = docs.where(text.rlike("[0-9][0-9 ().-]{5,}[0-9]|@")).select("text")
     # Texts by order of their hash; of long ones the parts around their digits and at signs only reach the driver.
     near = F.array_join(F.regexp_extract_all(text, F.lit(r"(?s).{0,40}[0-9@].{0,60}"), 0), "\n")
-    sample = marked.select(F.xxhash64("text").alias("h"), F.substring(near, 1, 20000).alias("text")).orderBy("h", "text").limit(SAMPLE_DOCS)
+    sample = marked.select(F.xxhash64("text").alias("h"), F.substring(near, 1, SAMPLE_CHARS).alias("text")).orderBy("h", "text").limit(SAMPLE_DOCS)
     texts = [r[0] for r in sample.select("text").toLocalIterator()]
     tagger = Tagger()
     x, y = training_windows(texts)
