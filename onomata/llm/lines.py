@@ -2,33 +2,39 @@
 
 A line is a row of tokens; tokens with a digit are variable. The tree has a fixed
 depth: a line goes to the leaf of its number of tokens and its leading tokens. In a
-leaf, lines that agree in most places share a template, whose other places are
-variable fields. A template found in enough documents is recurring, and its lines are
-dropped from all of them.
-
-Equal lines (after variable tokens are masked) are counted before anything is
-gathered, so a very common line is one row. A leaf with many different lines is
-clustered in parts; the parts' templates then meet in a second round.
+leaf, a line's template keeps the places in which other lines agree with it; lines
+that agree in most places are of one template, whose other places are variable
+fields. A line whose template occurs in enough different documents is recurring, and
+is dropped from all of them.
+
+Equal lines (after variable tokens are masked) are one row, with a few of their
+documents: as many as make a line recurring, which is all of them for other lines.
+The lines of a leaf meet in one group. A leaf with many different lines is cut into
+groups first; lines that are not found recurring there meet, by further levels of the
+tree, every line that may agree with them: two lines that differ in d places at most
+agree wholly in one of d + 1 ranges of places. The result is the same for any size of
+the groups.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import checkpoint, fresh, slices, text_bytes
 from .words import LINED, SPACED, mix, run_hashes, runs
 
-#: Leading tokens that lead to a leaf; share of places in which a line must agree with a template.
+#: Leading tokens that lead to a leaf; share of places in which lines of one template must agree.
 LEADING, AGREE = 3, 0.7
 #: Documents in which a template must occur to be recurring.
 DOCUMENTS = 3
-#: Different lines of a leaf that are clustered in one part, about.
+#: Different lines that are compared in one group, about.
 PART = 1000
 
 _VARIABLE = np.uint64(0x5DEECE66D)
@@ -88,73 +94,85 @@ def _spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([_signed(x.leaf[some]), _signed(x.shape[some]), tokens], names=["leaf", "shape", "tokens"])
 
 
-def cluster(tokens: np.ndarray, known: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Template of each row, and the templates' tokens and constant places.
+def least(size: int) -> int:
+    """Places in which two lines of ``size`` tokens must agree at least."""
+    return math.ceil(AGREE * size - 1e-9)
 
-    Rows go in order of weight; the first that has no template founds one, and all others that agree with it in
-    enough of its constant places join. ``known`` marks the constant places of rows that are templates themselves.
-    """
-    n = len(tokens)
-    of = np.full(n, -1)
-    founders, constant = [], []
-    for seed in np.argsort(-weight, kind="stable").tolist():
-        if of[seed] >= 0:
-            continue
-        rest = np.flatnonzero(of < 0)
-        same = (tokens[rest] == tokens[seed]) & known[rest] & known[seed]
-        mine = rest[same.sum(axis=1) >= AGREE * tokens.shape[1]]
-        mine = np.union1d(mine, [seed])
-        of[mine] = len(founders)
-        founders.append(seed)
-        constant.append((tokens[mine] == tokens[seed]).all(axis=0) & known[mine].all(axis=0))
-    return of, tokens[founders], np.array(constant)
-
-
-def _clustered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each part of a leaf: its templates, with their tokens, constant places, documents and members."""
+
+def meet(tokens: np.ndarray, docs: list[list[int]], asks: np.ndarray, enough: int) -> dict[int, list[int]]:
+    """For each row that asks and that others agree with: the documents of them all, ``enough`` of them at most."""
+    out = {}
+    for k in np.flatnonzero(asks).tolist():
+        like = np.flatnonzero((tokens == tokens[k]).sum(axis=1) >= least(tokens.shape[1]))
+        if len(like) > 1:
+            found: set[int] = set()
+            for j in like.tolist():
+                found.update(docs[j])
+                if len(found) >= enough:
+                    break
+            out[k] = sorted(found)[:enough]
+    return out
+
+
+def _met(batches: Iterator[pa.RecordBatch], enough: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for leaf, members in zip(batch.column("leaf").to_pylist(), batch.column("members").to_pylist(), strict=True):
-            members.sort(key=lambda m: m["id"])
+        shapes: list[int] = []
+        docs: list[list[int]] = []
+        for members in batch.column("members").to_pylist():
+            members.sort(key=lambda m: m["shape"])
             tokens = np.array([np.frombuffer(m["tokens"], np.uint32) for m in members])
-            known = np.array([np.frombuffer(m["constant"], bool) for m in members])
-            of, founders, constant = cluster(tokens, known, np.array([m["n"] for m in members]))
-            for t in range(len(founders)):
-                mine = [members[k] for k in np.flatnonzero(of == t).tolist()]
-                rows.append({"leaf": leaf, "tokens": founders[t].tobytes(), "constant": constant[t].tobytes(), "n": sum(m["n"] for m in mine), "ids": [m["id"] for m in mine]})
-        kind = [("leaf", pa.int64()), ("tokens", pa.binary()), ("constant", pa.binary()), ("n", pa.int64()), ("ids", pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_pylist(rows, pa.schema(kind))
+            found = meet(tokens, [m["docs"] for m in members], np.array([m["asks"] for m in members]), enough)
+            shapes += [members[k]["shape"] for k in found]
+            docs += found.values()
+        yield pa.RecordBatch.from_arrays([pa.array(shapes, pa.int64()), pa.array(docs, pa.list_(pa.int64()))], names=["shape", "docs"])
 
 
-_TEMPLATE = "leaf bigint, tokens binary, constant binary, n bigint, ids array<bigint>"
+def _grouped(rows: DataFrame, by: list, enough: int) -> DataFrame:
+    """shape and documents of the rows (shape, tokens, docs, asks) that others of their group agree with."""
+    groups = rows.groupBy(*by).agg(F.max("asks").alias("asked"), F.collect_list(F.struct("shape", "tokens", "docs", "asks")).alias("members"))
+    return groups.where("asked").select("members").mapInArrow(lambda b: _met(b, enough), "shape bigint, docs array<bigint>")
 
 
-def _gathered(rows: DataFrame) -> DataFrame:
-    """Rows (leaf, part, id, tokens, constant, n) as templates per leaf and part."""
-    parts = rows.groupBy("leaf", "part").agg(F.collect_list(F.struct("id", "tokens", "constant", "n")).alias("members"))
-    return parts.select("leaf", "members").mapInArrow(_clustered, _TEMPLATE)
+def _crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row once for each range of its places, with a bucket for what the range holds."""
+    for batch in batches:
+        sizes = np.array([len(x) // 4 for x in batch.column("tokens").to_pylist()], np.int64)
+        for size in np.unique(sizes).tolist():
+            own = batch.take(pa.array(np.flatnonzero(sizes == size)))
+            tokens = np.frombuffer(b"".join(own.column("tokens").to_pylist()), np.uint32).reshape(own.num_rows, size).astype(np.uint64)
+            leaf = own.column("leaf").to_numpy().view(np.uint64)
+            for g, places in enumerate(np.array_split(np.arange(min(LEADING, size), size), size - least(size) + 1)):
+                bucket = mix(leaf + np.uint64(g + 1))
+                for k in places.tolist():
+                    bucket = mix(bucket + tokens[:, k])
+                yield pa.RecordBatch.from_arrays([_signed(bucket), *(own.column(c) for c in ("shape", "tokens", "docs", "asks"))], names=["bucket", "shape", "tokens", "docs", "asks"])
 
 
 def recurring_shapes(docs: DataFrame, lines: DataFrame, documents: int = DOCUMENTS) -> DataFrame:
     """The shapes of lines whose template occurs in ``documents`` documents or more."""
-    shapes = checkpoint(lines.where("line >= 0").select("leaf", "shape", "doc_id", "text_key").distinct().groupBy("leaf", "shape").agg(F.count(F.lit(1)).alias("n")))
-    leaves = shapes.groupBy("leaf").agg(F.count(F.lit(1)).alias("shapes"), F.sum("n").alias("total"))
-    leaves = leaves.where((F.col("shapes") > 1) & (F.col("total") >= documents)).select("leaf", F.ceil(F.col("shapes") / PART).cast("int").alias("parts"))
-    open_ = shapes.join(leaves, "leaf")
+    seen = lines.where("line >= 0").select("leaf", "shape", F.xxhash64("doc_id", "text_key").alias("doc")).distinct()
+    # A very common line sends a few of its documents from each task only.
+    few = seen.withColumn("k", F.row_number().over(Window.partitionBy("leaf", "shape").orderBy("doc"))).where(F.col("k") <= documents)
+    shapes = checkpoint(few.groupBy("leaf", "shape").agg(F.collect_list("doc").alias("docs")))
+    enough = F.size("docs") >= documents
+    leaves = shapes.groupBy("leaf").agg(F.count(F.lit(1)).alias("shapes"), F.sum(F.size("docs")).alias("total"), F.max(~enough).alias("asks"))
+    leaves = leaves.where((F.col("shapes") > 1) & (F.col("total") >= documents) & F.col("asks")).select("leaf", F.ceil(F.col("shapes") / PART).cast("int").alias("parts"))
     spelled = docs.select("text").mapInArrow(_spelled, "leaf bigint, shape bigint, tokens binary")
     # A line in many slices comes once from each; the first is as good as any.
-    rows = spelled.join(open_, ["leaf", "shape"]).groupBy("leaf", "shape", "parts", "n").agg(F.first("tokens").alias("tokens"))
-    constant = F.expr("cast(repeat(decode(unhex('01'), 'UTF-8'), cast(length(tokens) / 4 as int)) as binary)")
-    rows = rows.select("leaf", F.pmod(F.xxhash64("shape"), F.col("parts")).alias("part"), F.col("shape").alias("id"), "tokens", constant.alias("constant"), "n", "parts")
-    rows = checkpoint(rows)
-    small = _gathered(rows.where("parts = 1")).where(F.col("n") >= documents).select(F.explode("ids").alias("shape"))
-
-    # Large leaves: each part's templates of several lines, and its most frequent others, meet in a second round.
-    first = checkpoint(_gathered(rows.where("parts > 1")).withColumn("id", F.xxhash64("leaf", "tokens", "constant", F.element_at("ids", 1))))
-    merged = first.where((F.size("ids") > 1) | (F.col("n") >= documents))
-    again = _gathered(merged.select("leaf", F.pmod(F.xxhash64("constant"), F.lit(16)).alias("part"), "id", "tokens", "constant", "n")).where(F.col("n") >= documents)
-    large = first.join(again.select(F.explode("ids").alias("id")), "id", "left_semi").select(F.explode("ids").alias("shape"))
-    return shapes.where(F.col("n") >= documents).select("shape").union(small).union(large).distinct()
+    rows = spelled.join(shapes.join(leaves, "leaf"), ["leaf", "shape"]).groupBy("leaf", "shape").agg(*(F.first(c).alias(c) for c in ("tokens", "docs", "parts")))
+    rows = checkpoint(rows.withColumn("asks", ~enough))
+    found = checkpoint(_grouped(rows, ["leaf", F.pmod(F.xxhash64("shape"), F.col("parts"))], documents).where(enough).select("shape"))
+
+    # Large leaves: what is not found yet meets all lines that may agree with it, block by block where they are many.
+    decided = found.withColumn("decided", F.lit(True))
+    large = rows.where("parts > 1").drop("parts").join(decided, "shape", "left").withColumn("asks", F.col("asks") & F.col("decided").isNull()).drop("decided")
+    crossed = large.select("leaf", "shape", "tokens", "docs", "asks").mapInArrow(_crossed, "bucket bigint, shape bigint, tokens binary, docs array<bigint>, asks boolean")
+    sizes = crossed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.max("asks").alias("asked")).where("asked and size > 1")
+    blocks = crossed.join(sizes.select("bucket", F.ceil(F.col("size") / PART).cast("int").alias("blocks")), "bucket")
+    blocks = blocks.withColumn("own", F.pmod(F.xxhash64("shape"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    late = _grouped(blocks, ["bucket", F.least("own", "other"), F.greatest("own", "other")], documents)
+    late = late.groupBy("shape").agg(F.array_distinct(F.flatten(F.collect_list("docs"))).alias("docs")).where(enough)
+    return shapes.where(enough).select("shape").union(found).union(late.select("shape")).distinct()
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -178,8 +196,8 @@ def dropped_lines(docs: DataFrame, documents: int = DOCUMENTS) -> DataFrame:
 def line_report(docs: DataFrame, documents: int = DOCUMENTS) -> DataFrame:
     """doc_id, n_lines (lines with a token), n_dropped and dropped (their numbers, from 0) of every document.
 
-    Null and empty texts have no lines; repeated rows get a row each but count as one document; a line that occurs
-    twice in a document counts once for its template; no rows give none.
+    Null and empty texts have no lines; repeated rows get a row each but count as one document; lines of one template
+    in one document count once for it; no rows give none.
     """
     found = dropped_lines(docs, documents)
     rows = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))

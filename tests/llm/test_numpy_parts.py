@@ -250,8 +250,10 @@ def test_lines_shapes_and_clusters():
     assert x.text.tolist() == [0, 0, 0, 2, 3] and x.number.tolist() == [0, 3, 4, 0, 0]
     assert x.shape[0] == x.shape[1] == x.shape[3] and len(set(x.shape.tolist())) == 3
     tokens = np.array([[1, 2, 3, 4], [1, 2, 9, 4], [5, 6, 7, 8], [1, 2, 3, 7]], np.uint32)
-    of, founders, constant = lines.cluster(tokens, np.ones(tokens.shape, bool), np.array([3, 1, 1, 2]))
-    assert of.tolist() == [0, 0, 1, 0] and founders[0].tolist() == [1, 2, 3, 4] and constant[0].tolist() == [True, True, False, False]
+    asks = np.array([False, True, True, True])
+    assert lines.meet(tokens, [[1, 2, 3], [4], [4], [5]], asks, 3) == {1: [1, 2, 3], 3: [1, 2, 3]}
+    assert lines.meet(tokens, [[1], [1], [2], [1]], asks, 3) == {1: [1], 3: [1]}
+    assert [lines.least(n) for n in (1, 3, 4, 10, 11, 90)] == [1, 3, 3, 7, 8, 63]
 
 
 def test_windows_of_a_benchmark_block():

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 
 import pytest
@@ -259,6 +260,24 @@ def test_large_leaves_in_parts(spark, monkeypatch):
     assert all(r["n_dropped"] == 1 for r in lines.line_report(docs).collect())
 
 
+@pytest.mark.parametrize("part", [1000, 5, 2])
+def test_templates_against_brute_force(spark, monkeypatch, part):
+    monkeypatch.setattr(lines, "PART", part)
+    rng = random.Random(5)
+    texts = [["to all of " + " ".join(rng.choice("abcd") for _ in range(rng.choice([1, 3, 7]))) for _ in range(rng.randint(0, 4))] for _ in range(40)]
+    texts.append([f"seen in one only {x} y z u v w" for x in "klmn"])
+    got = {r["doc_id"]: list(r["dropped"]) for r in lines.line_report(spark.createDataFrame([(k, "\n".join(x)) for k, x in enumerate(texts)], "doc_id bigint, text string")).collect()}
+    where = [(k, line.split()) for k, x in enumerate(texts) for line in x]
+
+    def recurring(line):
+        own = line.split()
+        like = {k for k, x in where if len(x) == len(own) and x[:3] == own[:3] and sum(map(str.__eq__, x, own)) >= lines.least(len(own))}
+        return len(like) >= lines.DOCUMENTS
+
+    want = {k: [i for i, line in enumerate(x) if recurring(line)] for k, x in enumerate(texts)}
+    assert got == want and want[40] == [] and 0 < sum(map(len, want.values())) < sum(map(len, texts))
+
+
 def test_personal_data(spark, tables):
     docs = tables["documents"].select("doc_id", "text")
     rows = by_id(pii.personal_data_report(docs))
