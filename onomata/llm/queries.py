@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .chat import conversation_report, with_probe
 from .common import table
@@ -41,7 +42,8 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_report(table(spark, sf_dir, "documents"))
+    report = line_report(table(spark, sf_dir, "documents"))
+    return report.withColumn("dropped", F.array_join(F.col("dropped").cast("array<string>"), ","))
 
 
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +120,53 @@ SELECT doc_id, size, source_size, target, CAST(coalesce(n, 0) * size AS BIGINT)
 """
 
 
+OP4_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('=' || text, '') AS key, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT doc_id, key, CASE WHEN len(words) < 5 THEN list_filter([array_to_string(words, ' ')], lambda x: x <> '')
+                           ELSE list_sort(list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')))) END AS shingles FROM d
+), m AS (
+  SELECT doc_id, key, shingles, md5(array_to_string(shingles, chr(10))) AS class FROM s
+), c AS (
+  SELECT class, min(doc_id) AS copy_id, count(DISTINCT key) AS texts, any_value(shingles) AS shingles FROM m GROUP BY class
+), e AS (
+  SELECT copy_id, len(shingles) AS n, unnest(shingles) AS shingle FROM c
+), p AS (
+  SELECT a.copy_id AS u, b.copy_id AS v FROM e a JOIN e b ON a.shingle = b.shingle AND a.copy_id <> b.copy_id
+  GROUP BY a.copy_id, b.copy_id, a.n, b.n HAVING count(*) * 18 >= 8 * (a.n + b.n)
+), r AS (
+  SELECT copy_id AS u, copy_id AS v FROM c UNION SELECT r.u, p.v FROM r JOIN p ON p.u = r.v
+), g AS (
+  SELECT u, min(v) AS class_id FROM r GROUP BY u
+), n AS (
+  SELECT p.u, sum(c.texts) AS links FROM p JOIN c ON c.copy_id = p.v GROUP BY p.u
+)
+SELECT m.doc_id, g.class_id, c.copy_id, CAST(coalesce(n.links, 0) + c.texts - 1 AS BIGINT) AS n_links
+FROM m JOIN c ON c.class = m.class JOIN g ON g.u = c.copy_id LEFT JOIN n ON n.u = c.copy_id
+"""
+
+
+OP6_SQL = r"""
+WITH t AS (
+  SELECT doc_id, md5(concat_ws('|', CAST(doc_id AS VARCHAR), text)) AS doc, string_split(text, chr(10)) AS lines FROM documents
+), l AS (
+  SELECT doc_id, doc, i - 1 AS line, list_transform(regexp_extract_all(x, '[^\x20\x09-\x0D]+'), lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN chr(10) ELSE w END) AS tokens
+  FROM (SELECT doc_id, doc, unnest(lines) AS x, unnest(range(1, len(lines) + 1)) AS i FROM t)
+), k AS (
+  SELECT tokens, len(tokens) AS n, tokens[1:3] AS leading, list(DISTINCT doc) AS docs FROM l WHERE len(tokens) > 0 GROUP BY tokens
+), a AS (
+  SELECT a.tokens FROM k a JOIN k b ON a.n = b.n AND a.leading = b.leading
+  WHERE list_sum(list_transform(range(1, a.n + 1), lambda i: CAST(a.tokens[i] = b.tokens[i] AS BIGINT))) * 10 >= 7 * a.n
+  GROUP BY a.tokens HAVING len(list_distinct(flatten(list(b.docs)))) >= 3
+), f AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(a.tokens) AS n_dropped, string_agg(CAST(line AS VARCHAR), ',' ORDER BY line) FILTER (WHERE a.tokens IS NOT NULL) AS dropped
+  FROM l LEFT JOIN a ON a.tokens = l.tokens WHERE len(l.tokens) > 0 GROUP BY l.doc_id
+)
+SELECT t.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_dropped, 0) AS BIGINT) AS n_dropped, coalesce(dropped, '') AS dropped FROM t LEFT JOIN f ON f.doc_id = t.doc_id
+"""
+
+
 OP9_SQL = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -140,4 +189,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": OP2_SQL, "op5_decontamination": OP5_SQL, "op9_chat_formatting": OP9_SQL}
+    return {"op2_mixing": OP2_SQL, "op4_ngram_jaccard_join": OP4_SQL, "op5_decontamination": OP5_SQL, "op6_line_dedup": OP6_SQL, "op9_chat_formatting": OP9_SQL}
