@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,8 +34,8 @@ from .words import LINED, SPACED, mix, run_hashes, runs
 LEADING, AGREE = 3, 0.7
 #: Documents in which a template must occur to be recurring.
 DOCUMENTS = 3
-#: Different lines that are compared in one group, about.
-PART = 1000
+#: Different lines that are compared in one group, and bytes of their tokens, about.
+PART, PART_BYTES = 1000, 16 << 20
 
 _VARIABLE = np.uint64(0x5DEECE66D)
 _DIGIT = np.zeros(256, bool)
@@ -148,6 +148,11 @@ def _crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([_signed(bucket), *(own.column(c) for c in ("shape", "tokens", "docs", "asks"))], names=["bucket", "shape", "tokens", "docs", "asks"])
 
 
+def _parts(lines: Column, width: Column) -> Column:
+    """Groups for so many lines whose tokens have so many bytes each."""
+    return F.ceil(F.greatest(lines / PART, lines * width / PART_BYTES)).cast("int")
+
+
 def recurring_shapes(docs: DataFrame, lines: DataFrame, documents: int = DOCUMENTS) -> DataFrame:
     """The shapes of lines whose template occurs in ``documents`` documents or more."""
     seen = lines.where("line >= 0").select("leaf", "shape", F.xxhash64("doc_id", "text_key").alias("doc")).distinct()
@@ -156,19 +161,19 @@ def recurring_shapes(docs: DataFrame, lines: DataFrame, documents: int = DOCUMEN
     shapes = checkpoint(few.groupBy("leaf", "shape").agg(F.collect_list("doc").alias("docs")))
     enough = F.size("docs") >= documents
     leaves = shapes.groupBy("leaf").agg(F.count(F.lit(1)).alias("shapes"), F.sum(F.size("docs")).alias("total"), F.max(~enough).alias("asks"))
-    leaves = leaves.where((F.col("shapes") > 1) & (F.col("total") >= documents) & F.col("asks")).select("leaf", F.ceil(F.col("shapes") / PART).cast("int").alias("parts"))
+    leaves = leaves.where((F.col("shapes") > 1) & (F.col("total") >= documents) & F.col("asks")).select("leaf", "shapes")
     spelled = docs.select("text").mapInArrow(_spelled, "leaf bigint, shape bigint, tokens binary")
     # A line in many slices comes once from each; the first is as good as any.
-    rows = spelled.join(shapes.join(leaves, "leaf"), ["leaf", "shape"]).groupBy("leaf", "shape").agg(*(F.first(c).alias(c) for c in ("tokens", "docs", "parts")))
-    rows = checkpoint(rows.withColumn("asks", ~enough))
+    rows = spelled.join(shapes.join(leaves, "leaf"), ["leaf", "shape"]).groupBy("leaf", "shape").agg(*(F.first(c).alias(c) for c in ("tokens", "docs", "shapes")))
+    rows = checkpoint(rows.select("leaf", "shape", "tokens", "docs", _parts(F.col("shapes"), F.length("tokens")).alias("parts"), (~enough).alias("asks")))
     found = checkpoint(_grouped(rows, ["leaf", F.pmod(F.xxhash64("shape"), F.col("parts"))], documents).where(enough).select("shape"))
 
     # Large leaves: what is not found yet meets all lines that may agree with it, block by block where they are many.
     decided = found.withColumn("decided", F.lit(True))
     large = rows.where("parts > 1").drop("parts").join(decided, "shape", "left").withColumn("asks", F.col("asks") & F.col("decided").isNull()).drop("decided")
     crossed = large.select("leaf", "shape", "tokens", "docs", "asks").mapInArrow(_crossed, "bucket bigint, shape bigint, tokens binary, docs array<bigint>, asks boolean")
-    sizes = crossed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.max("asks").alias("asked")).where("asked and size > 1")
-    blocks = crossed.join(sizes.select("bucket", F.ceil(F.col("size") / PART).cast("int").alias("blocks")), "bucket")
+    sizes = crossed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.max(F.length("tokens")).alias("width"), F.max("asks").alias("asked")).where("asked and size > 1")
+    blocks = crossed.join(sizes.select("bucket", _parts(F.col("size"), F.col("width")).alias("blocks")), "bucket")
     blocks = blocks.withColumn("own", F.pmod(F.xxhash64("shape"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     late = _grouped(blocks, ["bucket", F.least("own", "other"), F.greatest("own", "other")], documents)
     late = late.groupBy("shape").agg(F.array_distinct(F.flatten(F.collect_list("docs"))).alias("docs")).where(enough)

@@ -260,9 +260,10 @@ def test_large_leaves_in_parts(spark, monkeypatch):
     assert all(r["n_dropped"] == 1 for r in lines.line_report(docs).collect())
 
 
-@pytest.mark.parametrize("part", [1000, 5, 2])
-def test_templates_against_brute_force(spark, monkeypatch, part):
+@pytest.mark.parametrize(("part", "size"), [(1000, 1 << 20), (5, 1 << 20), (2, 1 << 20), (1000, 100)])
+def test_templates_against_brute_force(spark, monkeypatch, part, size):
     monkeypatch.setattr(lines, "PART", part)
+    monkeypatch.setattr(lines, "PART_BYTES", size)
     rng = random.Random(5)
     texts = [["to all of " + " ".join(rng.choice("abcd") for _ in range(rng.choice([1, 3, 7]))) for _ in range(rng.randint(0, 4))] for _ in range(40)]
     texts.append([f"seen in one only {x} y z u v w" for x in "klmn"])
