@@ -63,7 +63,7 @@ def finish_times(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     per_bucket = sized.groupBy("src", "source", "bucket").agg(F.sum("size").alias("words"))
     totals = source_targets(per_bucket.groupBy("src", "source").agg(F.sum("words").alias("source_size")))
     before = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    begun = per_bucket.select("src", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("begun")).join(F.broadcast(totals), "src")
+    begun = per_bucket.select("src", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("begun")).join(totals, "src")
     inside = Window.partitionBy("src", "bucket").orderBy("key").rangeBetween(Window.unboundedPreceding, 0)
     timed = sized.join(begun, ["src", "bucket"]).withColumn("done", F.col("begun") + F.sum("size").over(inside))
     timed = checkpoint(timed.select("doc_id", "key", "size", "source_size", "rank", "target", "done"))
