@@ -1,8 +1,8 @@
 """Quality classifier: nearest-neighbour voting among labelled latent-semantic vectors.
 
 A text becomes counts of hashed features (words, their character trigrams, and
-marks of its style), weighted by term and inverse document frequency. A truncated
-singular value decomposition of a bounded sample of labelled texts gives the
+marks of its style), weighted by term and inverse document frequency, which is
+counted over all documents. A truncated singular value decomposition of a bounded sample of labelled texts gives the
 latent space. The sample's vectors and labels are broadcast; each document's
 cosine with all of them is computed exactly, in blocks, and its nearest neighbours
 vote with weights by similarity.
@@ -120,12 +120,12 @@ class Space:
         return np.clip(out, 0, 1)
 
 
-def fit(row: np.ndarray, column: np.ndarray, value: np.ndarray, labels: list[int], prior: float, seed: int = 5) -> Space:
+def fit(row: np.ndarray, column: np.ndarray, value: np.ndarray, labels: list[int], prior: float, seed: int = 5, corpus: tuple[int, np.ndarray] | None = None) -> Space:
     """Weights and latent axes from the labelled texts' features (randomised truncated decomposition), and their
-    vectors."""
+    vectors. ``corpus`` has the number of all texts and how many hold each feature; without it the labelled ones count."""
     n = len(labels)
-    there = np.bincount(column, minlength=FEATURES)
-    weight = np.log((1 + n) / (1 + there)).astype(np.float32) + 0.1
+    texts, there = corpus or (n, np.bincount(column, minlength=FEATURES))
+    weight = np.log((1 + texts) / (1 + there)).astype(np.float32) + 0.1
     weight[FEATURES - _STYLES :] = 1.0
     value = value * weight[column]
     value /= np.sqrt(np.maximum(np.bincount(row, value.astype(np.float64) ** 2, n), 1e-9))[row].astype(np.float32)
@@ -156,18 +156,57 @@ def learn(docs: DataFrame, labels: DataFrame) -> Space:
     for label in (0, 1):
         part = known.where(F.col("quality") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE // 2)
         picked = part if picked is None else picked.union(part)
-    # At most SAMPLE ids are broadcast.
-    chosen = docs.where(F.col("text").isNotNull()).join(F.broadcast(picked), "doc_id").select("text", "quality")
-    sparse = chosen.mapInArrow(_sparse, "quality int, h bigint, columns array<int>, values array<float>")
+    # At most SAMPLE ids are broadcast; of each one text stays, however many rows it has.
+    chosen = docs.where(F.col("text").isNotNull()).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "quality")
+    lowest = chosen.mapInArrow(_lowest, T.StructType([*chosen.schema.fields, T.StructField("h", T.LongType())]))
+    one = lowest.groupBy("doc_id").agg(F.min(F.struct("h", "text", "quality")).alias("own")).select("own.text", "own.quality")
+    sparse = one.mapInArrow(_sparse, "quality int, h bigint, columns array<int>, values array<float>")
     quality, rows, columns, values = [], [], [], []
-    for r in sparse.orderBy("quality", "h").limit(SAMPLE).toLocalIterator():
+    for r in sparse.orderBy("quality", "h").toLocalIterator():  # SAMPLE rows at most
         rows.append(np.full(len(r["columns"]), len(quality)))
         columns.append(np.array(r["columns"], np.int64))
         values.append(np.array(r["values"], np.float32))
         quality.append(r["quality"])
     if not quality:
         return Space(np.ones(FEATURES, np.float32), np.zeros((FEATURES, 1), np.float32))
-    return fit(np.concatenate(rows), np.concatenate(columns), np.concatenate(values), quality, prior)
+    return fit(np.concatenate(rows), np.concatenate(columns), np.concatenate(values), quality, prior, corpus=frequencies(docs))
+
+
+def frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
+    """How many documents there are, and how many hold each feature (FEATURES + 1 rows at most reach the driver)."""
+    there = np.zeros(FEATURES + 1, np.int64)
+    for feature, n in docs.select("text").mapInArrow(_count, "feature int, n bigint").groupBy("feature").agg(F.sum("n")).collect():
+        there[feature] = n
+    return int(there[FEATURES]), there[:FEATURES]
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many texts each feature is, and as feature FEATURES the number of texts."""
+    total = np.zeros(FEATURES + 1, np.int64)
+    for batch in slices(batches):
+        _, column, _ = features(batch.column("text"))
+        total[:FEATURES] += np.bincount(column, minlength=FEATURES)
+        total[FEATURES] += batch.num_rows
+    some = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["feature", "n"])
+
+
+def _text_hash(data: np.ndarray) -> int:
+    return zlib.crc32(data.tobytes())
+
+
+def _lowest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each id the row of the lowest text hash (then text) among the task's rows."""
+    best: dict[tuple, tuple] = {}
+    for batch in slices(batches):
+        data, at = text_bytes(batch.column("text"))
+        for k, key in enumerate(batch.column("doc_id").to_pylist()):
+            own = data[at[k] : at[k + 1]]
+            own = _text_hash(own), own.tobytes()
+            if key not in best or own < best[key][0]:
+                best[key] = own, batch.take(pa.array([k]))
+    for (h, _), row in best.values():
+        yield with_columns(row, {"h": pa.array([h], pa.int64())})
 
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,7 +218,7 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, column, value = row[order], column[order], value[order]
         cut = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
         data, at = text_bytes(texts)
-        h = [zlib.crc32(data[at[k] : at[k + 1]].tobytes()) for k in range(batch.num_rows)]
+        h = [_text_hash(data[at[k] : at[k + 1]]) for k in range(batch.num_rows)]
         lists = [pa.ListArray.from_arrays(cut, pa.array(column.astype(np.int32))), pa.ListArray.from_arrays(cut, pa.array(value))]
         yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(h, pa.int64()), *lists], names=["quality", "h", "columns", "values"])
 

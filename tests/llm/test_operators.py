@@ -4,7 +4,10 @@ import collections
 import hashlib
 import random
 import re
+import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -302,6 +305,32 @@ def test_quality_classifier_on_held_out_rows(spark, tables):
     assert some(labels) == some(other)
 
 
+def test_classifier_sample_has_both_labels_where_rows_repeat(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SAMPLE", 20)
+    ids = [k for k in range(100) if zlib.crc32(str(k).encode()) % 4 != 2]
+    text = lambda k: f"lake tree walk bird {k}" if k % 2 else f"### BUY!! $$$ NOW!! {k}"
+    docs = spark.createDataFrame([(k, text(k)) for k in ids for _ in range(2)] + [(ids[0], text(ids[0]))] * 50, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in ids], "doc_id bigint, quality int")
+    space = neighbours.learn(docs, labels)
+    assert sorted(space.labels.tolist()) == [0.0] * 10 + [1.0] * 10
+    scores = {r["doc_id"]: r["score"] for r in neighbours.classifier_report(docs, labels).collect()}
+    assert all((scores[k] > 0.9) if k % 2 else (scores[k] < 0.1) for k in ids)
+
+
+def test_classifier_weights_count_all_documents(spark):
+    docs = spark.createDataFrame([(0, "alpha beta"), (1, "alpha gamma"), (2, "alpha delta"), (6, None), (None, "alpha")], "doc_id bigint, text string")
+    n, there = neighbours.frequencies(docs)
+    assert n == 5
+    want = collections.Counter()
+    for r in docs.collect():
+        want.update(set(neighbours.features(pa.array([r["text"]], pa.string()))[1].tolist()))
+    assert {k: there[k] for k in there.nonzero()[0].tolist()} == dict(want)
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id bigint, quality int")
+    space = neighbours.learn(docs, labels)
+    plain = neighbours.FEATURES - neighbours._STYLES
+    assert space.weight[:plain] == pytest.approx(np.log(6 / (1 + there[:plain])) + 0.1, abs=1e-5)
+
+
 def test_language_id_on_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = langid.language_report(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
