@@ -3,8 +3,9 @@
 Every language has a multinomial over hashed byte trigrams inside words. A
 document's words come from a mixture of the languages; expectation-maximisation
 estimates its proportions. The set of languages is the one, among the sets of the
-largest proportions, with the best penalised likelihood; the largest of that set
-is the prediction. Counts are over all documents that may be learned from.
+largest proportions, with the best penalised likelihood, whatever its size; the
+proportions are estimated anew within it, and the largest is the prediction.
+Counts are over all documents that may be learned from.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from pyspark.sql import types as T
 from .common import fresh, held_out, learns, slices, text_bytes, with_columns
 from .words import lower_ascii, runs
 
-#: Bits of a hashed trigram; rounds of expectation-maximisation; largest set of languages that is tried.
-BITS, ROUNDS, MOST_LANGUAGES = 16, 8, 3
+#: Bits of a hashed trigram; rounds of expectation-maximisation, and of those within a set of languages.
+BITS, ROUNDS, SET_ROUNDS = 16, 8, 3
 #: A further language must raise the log-likelihood by this many times the log of the document's words.
 PENALTY = 2.0
 #: What is added to each count.
@@ -105,8 +106,23 @@ def _fit(likely: np.ndarray, cut: np.ndarray, share: np.ndarray, rounds: int) ->
     return share, _sums(np.log(np.maximum(mixed, 1e-30)), cut)
 
 
+def _most(likely: np.ndarray, cut: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """What no proportions of any languages can lift each document's log-likelihood above.
+
+    The log-likelihood is concave, so its gain over that of ``share`` is at most the number of words times the log of
+    the largest mean of a language's likelihood over the mixture's.
+    """
+    size = np.diff(np.append(cut, len(likely)))
+    mixed = np.maximum((likely * np.repeat(share, size, axis=0)).sum(axis=1), 1e-30)
+    mean = _sums(likely / mixed[:, None], cut).max(axis=1) / size
+    return np.minimum(0, _sums(np.log(mixed), cut) + size * np.log(np.maximum(mean, 1)))
+
+
 def infer(texts: pa.Array, model: Model) -> tuple[list[str], np.ndarray, list[list[str]]]:
-    """Predicted language, its proportion, and the chosen set (largest first) of each text."""
+    """Predicted language, its proportion, and the chosen set (largest first) of each text.
+
+    A larger set is tried until its penalty alone rules out that it or any after it is better.
+    """
     n, k = len(texts), len(model.languages)
     lang, score, chosen = [UNKNOWN] * n, np.zeros(n), [[] for _ in range(n)]
     code, first, text, _ = _trigrams(texts)
@@ -122,9 +138,10 @@ def infer(texts: pa.Array, model: Model) -> tuple[list[str], np.ndarray, list[li
     order = np.argsort(-share, axis=1, kind="stable")
     best = np.full(len(docs), -np.inf)
     size = np.ones(len(docs), np.int64)
-    for m in range(1, min(k, MOST_LANGUAGES) + 1):
-        # Documents whose m-th language is too small to matter are not tried again.
-        live = np.flatnonzero(share[np.arange(len(docs)), order[:, m - 1]] > (0.01 if m > 1 else -1))
+    fitted = np.zeros((len(docs), k), np.float32)
+    most, price = _most(likely, cut, share), PENALTY * np.log(np.maximum(words, 2))
+    for m in range(1, k + 1):
+        live = np.flatnonzero(most - price * (m - 1) > best)
         if not len(live):
             break
         inside = np.zeros((len(live), k), np.float32)
@@ -133,13 +150,15 @@ def infer(texts: pa.Array, model: Model) -> tuple[list[str], np.ndarray, list[li
         part = np.concatenate([[0], np.cumsum(words[live])[:-1]])
         start = share[live] * inside
         start /= np.maximum(start.sum(axis=1, keepdims=True), 1e-30)
-        _, value = _fit(likely[rows], part, start, 0 if m == 1 else 3)
-        value = value - PENALTY * (m - 1) * np.log(np.maximum(words[live], 2))
+        own, value = _fit(likely[rows], part, start, 0 if m == 1 else SET_ROUNDS)
+        value = value - price[live] * (m - 1)
         better = value > best[live]
-        best[live[better]], size[live[better]] = value[better], m
+        best[live[better]], size[live[better]], fitted[live[better]] = value[better], m, own[better]
+    # Languages outside a document's set have no proportion in it.
+    order = np.argsort(-fitted, axis=1, kind="stable")
     for i, d in enumerate(docs.tolist()):
         lang[d] = model.languages[order[i, 0]]
-        score[d] = min(1.0, float(share[i, order[i, 0]]))
+        score[d] = min(1.0, float(fitted[i, order[i, 0]]))
         chosen[d] = [model.languages[j] for j in order[i, : size[i]]]
     return lang, score, chosen
 
@@ -151,7 +170,7 @@ def _lettered(texts: pa.Array) -> list[bool]:
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """All columns and rows of ``docs`` and a struct ``language`` (underscores go in front of a taken name) of
-    lang_pred, score (its proportion of the words) and languages (the chosen set, largest first).
+    lang_pred, score (its proportion of the words, estimated within the set) and languages (the chosen set, largest first).
 
     ``und`` with score 0 and no set: null and empty texts, texts without a letter, and all texts where nothing was
     learned. Ties go to the language that sorts first. Repeated rows get the same values; no rows give none.
@@ -179,8 +198,8 @@ def language_report(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "language.lang_pred", "language.score", "language.languages")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.25) -> DataFrame:
-    """The documents, with their own columns, of which one learned language makes up ``least`` of the words."""
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The documents, with their own columns, whose chosen set has a language, however many share the text."""
     found = identify(docs, learn(docs))
     at = F.col(f"`{found.columns[-1]}`")
-    return found.where((at.lang_pred != UNKNOWN) & (at.score >= least)).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return found.where(F.size(at.languages) > 0).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -219,6 +219,33 @@ def test_trigrams_and_mixture_inference():
     assert chosen == [["bb"], ["aa", "bb"], [], [], [], ["aa"]]
 
 
+def test_a_text_in_many_languages_gets_them_all():
+    rng = random.Random(3)
+    speak = {"aa": "abcd", "bb": "efgh", "cc": "ijkl", "dd": "mnop", "ee": "qrst", "ff": "uvwx"}
+    word = lambda lang: "".join(rng.choice(speak[lang]) for _ in range(4))
+    counts = np.full((1 << langid.BITS, len(speak)), langid.SMOOTH)
+    for k, lang in enumerate(speak):
+        code, *_ = langid._trigrams(arrow([" ".join(word(lang) for _ in range(3000))]))
+        np.add.at(counts[:, k], code, 1)
+    model = langid.Model(list(speak), np.log(counts / counts.sum(axis=0)).astype(np.float32))
+    shares = [dict.fromkeys(speak, 60), {"bb": 80, "cc": 60, "dd": 40, "ff": 20}, {"ee": 50}]
+    lang, score, chosen = langid.infer(arrow([" ".join(word(x) for x, n in own.items() for _ in range(n)) for own in shares]), model)
+    assert [sorted(x) for x in chosen] == [sorted(own) for own in shares]
+    assert chosen[1] == ["bb", "cc", "dd", "ff"] and lang[1:] == ["bb", "ee"]
+    assert score == pytest.approx([1 / 6, 0.4, 1], abs=0.02) and score[2] == 1
+
+
+def test_no_mixture_is_likelier_than_the_bound():
+    rng = np.random.Generator(np.random.PCG64(4))
+    likely = rng.random((60, 4), np.float32) ** 4
+    likely /= likely.max(axis=1, keepdims=True)
+    cut = np.array([0, 1, 7, 30])
+    start = np.full((4, 4), 0.25, np.float32)
+    bound = langid._most(likely, cut, langid._fit(likely, cut, start, langid.ROUNDS)[0])
+    _, value = langid._fit(likely, cut, start, 5000)
+    assert (bound >= value - 1e-3).all() and (bound <= value + 5).all()
+
+
 def test_template_language():
     render = chat.compile_template("{% for m in messages %}{{ loop.index }}{% if loop.first %}^{% elif m.role == \"b\" and not loop.last %}-{% else %}${% endif %}{{ m.text | trim | upper }}{{ m.none }}{% endfor %}{{ 1 + 2 }}{{ 'x' + 'y\\n' }}")
     assert render([{"role": r, "text": f" {r}c "} for r in "abbz"]) == ("1^AC2-BC3-BC4$ZC3xy\n", [])

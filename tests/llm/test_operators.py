@@ -338,6 +338,19 @@ def test_language_id_on_held_out_rows(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_a_text_in_six_languages_is_kept(spark):
+    rng = random.Random(5)
+    speak = {"aa": "abcd", "bb": "efgh", "cc": "ijkl", "dd": "mnop", "ee": "qrst", "ff": "uvwx"}
+    words = lambda lang, n: " ".join("".join(rng.choice(speak[lang]) for _ in range(4)) for _ in range(n))
+    ids = [k for k in range(40) if zlib.crc32(str(k).encode()) % 4 != 2]
+    rows = [(k, words(lang, 2000), lang) for k, lang in zip(ids, speak)]
+    rows += [(1000, " ".join(words(lang, 50) for lang in speak), None), (1001, "12 34", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = {r["doc_id"]: r for r in langid.language_report(docs).collect()}
+    assert sorted(found[1000]["languages"]) == list(speak) and found[1000]["score"] < 0.25
+    assert sorted(r["doc_id"] for r in langid.keep_identified(docs).collect()) == sorted([*ids[:6], 1000])
+
+
 def test_conversations(spark, tables):
     rows = {r["conv_id"]: r for r in chat.conversation_report(chat.with_probe(tables["conversations"])).collect()}
     turns = collections.defaultdict(list)
