@@ -71,7 +71,6 @@ FEED_STATUSES = (
     "FETCH_FAILED",
     "BAD_JSON",
     "NO_CHILDREN",
-    "TOO_LARGE",
     "MISSING_FIELD",
     "BAD_FIELD",
     "EMPTY",

@@ -16,8 +16,11 @@ from ..plans.strategy import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
 
 # The body is read as text per child, which has no size limit; each child alone becomes a variant.
 _BODY_SCHEMA = "data struct<children: array<string>>, _corrupt_record string"
-# One child beyond the size of a variant cannot be decoded; its page says so.
-CHILD_MAX_BYTES = 16 * 1024 * 1024 - 1024
+# A larger child is read into strings instead of a variant, whose size has a limit.
+VARIANT_MAX_BYTES = 16 * 1024 * 1024 - 1024
+# Strings of JSON may have any length (Spark's default is 20 million characters).
+_ANY_LENGTH = {"maxStringLen": str(2**31 - 1)}
+_FIELDS = ("title", "selftext", "id")
 
 
 def _field(child: Column, name: str) -> Column:
@@ -33,22 +36,76 @@ def _not_scalar(child: Column, name: str) -> Column:
     return F.schema_of_variant(_field(child, name)).rlike("^(OBJECT|ARRAY)")
 
 
+def _data_as(text: Column, kind: str) -> Column:
+    """The fields of a child's data, each read as ``kind`` and null where it is of another kind."""
+    return F.from_json(text, f"data struct<{', '.join(f'{name}: {kind}' for name in _FIELDS)}>", _ANY_LENGTH)["data"]
+
+
+def _unique_keys(entries: Column) -> Column:
+    return F.size(F.array_distinct(F.map_keys(entries))) == F.size(F.map_keys(entries))
+
+
+def _large_child(text: Column) -> Column:
+    """A child of any size read into strings; null where it is no object or it or its data repeats a key."""
+    top = F.from_json(text, "map<string, string>", _ANY_LENGTH)
+    own = F.from_json(text, "data map<string, string>", _ANY_LENGTH)["data"]
+    return F.when(
+        _unique_keys(top) & (own.isNull() | _unique_keys(own)),
+        F.struct(own.alias("own"), _data_as(text, "map<string, string>").alias("objects"), _data_as(text, "array<string>").alias("arrays"), _data_as(text, "double").alias("numbers")),
+    )
+
+
+def _large_value(large: Column, name: str) -> Column:
+    # Numbers are written as a variant writes them.
+    text = large["own"][name]
+    number = F.try_variant_get(F.try_parse_json(F.when(large["numbers"][name].isNotNull(), text)), "$", "string")
+    return F.coalesce(number, text)
+
+
+def read_child(text: Column) -> Column:
+    """A child's JSON text as ``(small, large)``: a variant, or strings beyond a variant's size."""
+    fits = F.octet_length(text) <= VARIANT_MAX_BYTES
+    return F.struct(F.when(fits, F.try_parse_json(text)).alias("small"), F.when(~fits, _large_child(text)).alias("large"))
+
+
+def _lacks(child: Column, name: str) -> Column:
+    """Whether a child (of ``read_child``) is unreadable or has no such key."""
+    small, large = child["small"], child["large"]
+    has = F.coalesce(F.map_contains_key(large["own"], name), F.lit(False))
+    return F.when(large.isNotNull(), ~has).otherwise(small.isNull() | _missing(small, name))
+
+
+def _nested(child: Column, name: str) -> Column:
+    small, large = child["small"], child["large"]
+    return F.when(large.isNotNull(), large["objects"][name].isNotNull() | large["arrays"][name].isNotNull()).otherwise(_not_scalar(small, name))
+
+
+def _value(child: Column, name: str) -> Column:
+    return F.coalesce(F.try_variant_get(child["small"], f"$.data.{name}", "string"), _large_value(child["large"], name))
+
+
+def _is_json(body: Column) -> Column:
+    # get_json_object refuses strings of over 20 million characters.
+    readings = [F.from_json(body, kind, _ANY_LENGTH).isNotNull() for kind in ("map<string, string>", "array<string>")]
+    return F.get_json_object(body, "$").isNotNull() | ((F.octet_length(body) > 20_000_000) & (readings[0] | readings[1]))
+
+
 def feed_status_expr(body: Column, texts: Column, children: Column) -> Column:
     """Outcome of one body; tests run in the order of ``constants.FEED_STATUSES``.
 
     ``texts`` are the children as JSON text (null unless the body is JSON with a
-    list of children), ``children`` the same as variants. A child that is no
-    readable object (a string, null, or an object that repeats a key) has no
-    fields, so it counts as ``MISSING_FIELD``.
+    list of children), ``children`` the same read by ``read_child``. A child that
+    is no readable object (a string, null, or an object that repeats a key) has
+    no fields, so it counts as ``MISSING_FIELD``. Of a child too large for a
+    variant, keys repeated below its data are not looked for.
     """
     return (
         F.when(body.isNull(), F.lit("FETCH_FAILED"))
         # Without a list of children: valid JSON of another shape, or no JSON at all.
-        .when(texts.isNull() & F.get_json_object(body, "$").isNull(), F.lit("BAD_JSON"))
+        .when(texts.isNull() & ~_is_json(body), F.lit("BAD_JSON"))
         .when(texts.isNull(), F.lit("NO_CHILDREN"))
-        .when(F.exists(texts, lambda t: F.octet_length(t) > CHILD_MAX_BYTES), F.lit("TOO_LARGE"))
-        .when(F.exists(children, lambda c: c.isNull() | _missing(c, "title") | _missing(c, "selftext")), F.lit("MISSING_FIELD"))
-        .when(F.exists(children, lambda c: _not_scalar(c, "title") | _not_scalar(c, "selftext")), F.lit("BAD_FIELD"))
+        .when(F.exists(children, lambda c: _lacks(c, "title") | _lacks(c, "selftext")), F.lit("MISSING_FIELD"))
+        .when(F.exists(children, lambda c: _nested(c, "title") | _nested(c, "selftext")), F.lit("BAD_FIELD"))
         .when(F.size(children) == 0, F.lit("EMPTY"))
         .otherwise(F.lit("OK"))
     )
@@ -91,19 +148,19 @@ def parse_feeds(attached: DataFrame) -> DataFrame:
     Columns: ``name, url, page, status, n_children, child_pos, post_id, title,
     selftext``. ``child_pos`` is null on rows that carry no post. Numbers as a
     title become text; JSON null becomes null (dropped later by the post filter).
-    A body may be of any size: only a single child is held to a variant's limit.
+    A body and each of its children may be of any size.
     """
     # One projection per step so each body is parsed once: the later steps
     # reference the parsed value several times (status tests, children), and
     # Catalyst keeps a costly expression in its own projection when it is
     # referenced more than once rather than inlining it.
-    body = F.from_json("body", _BODY_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    body = F.from_json("body", _BODY_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record", **_ANY_LENGTH})
     with_body = attached.select("name", "url", "page", "body", body.alias("_j"))
     with_texts = with_body.select(
         "name", "url", "page", "body", F.when(F.col("_j._corrupt_record").isNull(), F.col("_j.data.children")).alias("texts")
     )
     with_children = with_texts.select(
-        "name", "url", "page", "body", "texts", F.transform("texts", lambda t: F.try_parse_json(t)).alias("children")
+        "name", "url", "page", "body", "texts", F.transform("texts", read_child).alias("children")
     )
     decoded = with_children.select(
         "name",
@@ -128,9 +185,9 @@ def parse_feeds(attached: DataFrame) -> DataFrame:
         "status",
         "n_children",
         "child_pos",
-        F.try_variant_get("child", "$.data.id", "string").alias("post_id"),
-        F.try_variant_get("child", "$.data.title", "string").alias("title"),
-        F.try_variant_get("child", "$.data.selftext", "string").alias("selftext"),
+        _value(F.col("child"), "id").alias("post_id"),
+        _value(F.col("child"), "title").alias("title"),
+        _value(F.col("child"), "selftext").alias("selftext"),
     )
 
 

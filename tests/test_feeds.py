@@ -189,6 +189,34 @@ def test_a_body_over_20_mb_keeps_all_posts(spark):
     assert feed_posts(parsed).selectExpr("sum(length(selftext))").first()[0] == 21_000_000
 
 
+def test_children_and_strings_of_any_size(spark):
+    long = "x" * 21_000_000
+    parsed = _one(spark, listing(child("a", "b"), child("large", long[:17_000_000]), child(long, 7, id="p")))
+    assert [tuple(r) for r in feed_status(parsed).collect()] == [("n", "u", 0, "OK", 3)]
+    got = feed_posts(parsed).selectExpr("post_id", "length(title)", "length(selftext)").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, 1, 1), (None, 5, 17_000_000), ("p", 21_000_000, 1)], key=str)
+    for body, status in (
+        (listing(child("a", "b"), child(long, ...)), "MISSING_FIELD"),
+        (listing(child("a", "b"), child({"x": long}, "s")), "BAD_FIELD"),
+        (json.dumps({"error": long}), "NO_CHILDREN"),
+        (json.dumps({"data": {"children": [child("a", long)]}})[:-1], "BAD_JSON"),
+    ):
+        assert feed_status(_one(spark, body)).first()["status"] == status
+
+
+def test_large_children_are_read_by_the_same_rules(spark, monkeypatch):
+    from onomata.sources import feeds
+
+    values = [..., None, "text", "", "12", "NaN", "[1]", '{"x":1}', 7, 1.5, 1e30, True, {}, {"x": 1}, [], [1]]
+    raw = ['"text"', "null", "5", "[1]", "{}", '{"data":null}', '{"data":5}', '{"data":{"title":"a","title":"b","selftext":"c"}}', '{"data":{"title":"a","selftext":"c"},"data":{"title":"a","selftext":"c"}}', '{"data":{"title":1.50,"selftext":1e3,"id":12345678901234567890}}']
+    children = [json.dumps(child(a, b)) for a in values for b in ("s", *values[:3], 7, [1])] + [json.dumps(child("a", "b", id=x)) for x in values[1:-4]] + raw
+    rows = [(f"n{k}", "u", 0, '{"data":{"children":[' + c + "]}}") for k, c in enumerate(children)]
+    attached = spark.createDataFrame(rows, "name string, url string, page bigint, body string")
+    small = sorted(map(str, parse_feeds(attached).collect()))
+    monkeypatch.setattr(feeds, "VARIANT_MAX_BYTES", 0)
+    assert sorted(map(str, parse_feeds(attached).collect())) == small
+
+
 def test_children_that_are_no_readable_objects(spark):
     for child, status in (('"text"', "MISSING_FIELD"), ("null", "MISSING_FIELD"), ('{"data":{"title":"a","title":"b","selftext":"c"}}', "MISSING_FIELD"), ("[1]", "MISSING_FIELD")):
         body = '{"data":{"children":[' + child + "]}}"
