@@ -251,9 +251,14 @@ def parse_diagnostics(pages: DataFrame) -> DataFrame:
 LANDED_SCHEMA = "url string, page bigint, body string"
 
 
+def landed_json(reader):
+    """A reader of landed pages, batch or streaming: same schema and options."""
+    return reader.schema(LANDED_SCHEMA).option("mode", "PERMISSIVE").options(**_ANY_LENGTH)
+
+
 def read_landed_pages(spark, path: str | list[str]) -> DataFrame:
     """Landed pages stored as JSON lines ``{"url", "page", "body"}`` (splittable, any size); paths, lists and globs."""
-    return spark.read.schema(LANDED_SCHEMA).option("mode", "PERMISSIVE").option("maxStringLen", 2**31 - 1).json(path)
+    return landed_json(spark.read).json(path)
 
 
 def read_landed_bodies(spark, path: str | list[str], url_prefix: str = "") -> DataFrame:

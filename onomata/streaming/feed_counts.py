@@ -16,16 +16,12 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.detect import Detection, count_entities
 from ..operators.posts import filter_posts
 from ..plans.strategy import shared_dir
-from ..sources.feeds import LANDED_SCHEMA, feed_posts, fits_broadcast, parse_feeds
+from ..sources.feeds import feed_posts, fits_broadcast, landed_json, parse_feeds
 
 
 def read_landed_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 1000) -> DataFrame:
     """Streaming DataFrame of landed pages (file source, exactly-once with a checkpoint)."""
-    return (
-        spark.readStream.schema(LANDED_SCHEMA)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .json(landing_dir)
-    )
+    return landed_json(spark.readStream).option("maxFilesPerTrigger", max_files_per_trigger).json(landing_dir)
 
 
 def entity_count_stream(

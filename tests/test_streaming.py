@@ -50,3 +50,22 @@ def test_stream_counts_to_parquet_path(spark):
         assert [tuple(r) for r in read_current_counts(spark, out).collect()] == [("ProgrammingLanguage", "Scala", 2)]
     finally:
         q.stop()
+
+
+def test_batch_and_stream_read_bodies_of_any_length(spark):
+    from onomata.sources.feeds import attach_feeds, feed_posts, parse_feeds, read_landed_pages
+
+    landing = tempfile.mkdtemp(prefix="landing-", dir="/tmp")
+    ckpt = tempfile.mkdtemp(prefix="ckpt-", dir="/tmp")
+    subs = spark.createDataFrame([("a", "u/a")], "name string, url string")
+    d = dictionary_from_rows(spark, [("ProgrammingLanguage", "Scala")])
+    with open(os.path.join(landing, "p1.json"), "w") as f:
+        f.write(_page("u/a", 0, [("Scala", "s"), ("long", "x" * 21_000_000)]) + "\n")
+        f.write(_page("u/a", 1, [("Scala", "t")]) + "\n")
+    assert feed_posts(parse_feeds(attach_feeds(subs, read_landed_pages(spark, landing)))).count() == 3
+    q = start_entity_counts(entity_count_stream(read_landed_stream(spark, landing), subs, d), "stream_long_test", ckpt + "/q")
+    try:
+        q.processAllAvailable()
+        assert [r["n"] for r in spark.sql("select * from stream_long_test").collect()] == [2]
+    finally:
+        q.stop()
