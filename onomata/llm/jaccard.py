@@ -34,8 +34,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 PLACES, SMALL, DEPTH = 64, 2048, 4
 #: Share of places that must agree for a candidate: five standard deviations below the threshold.
 AGREE = 0.55
-#: Probability with which a pair at the threshold meets in some run, for paths of up to EXPECTED_DEPTH splits.
-RECALL, EXPECTED_DEPTH = 0.999, 3
+#: Probability with which a pair at the threshold meets in some run, for paths of up to DEPTH splits.
+RECALL = 0.999
 #: Runs of the first round. In the second, nodes whose members are all connected already need no comparison.
 FIRST_RUNS = 2
 #: Classes of a block in the exact comparison.
@@ -47,7 +47,7 @@ def _rate(similarity: float, places: int) -> float:
     return 1 / (similarity * places)
 
 
-def run_count(similarity: float = SIMILARITY, places: int = PLACES, recall: float = RECALL, depth: int = EXPECTED_DEPTH) -> int:
+def run_count(similarity: float = SIMILARITY, places: int = PLACES, recall: float = RECALL, depth: int = DEPTH) -> int:
     """Runs that give the recall for pairs at the threshold: the chance to stay together is that of a branching process
     to live for ``depth`` rounds."""
     alive = 1.0

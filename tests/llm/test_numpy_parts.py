@@ -101,6 +101,13 @@ def test_run_count_grows_with_the_recall():
     assert jaccard.run_count(recall=0.9) < jaccard.run_count(recall=0.999) < jaccard.run_count(recall=0.999, depth=6)
 
 
+def test_run_count_is_for_the_deepest_paths():
+    alive = 1.0
+    for _ in range(jaccard.DEPTH):
+        alive = 1 - (1 - alive / jaccard.PLACES) ** jaccard.PLACES
+    assert 1 - (1 - alive) ** jaccard.run_count() >= jaccard.RECALL
+
+
 def smallest_plainly(sizes, shards):
     best = [0] + [None] * len(sizes)
     for k in range(shards):
