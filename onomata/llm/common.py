@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,11 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in ``spark.checkpoint.dir``; only a session without that setting gets
-    one of its own."""
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``; only a local session without that setting
+    gets one of its own."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="llm-checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="llm-checkpoint-"))
     return sc.getCheckpointDir()
 
 
@@ -36,6 +40,14 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """The rows, written as a Parquet table into the shared checkpoint folder and read again."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def learns(doc_id: Column) -> Column:
     """Rows that models may learn from: crc32 of the id as text, modulo 4, is not 2 (a null id never learns)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 != 2, F.lit(False))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .chat import conversation_report, with_probe
 from .common import table
 from .decontam import contamination_report
+from .divergence import source_divergence
 from .jaccard import near_duplicates
 from .langid import language_report
 from .lines import line_report
@@ -62,6 +63,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 #: One statement over the tables of the given names, registered as views.
 OP5_SQL = r"""
 WITH w AS (
@@ -184,9 +189,43 @@ FROM e GROUP BY conv_id
 """
 
 
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), t AS (
+  SELECT id, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), k AS (
+  SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 10
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), c AS (
+  SELECT lang, source, term, count(*) AS n FROM t GROUP BY lang, source, term
+), a AS (
+  SELECT g.lang, g.source, k.term, CAST(coalesce(n, 0) AS HUGEINT) AS n FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), p AS (
+  SELECT *, 1 + (1000000000 * (n + 2)) // (CAST(sum(n) OVER (PARTITION BY lang, source) AS HUGEINT) + 2 * count(*) OVER (PARTITION BY lang, source)) AS p FROM a
+), w AS (
+  SELECT lang, term, CAST(sum(n) AS HUGEINT) AS n FROM a GROUP BY lang, term
+), q AS (
+  SELECT *, 1 + (1000000000 * (n + 2)) // (CAST(sum(n) OVER (PARTITION BY lang) AS HUGEINT) + 2 * count(*) OVER (PARTITION BY lang)) AS q FROM w
+), f AS (
+  SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+  FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY x.lang, x.source, y.source
+), v AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+  FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN f ON f.lang = x.lang AND f.source = x.source AND f.item = y.source
+  UNION ALL
+  SELECT p.lang, p.source, 'term', p.term, CAST((p.p - q.q) * (p.p - q.q) // (p.p + q.q) AS BIGINT) FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE p.n > 0 AND p.p > q.q
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM v
+)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 10
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": OP2_SQL, "op4_ngram_jaccard_join": OP4_SQL, "op5_decontamination": OP5_SQL, "op6_line_dedup": OP6_SQL, "op9_chat_formatting": OP9_SQL}
+    return {"op2_mixing": OP2_SQL, "op4_ngram_jaccard_join": OP4_SQL, "op5_decontamination": OP5_SQL, "op6_line_dedup": OP6_SQL, "op9_chat_formatting": OP9_SQL, "op11_source_divergence": OP11_SQL}
