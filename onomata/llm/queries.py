@@ -19,6 +19,7 @@ from .neighbours import classifier_report
 from .pii import personal_data_report
 from .quality import quality_rules
 from .sharding import sharding_report
+from .variants import spelling_variants
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +68,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 #: One statement over the tables of the given names, registered as views.
 OP5_SQL = r"""
 WITH w AS (
