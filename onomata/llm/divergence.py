@@ -28,9 +28,9 @@ SHARD, LEVELS = 8192, 24
 #: Bytes of all shards up to which they are broadcast. Beyond it terms meet their slots in a shuffle join.
 BROADCAST_BYTES = 48 << 20
 #: Bytes of dense counts that a task holds before it hands them on; bytes of text it handles at once.
-HELD_BYTES, TEXT_BYTES = 64 << 20, 4 << 20
+HELD_BYTES, TEXT_BYTES = 48 << 20, 3 << 20
 #: Counts (sources x slots) that are compared at once; groups (language, source) that are broadcast at most.
-CELLS, GROUPS = 1 << 18, 200_000
+CELLS, GROUPS = 1 << 17, 200_000
 #: Probabilities and their divergence are whole numbers of this part; added to each count.
 PARTS, ADDED = 1_000_000_000, 2
 
@@ -228,18 +228,18 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For a block of slots: the divergence of every two sources, and the leading terms of each source."""
     kind = pa.schema([("lang", pa.string()), ("source", pa.string()), ("part", pa.string()), ("item", pa.string()), ("value", pa.int64())])
     for batch in batches:
-        for row in batch.to_pylist():
-            lang, groups, cells = row["lang"], row["groups"], row["cells"] or []
-            names = [g["source"] for g in groups]
-            number = {x: k for k, x in enumerate(names)}
-            term = {c["slot"]: c["term"] for c in cells if c["term"] is not None}
-            column = {x: k for k, x in enumerate(term)}
-            terms = list(term.values())
+        for k in range(batch.num_rows):
+            lang, groups, kept = (batch.column(c)[k].as_py() for c in ("lang", "groups", "kept"))
+            names = pa.array([g["source"] for g in groups], pa.string())
+            cells = batch.column("cells")[k].values
+            cells = {f.name: pa.array([], f.type) for f in batch.schema.field("cells").type.value_type} if cells is None else dict(zip(cells.type.names, cells.flatten(), strict=True))
+            # Rows with a term name the slots; the others are counts.
+            named = cells["term"].is_valid()
+            terms, slots = (cells[c].filter(named) for c in ("term", "slot"))
+            counted = {c: cells[c].filter(pc.invert(named)) for c in ("source", "slot", "n")}
             count = np.zeros((len(names), len(terms)), np.int64)
-            for c in cells:
-                if c["term"] is None:
-                    count[number[c["source"]], column[c["slot"]]] = c["n"]
-            kept = 2 * row["kept"]
+            count[pc.index_in(counted["source"], names).to_numpy(), pc.index_in(counted["slot"], slots).to_numpy()] = counted["n"].to_numpy()
+            names, kept = names.to_pylist(), 2 * kept
             own = np.array([g["n"] for g in groups], np.int64)
             p = parts_of(count + ADDED, own[:, None] + kept)
             q = parts_of(count.sum(axis=0) + ADDED, np.array(own.sum() + kept))
@@ -253,7 +253,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(some) > TOP:
                     least = np.partition(value, -TOP)[-TOP]
                     some, value = some[value >= least], value[value >= least]
-                best = sorted(zip((-value).tolist(), [terms[k] for k in some], strict=True))[:TOP]
+                best = sorted(zip((-value).tolist(), terms.take(pa.array(some)).to_pylist(), strict=True))[:TOP]
                 out += [(lang, names[i], "term", t, -v) for v, t in best]
             for a in range(0, len(out), 1 << 16):
                 yield pa.RecordBatch.from_pylist([dict(zip(kind.names, x, strict=True)) for x in out[a : a + (1 << 16)]], kind)
