@@ -16,6 +16,7 @@ from .langid import language_report
 from .lines import line_report
 from .mixing import mixing_report
 from .neighbours import classifier_report
+from .oddsketch import near_components
 from .pii import personal_data_report
 from .quality import quality_rules
 from .sharding import sharding_report
@@ -68,6 +69,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_components(table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
@@ -228,9 +233,34 @@ SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank
 """
 
 
+OP12_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT id, doc_id, CASE WHEN len(words) < 2 THEN words ELSE list_sort(list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) END AS shingles FROM d
+), m AS (
+  SELECT id, doc_id, len(shingles) AS n, shingles, md5(array_to_string(shingles, chr(10))) AS class FROM s
+), c AS (
+  SELECT class, min(doc_id) AS low, any_value(n) AS n, any_value(shingles) AS shingles FROM m WHERE n > 0 GROUP BY class
+), e AS (
+  SELECT class, n, unnest(shingles) AS shingle FROM c
+), p AS (
+  SELECT a.class AS u, b.class AS v FROM e a JOIN e b ON a.shingle = b.shingle AND a.class <> b.class AND a.n * 10 >= b.n * 8 AND b.n * 10 >= a.n * 8
+  GROUP BY a.class, b.class, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), r AS (
+  SELECT class AS u, class AS v FROM c UNION SELECT r.u, p.v FROM r JOIN p ON p.u = r.v
+), g AS (
+  SELECT r.u AS class, min(c.low) AS component_id FROM r JOIN c ON c.class = r.v GROUP BY r.u
+), o AS (
+  SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, CASE WHEN n = 0 THEN doc_id ELSE component_id END AS component_id FROM m LEFT JOIN g ON g.class = m.class
+)
+SELECT doc_id, n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept FROM o
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": OP2_SQL, "op4_ngram_jaccard_join": OP4_SQL, "op5_decontamination": OP5_SQL, "op6_line_dedup": OP6_SQL, "op9_chat_formatting": OP9_SQL, "op11_source_divergence": OP11_SQL}
+    return {"op2_mixing": OP2_SQL, "op4_ngram_jaccard_join": OP4_SQL, "op5_decontamination": OP5_SQL, "op6_line_dedup": OP6_SQL, "op9_chat_formatting": OP9_SQL, "op11_source_divergence": OP11_SQL, "op12_odd_sketches": OP12_SQL}

@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from onomata.llm import divergence
@@ -51,6 +51,7 @@ def answers(df):
 
 
 @given(st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=300))
+@settings(deadline=None)
 def test_perfect_hash_numbers_every_key_once(keys):
     slot, levels = divergence.perfect_hash(np.array(sorted(keys), np.uint64))
     assert sorted(slot.tolist()) == list(range(len(keys)))
@@ -84,6 +85,7 @@ def test_find_compares_the_stored_keys(monkeypatch, bits):
 
 
 @given(st.integers(1, 9 * 10**15), st.data())
+@settings(deadline=None)
 def test_shares_are_exact(total, data):
     count = data.draw(st.integers(0, total))
     assert divergence.parts_of(np.array([count]), np.array([total])).tolist() == [1 + 10**9 * count // total]
