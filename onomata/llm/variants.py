@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import discard, stage
+from .graph import follow
 
 RUN = "[A-Za-z\\u00C0-\\u00FF]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -177,7 +178,7 @@ def near_words(words: DataFrame, most: int = WORDS, points: int = POINTS) -> Dat
 
     Each round, the words of a beginning that too many share go on by one code point more than all of them share; pairs
     that differ first at that place are found there."""
-    level, near = words.withColumn("begin", F.lit("")), None
+    level, near = words.withColumn("begin", F.substr("word", F.lit(1), F.lit(0))), None
     while True:
         sizes = level.groupBy("begin").agg(F.count(F.lit(1)).alias("size"), F.sum(F.length("word")).alias("points"), F.min("word").alias("low"), F.max("word").alias("high"))
         large = (F.col("size") > 1) & ((F.col("size") > most) | (F.col("points") > points))
@@ -206,18 +207,6 @@ def near_words(words: DataFrame, most: int = WORDS, points: int = POINTS) -> Dat
     return near.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("best")).select("word", "n_near", F.col("best.form").alias("form"), (-F.col("best.less")).alias("form_n"))
 
 
-def roots(forms: DataFrame) -> DataFrame:
-    """The last of the forms (word, form) that follow each other from a word; each step is followed twice as far as the
-    one before."""
-    now = stage(forms.select("word", F.col("form").alias("root")))
-    while True:
-        on = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        then = stage(now.join(on, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
-        now = then.select("word", "root")
-        if then.where("moved").isEmpty():
-            return now
-
-
 def spelling_variants(docs: DataFrame) -> DataFrame:
     """word, n, n_near, form, form_n and root of every word of six code points or more that occurs five times or more.
 
@@ -230,5 +219,6 @@ def spelling_variants(docs: DataFrame) -> DataFrame:
     enough = F.col("form_n") >= RATIO * F.col("n")
     joined = joined.select("word", "n", F.coalesce("n_near", F.lit(0).cast("bigint")).alias("n_near"), F.when(enough, F.col("form")).alias("form"), F.when(enough, F.col("form_n")).alias("form_n"))
     joined = stage(joined)
-    ends = roots(joined.where("form IS NOT NULL").select("word", "form"))
-    return joined.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    discard(words)
+    ends = follow(joined.where("form IS NOT NULL").select(F.col("word").alias("node"), F.col("form").alias("root")))
+    return joined.join(ends.withColumnRenamed("node", "word"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from onomata.llm import variants
+from onomata.llm import graph, variants
 
 SCHEMA = "doc_id bigint, text string, word string, n string, form string, begin string"
 
@@ -110,5 +110,5 @@ def test_awkward_rows(spark):
 
 def test_forms_lead_to_their_last(spark):
     chain = [(f"word{k:03}", f"word{k + 1:03}") for k in range(40)] + [("other", "word020")]
-    got = {r["word"]: r["root"] for r in variants.roots(spark.createDataFrame(chain, "word string, form string")).collect()}
+    got = {r["node"]: r["root"] for r in graph.follow(spark.createDataFrame(chain, "node string, root string")).collect()}
     assert got == {w: "word040" for w, _ in chain}
