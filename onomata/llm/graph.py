@@ -1,7 +1,10 @@
-"""Connected components of graphs that are too large for one task."""
+"""Connected components of graphs that are too large for one task, and links between parts that are connected already."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +50,30 @@ def components(edges: DataFrame) -> DataFrame:
         discard(left)
         left, found = now, whole
     return found if found is not None else left.select(F.col("v").alias("node"), F.col("u").alias("root"))
+
+
+def joins(label: np.ndarray, near: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
+    """Pairs of members that are near, as many as connect the labels (0, 1, ...) that near members connect. ``near(k,
+    others)`` tells which of ``others`` are near member k; members of connected labels are not compared."""
+    joined, out = np.arange(label.max() + 1), []
+    for k in np.argsort(np.bincount(label)[label], kind="stable").tolist():
+        others = np.flatnonzero(joined[label] != joined[label[k]])
+        if not len(others):
+            break
+        some = others[near(k, others)]
+        for x, first in zip(*np.unique(joined[label[some]], return_index=True), strict=True):
+            out.append((k, int(some[first])))
+            joined[joined == x] = joined[label[k]]
+    return out
+
+
+def blocks_that_meet(rows: DataFrame, most: int, by: list[str]) -> DataFrame:
+    """A row for each pair of blocks (left, right) that a member belongs to. The main label's members and all others are
+    cut into blocks of about ``most``; pairs of two blocks of the main label are left out, as they have one label."""
+    is_main = F.col("label") == F.col("main")
+    mains, rest = (F.ceil(x / most).cast("int") for x in (F.col("of_main"), F.col("members") - F.col("of_main")))
+    # The others' blocks have the numbers 0 to rest - 1, the main label's the next ones.
+    own = F.when(is_main, rest + F.pmod(F.xxhash64("class", *by), mains)).otherwise(F.pmod(F.xxhash64("class", *by), rest)).cast("int")
+    partners = F.when(is_main, F.sequence(F.lit(0), rest - 1)).otherwise(F.sequence(F.lit(0), rest + mains - 1))
+    out = rows.withColumn("own", own).withColumn("other", F.explode(partners))
+    return out.withColumn("left", F.least("own", "other")).withColumn("right", F.greatest("own", "other")).drop("other", "main", "of_main", "members")

@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, slices, text_bytes
+from .common import discard, fresh, slices, stage, text_bytes
+from .graph import blocks_that_meet, components, joins
 from .words import SPACED, mix, run_hashes, runs, windows
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -36,7 +37,8 @@ PLACES, SMALL, DEPTH = 64, 2048, 4
 AGREE = 0.55
 #: Probability with which a pair at the threshold meets in some run, for paths of up to DEPTH splits.
 RECALL = 0.999
-#: Runs of the first round. In the second, nodes whose members are all connected already need no comparison.
+#: Runs of the first round, which need not find all. In the second, with all runs, nodes whose members are connected
+#: already need no comparison.
 FIRST_RUNS = 2
 #: Classes of a block in the exact comparison.
 BLOCK = 128
@@ -180,74 +182,56 @@ def _connect(similar, n: int) -> np.ndarray:
 
 
 def _brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges (member, root) of the candidates' graph inside each bucket."""
+    """Edges (u, v) between roots of members of a bucket that are candidates, as many as connect the roots."""
     for batch in batches:
         us: list[bytes] = []
         vs: list[bytes] = []
         for members in batch.column("members").to_pylist():
             members.sort(key=lambda m: m["class"])
             sig = np.frombuffer(b"".join(m["sig"] for m in members), np.uint32).reshape(len(members), PLACES)
-            root = _connect(lambda k, rest, sig=sig: (sig[rest] == sig[k]).sum(axis=1) >= AGREE * PLACES, len(members))
-            for k in np.flatnonzero(root != np.arange(len(members))).tolist():
-                us.append(members[k]["class"])
-                vs.append(members[root[k]]["class"])
+            number = {x: k for k, x in enumerate(dict.fromkeys(m["root"] for m in members))}
+            label = np.array([number[m["root"]] for m in members])
+            for k, other in joins(label, lambda k, others, sig=sig: (sig[others] == sig[k]).sum(axis=1) >= AGREE * PLACES):
+                us.append(members[k]["root"])
+                vs.append(members[other]["root"])
         yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], names=["u", "v"])
 
 
-def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
-    """(node, root) for all nodes of edges (u, v) that are not the lowest of their component.
+def _candidates(classes: DataFrame, similarity: float, some_runs: range, whole: bool) -> DataFrame:
+    """Edges (u, v) between the roots of classes that the given runs find, as many as connect what is connected.
 
-    Alternates two steps until nothing changes: every node hands its larger neighbours, then its smaller ones, to the
-    lowest it knows. Neighbourhoods are only aggregated, never gathered. After a given number of rounds the roots may
-    not be the last ones yet, but lie in the component, and every node has one at least.
-    """
-    now, state, done = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), None, 0
-    while True:
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("low"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("low"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).where("u <> v").union(low.select("u", F.col("low").alias("v"))).distinct()
-        now = checkpoint(small)
-        done += 1
-        if rounds and done == rounds:
-            return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
-        if rounds:
-            continue
-        before, state = state, now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-
-
-def _candidates(classes: DataFrame, similarity: float, some_runs: range) -> DataFrame:
-    """Edges (u, v) of the candidates' graph that the given runs find, at least as many as connect what is connected.
-
-    ``classes`` has class, sig and label; classes of one label are known to be connected. Small nodes are compared by
-    brute force; those that stay large to the end are cut into blocks, and every two blocks are compared.
+    ``classes`` has class, sig and root; classes of one root are known to be connected, and nodes of one root go no
+    further. Small nodes are compared by brute force. Those that stay large to the end are cut into blocks; if the
+    search is to be whole, every two blocks that do not both lie in the node's main root are compared as well.
     """
     kind = "path bigint, label bigint, class binary"
-    sig = classes.select("class", "sig")
-    level = classes.select("class", "sig", "label").mapInArrow(lambda b: _split(b, similarity, some_runs), kind)
-    found = None
+    known = classes.select("class", "sig", "root", F.xxhash64("root").alias("label"))
+    level = known.select("class", "sig", "label").mapInArrow(lambda b: _split(b, similarity, some_runs), kind)
+    found, held = None, []
     for depth in range(1, DEPTH + 1):
         sizes = level.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        sized = checkpoint(level.join(sizes.select("path", "size"), "path"))
+        sized = stage(level.join(sizes.select("path", "size"), "path"))
+        held.append(sized)
         small = sized.where(F.col("size") <= SMALL).groupBy("path").agg(F.array_sort(F.collect_list("class")).alias("all")).select("all").distinct()
         small = small.select(F.xxhash64("all", F.lit(0)).alias("bucket"), F.explode("all").alias("class"))
         found = small if found is None else found.union(small)
         large = sized.where(F.col("size") > SMALL)
         if large.isEmpty():
             break
-        if depth == DEPTH:
-            # Still together after all splits: blocks by a hash of the class, every two of them one bucket.
-            blocks = F.ceil(F.col("size") / (SMALL // 2)).cast("int")
-            own = F.pmod(F.xxhash64("class"), blocks).cast("int")
-            pairs = large.select("path", "class", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-            found = found.union(pairs.select(F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("bucket"), "class"))
+        if depth < DEPTH:
+            level = large.select("path", "label", "class").join(known.select("class", "sig"), "class").mapInArrow(lambda b: _split(b, similarity, range(0)), kind)
+        elif whole:
+            per = large.groupBy("path", "label").agg(F.count(F.lit(1)).alias("n"))
+            main = per.groupBy("path").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("of_main"), F.sum("n").alias("members"))
+            pairs = blocks_that_meet(large.select("path", "label", "class").join(main, "path"), SMALL // 2, ["path"])
+            found = found.union(pairs.select(F.xxhash64("path", "left", "right").alias("bucket"), "class"))
         else:
-            level = large.select("path", "label", "class").join(sig, "class").mapInArrow(lambda b: _split(b, similarity, range(0)), kind)
-    members = found.join(sig, "class").groupBy("bucket").agg(F.collect_list(F.struct("class", "sig")).alias("members"))
-    return checkpoint(members.select("members").mapInArrow(_brute, "u binary, v binary"))
+            block = F.pmod(F.xxhash64("class", "path"), F.ceil(F.col("size") / SMALL))
+            found = found.union(large.select(F.xxhash64("path", block).alias("bucket"), "class"))
+    members = found.join(known, "class").groupBy("bucket").agg(F.collect_list(F.struct("class", "sig", "root")).alias("members"))
+    out = stage(members.select("members").mapInArrow(_brute, "u binary, v binary").distinct())
+    discard(*held)
+    return out
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,32 +302,36 @@ def join_near(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFram
     root is the same for all classes of a component of the exact graph. links counts other different texts: those of
     linked classes, and the class's own texts but one.
     """
-    described = docs.select("doc_id", "text", _text_key(docs).alias("text_key")).mapInArrow(_describe, "doc_id bigint, text_key bigint, class binary, n bigint, sig binary")
+    own = docs.select("doc_id", "text", _text_key(docs).alias("text_key"))
+    described = stage(own.mapInArrow(_describe, "doc_id bigint, text_key bigint, class binary, n bigint, sig binary"))
     # One row for each different text first: the members of a hot group meet as partial aggregates only.
     texts = described.groupBy("class", "text_key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sig").alias("sig"))
-    classes = checkpoint(texts.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("texts"), F.first("n").alias("n"), F.first("sig").alias("sig")))
+    classes = stage(texts.groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("example"), F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("texts"), F.first("n").alias("n"), F.first("sig").alias("sig")))
+
+    worded = classes.where("n > 0").select("class", "sig")
+    sure = components(_candidates(worded.withColumn("root", F.col("class")), similarity, range(FIRST_RUNS), whole=False))
+    labelled = worded.join(sure.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    more = components(_candidates(labelled, similarity, range(run_count(similarity)), whole=True))
+    ends = more.select(F.col("node").alias("root"), F.col("root").alias("end"))
+    linked = stage(sure.join(ends, "root", "left").select("node", F.coalesce("end", "root").alias("root")).union(more))
 
-    worded = classes.where("n > 0").select("class", "sig", F.xxhash64("class").alias("label"))
-    edges = _candidates(worded, similarity, range(FIRST_RUNS))
-    known = components(edges, rounds=2).select(F.col("node").alias("class"), F.xxhash64("root").alias("known"))
-    labelled = worded.join(known, "class", "left").select("class", "sig", F.coalesce("known", "label").alias("label"))
-    linked = components(edges.union(_candidates(labelled, similarity, range(FIRST_RUNS, run_count(similarity)))))
     members = linked.union(linked.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed("node", "class")
     sizes = linked.groupBy("root").agg((F.count(F.lit(1)) + 1).alias("size"))
-    wanted = members.join(sizes, "root").join(classes.select("class", "doc_id", "texts"), "class")
-    wanted = wanted.select("root", "class", "texts", F.col("doc_id").alias("example"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    wanted = members.join(sizes, "root").join(classes.select("class", "example", "texts"), "class")
+    wanted = stage(wanted.select("root", "class", "texts", "example", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
 
-    examples = docs.select("doc_id", "text").join(checkpoint(wanted), F.col("doc_id").eqNullSafe(F.col("example")))
+    examples = own.join(wanted, F.col("doc_id").eqNullSafe(F.col("example.doc_id")) & (F.col("text_key") == F.col("example.text_key")))
     sets = examples.select("root", "class", "texts", "blocks", "text").mapInArrow(_sets, "root binary, class binary, texts bigint, blocks int, set binary").dropDuplicates(["class"])
     placed = sets.withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     paired = placed.groupBy("root", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right")).agg(F.collect_list(F.struct("class", "texts", "own", "set")).alias("members"))
-    exact = checkpoint(paired.select("left", "right", "members").mapInArrow(lambda b: _exact(b, similarity), "class binary, links bigint, root binary"))
+    exact = stage(paired.select("left", "right", "members").mapInArrow(lambda b: _exact(b, similarity), "class binary, links bigint, root binary"))
 
     final = components(exact.select(F.col("class").alias("u"), F.col("root").alias("v")))
     links = exact.groupBy("class").agg(F.sum("links").alias("links"))
     full = classes.select("class", "doc_id", "texts").join(links, "class", "left").join(final.withColumnRenamed("node", "class"), "class", "left")
-    full = full.select("class", "doc_id", F.coalesce("root", "class").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("texts") - 1).alias("links"))
-    return described.select("doc_id", "text_key", "class"), checkpoint(full)
+    full = stage(full.select("class", "doc_id", F.coalesce("root", "class").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("texts") - 1).alias("links")))
+    discard(classes, linked, wanted, exact)
+    return described.select("doc_id", "text_key", "class"), full
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -365,13 +353,14 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     rows, classes = join_near(docs, similarity)
     first = rows.join(classes.select("class", "root"), "class").groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("copies"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    kept = checkpoint(first.groupBy("root").agg(F.min(F.struct(place.alias("place"), "copies")).alias("k")).select("k.place.doc_id", "k.place.text_key", "k.copies"))
-    key, one = "__text_key", "__doc_id"
+    kept = stage(first.groupBy("root").agg(F.min(F.struct(place.alias("place"), "copies")).alias("k")).select("k.place.doc_id", "k.place.text_key", "k.copies"))
+    key = fresh(docs.columns, "text_key")
+    one, wanted = fresh([*docs.columns, key], "kept_id"), fresh([*docs.columns, key], "kept_key")
     own = docs.withColumn(key, _text_key(docs))
 
     def chosen(some: DataFrame) -> DataFrame:
-        wanted = some.select(F.col("doc_id").alias(one), F.col("text_key").alias("__wanted"))
-        return own.join(wanted, F.col("doc_id").eqNullSafe(F.col(one)) & (F.col(key) == F.col("__wanted")), "left_semi")
+        named = some.select(F.col("doc_id").alias(one), F.col("text_key").alias(wanted))
+        return own.join(named, F.col("doc_id").eqNullSafe(F.col(one)) & (F.col(key) == F.col(wanted)), "left_semi")
 
     out = chosen(kept.where("copies = 1")).drop(key)
     repeated = kept.where("copies > 1")

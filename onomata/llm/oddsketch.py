@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, slices, stage, text_bytes
-from .graph import components
+from .graph import blocks_that_meet, components, joins
 from .words import SPACED, lower_ascii, mix, run_hashes, runs, windows
 
 SIMILARITY = 0.8
@@ -196,17 +196,9 @@ def _by_sketch(batches: Iterator[pa.RecordBatch], similarity: float, labelled: b
             own = [m["label"] for m in members] if labelled else [m["class"] for m in members]
             if labelled:
                 number = {x: k for k, x in enumerate(dict.fromkeys(own))}
-                label = np.array([number[x] for x in own])
-                joined = np.arange(len(number))  # the label that each is connected with
-                for k in np.argsort(np.bincount(label)[label], kind="stable").tolist():
-                    others = np.flatnonzero(joined[label] != joined[label[k]])
-                    near = others[np.bitwise_count(sketch[others] ^ sketch[k]).sum(axis=1) <= most]
-                    for x in np.unique(joined[label[near]]).tolist():
-                        us.append(own[k])
-                        vs.append(own[near[np.flatnonzero(joined[label[near]] == x)[0]]])
-                        joined[joined == x] = joined[label[k]]
-                    if (joined == joined[0]).all():
-                        break
+                pairs = joins(np.array([number[x] for x in own]), lambda k, others, sketch=sketch: np.bitwise_count(sketch[others] ^ sketch[k]).sum(axis=1) <= most)
+                us += [own[k] for k, _ in pairs]
+                vs += [own[k] for _, k in pairs]
             else:
                 parent = tree(lambda k, rest, sketch=sketch: np.bitwise_count(sketch[rest] ^ sketch[k]).sum(axis=1) <= most, len(members))
                 for k in np.flatnonzero(parent != np.arange(len(members))).tolist():
@@ -358,18 +350,6 @@ def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return narrow, whole
 
 
-def blocks_that_meet(rows: DataFrame, most: int, by: list[str]) -> DataFrame:
-    """A row for each pair of blocks (left, right) that a member belongs to. The main label's members and all others are
-    cut into blocks of about ``most``; pairs of two blocks of the main label are left out, as they have one label."""
-    is_main = F.col("label") == F.col("main")
-    mains, rest = (F.ceil(x / most).cast("int") for x in (F.col("of_main"), F.col("members") - F.col("of_main")))
-    # The others' blocks have the numbers 0 to rest - 1, the main label's the next ones.
-    own = F.when(is_main, rest + F.pmod(F.xxhash64("class", *by), mains)).otherwise(F.pmod(F.xxhash64("class", *by), rest)).cast("int")
-    partners = F.when(is_main, F.sequence(F.lit(0), rest - 1)).otherwise(F.sequence(F.lit(0), rest + mains - 1))
-    out = rows.withColumn("own", own).withColumn("other", F.explode(partners))
-    return out.withColumn("left", F.least("own", "other")).withColumn("right", F.greatest("own", "other")).drop("other", "main", "of_main", "members")
-
-
 def near_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles (size of the set), component_id (lowest doc_id that links lead to, its own included) and kept
     (whether that is its own) of every document.

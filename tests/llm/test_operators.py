@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from onomata.llm import chat, decontam, jaccard, langid, lines, mixing, neighbours, pii, quality, sharding
+from onomata.llm import chat, decontam, graph, jaccard, langid, lines, mixing, neighbours, pii, quality, sharding
 from onomata.llm import queries as registered
 from onomata.llm.common import learns
 
@@ -229,7 +229,7 @@ def test_large_nodes_are_split_and_blocked(spark, monkeypatch):
 
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(64)] + [(100, 101), (7, 7)], "u bigint, v bigint")
-    got = {r["node"]: r["root"] for r in jaccard.components(edges).collect()}
+    got = {r["node"]: r["root"] for r in graph.components(edges).collect()}
     assert got == {k: 0 for k in range(1, 65)} | {101: 100}
 
 
