@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -108,6 +110,22 @@ def phrase_set_of_words(
     return matching_set(F.flatten(F.array(*parts)) if len(parts) > 1 else parts[0], keys)
 
 
+def indexed_phrases(words: Column, size: Column, lengths: Column, lengths_at: Callable[[Column], Column], allows: Callable[[Column, Column], Column]) -> Column:
+    """Phrases of an ordered array of ``size`` words that begin where an index allows it, of the lengths that it allows.
+
+    ``lengths_at(word)`` is the index entry of a word (0 for none), ``allows(entry, n)`` whether phrases of n words may
+    begin there; ``lengths`` are the lengths to try. One pass over the words, whatever the number of lengths; phrases
+    that occur again are built again.
+    """
+    starts = F.filter(F.transform(words, lambda w, i: F.struct(i.alias("at"), lengths_at(w).alias("entry"))), lambda s: s["entry"] != 0)
+
+    def of(s: Column) -> Column:
+        fitting = F.filter(lengths, lambda n: allows(s["entry"], n) & (s["at"] + n <= size))
+        return F.transform(fitting, lambda n: F.array_join(F.slice(words, s["at"] + 1, n), " "))
+
+    return F.flatten(F.transform(starts, of))
+
+
 def post_length(title: str | Column = "title", selftext: str | Column = "selftext", utf16: bool = False) -> Column:
     """Characters of title plus selftext (the joining space is not counted).
 

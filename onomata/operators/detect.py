@@ -9,18 +9,24 @@ on the token and a name with a space never matches.
 ``match="phrase"``: terms are runs of words with edge punctuation removed
 (except ``+`` and ``#``), of the lengths that occur in the dictionary.
 
+Filters. Terms are tested in-row before any of them is joined or shuffled: a
+short dictionary's keys are a literal set, a longer one has a Bloom filter over
+its keys, built by one aggregate (``plans/filters.py``). What the join gets to
+see is close to the matches, whatever the dictionary's size. In phrase mode an
+index by first word says which lengths of phrases may begin at a word, so only
+these are built, in one pass over the post's words.
+
 Join plan. The dictionary is measured first (one small aggregate). Within the
 broadcast bound it is broadcast and each task probes its own posts: no
 shuffle of posts, and only matched rows reach the aggregation. Past the bound
 the join shuffles on the term:
 
-* a dictionary of few keys filters the terms in-row before anything else, so
-  only matching rows are exploded and shuffled, whatever the join;
 * counts are pre-aggregated per term before the exchange: a hot term arrives
   as one row per map task instead of one per post;
-* per-post mentions need every post's row. Both sides are plain shuffle
-  inputs, so adaptive execution splits the partitions of frequent words, from
-  the sizes it measures over all rows.
+* per-post mentions need every post's row. The terms that more posts have than
+  a task's fair share are found by a frequent-items sketch over all of them;
+  their rows are dealt to several tasks, and the dictionary's lines for them
+  are repeated there (``plans/skew.py``).
 """
 
 from __future__ import annotations
@@ -30,15 +36,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import combined_text, matching_set, phrase_key, phrase_set_of_words, phrase_words, word_tokens
-from ..plans.strategy import (
-    DictionaryShape,
-    PhraseProfile,
-    choose_join,
-    literal_keys,
-    measure_dictionary,
-    phrase_profile,
-)
+from ..functions.text import combined_text, indexed_phrases, matching_set, phrase_key, phrase_set_of_words, phrase_words, word_tokens
+from ..plans.filters import FirstWordIndex, KeyFilter, has_length
+from ..plans.skew import join_with_salts
+from ..plans.strategy import DictionaryShape, choose_join, literal_keys, measure_dictionary, shared_dir, stage_table, remove_table
 
 MATCH_MODES = ("token", "phrase")
 
@@ -59,45 +60,64 @@ def post_terms(
     id_cols: Sequence[str],
     match: str = "token",
     max_words: int = 1,
-    profile: PhraseProfile | None = None,
     keys: tuple[str, ...] | None = None,
+    key_filter: KeyFilter | None = None,
+    index: FirstWordIndex | None = None,
+    lengths: Sequence[int] | None = None,
 ) -> DataFrame:
     """``(id_cols..., term)``: each distinct term of each post once.
 
     The empty token of a text with blanks at its ends is no term: no name has
-    an empty key. In phrase mode a ``profile`` of the dictionary limits the
-    phrases built to the lengths and start words that can match; without it
-    every phrase of 1..max_words words is built. With ``keys`` (a small
-    dictionary's key list) only terms among the keys are emitted, so the join
-    sees matches only.
+    an empty key. In phrase mode an ``index`` of the dictionary and the
+    ``lengths`` of its keys limit the phrases built to those that may match;
+    without it every phrase of 1..max_words words is built. With ``keys`` (a
+    short dictionary's) only these terms are left, with a ``key_filter`` these
+    and few others.
     """
     text = combined_text("title", "selftext")
     if match == "token":
         tokens = word_tokens(text)
         if keys is None:
             tokens = F.array_remove(tokens, "")
-        return posts.select(*id_cols, F.explode(matching_set(tokens, keys)).alias("term"))
-    # Materialise the word array once; the n-gram lambdas then slice a column
+        terms = posts.select(*id_cols, F.explode(matching_set(tokens, keys)).alias("term"))
+        return terms.where(key_filter.may_have(F.col("term"), key_filter.bits())) if key_filter else terms
+    # Materialise the word array once; the phrases then slice a column
     # instead of re-splitting the text for every position.
     words = posts.select(*id_cols, phrase_words(text).alias("_words"))
-    lengths = profile.lengths if profile else None
-    first = profile.first_words if profile else None
-    terms = phrase_set_of_words(F.col("_words"), max_words, lengths, first, keys)
-    return words.select(*id_cols, F.explode(terms).alias("term"))
+    # A subquery cannot be written inside a lambda, so the filters' arrays are
+    # named first, in a projection of their own: the optimizer puts them back
+    # into the lambda, and no row carries them. (The size keeps that projection
+    # apart from the words: they are used twice and costly.)
+    arrays = [x.bits().alias(name) for name, x in (("_index", index), ("_keys", key_filter)) if x is not None]
+    held = words.select(*id_cols, "_words", F.size("_words").alias("_size"), *arrays)
+    if index is None:
+        phrases = phrase_set_of_words(F.col("_words"), max_words)
+    else:
+        at = lambda w: index.lengths_at(w, F.col("_index"))
+        phrases = indexed_phrases(F.col("_words"), F.col("_size"), F.array(*map(F.lit, lengths)), at, has_length)
+    if key_filter is not None:
+        phrases = F.filter(phrases, lambda p: key_filter.may_have(p, F.col("_keys")))
+    found = held.select(*id_cols, matching_set(phrases, keys).alias("_terms"))
+    # For a plain explode the optimizer adds a filter on the array's size, and
+    # with it computes all of the above again, the words once per phrase.
+    return found.select(*id_cols, F.explode_outer("_terms").alias("term")).where(F.col("term").isNotNull())
 
 
 class Detection:
-    """Keyed dictionary, its measured shape and the chosen join strategy."""
+    """Keyed dictionary, its measured shape, its in-row filters and the chosen join strategy."""
 
     def __init__(self, dictionary: DataFrame, match: str = "token", strategy: str = "auto"):
         self.match = match
         self.keyed = key_dictionary(dictionary, match)
         self.shape: DictionaryShape = measure_dictionary(self.keyed)
         self.strategy = choose_join(self.shape, strategy)
-        # Phrase mode: build only phrases of lengths (and with first words) that can match.
-        self.profile = phrase_profile(self.keyed) if match == "phrase" and self.shape.max_words > 1 else None
-        # A dictionary of few keys also filters terms in-row before the join.
-        self.keys = literal_keys(self.keyed)
+        # Phrase mode: only phrases are built of which the first word and the length occur together.
+        self.index = FirstWordIndex(self.keyed, "match_key", self.shape.rows) if match == "phrase" else None
+        # Terms are filtered in-row before the join: by the keys themselves, or by a filter over them.
+        self.keys = literal_keys(self.keyed, self.shape)
+        useful = self.keys is None and KeyFilter.useful(self.shape.rows)
+        self.key_filter = KeyFilter(self.keyed, "match_key", self.shape.rows) if useful else None
+        self._staged: list[str] = []
 
     @property
     def max_words(self) -> int:
@@ -105,14 +125,36 @@ class Detection:
 
     def terms(self, posts: DataFrame, id_cols: Sequence[str] = ()) -> DataFrame:
         """``(id_cols..., term)``: the terms that the join gets to see."""
-        return post_terms(posts, id_cols, self.match, self.max_words, self.profile, self.keys)
+        return post_terms(posts, id_cols, self.match, self.max_words, self.keys, self.key_filter, self.index, self.shape.lengths)
+
+    def _counted_terms(self, posts: DataFrame, id_cols: Sequence[str]) -> DataFrame:
+        """The terms as they are read twice, for the sketch and for the join: staged where there is a shared folder, so
+        that the posts are split into terms once. What is staged is about as large as the result."""
+        terms = self.terms(posts, id_cols)
+        try:
+            shared_dir(posts.sparkSession)
+        except ValueError:
+            return terms
+        terms, path = stage_table(terms, "terms")
+        self._staged.append(path)
+        return terms
+
+    def release(self) -> None:
+        """Delete the tables staged for mentions that have been read."""
+        while self._staged:
+            remove_table(self.keyed.sparkSession, self._staged.pop())
 
     def mentions(self, posts: DataFrame, id_cols: Sequence[str] = ("post_id",)) -> DataFrame:
         """One row per (post, matching dictionary line): ``(id_cols..., entity_type, entity_name)``."""
-        # Past the bound a shuffled hash join: hash the dictionary's partitions,
-        # stream the terms (no sort of the large side).
-        right = F.broadcast(self.keyed) if self.strategy == "broadcast" else self.keyed.hint("shuffle_hash")
-        joined = self.terms(posts, id_cols).join(right, F.col("term") == F.col("match_key"), "inner")
+        lines = self.keyed.withColumnRenamed("match_key", "term")
+        if self.strategy == "broadcast":
+            joined = self.terms(posts, id_cols).join(F.broadcast(lines), "term", "inner")
+        else:
+            # A shuffled hash join: hash the dictionary's partitions, stream
+            # the terms (no sort of the large side). Frequent terms are salted.
+            terms = self._counted_terms(posts, id_cols)
+            spread = [F.col(c) for c in id_cols] or [F.col("term")]
+            joined = join_with_salts(terms, lines, "term", spread, hint="shuffle_hash")
         return joined.select(*id_cols, "entity_type", "entity_name")
 
     def counts(self, posts: DataFrame) -> DataFrame:

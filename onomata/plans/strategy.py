@@ -25,6 +25,7 @@ class DictionaryShape:
     rows: int
     text_bytes: int
     max_words: int
+    lengths: tuple[int, ...] = (1,)  # word counts that occur among the keys
 
     def fits_broadcast(self, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
         max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
@@ -32,54 +33,33 @@ class DictionaryShape:
         return self.rows <= max_rows and self.text_bytes <= max_bytes
 
 
-# Dictionaries with at most this many distinct keys are also matched with an
-# in-row set intersection against the literal key list before the join.
-LITERAL_KEYS_MAX = 10_000
+# Dictionaries of at most this many lines are also matched with an in-row set
+# intersection against the literal key list before the join; longer ones with
+# an in-row filter over their keys (plans/filters.py).
+LITERAL_KEYS_MAX = 100
 
 
-def literal_keys(keyed: DataFrame, key_col: str = "match_key") -> tuple[str, ...] | None:
-    """Sorted distinct keys when there are at most ``LITERAL_KEYS_MAX``; else None."""
-    rows = keyed.select(key_col).distinct().limit(LITERAL_KEYS_MAX + 1).collect()
-    if len(rows) > LITERAL_KEYS_MAX:
+def literal_keys(keyed: DataFrame, shape: DictionaryShape, key_col: str = "match_key") -> tuple[str, ...] | None:
+    """Sorted distinct keys of a dictionary of at most ``LITERAL_KEYS_MAX`` lines; else None."""
+    if shape.rows > LITERAL_KEYS_MAX:
         return None
-    return tuple(sorted(r[0] for r in rows))
-
-
-# A phrase profile lists at most this many (length, first word) pairs.
-PHRASE_PROFILE_MAX = 20_000
-
-
-@dataclass(frozen=True)
-class PhraseProfile:
-    lengths: tuple[int, ...]                  # word counts that occur among the keys
-    first_words: tuple[str, ...] | None       # first words of keys with two or more words; None: too many to list
-
-
-def phrase_profile(keyed: DataFrame, key_col: str = "match_key") -> PhraseProfile:
-    """Which n-gram lengths and start words can match.
-
-    The lengths are always listed (there are no more of them than the longest
-    key has words), so no other phrases are ever built; the first words only up
-    to ``PHRASE_PROFILE_MAX``.
-    """
-    n = F.size(F.split(F.col(key_col), " "))
-    lengths = keyed.agg(F.array_sort(F.collect_set(n))).first()[0]
-    first = keyed.where(n > 1).select(F.substring_index(F.col(key_col), " ", 1).alias("w")).distinct()
-    words = [r["w"] for r in first.limit(PHRASE_PROFILE_MAX + 1).collect()]
-    return PhraseProfile(tuple(lengths), tuple(sorted(words)) if len(words) <= PHRASE_PROFILE_MAX else None)
+    return tuple(sorted({r[0] for r in keyed.select(key_col).collect()}))
 
 
 def measure_dictionary(keyed: DataFrame, key_col: str = "match_key") -> DictionaryShape:
-    """Exact row count, key+name byte total and longest key (in words), in one job."""
+    """Exact row count, key+name byte total and the keys' lengths (in words), in one job."""
+    words = F.size(F.split(F.col(key_col), " "))
     row = keyed.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(
             F.sum(F.octet_length(key_col) + F.octet_length("entity_name") + F.octet_length("entity_type")),
             F.lit(0),
         ).alias("text_bytes"),
-        F.coalesce(F.max(F.size(F.split(F.col(key_col), " "))), F.lit(1)).alias("max_words"),
+        # No more lengths than the longest key has words.
+        F.array_sort(F.collect_set(words)).alias("lengths"),
     ).first()
-    return DictionaryShape(int(row["rows"]), int(row["text_bytes"]), int(row["max_words"]))
+    lengths = tuple(row["lengths"]) or (1,)
+    return DictionaryShape(int(row["rows"]), int(row["text_bytes"]), lengths[-1], lengths)
 
 
 def choose_join(shape: DictionaryShape, strategy: str = "auto") -> str:

@@ -278,6 +278,25 @@ def q_entity_phrase_counts_shuffle(spark: SparkSession, sf_dir: str) -> DataFram
     return Detection(_phrases(spark, sf_dir), "phrase", "shuffle").counts(_kept_posts(spark, sf_dir))
 
 
+def _wide_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dictionary with two phrases for every word of the documents: the least two and the least three words from one
+    of its places on."""
+    words = read_table(spark, sf_dir, "documents").select(F.split(F.regexp_replace("text", "\n", " "), " ").alias("words"))
+    run = lambda i, n: F.array_join(F.slice("words", i + 1, n), " ")
+    places = F.transform("words", lambda w, i: F.struct(w.alias("first"), run(i, 2).alias("two"), run(i, 3).alias("three")))
+    least = words.select(F.explode(places).alias("p")).where("p.first <> ''").groupBy("p.first").agg(F.min("p.two").alias("two"), F.min("p.three").alias("three"))
+    names = least.select(F.explode(F.array("two", "three")).alias("entity_name")).distinct()
+    return names.select(F.lit("Place").alias("entity_type"), "entity_name")
+
+
+def q_entity_phrase_counts_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Detection(_wide_phrases(spark, sf_dir), "phrase").counts(_kept_posts(spark, sf_dir))
+
+
+def q_entity_phrase_mentions_wide_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Detection(_wide_phrases(spark, sf_dir), "phrase", "shuffle").mentions(_kept_posts(spark, sf_dir))
+
+
 def q_type_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_parent_type(q_entity_type_stats(spark, sf_dir))
 
@@ -315,6 +334,8 @@ QUERIES: dict[str, QueryFn] = {
     "entity_mentions_wide_shuffle": q_entity_mentions_wide_shuffle,
     "entity_phrase_counts_vocabulary": q_entity_phrase_counts_vocabulary,
     "entity_phrase_counts_shuffle": q_entity_phrase_counts_shuffle,
+    "entity_phrase_counts_wide": q_entity_phrase_counts_wide,
+    "entity_phrase_mentions_wide_shuffle": q_entity_phrase_mentions_wide_shuffle,
     "type_parents": q_type_parents,
     "diagnostics_no_posts": q_diagnostics_no_posts,
     "diagnostics_no_subscriptions": q_diagnostics_no_subscriptions,
@@ -628,6 +649,23 @@ SELECT entity_type, entity_name, count(*) AS n FROM terms JOIN keyed ON term = m
 GROUP BY entity_type, entity_name"""
 
 
+def _wide_phrase_sql(per_post: bool = False) -> str:
+    grams = ", ".join(
+        f"list_transform(range(1, len(words) - {n - 1} + 1), lambda i: array_to_string(words[i:i + {n - 1}], ' '))" for n in (1, 2, 3)
+    )
+    return f"""WITH {POSTS}, kept AS (SELECT * FROM posts WHERE {KEEP_BLANK}),
+split AS (SELECT string_split(replace(text, chr(10), ' '), ' ') AS words FROM documents),
+places AS (SELECT words, unnest(range(1, len(words) + 1)) AS i FROM split),
+least AS (SELECT min(array_to_string(words[i:i + 1], ' ')) AS two, min(array_to_string(words[i:i + 2], ' ')) AS three FROM places WHERE words[i] <> '' GROUP BY words[i]),
+dict AS (SELECT DISTINCT 'Place' AS entity_type, unnest([two, three]) AS entity_name FROM least),
+keyed AS (SELECT entity_type, entity_name, array_to_string({_phrase_words('entity_name')}, ' ') AS match_key FROM dict),
+w AS (SELECT post_id, {_phrase_words("concat(title, ' ', selftext)")} AS words FROM kept),
+terms AS (SELECT post_id, unnest(list_distinct(flatten([{grams}]))) AS term FROM w),
+matched AS (SELECT post_id, entity_type, entity_name FROM terms JOIN keyed ON term = match_key WHERE match_key <> '')
+""" + ("SELECT post_id, entity_type, entity_name FROM matched" if per_post else
+       "SELECT entity_type, entity_name, count(*) AS n FROM matched GROUP BY entity_type, entity_name")
+
+
 _PARENTS = _values([(t, p) for t, p in PARENT_TYPE.items() if p])
 
 
@@ -654,6 +692,8 @@ counts AS (SELECT entity_type, entity_name, count(*) AS n FROM terms JOIN dict O
         "entity_mentions_wide_shuffle": f"{wide} SELECT conv_id, turn, entity_type, entity_name FROM terms JOIN dict ON term = lower(entity_name)",
         "entity_phrase_counts_vocabulary": _benchmark_phrase_sql(),
         "entity_phrase_counts_shuffle": _benchmark_phrase_sql(),
+        "entity_phrase_counts_wide": _wide_phrase_sql(),
+        "entity_phrase_mentions_wide_shuffle": _wide_phrase_sql(per_post=True),
         "type_parents": f"""SELECT ts.*, p.parent_type FROM ({_type_stats_sql()}) ts
 LEFT JOIN (VALUES {_PARENTS}) p(entity_type, parent_type) ON ts.entity_type = p.entity_type""",
         "diagnostics_no_posts": f"""WITH {POSTS}, {SUBS}

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import post_length
 from ..operators.posts import keep_post
+from ..plans.skew import join_with_salts
 from ..plans.strategy import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
 
 # The body is read as text per child, which has no size limit; each child alone becomes a variant.
@@ -127,14 +128,19 @@ def attach_feeds(subscriptions: DataFrame, landed: DataFrame, max_broadcast_subs
     The landed side is the big one and one feed may own a third of its pages.
     The subscription list is broadcast when its measured rows and bytes allow,
     and landed pages are then not shuffled. A longer list joins by a shuffle on
-    ``url``, where adaptive execution splits a hot feed's partition. Missing
-    feeds come from an anti join against the distinct landed urls, which are
-    aggregated partially before the exchange.
+    ``url``: a sketch over the landed urls (one pass over that column) finds the
+    feeds with more pages than a task's fair share, their pages are dealt to
+    several tasks and their subscriptions repeated there. Missing feeds come
+    from an anti join against the distinct landed urls, which are aggregated
+    partially before the exchange.
     """
     subs = subscriptions.select("name", "url")
     pages = landed.select("url", "page", "body")
-    right = F.broadcast(subs) if fits_broadcast(subs, max_broadcast_subscriptions) else subs
-    fetched = pages.join(right, "url", "inner").select("name", "url", "page", "body")
+    if fits_broadcast(subs, max_broadcast_subscriptions):
+        fetched = pages.join(F.broadcast(subs), "url", "inner")
+    else:
+        fetched = join_with_salts(pages, subs, "url", [F.col("page"), F.octet_length("body")])
+    fetched = fetched.select("name", "url", "page", "body")
     landed_urls = pages.select("url").distinct()
     failed = subs.join(landed_urls, "url", "left_anti").select(
         "name", "url", F.lit(None).cast("bigint").alias("page"), F.lit(None).cast("string").alias("body")

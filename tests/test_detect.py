@@ -102,7 +102,7 @@ def test_shuffled_join_with_a_word_in_every_post(spark, monkeypatch):
     import onomata.operators.detect as D
     from onomata.plans.strategy import physical_plan
 
-    monkeypatch.setattr(D, "literal_keys", lambda keyed: None)
+    monkeypatch.setattr(D, "literal_keys", lambda keyed, shape: None)
     texts = [f"the w{i} than" if i % 3 else f"the w{i}" for i in range(300)]
     p = posts(spark, texts)
     d = dictionary_from_rows(spark, DICT + [("Person", "The"), ("Person", "w7")])
@@ -150,7 +150,7 @@ def test_phrase_counts_match_model_with_and_without_profile(spark, docs):
     d = dictionary_from_rows(spark, PHRASE_DICT)
     p = posts(spark, texts)
     bounded = Detection(d, "phrase", "broadcast")
-    assert bounded.profile is not None and 4 in bounded.profile.lengths
+    assert bounded.index is not None and 4 in bounded.shape.lengths
     a = {(r["entity_type"], r["entity_name"]): r["n"] for r in bounded.counts(p).collect()}
     b = {(r["entity_type"], r["entity_name"]): r["n"] for r in Detection(d, "phrase", "shuffle").counts(p).collect()}
     assert a == b == _phrase_model(texts, PHRASE_DICT)
@@ -162,7 +162,7 @@ def test_a_long_phrase_builds_its_own_length_only(spark):
     p = posts(spark, ["x a b " + " ".join(words) + " y", "a c b"])
     for strategy in ("broadcast", "shuffle"):
         det = Detection(d, "phrase", strategy)
-        assert det.profile.lengths == (2, 300) and det.profile.first_words == ("a", "w0")
+        assert det.shape.lengths == (2, 300)
         assert {(r["entity_name"][:3], r["n"]) for r in det.counts(p).collect()} == {("a b", 1), ("w0 ", 1)}
 
 
