@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.filters import KeyFilter
 from .common import discard, fresh, slices, stage, text_bytes
 from .graph import blocks_that_meet, components, joins
 from .words import SPACED, mix, run_hashes, runs, windows
@@ -320,7 +321,14 @@ def join_near(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFram
     wanted = members.join(sizes, "root").join(classes.select("class", "example", "texts"), "class")
     wanted = stage(wanted.select("root", "class", "texts", "example", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
 
-    examples = own.join(wanted, F.col("doc_id").eqNullSafe(F.col("example.doc_id")) & (F.col("text_key") == F.col("example.text_key")))
+    # Only texts that may be an example are shuffled.
+    n = wanted.count()
+    if KeyFilter.useful(n):
+        some = KeyFilter(wanted.select("example.text_key"), "text_key", n)
+        examples = own.where(some.may_have(F.col("text_key"), some.bits()))
+    else:
+        examples = own
+    examples = examples.join(wanted, F.col("doc_id").eqNullSafe(F.col("example.doc_id")) & (F.col("text_key") == F.col("example.text_key")))
     sets = examples.select("root", "class", "texts", "blocks", "text").mapInArrow(_sets, "root binary, class binary, texts bigint, blocks int, set binary").dropDuplicates(["class"])
     placed = sets.withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     paired = placed.groupBy("root", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right")).agg(F.collect_list(F.struct("class", "texts", "own", "set")).alias("members"))
