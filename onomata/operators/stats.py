@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import post_length
+from .ledger import feed_ledger, ledger_stats
 from .posts import keep_post
 
 STATS_COLUMNS = (
@@ -38,69 +39,9 @@ def post_length_stats(posts: DataFrame, mode: str | None = "blank", utf16: bool
 def processing_stats(
     parsed: DataFrame, subscriptions: DataFrame, mode: str = "blank", utf16: bool = False
 ) -> DataFrame:
-    """One row of run counters from decoded feeds (``sources.feeds.parse_feeds``); see ``page_stats``."""
-    from ..sources.feeds import page_summary
-
-    return page_stats(page_summary(parsed, mode, utf16), subscriptions)
-
-
-def page_stats(pages: DataFrame, subscriptions: DataFrame) -> DataFrame:
-    """One row of run counters from ``sources.feeds.page_summary``.
-
-    ``subscriptions`` are the classified entries (``sub_status`` VALID /
-    SKIPPED / INVALID_JSON). Feeds are counted, not pages: the pages are reduced
-    to one row per subscription first. ``feeds_ok``: valid subscriptions with at
-    least one body; ``feeds_failed``: those without (nothing landed, or null
-    bodies only); ``feeds_without_posts``: those of which no page gave a post,
-    failed ones included; a subscription listed twice counts twice.
-    ``posts_filtered``: posts dropped by the filter.
-    """
-    zero = F.lit(0).cast("bigint")
-    listed = subscriptions.select(
-        F.when(F.col("sub_status") == "VALID", F.col("name")).alias("name"),
-        F.when(F.col("sub_status") == "VALID", F.col("url")).alias("url"),
-        (F.col("sub_status") == "VALID").cast("bigint").alias("valid"),
-        (F.col("sub_status") != "VALID").cast("bigint").alias("skipped"),
-        F.lit(False).alias("body"),
-        zero.alias("posts"),
-        zero.alias("kept"),
-        zero.alias("chars"),
-    )
-    fetched = pages.select(
-        "name", "url", zero.alias("valid"), zero.alias("skipped"), (F.col("status") != "FETCH_FAILED").alias("body"), "posts", "kept", "chars"
-    )
-    feeds = listed.unionByName(fetched).groupBy("name", "url").agg(
-        F.sum("valid").alias("valid"),
-        F.sum("skipped").alias("skipped"),
-        F.max("body").alias("body"),
-        *(F.sum(c).alias(c) for c in ("posts", "kept", "chars")),
-    )
-
-    def total(c) -> "F.Column":
-        return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
-
-    valid = F.col("valid")
-    agg = feeds.agg(
-        total("skipped").alias("subscriptions_skipped"),
-        total(F.when(F.col("body"), valid)).alias("feeds_ok"),
-        total(F.when(~F.col("body"), valid)).alias("feeds_failed"),
-        total("posts").alias("posts_ok"),
-        total(F.when(F.col("posts") == 0, valid)).alias("feeds_without_posts"),
-        total("kept").alias("posts_kept"),
-        total("chars").alias("total_chars"),
-    )
-    avg = F.when(F.col("posts_kept") > 0, F.col("total_chars") / F.col("posts_kept")).otherwise(F.lit(0.0))
-    return agg.select(
-        "subscriptions_skipped",
-        "feeds_ok",
-        "feeds_failed",
-        "posts_ok",
-        "feeds_without_posts",
-        (F.col("posts_ok") - F.col("posts_kept")).alias("posts_filtered"),
-        "posts_kept",
-        avg.alias("avg_chars"),
-        avg.cast("bigint").alias("avg_chars_int"),
-    )
+    """One row of run counters from decoded feeds (``sources.feeds.parse_feeds``, with or without rows for missing feeds)
+    and the classified entries; see ``ledger.ledger_stats``."""
+    return ledger_stats(feed_ledger(parsed, subscriptions, mode, utf16))
 
 
 def observe_posts(posts: DataFrame, mode: str = "blank", name: str = "posts") -> tuple[DataFrame, Observation]:

@@ -2,9 +2,10 @@
 
 Each output is its own DataFrame; the caller decides what to run or write.
 Decoded posts are never cached: at scale they are the size of the input.
-Warnings, guard and statistics come from one summary per page, which the
-branches of a query share; detection is a pass of its own. ``stage_parsed``
-decodes once for all, into a table of the shared folder.
+Warnings, guards and statistics come from the run's ledger, one row per feed
+(``operators/ledger.py``): each of these outputs decodes the bodies once.
+Detection is a pass of its own. ``stage_parsed`` decodes once for all, into a
+table of the shared folder.
 """
 
 from __future__ import annotations
@@ -12,23 +13,21 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..constants import DEFAULT_TOP_K, MSG_FILE_NOT_FOUND, MSG_NO_POSTS, MSG_NO_SUBSCRIPTIONS
+from ..constants import DEFAULT_TOP_K, MSG_FILE_NOT_FOUND
 from ..operators.aggregate import count_by_type, rank_entities
 from ..operators.detect import Detection
+from ..operators.ledger import feed_ledger, ledger_diagnostics, ledger_stats
 from ..operators.posts import filter_posts
 from ..operators.report import diagnostics, entity_report, processing_report, type_report
-from ..operators.stats import page_stats
 from .strategy import remove_table, stage_table
 from ..sources.diagnostics import diagnostics_frame
 from ..sources.dictionary import load_dictionary, path_exists
 from ..sources.feeds import (
     LANDED_SCHEMA,
-    attach_feeds,
     feed_posts,
-    page_summary,
-    parse_diagnostics,
+    fetched_feeds,
+    missing_feeds,
     parse_feeds,
     read_landed_pages,
 )
@@ -36,7 +35,6 @@ from ..sources.subscriptions import (
     SUBSCRIPTION_SCHEMA,
     classify_subscriptions,
     read_subscriptions,
-    subscription_diagnostics,
     valid_subscriptions,
 )
 
@@ -80,17 +78,6 @@ class Analysis:
             self.staged = None
 
 
-def zero_guard(counted: DataFrame, column: str, code: str, message: str) -> DataFrame:
-    """One ERROR row when the one-row frame ``counted`` has ``column == 0`` (no driver-side action)."""
-    return (
-        counted.filter(F.col(column) == 0)
-        .select(
-            F.lit("ERROR").alias("severity"), F.lit(code).alias("code"), F.lit("").alias("subject"),
-            F.lit(message).alias("message"),
-        )
-    )
-
-
 def analyze(
     classified_subscriptions: DataFrame,
     landed: DataFrame,
@@ -112,24 +99,18 @@ def analyze(
     statistics and the diagnostics then read that table, until ``release``.
     """
     valid = valid_subscriptions(classified_subscriptions)
-    parsed, staged = parse_feeds(attach_feeds(valid, landed)), None
+    fetched, staged = parse_feeds(fetched_feeds(valid, landed)), None
     if stage_parsed:
-        parsed, staged = stage_table(parsed, "parsed-feeds")
-    posts = filter_posts(feed_posts(parsed), mode)
+        fetched, staged = stage_table(fetched, "parsed-feeds")
+    # Feeds with nothing landed have no posts; the ledger tells them without looking for them.
+    parsed = fetched.unionByName(parse_feeds(missing_feeds(valid, landed)))
+    posts = filter_posts(feed_posts(fetched), mode)
     counts = Detection(dictionary, match, strategy).counts(posts)
     ranking = rank_entities(counts, k)
     type_stats = count_by_type(counts)
-    pages = page_summary(parsed, mode)
-    stats = page_stats(pages, classified_subscriptions)
-    parts = [
-        subscription_diagnostics(classified_subscriptions),
-        zero_guard(
-            classified_subscriptions.agg(F.count_if(F.col("sub_status") == "VALID").alias("n_valid")),
-            "n_valid", "NO_SUBSCRIPTIONS", MSG_NO_SUBSCRIPTIONS,
-        ),
-        parse_diagnostics(pages),
-        zero_guard(pages.agg(F.coalesce(F.sum("kept"), F.lit(0)).alias("posts_kept")), "posts_kept", "NO_POSTS", MSG_NO_POSTS),
-    ]
+    ledger = feed_ledger(fetched, classified_subscriptions, mode)
+    stats = ledger_stats(ledger)
+    parts = [ledger_diagnostics(ledger)]
     if dictionary_diagnostics is not None:
         parts.append(dictionary_diagnostics)
     return Analysis(

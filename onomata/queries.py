@@ -76,7 +76,7 @@ def q_feed_fetch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_feed_parse_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed, _ = S.parsed_feeds(spark, sf_dir, faulty=False)
+    parsed, _ = S.parsed_feeds(spark, sf_dir, faulty=False, missing=False)
     return feed_posts(parsed).select(
         "feed", F.col("post_id").cast("bigint").alias("post_id"), "title", "selftext"
     )
@@ -173,7 +173,7 @@ def q_entity_top_10_unfiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_processing_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed, classified = S.parsed_feeds(spark, sf_dir, faulty=True)
+    parsed, classified = S.parsed_feeds(spark, sf_dir, faulty=True, missing=False)
     return processing_stats(parsed, classified, "blank")
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .sources.feeds import attach_feeds, parse_feeds
+from .sources.feeds import attach_feeds, fetched_feeds, parse_feeds
 from .sources.subscriptions import classify_subscriptions, parse_subscription_records
 from .sources.tables import (
     FEED_URL_PREFIX,
@@ -123,13 +123,13 @@ def faulty_pages(posts: DataFrame) -> DataFrame:
     return pages.select("url", "page", faulted.alias("body"))
 
 
-def parsed_feeds(spark: SparkSession, sf_dir: str, faulty: bool = True) -> tuple[DataFrame, DataFrame]:
-    """``(parsed, classified_subscriptions)`` for the derived feeds."""
+def parsed_feeds(spark: SparkSession, sf_dir: str, faulty: bool = True, missing: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``(parsed, classified_subscriptions)`` for the derived feeds, with or without rows for those not landed."""
     posts = documents_posts(spark, sf_dir)
     classified = classified_subscriptions(spark, posts)
     valid = classified.filter(F.col("sub_status") == "VALID").select("name", "url")
     landed = faulty_pages(posts) if faulty else clean_pages(posts)
-    return parse_feeds(attach_feeds(valid, landed)), classified
+    return parse_feeds((attach_feeds if missing else fetched_feeds)(valid, landed)), classified
 
 
 def blanked_posts(posts: DataFrame) -> DataFrame:

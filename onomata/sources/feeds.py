@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import post_length
-from ..operators.posts import keep_post
 from ..plans.skew import join_with_salts
 from ..plans.strategy import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
 
@@ -134,18 +132,24 @@ def attach_feeds(subscriptions: DataFrame, landed: DataFrame, max_broadcast_subs
     from an anti join against the distinct landed urls, which are aggregated
     partially before the exchange.
     """
+    return fetched_feeds(subscriptions, landed, max_broadcast_subscriptions).unionByName(missing_feeds(subscriptions, landed))
+
+
+def fetched_feeds(subscriptions: DataFrame, landed: DataFrame, max_broadcast_subscriptions: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """The first part of ``attach_feeds``: a row per landed page of each subscription."""
     subs = subscriptions.select("name", "url")
     pages = landed.select("url", "page", "body")
     if fits_broadcast(subs, max_broadcast_subscriptions):
         fetched = pages.join(F.broadcast(subs), "url", "inner")
     else:
         fetched = join_with_salts(pages, subs, "url", [F.col("page"), F.octet_length("body")])
-    fetched = fetched.select("name", "url", "page", "body")
-    landed_urls = pages.select("url").distinct()
-    failed = subs.join(landed_urls, "url", "left_anti").select(
-        "name", "url", F.lit(None).cast("bigint").alias("page"), F.lit(None).cast("string").alias("body")
-    )
-    return fetched.unionByName(failed)
+    return fetched.select("name", "url", "page", "body")
+
+
+def missing_feeds(subscriptions: DataFrame, landed: DataFrame) -> DataFrame:
+    """The second part of ``attach_feeds``: a row with null page and body per subscription with nothing landed."""
+    failed = subscriptions.select("name", "url").join(landed.select("url").distinct(), "url", "left_anti")
+    return failed.select("name", "url", F.lit(None).cast("bigint").alias("page"), F.lit(None).cast("string").alias("body"))
 
 
 def parse_feeds(attached: DataFrame) -> DataFrame:
@@ -222,21 +226,11 @@ def feed_status(parsed: DataFrame, skipped: DataFrame | None = None) -> DataFram
     )
 
 
-def page_summary(parsed: DataFrame, mode: str = "blank", utf16: bool = False) -> DataFrame:
-    """The decoded pages reduced to ``(name, url, page, status, bodies, posts, kept, chars)``.
-
-    Warnings, the empty-run guard and the statistics all follow from it. It is
-    one aggregate, so branches of a query share its exchange and the bodies are
-    decoded once. ``bodies`` counts equal pages that landed several times.
-    """
+def page_summary(parsed: DataFrame) -> DataFrame:
+    """The decoded pages reduced to ``(name, url, page, status, bodies)``; ``bodies`` counts equal pages that landed
+    several times."""
     is_post = F.col("child_pos").isNotNull()
-    keep = is_post & keep_post(mode)
-    return parsed.groupBy("name", "url", "page", "status").agg(
-        F.count_if(~is_post | (F.col("child_pos") == 0)).alias("bodies"),
-        F.count_if(is_post).alias("posts"),
-        F.count_if(keep).alias("kept"),
-        F.coalesce(F.sum(F.when(keep, post_length(utf16=utf16))), F.lit(0)).cast("bigint").alias("chars"),
-    )
+    return parsed.groupBy("name", "url", "page", "status").agg(F.count_if(~is_post | (F.col("child_pos") == 0)).alias("bodies"))
 
 
 def parse_diagnostics(pages: DataFrame) -> DataFrame:

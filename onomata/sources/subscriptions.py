@@ -39,21 +39,25 @@ def valid_subscriptions(classified: DataFrame) -> DataFrame:
     return classified.filter(F.col("sub_status") == "VALID").select("name", "url")
 
 
-def subscription_diagnostics(classified: DataFrame) -> DataFrame:
-    """One diagnostic row per refused entry."""
-    bad = classified.filter(F.col("sub_status") != "VALID")
+def refusal(columns: list[str]) -> tuple[Column, Column, Column, Column]:
+    """Severity, code, subject and message of a refused entry, over classified entries of these columns."""
+    not_json = F.col("sub_status") == "INVALID_JSON"
     # The file is named where it is known, so a bad one among several can be told.
-    file = F.col("source_file") if "source_file" in classified.columns else F.lit("")
-    return bad.select(
-        F.when(F.col("sub_status") == "INVALID_JSON", F.lit("ERROR")).otherwise(F.lit("WARN")).alias("severity"),
-        F.when(F.col("sub_status") == "INVALID_JSON", F.lit("INVALID_JSON")).otherwise(F.lit("SUBSCRIPTION_SKIPPED")).alias("code"),
-        F.coalesce(F.col("name"), F.col("url"), file).alias("subject"),
-        F.when(F.col("sub_status") == "INVALID_JSON", F.lit(MSG_INVALID_JSON))
-        .otherwise(F.concat(F.lit(MSG_SKIPPED_SUBSCRIPTION + ": "), F.col("reason")))
-        .alias("message"),
+    file = F.col("source_file") if "source_file" in columns else F.lit("")
+    return (
+        F.when(not_json, F.lit("ERROR")).otherwise(F.lit("WARN")),
+        F.when(not_json, F.lit("INVALID_JSON")).otherwise(F.lit("SUBSCRIPTION_SKIPPED")),
+        F.coalesce(F.col("name"), F.col("url"), file),
+        F.when(not_json, F.lit(MSG_INVALID_JSON)).otherwise(F.concat(F.lit(MSG_SKIPPED_SUBSCRIPTION + ": "), F.col("reason"))),
     )
 
 
+def subscription_diagnostics(classified: DataFrame) -> DataFrame:
+    """One diagnostic row per refused entry."""
+    named = zip(("severity", "code", "subject", "message"), refusal(classified.columns), strict=True)
+    return classified.filter(F.col("sub_status") != "VALID").select(*(c.alias(n) for n, c in named))
+
+
 def read_subscriptions(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
     """Raw subscription entries from JSON files (an array per file, or JSON lines).
 

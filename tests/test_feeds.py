@@ -1,7 +1,10 @@
+import collections
 import json
 
+import pytest
+
 from onomata.constants import FEED_STATUSES
-from onomata.sources.feeds import attach_feeds, feed_posts, feed_status, page_summary, parse_diagnostics, parse_feeds
+from onomata.sources.feeds import attach_feeds, feed_posts, fetched_feeds, feed_status, page_summary, parse_diagnostics, parse_feeds
 from onomata.sources.subscriptions import (
     classify_subscriptions,
     load_subscriptions,
@@ -247,13 +250,36 @@ def test_feeds_are_counted_not_pages(spark):
         assert got["posts_ok"] == sum(b.count(good) for b in bodies.values())
 
 
-def test_warnings_guard_and_statistics_share_one_decoding(spark):
+@pytest.mark.parametrize("query", ["q_diagnostics", "q_processing_stats"])
+def test_one_decoding_and_one_pass_over_the_pages(spark, query):
     from onomata import queries as Q
     from onomata.plans.strategy import physical_plan
 
     from .conftest import SF_SMALL
 
-    df = Q.q_diagnostics(spark, SF_SMALL)
+    df = getattr(Q, query)(spark, SF_SMALL)
     df.collect()
     final = physical_plan(df).split("== Initial Plan ==")[0]
-    assert final.count("ReusedExchange") >= 1
+    assert final.count("posexplode") == 1
+    # The pages, and the subscriptions (here drawn from the same table) for the join and as entries: no anti join.
+    assert final.count("Scan parquet") <= 3 and "LeftAnti" not in final
+
+
+def test_ledger_of_feeds_listed_twice_and_of_nothing(spark):
+    from onomata.operators.ledger import feed_ledger, ledger_diagnostics, ledger_stats
+
+    entries = [("a", "u/a", "VALID", None), ("a", "u/a", "VALID", None), ("b", "u/b", "VALID", None), ("b", "u/b", "VALID", None)]
+    entries += [(None, "u/c", "SKIPPED", "missing name")] * 3
+    classified = spark.createDataFrame(entries, "name string, url string, sub_status string, reason string")
+    good = json.dumps({"data": {"children": [{"data": {"id": "1", "title": "t", "selftext": "text"}}]}})
+    landed = spark.createDataFrame([("u/a", 0, good), ("u/a", 0, good), ("u/a", 1, "{"), ("u/a", 2, None)], "url string, page bigint, body string")
+    valid = classified.where("sub_status = 'VALID'")
+    for attach in (attach_feeds, fetched_feeds):  # rows for missing feeds change nothing
+        ledger = feed_ledger(parse_feeds(attach(valid, landed)), classified)
+        stats = ledger_stats(ledger).first()
+        assert (stats["subscriptions_skipped"], stats["feeds_ok"], stats["feeds_failed"], stats["posts_ok"]) == (3, 2, 2, 4)
+        codes = collections.Counter((r["code"], r["subject"]) for r in ledger_diagnostics(ledger).collect())
+        assert codes == {("SUBSCRIPTION_SKIPPED", "u/c"): 3, ("BAD_JSON", "u/a"): 2, ("FETCH_FAILED", "u/a"): 2, ("FETCH_FAILED", "u/b"): 2}
+    none = feed_ledger(parse_feeds(fetched_feeds(valid, landed.where("false"))).where("false"), classified.where("false"))
+    assert sorted(r["code"] for r in ledger_diagnostics(none).collect()) == ["NO_POSTS", "NO_SUBSCRIPTIONS"]
+    assert ledger_stats(none).first()["feeds_ok"] == 0
