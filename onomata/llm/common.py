@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +60,15 @@ def discard(*staged: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def share(spark: SparkSession, value: object) -> Callable[[], object]:
+    """Broadcast a value that tasks need; what is returned gives it there.
+
+    It goes with the code of its class, so executors need no installation of this package.
+    """
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(held.value)
+
+
 def learns(doc_id: Column) -> Column:
     """Rows that models may learn from: crc32 of the id as text, modulo 4, is not 2 (a null id never learns)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 != 2, F.lit(False))

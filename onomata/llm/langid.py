@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, held_out, learns, slices, text_bytes, with_columns
+from .common import fresh, held_out, learns, share, slices, text_bytes, with_columns
 from .words import lower_ascii, runs
 
 #: Bits of a hashed trigram; rounds of expectation-maximisation, and of those within a set of languages.
@@ -176,12 +176,13 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     learned. Ties go to the language that sorts first. Repeated rows get the same values; no rows give none.
     """
     name = fresh(docs.columns, "language")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared()
         for batch in slices(batches):
             texts = batch.column("text")
-            lang, score, chosen = infer(texts, shared.value)
+            lang, score, chosen = infer(texts, own)
             for k, lettered in enumerate(_lettered(texts)):
                 if not lettered:
                     lang[k], score[k], chosen[k] = UNKNOWN, 0.0, []

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, held_out, learns, slices, text_bytes, with_columns
+from .common import fresh, held_out, learns, share, slices, text_bytes, with_columns
 from .words import SPACED, per_text, run_hashes, runs, windows
 
 #: Bound of the labelled sample, half of it for each label. Only the hashed features of its texts go to the driver.
@@ -232,11 +232,12 @@ def classify(docs: DataFrame, space: Space, threshold: float = THRESHOLD) -> Dat
     their place in the sample; no rows give none.
     """
     name = fresh(docs.columns, "vote")
-    shared = docs.sparkSession.sparkContext.broadcast(space)
+    shared = share(docs.sparkSession, space)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared()
         for batch in slices(batches):
-            score = shared.value.scores(batch.column("text"))
+            score = own.scores(batch.column("text"))
             parts = [pa.array(score), pa.array((score >= threshold).astype(np.int32))]
             yield with_columns(batch, {name: pa.StructArray.from_arrays(parts, ["score", "predicted"])})
 

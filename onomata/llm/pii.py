@@ -1,13 +1,15 @@
 """Personal data: base patterns, and a character-level bidirectional LSTM with CRF transitions.
 
 The network is written and trained in numpy. Its labelled spans are those that
-the base patterns mark in a bounded sample of the texts, so it learns what such
-data and its surroundings look like, and finds further spans that the patterns miss
-(broken, spaced or oddly joined forms). Only stretches of text near a digit or an
-at sign are decoded: every span must have one of them, so nothing can lie
-elsewhere. A stretch is cut into overlapping windows; the scores of each
-character, weighted towards the middle of its windows, are brought together, and
-one best path is decoded over the whole stretch.
+the base patterns mark in a bounded sample of windows, and copies of these with
+other digits and in broken forms (blanks, other separators, a spelled-out at
+sign, a lost plus sign), set into windows of the sample and tagged by kind. So
+it finds further spans that the patterns miss. Only stretches of text near a
+digit or an at sign (a spelled-out one in brackets too) are decoded: every span
+must have one of them, so nothing can lie elsewhere. A stretch is cut into
+overlapping windows; the scores of each character, weighted towards the middle
+of its windows, are brought together, and one best path is decoded over the
+whole stretch. How sure a span must be is set on held-out copies.
 """
 
 from __future__ import annotations
@@ -21,23 +23,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, slices, with_columns
+from .common import fresh, share, slices, with_columns
 
 KINDS = ("email", "ip", "card", "phone")
-#: Bounds of the training sample: documents with personal data, by order of a hash of their texts, and characters that
-#: each gives of the surroundings of its digits and at signs. They bind the training only: decoding covers whole texts.
-SAMPLE_DOCS, SAMPLE_CHARS = 600, 20_000
+#: Bounds of the training sample: documents with personal data, and windows of these around a digit or at sign, both by
+#: order of a hash. They bind the training only: decoding covers whole texts.
+SAMPLE_DOCS, SAMPLE_WINDOWS = 600, 2_000
+#: Copies of labelled spans of each kind that are set into windows, and every how many-th is held out.
+COPIES, HELD_OUT = 500, 8
 #: Characters of a window, and by how many the next one is further on; characters kept around a digit or at sign.
 WINDOW, STRIDE, MARGIN = 64, 32, 24
-HIDDEN, EMBED, EPOCHS, BATCH, RATE = 12, 12, 6, 32, 0.02
-#: A span that only the network finds needs this mean probability.
-SURE = 0.97
+HIDDEN, EMBED, STEPS, BATCH, RATE = 20, 12, 800, 32, 0.02
+#: The mean probability that a span needs is the largest of these that keeps this share of the held-out spans.
+SURE, RECALL = (0.98, 0.95, 0.9, 0.8, 0.7, 0.6, 0.5), 0.96
 
 _IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_TRIGGER = re.compile(r"[0-9@]")
+#: An at sign or a dot, spelled out in brackets.
+_AT, _DOT = r"[(\[{]\s*(?:at|@)\s*[)\]}]", r"[(\[{]\s*(?:dot|\.)\s*[)\]}]"
+_TRIGGER = re.compile(rf"[0-9@]|{_AT}", re.IGNORECASE)
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 Span = tuple[int, int, int]  # start, number of the kind, end
@@ -110,6 +116,7 @@ class Tagger:
         rng = np.random.Generator(np.random.PCG64(seed))
         h, e = HIDDEN, EMBED
         wide = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
+        self.sure = SURE[0]
         self.p = {"embed": wide(N_CODES, e) * 3, "out": wide(2 * h, N_TAGS), "bias": np.zeros(N_TAGS, np.float32), "move": np.zeros((N_TAGS, N_TAGS), np.float32)}
         for d in ("f", "b"):
             self.p |= {f"x{d}": wide(e, 4 * h), f"h{d}": wide(h, 4 * h), f"c{d}": np.zeros(4 * h, np.float32)}
@@ -187,25 +194,24 @@ class Tagger:
         np.add.at(g["embed"], x.ravel(), d_e.reshape(-1, d_e.shape[2]))
         return loss, g
 
-    def train(self, x: np.ndarray, y: np.ndarray, seed: int = 11) -> list[float]:
-        """Adam over shuffled batches of windows (time, window); the loss of each epoch."""
+    def train(self, x: np.ndarray, y: np.ndarray, seed: int = 11, steps: int = STEPS) -> list[float]:
+        """Adam over shuffled batches of windows (time, window), a fixed number of steps; the loss of each."""
         rng = np.random.Generator(np.random.PCG64(seed))
         m, v = ({k: np.zeros_like(w) for k, w in self.p.items()} for _ in range(2))
-        losses, step = [], 0
-        for epoch in range(EPOCHS):
-            order, sums = rng.permutation(x.shape[1]), []
-            for a in range(0, len(order), BATCH):
-                some = order[a : a + BATCH]
-                loss, g = self.gradients(x[:, some], y[:, some])
-                sums.append(loss)
-                step += 1
-                size = np.sqrt(sum(float((w**2).sum()) for w in g.values()))
-                for k in self.p:
-                    d = g[k] * min(1.0, 5 / max(size, 1e-9))
-                    m[k] = 0.9 * m[k] + 0.1 * d
-                    v[k] = 0.99 * v[k] + 0.01 * d**2
-                    self.p[k] -= (RATE * (1 - epoch / (EPOCHS + 1)) * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
-            losses.append(float(np.mean(sums)))
+        losses: list[float] = []
+        order = np.zeros(0, np.int64)
+        for step in range(1, steps + 1):
+            if len(order) < BATCH:
+                order = np.concatenate([order, rng.permutation(x.shape[1])])
+            some, order = order[:BATCH], order[BATCH:]
+            loss, g = self.gradients(x[:, some], y[:, some])
+            losses.append(loss)
+            size = np.sqrt(sum(float((w**2).sum()) for w in g.values()))
+            for k in self.p:
+                d = g[k] * min(1.0, 5 / max(size, 1e-9))
+                m[k] = 0.9 * m[k] + 0.1 * d
+                v[k] = 0.99 * v[k] + 0.01 * d**2
+                self.p[k] -= (RATE * (1 - step / (steps + 1)) * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
         return losses
 
 
@@ -233,28 +239,115 @@ def _padded(own: np.ndarray, start: int) -> np.ndarray:
     return x
 
 
-def training_windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Windows around digits and at signs with the tags that the base patterns give: (time, window) each."""
-    xs, ys = [], []
-    for text in texts:
-        tags = np.zeros(len(text), np.int64)
-        for a, k, b in base_spans(text):
-            if not tags[a:b].any():
-                tags[a:b] = 2 + 2 * k
-                tags[a] = 1 + 2 * k
-        own = codes(text)
-        for a, b in stretches(text):
-            for s in _windows(b - a):
-                xs.append(_padded(own[a:b], s))
-                y = np.zeros(WINDOW, np.int64)
-                part = tags[a:b][s : s + WINDOW]
-                y[: len(part)] = part
-                ys.append(y)
+def _tagged(text: str, spans: list[Span]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Windows around the text's digits and at signs, and their tags."""
+    tags = np.zeros(len(text), np.int64)
+    for a, k, b in spans:
+        if not tags[a:b].any():
+            tags[a:b] = 2 + 2 * k
+            tags[a] = 1 + 2 * k
+    own, xs, ys = codes(text), [], []
+    for a, b in stretches(text):
+        for s in _windows(b - a):
+            xs.append(_padded(own[a:b], s))
+            y = np.zeros(WINDOW, np.int64)
+            part = tags[a:b][s : s + WINDOW]
+            y[: len(part)] = part
+            ys.append(y)
+    return xs, ys
+
+
+def training_windows(tagged: list[tuple[str, list[Span]]]) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of all texts around digits and at signs, and the tags of their spans: (time, window) each."""
+    parts = [_tagged(text, spans) for text, spans in tagged]
+    xs, ys = [x for p in parts for x in p[0]], [y for p in parts for y in p[1]]
     if not xs:
         return np.zeros((WINDOW, 0), np.int64), np.zeros((WINDOW, 0), np.int64)
     return np.array(xs).T, np.array(ys).T
 
 
+def varied(kind: int, span: str, words: list[str], rng: np.random.Generator) -> str:
+    """The span with other digits and names, and two times of three in a form that the base patterns may miss."""
+    digits = lambda x: "".join(str(rng.integers(10)) if c.isdigit() else c for c in x)
+    pick = lambda *x: x[rng.integers(len(x))]
+    broken = rng.random() < 2 / 3
+    if kind == 0:
+        local, domain = digits(span).split("@", 1)
+        name = lambda: words[rng.integers(len(words))][: rng.integers(2, 12)]
+        if words and rng.random() < 3 / 4:
+            local = f"{name()}{pick('', '.', '_', '-')}{pick(name(), str(rng.integers(1000)), '')}".rstrip("._-")
+            domain = pick(name(), f"{name()}-{name()}", f"{name()}.{name()}", f"{name()}{rng.integers(10)}") + pick(".com", ".org", ".de", ".net", ".fr", "." + name()[:3])
+            local, domain = (x.lower() if rng.random() < 0.8 else x for x in (local, domain))
+        if not broken:
+            return f"{local}@{domain}"
+        at = pick("(at)", "[at]", "{at}", "(AT)", "@", "(@)", "[ at ]")
+        dot = pick(".", ".", "(dot)", "[dot]", "[.]", ".")
+        gap, near = pick("", " "), pick("", "", " ")
+        if at == "@":  # only a gap breaks it
+            gap = " "
+        return f"{local}{gap}{at}{gap}" + domain.replace(".", f"{near}{dot}{near}")
+    if kind == 1:
+        parts = [str(rng.integers(256)) for _ in range(4)]
+        return (pick(" . ", "[.]", ". ", " .", ",", "(.)", " , ", ", ", "[dot]") if broken else ".").join(parts)
+    if kind == 2:
+        own = digits("".join(c for c in span if c.isdigit()))
+        size = pick(4, 4, 4, 5)
+        groups = [own[k : k + size] for k in range(0, len(own), size)]
+        return (pick(".", "/", "_", "  ", " - ", ":", ",", ". ", " / ") if broken else pick(" ", "-", "")).join(groups)
+    own = digits("".join(c for c in span if c.isdigit()))
+    head, area = own[: pick(1, 2, 2, 3)], pick(2, 3, 3, 4)
+    rest = own[len(head) :]
+    first, rest = rest[:area], rest[area:]
+    cut = pick(3, 4, len(rest))
+    last = pick(" ", "-", " ", "").join(x for x in (rest[:cut], rest[cut:]) if x)
+    if not broken:
+        return f"+{head}{pick(' ', ' (')}{first}".replace(f"({first}", f"({first})") + pick(" ", "-") + last
+    return pick(
+        f"+ {head} {first} {last}", f"00{head} {first} {last}", f"(0{first}) {last}", f"0{first}/{last}", f"0{first} - {last}", f"+{head}/{first}/{last}",
+        f"(+{head}) {first} {last}", f"{head}-{first}-{last}", f"+ {head}({first}){last}", f"+{head}_{first}_{last}", f"00 {head} {first}/{last}", f"({first}) {last}", f"+ {head}-{first}-{last}",
+    )
+
+
+def copies(sample: list[str], seed: int = 13) -> list[tuple[str, list[Span]]]:
+    """Windows of the sample with a copy of a labelled span set in between two of their words; it is the first of the
+    window's spans."""
+    rng = np.random.Generator(np.random.PCG64(seed))
+    pool: dict[int, list[str]] = {}
+    for text in sample:
+        for a, k, b in base_spans(text):
+            pool.setdefault(k, []).append(text[a:b])
+    names = sorted({w for text in sample for w in re.findall("[A-Za-z]{2,}", text)})
+    out = []
+    for k in sorted(pool):
+        for _ in range(COPIES):
+            text = sample[rng.integers(len(sample))]
+            span = varied(k, pool[k][rng.integers(len(pool[k]))], names, rng)
+            words = re.split("([ \n])", text)
+            at = 2 * int(rng.integers(len(words) // 2 + 1))
+            before, after = "".join(words[:at]), "".join(words[at:])
+            after = f"{('', '.', ',', '.')[rng.integers(4)]} {after}"
+            more = len(before) + len(span)
+            spans = [(len(before), k, more), *base_spans(before), *((a + more, j, b + more) for a, j, b in base_spans(after))]
+            out.append((f"{before}{span}{after}", spans))
+    return out
+
+
+def trained(sample: list[str]) -> Tagger:
+    """The network, trained on the sample's windows and on most copies; the held-out ones tell how sure spans must be."""
+    tagger, made = Tagger(), copies(sample)
+    x, y = training_windows([(text, base_spans(text)) for text in sample] + [m for k, m in enumerate(made) if k % HELD_OUT])
+    if not x.shape[1] or not made:
+        tagger.p["bias"][0] = 30  # nothing learned: all characters are outside
+        return tagger
+    tagger.train(x, y)
+    held = made[::HELD_OUT]
+    for tagger.sure in SURE:
+        found = network_spans([text for text, _ in held], tagger, every=True)
+        if sum(spans[0] in own for (_, spans), own in zip(held, found, strict=True)) >= RECALL * len(held):
+            break
+    return tagger
+
+
 def decode(emit: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The best paths over whole stretches, and the probability of each of their tags.
 
@@ -282,7 +375,7 @@ def decode(emit: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _WEIGHT = (np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1]) + 1).astype(np.float32)
 
 
-def _runs(path: np.ndarray, sure: np.ndarray) -> Iterator[Span]:
+def _runs(path: np.ndarray, sure: np.ndarray, least: float) -> Iterator[Span]:
     """Spans of a path of tags that are sure enough."""
     t = 0
     while t < len(path):
@@ -290,13 +383,13 @@ def _runs(path: np.ndarray, sure: np.ndarray) -> Iterator[Span]:
         if path[t] % 2:
             while u < len(path) and path[u] == path[t] + 1:
                 u += 1
-            if sure[t:u].mean() >= SURE:
+            if sure[t:u].mean() >= least:
                 yield t, int(path[t] - 1) // 2, u
         t = u
 
 
-def network_spans(texts: list[str | None], tagger: Tagger, step: int = 512) -> list[list[Span]]:
-    """The spans that the network marks in each text, sure and plausible ones only."""
+def network_spans(texts: list[str | None], tagger: Tagger, step: int = 512, every: bool = False) -> list[list[Span]]:
+    """The spans that the network marks in each text, sure and plausible ones only (or every sure one)."""
     todo: list[tuple[int, int, int, np.ndarray]] = []
     out: list[list[Span]] = [[] for _ in texts]
     for i, text in enumerate(texts):
@@ -325,7 +418,7 @@ def network_spans(texts: list[str | None], tagger: Tagger, step: int = 512) -> l
             path, sure = decode(emit, tagger.p["move"])
             for q, j in enumerate(here):
                 i, a = some[j][:2]
-                out[i] += [(a + t, k, a + u) for t, k, u in _runs(path[: len(sums[j]), q], sure[:, q]) if plausible(k, texts[i][a + t : a + u])]
+                out[i] += [(a + t, k, a + u) for t, k, u in _runs(path[: len(sums[j]), q], sure[:, q], tagger.sure) if every or plausible(k, texts[i][a + t : a + u])]
     for spans in out:
         spans.sort()
     return out
@@ -333,14 +426,18 @@ def network_spans(texts: list[str | None], tagger: Tagger, step: int = 512) -> l
 
 def plausible(kind: int, found: str) -> bool:
     """A span without the marks of its kind is none, however sure the network is."""
-    digits = sum("0" <= c <= "9" for c in found)
+    numbers = re.findall("[0-9]+", found)
+    digits = "".join(numbers)
     if kind == 0:
-        return "@" in found[1:-1]
+        at = re.search(f"@|{_AT}", found, re.IGNORECASE)
+        return bool(at and at.start() and re.search(rf"\w\s*(\.|{_DOT})\s*\w", found[at.end() :], re.IGNORECASE))
     if kind == 1:
-        return 4 <= digits <= 12 and len(re.findall("[0-9]+", found)) == 4
+        return len(numbers) == 4 and all(len(n.lstrip("0")) <= 3 and int(n) <= 255 for n in numbers)
+    if any(c.isalpha() for c in found):
+        return False
     if kind == 2:
-        return 13 <= digits <= 19
-    return 10 <= digits <= 15 and not found.isdigit()
+        return 14 <= len(digits) <= 19 and luhn(digits)
+    return 10 <= len(digits) <= 15 and not found.isdigit()
 
 
 def all_spans(text: str | None, added: list[Span]) -> tuple[list[Span], list[Span]]:
@@ -354,20 +451,21 @@ def all_spans(text: str | None, added: list[Span]) -> tuple[list[Span], list[Spa
 
 
 def learn(docs: DataFrame) -> Tagger:
-    """The network, trained on at most SAMPLE_DOCS texts with an at sign or a stretch of digits, SAMPLE_CHARS of each."""
+    """The network, trained on at most SAMPLE_WINDOWS windows of SAMPLE_DOCS texts with an at sign or a stretch of digits.
+
+    Texts are taken by order of a hash: the hashes are read first, then the windows of the texts that have them, and
+    these by order of a hash too, each whole.
+    """
     text = F.col("text")
-    marked = docs.where(text.rlike("[0-9][0-9 ().-]{5,}[0-9]|@")).select("text")
-    # Texts by order of their hash; of long ones the parts around their digits and at signs only reach the driver.
-    near = F.array_join(F.regexp_extract_all(text, F.lit(r"(?s).{0,40}[0-9@].{0,60}"), 0), "\n")
-    sample = marked.select(F.xxhash64("text").alias("h"), F.substring(near, 1, SAMPLE_CHARS).alias("text")).orderBy("h", "text").limit(SAMPLE_DOCS)
-    texts = [r[0] for r in sample.select("text").toLocalIterator()]
-    tagger = Tagger()
-    x, y = training_windows(texts)
-    if x.shape[1]:
-        tagger.train(x, y)
-    else:
-        tagger.p["bias"][0] = 30  # nothing learned: all characters are outside
-    return tagger
+    h = F.xxhash64("text")
+    marked = docs.where(text.rlike("[0-9][0-9 ().-]{5,}[0-9]|@"))
+    first = [r[0] for r in marked.select(h.alias("h")).distinct().orderBy("h").limit(SAMPLE_DOCS).collect()]
+    if not first:
+        return trained([])
+    near = F.regexp_extract_all(text, F.lit(r"(?s).{0,40}[0-9@].{0,60}"), F.lit(0))
+    windows = docs.where(h <= F.lit(first[-1])).select(F.explode(near).alias("w")).distinct()
+    sample = windows.orderBy(F.xxhash64("w"), "w").limit(SAMPLE_WINDOWS).collect()
+    return trained([r[0] for r in sample])
 
 
 def find_personal_data(docs: DataFrame, tagger: Tagger) -> DataFrame:
@@ -378,13 +476,14 @@ def find_personal_data(docs: DataFrame, tagger: Tagger) -> DataFrame:
     span of the network that overlaps a base span, or an earlier one of its own, is left out; no rows give none.
     """
     name = fresh(docs.columns, "personal")
-    shared = docs.sparkSession.sparkContext.broadcast(tagger)
+    shared = share(docs.sparkSession, tagger)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared()
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             rows = []
-            for text, added in zip(texts, network_spans(texts, shared.value), strict=True):
+            for text, added in zip(texts, network_spans(texts, own), strict=True):
                 base, both = all_spans(text, added)
                 kinds = [k for _, k, _ in base]
                 rows.append({f"n_{x}": kinds.count(k) for k, x in enumerate(KINDS)} | {"base": told(base), "spans": told(both)})
