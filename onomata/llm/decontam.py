@@ -3,12 +3,15 @@
 Every slice of the training documents (a shard of a few MB) gets a suffix
 array of word positions. All benchmark suffixes are located in it by binary
 search, one word after the other, which narrows each suffix's range in the
-array and so yields the longest verbatim match and where it lies. Suffixes of
-the training text whose first words begin no benchmark window could never be in
-a range; they are left out of the array before it is sorted.
-
-The benchmark is searched for in blocks of bounded size, each against all
-documents; a document's hits from all blocks are merged.
+array. A suffix that is located with all words of a window has a match there;
+located suffixes that follow each other in one item and in the text, word by
+word, are one match, and the longest such stretch is the longest verbatim match.
+Suffixes of the training text whose first words begin no benchmark window could
+never be in a range; they are left out of the array before it is sorted.
+
+The benchmark is read in blocks of bounded size. Some blocks at a time are
+shared with the tasks and searched for in one pass over the documents, each in
+turn; a larger benchmark takes several passes.
 """
 
 from __future__ import annotations
@@ -21,13 +24,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, slices, text_bytes, with_columns
+from .common import discard, fresh, share, slices, stage, text_bytes, with_columns
 from .words import ALNUM, lower_ascii, mix, run_hashes, runs
 
 #: Words of a window.
 WINDOW = 10
 #: Bytes of benchmark text that are searched for at once.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+#: Blocks that are shared with the tasks in one pass; bytes of documents for which a task prepares each of them once.
+BLOCKS, HELD_BYTES = 8, 32 << 20
 _TABLE_BITS = 22
 
 
@@ -48,44 +53,46 @@ def _head(words: np.ndarray, n: int) -> np.ndarray:
 
 
 class Block:
-    """Windows of some benchmark items: distinct ones, sorted, with the items that have each."""
-
-    def __init__(self, ids: list, texts: list, window: int) -> None:
-        words, _, first = _words(pa.array(texts, pa.large_string()))
-        rows: dict[bytes, tuple[np.ndarray, set[int]]] = {}
-        self.follows: set[tuple[int, int]] = set()
-        number: dict[bytes, int] = {}
-        for k in range(len(ids)):
-            own = words[first[k] : first[k + 1]]
-            n = min(window, len(own))
-            for i in range(len(own) - n + 1 if n else 0):
-                rows.setdefault(own[i : i + n].tobytes(), (own[i : i + n], set()))[1].add(k)
-                now = number.setdefault(own[i : i + n].tobytes(), len(number))
-                if i:
-                    self.follows.add((before, now))
-                before = now
-        self.ids = [str(x) for x in ids]
-        self.size = np.array([len(w) for w, _ in rows.values()], np.int64)
-        self.words = np.zeros((len(rows), window), np.uint64)
-        for r, (w, _) in enumerate(rows.values()):
-            self.words[r, : len(w)] = w
-        self.items = [sorted(s) for _, s in rows.values()]
+    """Windows of some benchmark items: the distinct ones, and where each occurs (item, first word)."""
+
+    def __init__(self, ids: list[str], words: np.ndarray, first: np.ndarray, window: int) -> None:
+        count = np.diff(first)
+        size = np.minimum(window, count)
+        some = np.where(count > 0, count - size + 1, 0)  # windows of each item
+        item = np.repeat(np.arange(len(ids)), some)
+        offset = np.arange(some.sum()) - np.repeat(np.cumsum(some) - some, some)
+        at, size = first[item] + offset, size[item]
+        h = mix(size.astype(np.uint64))
+        for k in range(window):
+            h = np.where(size > k, mix(h * np.uint64(0x9E3779B97F4A7C15) + words[np.minimum(at + k, max(len(words) - 1, 0))] if len(words) else h), h)
+        order = np.argsort(h, kind="stable")
+        new = np.flatnonzero(np.diff(h[order], prepend=np.uint64(0)) != 0) if len(h) else np.zeros(0, np.int64)
+        if len(h) and (not len(new) or new[0] != 0):
+            new = np.concatenate([[0], new])
+        self.ids, self.item, self.offset = ids, item[order], offset[order]
+        self.first = np.append(new, len(h))  # occurrences of each distinct window
+        one = order[new]
+        self.size = size[one]
+        column = np.arange(window)
+        inside = column < self.size[:, None]
+        self.words = np.where(inside, words[np.minimum(at[one, None] + column, max(len(words) - 1, 0))], 0).astype(np.uint64) if len(one) else np.zeros((0, window), np.uint64)
         self.heads = {}
-        for n in {min(2, int(x)) for x in self.size}:
-            h = np.unique(np.concatenate([_head(w[:n], n)[:1] for w in self.words[np.minimum(self.size, 2) == n]]))
+        for n in {min(2, int(x)) for x in np.unique(self.size)}:
+            own = self.words[np.minimum(self.size, 2) == n]
+            heads = mix(own[:, 0])
+            if n == 2:
+                heads = mix(heads + own[:, 1] * np.uint64(0x9E3779B97F4A7C15))
+            heads = np.unique(heads)
             near = np.zeros(1 << _TABLE_BITS, bool)
-            near[h >> np.uint64(64 - _TABLE_BITS)] = True
-            self.heads[n] = (h, near)
-
-    def longest(self, begin: np.ndarray, which: np.ndarray) -> int:
-        """Words of the longest stretch whose windows, one word apart, also follow each other in an item."""
-        most, chain, last = 0, {}, -1
-        for p in np.unique(begin).tolist():
-            here = which[np.searchsorted(begin, p) : np.searchsorted(begin, p, "right")].tolist()
-            before = chain if p == last + 1 else {}
-            chain = {w: max([int(self.size[w]), *(n + 1 for v, n in before.items() if (v, w) in self.follows)]) for w in here}
-            most, last = max(most, *chain.values()), p
-        return most
+            near[heads >> np.uint64(64 - _TABLE_BITS)] = True
+            self.heads[n] = (heads, near)
+
+    def occurrences(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For located windows: the number of the location, the item and the first word there, of every occurrence."""
+        n = np.diff(self.first)[which]
+        row = np.repeat(np.arange(len(which)), n)
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[which], n)
+        return row, self.item[at], self.offset[at]
 
     def starts(self, words: np.ndarray) -> np.ndarray:
         """Places whose first words begin some window."""
@@ -130,46 +137,102 @@ def _locate(words: np.ndarray, stop: np.ndarray, at: np.ndarray, block: Block) -
     return at[place], which
 
 
-def _search(batches: Iterator[pa.RecordBatch], column: str, names: list[str], block: Block) -> Iterator[pa.RecordBatch]:
-    """Adds each text's words, hit intervals (first word, end), items and longest match."""
-    for batch in slices(batches, column):
-        words, text, first = _words(batch.column(column))
-        at = block.starts(words)
-        place, which = _locate(words, first[text[at] + 1], at, block)
-        order = np.argsort(place, kind="stable")
-        place, which = place[order], which[order]
-        owner = text[place]
-        cut = np.searchsorted(owner, np.arange(batch.num_rows + 1))
-        spans, items, longest = [], [], []
-        for k in range(batch.num_rows):
-            begin = place[cut[k] : cut[k + 1]] - first[k]
-            size = block.size[which[cut[k] : cut[k + 1]]]
-            merged: list[list[int]] = []
-            for a, b in zip(begin.tolist(), (begin + size).tolist(), strict=True):
-                if merged and a <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], b)
-                else:
-                    merged.append([a, b])
-            spans.append([{"first": a, "end": b} for a, b in merged])
-            items.append(sorted({block.ids[i] for w in set(which[cut[k] : cut[k + 1]].tolist()) for i in block.items[w]}))
-            longest.append(block.longest(begin, which[cut[k] : cut[k + 1]]))
-        n = np.diff(first)
-        yield with_columns(batch, dict(zip(names, [pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))), pa.array(items, pa.list_(pa.string())), pa.array(longest, pa.int64())], strict=True)))
-
-
-def _blocks(benchmark: DataFrame, window: int) -> list[Block]:
-    """The benchmark's texts, read one partition at a time and cut into blocks of BLOCK_BYTES."""
-    blocks, ids, texts, size = [], [], [], 0
-    for row in benchmark.select("item_id", "text").where("text is not null and item_id is not null").orderBy("item_id", "text").toLocalIterator():
+_SPANS = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
+_MATCHES = pa.list_(pa.struct([("item", pa.string()), ("words", pa.int64()), ("first", pa.int64()), ("item_first", pa.int64())]))
+_FOUND = pa.struct([("n_words", pa.int64()), ("spans", _SPANS), ("matches", _MATCHES)])
+_FOUND_SQL = "struct<n_words:bigint,spans:array<struct<first:bigint,end:bigint>>,matches:array<struct<item:string,words:bigint,first:bigint,item_first:bigint>>>"
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The union of intervals, sorted; touching ones are one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], b)
+        else:
+            out.append((a, b))
+    return out
+
+
+def _longest(text: np.ndarray, place: np.ndarray, item: np.ndarray, offset: np.ndarray, size: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """For each text and item: words, place in the text and in the item of the longest match (of equal ones the first).
+
+    Located windows of one item that lie word by word behind each other, there and in the text, are one match."""
+    order = np.lexsort((place, place - offset, item, text))
+    text, place, item, offset, size = (x[order] for x in (text, place, item, offset, size))
+    new = np.ones(len(place), bool)
+    new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (place[1:] - offset[1:] != place[:-1] - offset[:-1]) | (place[1:] != place[:-1] + 1)
+    begin = np.flatnonzero(new)
+    words = np.diff(np.append(begin, len(place))) - 1 + size[begin]
+    text, place, item, offset = (x[begin] for x in (text, place, item, offset))
+    order = np.lexsort((offset, place, -words, item, text))
+    best = np.ones(len(order), bool)
+    best[1:] = (text[order][1:] != text[order][:-1]) | (item[order][1:] != item[order][:-1])
+    return [x[order][best] for x in (text, item, words, place, offset)]
+
+
+def _search(batches: Iterator[pa.RecordBatch], column: str, name: str, shared: list, window: int) -> Iterator[pa.RecordBatch]:
+    """Adds or extends the column ``name`` by what the shared blocks have in common with each text."""
+    held = []
+    for batch in batches:  # some batches at once, so that a block is prepared for a good part of the partition
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= HELD_BYTES:
+            yield from _search_held(held, column, name, shared, window)
+            held = []
+    yield from _search_held(held, column, name, shared, window)
+
+
+def _search_held(held: list[pa.RecordBatch], column: str, name: str, shared: list, window: int) -> Iterator[pa.RecordBatch]:
+    parts = list(slices(iter(held), column))
+    found: list[list[tuple[list, list]]] = [[([], []) for _ in range(part.num_rows)] for part in parts]
+    count = [np.zeros(0, np.int64)] * len(parts)
+    for give in shared:
+        block = Block(*give(), window)
+        for i, part in enumerate(parts):
+            words, text, first = _words(part.column(column))
+            count[i] = np.diff(first)
+            at = block.starts(words)
+            place, which = _locate(words, first[text[at] + 1], at, block)
+            owner = text[place]
+            for k, a, n in zip(owner.tolist(), (place - first[owner]).tolist(), block.size[which].tolist(), strict=True):
+                found[i][k][0].append((a, a + n))
+            row, item, offset = block.occurrences(which)
+            for k, j, n, a, b in zip(*(x.tolist() for x in _longest(owner[row], (place - first[owner])[row], item, offset, block.size[which][row])), strict=True):
+                found[i][k][1].append({"item": block.ids[j], "words": n, "first": a, "item_first": b})
+    for part, own, n in zip(parts, found, count, strict=True):
+        before = part.column(name).to_pylist() if name in part.schema.names else [None] * part.num_rows
+        rows = []
+        for k, (spans, matches) in enumerate(own):
+            if before[k]:
+                spans += [(x["first"], x["end"]) for x in before[k]["spans"]]
+                matches += before[k]["matches"]
+            best: dict[str, dict] = {}
+            for m in sorted(matches, key=lambda m: (m["item"], -m["words"], m["first"], m["item_first"])):
+                best.setdefault(m["item"], m)
+            rows.append({"n_words": int(n[k]), "spans": [{"first": a, "end": b} for a, b in _merged(spans)], "matches": list(best.values())})
+        if name in part.schema.names:
+            part = part.drop_columns([name])
+        yield with_columns(part, {name: pa.array(rows, _FOUND)})
+
+
+def _blocks(benchmark: DataFrame) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+    """The benchmark's items in blocks of about BLOCK_BYTES: ids, hashed words, and where each item's begin. The driver
+    reads a partition and holds a block at a time."""
+
+    def block(ids: list, texts: list):
+        words, _, first = _words(pa.array(texts, pa.large_string()))
+        return [str(x) for x in ids], words, first
+
+    ids, texts, size = [], [], 0
+    for row in benchmark.select("item_id", "text").where("text is not null and item_id is not null").toLocalIterator():
         ids.append(row[0])
         texts.append(row[1])
         size += len(row[1])
         if size >= BLOCK_BYTES:
-            blocks.append(Block(ids, texts, window))
+            yield block(ids, texts)
             ids, texts, size = [], [], 0
-    if ids or not blocks:
-        blocks.append(Block(ids, texts, window))
-    return blocks
+    if ids:
+        yield block(ids, texts)
 
 
 def _covered(spans: Column) -> Column:
@@ -185,56 +248,54 @@ def _covered(spans: Column) -> Column:
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """All columns and rows of ``docs``, and a struct ``matches`` (underscores go in front of a taken name) of
-    n_words, spans (first word and end of each stretch of words inside benchmark windows), items (ids as strings,
-    sorted) and longest (words of the longest verbatim stretch).
+    n_words, spans (first word and end of each stretch of words inside benchmark windows), and matches: for each item
+    with a window in the text the longest verbatim match, as item (id as string), words, first (its place in the text)
+    and item_first (its place in the item); items are sorted, of matches of one length the first counts.
 
     A window is ``window`` consecutive words of an item; an item of fewer words, but not none, is one window.
-    Null and empty texts, in either table, have no words and match nothing; an item without id is ignored; equal
-    items all count; repeated documents each get their row; empty tables give no rows, or no matches.
+    Null and empty texts, in either table, have no words and match nothing; an item without id is ignored; items of
+    one id count as one item; repeated documents each get their row; empty tables give no rows, or no matches.
     """
+    spark = docs.sparkSession
     name = fresh(docs.columns, "matches")
-    parts = [f"{name}_{k}" for k in range(4)]
-    own = docs.columns
-    found = docs
-    blocks = _blocks(benchmark, window)
-    kinds = ["bigint", "array<struct<first:bigint,end:bigint>>", "array<string>", "bigint"]
-    for i, block in enumerate(blocks):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-        names = [f"{p}_{i}" for p in parts]
-        schema = T.StructType([*found.schema.fields, *(T.StructField(n, T._parse_datatype_string(k)) for n, k in zip(names, kinds, strict=True))])
-
-        def search(batches: Iterator[pa.RecordBatch], shared=shared, names=names) -> Iterator[pa.RecordBatch]:
-            return _search(batches, "text", names, shared.value)
-
-        found = found.mapInArrow(search, schema)
-    each = [[F.col(f"`{p}_{i}`") for i in range(len(blocks))] for p in parts]
-    return found.select(
-        *(F.col(f"`{c}`") for c in own),
-        F.struct(
-            each[0][0].alias("n_words"),
-            F.concat(*each[1]).alias("spans"),
-            F.array_sort(F.array_distinct(F.concat(*each[2]))).alias("items"),
-            F.greatest(*each[3], F.lit(0)).alias("longest"),
-        ).alias(name),
-    )
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T._parse_datatype_string(_FOUND_SQL))])
+
+    def search(found: DataFrame, shared: list) -> DataFrame:
+        return found.mapInArrow(lambda b: _search(b, "text", name, shared, window), schema)
+
+    found, shared, staged = docs, [], None
+    for block in _blocks(benchmark):
+        if len(shared) == BLOCKS:  # a further pass, over what the one before has written
+            found, before = stage(search(found, shared)), staged
+            staged, shared = found, []
+            if before is not None:
+                discard(before)
+        shared.append(share(spark, block))
+    return search(found, shared or [share(spark, ([], np.zeros(0, np.uint64), np.zeros(1, np.int64)))])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents, with their own columns, in which no word is inside a benchmark window."""
     found = find_matches(docs, benchmark, window)
-    return found.where(F.size(F.col(f"`{found.columns[-1]}`.items")) == 0).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return found.where(F.size(F.col(f"`{found.columns[-1]}`.matches")) == 0).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per document: n_words, n_hit, n_items, items_sha256, contaminated, and longest_match."""
+    """Per document: n_words, n_hit, n_items, items_sha256, contaminated; longest_match (words of the longest verbatim
+    match, 0 for none), longest_at (its first word, null for none) and longest_item (of equal ones the first place, then
+    the first id)."""
     m = find_matches(docs.select("doc_id", "text"), benchmark, window)
-    hit = _covered(F.col("matches.spans"))
+    matches = F.col("matches.matches")
+    items = F.transform(matches, lambda x: x["item"])
+    best = F.array_min(F.transform(matches, lambda x: F.struct((-x["words"]).alias("less"), x["first"].alias("first"), x["item"].alias("item"))))
     return m.select(
         "doc_id",
         F.col("matches.n_words").alias("n_words"),
-        hit.alias("n_hit"),
-        F.size("matches.items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("matches.items", ",").cast("binary"), 256).alias("items_sha256"),
-        (F.size("matches.items") > 0).alias("contaminated"),
-        F.col("matches.longest").alias("longest_match"),
+        _covered(F.col("matches.spans")).alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size(items) > 0).alias("contaminated"),
+        F.coalesce(-best["less"], F.lit(0).cast("long")).alias("longest_match"),
+        best["first"].alias("longest_at"),
+        best["item"].alias("longest_item"),
     )

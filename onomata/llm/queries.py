@@ -40,8 +40,7 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return report.drop("longest_match")
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,22 +83,28 @@ WITH w AS (
   UNION ALL
   SELECT 'b', item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
 ), items AS (
-  SELECT id, words, least(10, len(words)) AS n FROM w WHERE kind = 'b' AND len(words) > 0
+  SELECT id, words, least(10, len(words)) AS n, row_number() OVER () AS row FROM w WHERE kind = 'b' AND len(words) > 0
 ), win AS (
-  SELECT DISTINCT id AS item_id, n, list_slice(words, i, i + n - 1) AS win FROM (SELECT id, words, n, unnest(generate_series(1, len(words) - n + 1)) AS i FROM items)
+  SELECT id AS item_id, row, i, n, list_slice(words, i, i + n - 1) AS win FROM (SELECT id, row, words, n, unnest(generate_series(1, len(words) - n + 1)) AS i FROM items)
 ), sizes AS (SELECT DISTINCT n FROM win),
 pos AS (
   SELECT d.id AS doc_id, s.n, unnest(generate_series(1, len(d.words) - s.n + 1)) AS i, d.words FROM w d, sizes s WHERE d.kind = 'd' AND len(d.words) >= s.n
 ), hits AS (
-  SELECT a.doc_id, a.i, a.n, win.item_id FROM (SELECT doc_id, i, n, list_slice(words, i, i + n - 1) AS win FROM pos) a JOIN win ON a.n = win.n AND a.win = win.win
+  SELECT a.doc_id, a.i, a.n, win.item_id, win.row, a.i - win.i AS diagonal FROM (SELECT doc_id, i, n, list_slice(words, i, i + n - 1) AS win FROM pos) a JOIN win ON a.n = win.n AND a.win = win.win
 ), places AS (
   SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY doc_id
 ), found AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+), stretches AS (
+  SELECT doc_id, CAST(item_id AS VARCHAR) AS item, count(*) + any_value(n) - 1 AS words, min(i) - 1 AS first
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, row, diagonal ORDER BY i) AS part FROM hits) GROUP BY doc_id, row, item_id, diagonal, part
+), longest AS (
+  SELECT doc_id, words, first, item FROM stretches QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY words DESC, first, item) = 1
 )
 SELECT w.id AS doc_id, CAST(coalesce(len(w.words), 0) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
-       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM w LEFT JOIN places ON places.doc_id = w.id LEFT JOIN found ON found.doc_id = w.id WHERE w.kind = 'd'
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       CAST(coalesce(longest.words, 0) AS BIGINT) AS longest_match, CAST(longest.first AS BIGINT) AS longest_at, longest.item AS longest_item
+FROM w LEFT JOIN places ON places.doc_id = w.id LEFT JOIN found ON found.doc_id = w.id LEFT JOIN longest ON longest.doc_id = w.id WHERE w.kind = 'd'
 """
 
 

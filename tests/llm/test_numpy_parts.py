@@ -290,31 +290,48 @@ def test_lines_shapes_and_clusters():
     assert [lines.least(n) for n in (1, 3, 4, 10, 11, 90)] == [1, 3, 3, 7, 8, 63]
 
 
-def test_windows_of_a_benchmark_block():
+def searched(items, texts, held=1 << 20):
+    words, _, first = decontam._words(arrow([" ".join(i) for i in items]))
+    batch = pa.RecordBatch.from_arrays([arrow([" ".join(t) for t in texts])], names=["text"])
+    shared = [lambda: ([str(k) for k in range(len(items))], words, first)]
+    return [r["m"] for b in decontam._search(iter([batch]), "text", "m", shared, 10) for r in b.to_pylist()]
+
+
+def matches_plainly(items, t):
+    """Hit words, and for each item with a window in the text its longest match: words, place, place in the item."""
+    hit, best = set(), {}
+    for k, item in enumerate(items):
+        n = min(10, len(item))
+        for i in range(len(item) - n + 1 if n else 0):
+            for p in range(len(t) - n + 1):
+                if t[p : p + n] == item[i : i + n]:
+                    hit |= set(range(p, p + n))
+                    m = n
+                    while p + m < len(t) and i + m < len(item) and t[p + m] == item[i + m]:
+                        m += 1
+                    best[str(k)] = min(best.get(str(k), (0, 0, 0)), (-m, p, i))
+    return hit, {k: (-m, p, i) for k, (m, p, i) in best.items()}
+
+
+def test_windows_and_longest_matches_of_a_benchmark_block():
     rng = random.Random(9)
     word = lambda: rng.choice(["ab", "cd", "e", "f"])
-    items = [[word() for _ in range(n)] for n in (0, 1, 3, 12, 14)]
+    items = [[word() for _ in range(n)] for n in (0, 1, 3, 12, 14, 40)]
     texts = [[word() for _ in range(rng.randint(0, 60))] for _ in range(40)]
     texts[3][10:22] = items[3]
     texts[4] = items[4] + items[3]
-    block = decontam.Block(list(range(5)), [" ".join(i) for i in items], 10)
-    batch = pa.RecordBatch.from_arrays([arrow([" ".join(t) for t in texts] + [None])], names=["text"])
-    (found,) = decontam._search(iter([batch]), "text", list("nsil"), block)
-    for t, row in zip([*texts, []], found.to_pylist(), strict=True):
-        hit, names, longest = set(), set(), 0
-        for k, item in enumerate(items):
-            n = min(10, len(item))
-            for i in range(len(item) - n + 1 if n else 0):
-                for p in range(len(t) - n + 1):
-                    if t[p : p + n] == item[i : i + n]:
-                        hit |= set(range(p, p + n))
-                        names.add(str(k))
-                        m = n
-                        while p + m < len(t) and i + m < len(item) and t[p + m] == item[i + m]:
-                            m += 1
-                        longest = max(longest, m)
-        spans = {x for s in row["s"] for x in range(s["first"], s["end"])}
-        assert (row["n"], spans, row["i"], row["l"]) == (len(t), hit, sorted(names), longest)
+    texts[5] = items[5][3:31] + items[5][2:18] + items[5]
+    for t, row in zip(texts, searched(items, texts), strict=True):
+        hit, best = matches_plainly(items, t)
+        assert row["n_words"] == len(t) and {x for s in row["spans"] for x in range(s["first"], s["end"])} == hit
+        assert {m["item"]: (m["words"], m["first"], m["item_first"]) for m in row["matches"]} == best
+
+
+def test_no_match_is_longer_than_what_one_item_has():
+    a = [f"a{k}" for k in range(11)]
+    items = [a, [*a[1:], "zz", "yy"]]
+    (row,) = searched(items, [[*a, "zz", "yy"]])
+    assert [(m["item"], m["words"], m["first"], m["item_first"]) for m in row["matches"]] == [("0", 11, 0, 0), ("1", 12, 1, 0)]
 
 
 def test_latent_space_separates_and_scores_empty_texts():
