@@ -4,7 +4,8 @@ Every language has a multinomial over hashed byte trigrams inside words. A
 document's words come from a mixture of the languages; expectation-maximisation
 estimates its proportions. The set of languages is the one, among the sets of the
 largest proportions, with the best penalised likelihood, whatever its size; the
-proportions are estimated anew within it, and the largest is the prediction.
+proportions are estimated anew within it, and the largest is the prediction. Its
+score is the mean, over the words, of its posterior against all languages.
 Counts are over all documents that may be learned from.
 """
 
@@ -28,6 +29,8 @@ PENALTY = 2.0
 #: What is added to each count.
 SMOOTH = 0.5
 UNKNOWN = "und"
+#: Languages that the model knows at most: those of most documents. It bounds the table that is broadcast (50 MB).
+LANGUAGES = 200
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -77,11 +80,14 @@ class Model:
 
 
 def learn(docs: DataFrame) -> Model:
-    """Trigram counts by language, over all documents with text and lang whose id allows learning.
+    """Trigram counts by language, over all documents with text and lang whose id allows learning, of the LANGUAGES
+    languages with most such documents (then those that sort first).
 
     What reaches the driver is at most 2**BITS rows per language.
     """
     known = docs.where(learns(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
+    named = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).select("lang").collect()
+    known = known.where(F.col("lang").isin([r[0] for r in named]))
     rows = known.mapInArrow(_count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(set(rows["lang"]))
     counts = np.full((1 << BITS, len(languages)), SMOOTH)
@@ -119,7 +125,7 @@ def _most(likely: np.ndarray, cut: np.ndarray, share: np.ndarray) -> np.ndarray:
 
 
 def infer(texts: pa.Array, model: Model) -> tuple[list[str], np.ndarray, list[list[str]]]:
-    """Predicted language, its proportion, and the chosen set (largest first) of each text.
+    """Predicted language, its mean posterior over the text's words, and the chosen set (largest first) of each text.
 
     A larger set is tried until its penalty alone rules out that it or any after it is better.
     """
@@ -134,6 +140,7 @@ def infer(texts: pa.Array, model: Model) -> tuple[list[str], np.ndarray, list[li
     likely = np.exp(likely - likely.max(axis=1, keepdims=True))
     docs, cut = np.unique(text, return_index=True)
     words = np.diff(np.append(cut, len(first)))
+    posterior = _sums(likely / likely.sum(axis=1, keepdims=True), cut) / words[:, None]
     share, _ = _fit(likely, cut, np.full((len(docs), k), 1 / k, np.float32), ROUNDS)
     order = np.argsort(-share, axis=1, kind="stable")
     best = np.full(len(docs), -np.inf)
@@ -158,7 +165,7 @@ def infer(texts: pa.Array, model: Model) -> tuple[list[str], np.ndarray, list[li
     order = np.argsort(-fitted, axis=1, kind="stable")
     for i, d in enumerate(docs.tolist()):
         lang[d] = model.languages[order[i, 0]]
-        score[d] = min(1.0, float(fitted[i, order[i, 0]]))
+        score[d] = min(1.0, float(posterior[i, order[i, 0]]))
         chosen[d] = [model.languages[j] for j in order[i, : size[i]]]
     return lang, score, chosen
 
@@ -170,7 +177,8 @@ def _lettered(texts: pa.Array) -> list[bool]:
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """All columns and rows of ``docs`` and a struct ``language`` (underscores go in front of a taken name) of
-    lang_pred, score (its proportion of the words, estimated within the set) and languages (the chosen set, largest first).
+    lang_pred, score (the mean of its posterior over the words, all languages being as likely before) and languages (the
+    chosen set, largest first).
 
     ``und`` with score 0 and no set: null and empty texts, texts without a letter, and all texts where nothing was
     learned. Ties go to the language that sorts first. Repeated rows get the same values; no rows give none.

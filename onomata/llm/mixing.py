@@ -29,8 +29,9 @@ def n_words(text: Column) -> Column:
 
 
 def _key(docs: DataFrame) -> Column:
-    """Order of the shuffle: equal for equal rows only."""
-    return F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), F.col("source"), F.col("text")).cast("binary"))
+    """Order of the shuffle: equal for equal rows only (nulls are marked, and the source's length tells where it ends)."""
+    own = F.col("doc_id").cast("string"), F.length("source").cast("string"), F.col("source"), F.concat(F.lit("="), "text")
+    return F.md5(F.concat_ws("|", *(F.coalesce(c, F.lit("")) for c in own)).cast("binary"))
 
 
 def source_targets(totals: DataFrame) -> DataFrame:

@@ -18,11 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.filters import KeyFilter
 from .common import fresh, slices, text_bytes, with_columns
 from .words import LINED, SPACED, mix, per_text, run_hashes, runs, windows
 
 #: Bytes of an n-gram, and bits of its hash.
 GRAM, BITS = 4, 16
+#: Ids of trusted documents that are broadcast at most (16 MB). Past it the texts that may be trusted are shuffled.
+TRUSTED_IDS = 1_000_000
 #: Mean log ratio that a document needs at least.
 THRESHOLD = -0.3
 SYMBOLS = "#*$%&|<>"
@@ -88,9 +91,23 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
 
     Without any trusted document all ratios are 0: nothing is known against a document.
     """
-    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct().withColumn("trusted", F.lit(True))
-    marked = docs.select("doc_id", "text").join(good.hint("shuffle_hash"), "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
-    rows = marked.mapInArrow(_count, "gram bigint, raw bigint, trusted bigint").groupBy("gram").agg(F.sum("raw"), F.sum("trusted")).collect()  # 2**BITS rows at most
+    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
+    rows = docs.select("doc_id", "text")
+    n = good.count()
+    if n <= TRUSTED_IDS:  # texts stay where they are
+        marked = rows.join(F.broadcast(good.withColumn("trusted", F.lit(True))), "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+        counted = marked.mapInArrow(_count, "gram bigint, raw bigint, trusted bigint")
+    else:  # all texts are counted where they are; those that may be trusted are shuffled and counted for that
+        kind = "gram bigint, raw bigint, trusted bigint"
+        if KeyFilter.useful(n):
+            ids = KeyFilter(good, "doc_id", n)
+            some = rows.where(ids.may_have(F.col("doc_id"), ids.bits()))
+        else:
+            some = rows.where("doc_id is not null")
+        trusted = some.join(good, "doc_id", "left_semi").select("text", F.lit(True).alias("trusted")).mapInArrow(_count, kind)
+        raw = rows.select("text", F.lit(False).alias("trusted")).mapInArrow(_count, kind)
+        counted = raw.union(trusted.select("gram", F.lit(0).cast("bigint").alias("raw"), "trusted"))
+    rows = counted.groupBy("gram").agg(F.sum("raw"), F.sum("trusted")).collect()  # 2**BITS rows at most
     counts = np.ones((2, 1 << BITS))
     for gram, raw, trusted in rows:
         counts[:, gram] += raw, trusted

@@ -111,7 +111,7 @@ FROM w LEFT JOIN places ON places.doc_id = w.id LEFT JOIN found ON found.doc_id
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         md5(concat_ws('|', CAST(doc_id AS VARCHAR), source, text)) AS key FROM documents
+         md5(concat_ws('|', coalesce(CAST(doc_id AS VARCHAR), ''), coalesce(CAST(length(source) AS VARCHAR), ''), coalesce(source, ''), coalesce('=' || text, ''))) AS key FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) AS rank FROM d GROUP BY source
 ), w AS (

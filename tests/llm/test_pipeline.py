@@ -22,7 +22,7 @@ def test_stages_in_order_and_their_effects(spark):
     ids = {name: [r["doc_id"] for r in df.select("doc_id").collect()] for name, df in seen.items()}
     everything = {r["doc_id"]: r["text"] for r in docs.collect()}
     languages = {r["doc_id"]: r for r in langid.language_report(docs).collect()}
-    assert sorted(ids["language_id"]) == sorted(k for k, r in languages.items() if r["lang_pred"] != "und" and r["score"] >= 0.25)
+    assert sorted(ids["language_id"]) == sorted(k for k, r in languages.items() if r["lang_pred"] != "und")
 
     near = {r["doc_id"]: r["class_id"] for r in jaccard.near_duplicates(seen["language_id"]).collect()}
     assert sorted(ids["ngram_jaccard_join"]) == sorted(set(near.values()))
