@@ -100,6 +100,13 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             start = stop
 
 
+def each(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
+    """The values of the columns row by row: of rows that hold whole groups, one is in Python's memory at a time."""
+    columns = [batch.column(c) for c in names]
+    for k in range(batch.num_rows):
+        yield tuple(c[k].as_py() for c in columns)
+
+
 def with_columns(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:
     """The batch's own columns in their order, then the new ones."""
     return pa.RecordBatch.from_arrays([*batch.columns, *columns.values()], names=[*batch.schema.names, *columns])

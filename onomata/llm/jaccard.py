@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.filters import KeyFilter
-from .common import discard, fresh, slices, stage, text_bytes
+from .common import discard, each, fresh, slices, stage, text_bytes
 from .graph import blocks_that_meet, components, joins
 from .words import SPACED, mix, run_hashes, runs, windows
 
@@ -187,7 +187,7 @@ def _brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         us: list[bytes] = []
         vs: list[bytes] = []
-        for members in batch.column("members").to_pylist():
+        for (members,) in each(batch, "members"):
             members.sort(key=lambda m: m["class"])
             sig = np.frombuffer(b"".join(m["sig"] for m in members), np.uint32).reshape(len(members), PLACES)
             number = {x: k for k, x in enumerate(dict.fromkeys(m["root"] for m in members))}
@@ -277,7 +277,7 @@ def _exact(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.
     """For each class of a pair of blocks: texts it links to there, and the root of what it is connected with."""
     for batch in batches:
         rows = []
-        for left, right, members in zip(*(batch.column(c).to_pylist() for c in ("left", "right", "members")), strict=True):
+        for left, right, members in each(batch, "left", "right", "members"):
             members.sort(key=lambda m: m["class"])
             sets = [np.frombuffer(m["set"], np.uint64) for m in members]
             own = np.array([m["own"] for m in members])

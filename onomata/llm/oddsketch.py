@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, slices, stage, text_bytes
+from .common import discard, each, slices, stage, text_bytes
 from .graph import blocks_that_meet, components, joins
 from .words import SPACED, lower_ascii, mix, run_hashes, runs, windows
 
@@ -190,7 +190,7 @@ def _by_sketch(batches: Iterator[pa.RecordBatch], similarity: float, labelled: b
     most = differing_bits(similarity)
     for batch in batches:
         us, vs = [], []
-        for members in batch.column("members").to_pylist():
+        for (members,) in each(batch, "members"):
             members.sort(key=lambda m: m["class"])
             sketch = np.frombuffer(b"".join(m["sketch"] for m in members), np.uint64).reshape(len(members), -1)
             own = [m["label"] for m in members] if labelled else [m["class"] for m in members]
@@ -223,7 +223,7 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The links (u, v) whose full sets reach the threshold."""
     for batch in batches:
         keep = []
-        for one, other in zip(batch.column("u_set").to_pylist(), batch.column("v_set").to_pylist(), strict=True):
+        for one, other in each(batch, "u_set", "v_set"):
             a, b = np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)
             keep.append(bool(confirmed(_common(a, b), len(a), len(b))))
         yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
@@ -253,7 +253,7 @@ def _by_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For two blocks of members: the links (u, v) of labels that full sets confirm, as many as connect them."""
     for batch in batches:
         us, vs = [], []
-        for members in batch.column("members").to_pylist():
+        for (members,) in each(batch, "members"):
             members.sort(key=lambda m: (m["own"], m["class"]))
             sets = [np.frombuffer(m["set"], np.uint64) for m in members]
             size = np.array([len(s) for s in sets])

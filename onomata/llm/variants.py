@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, stage
+from .common import discard, each, stage
 from .graph import follow
 
 RUN = "[A-Za-z\\u00C0-\\u00FF]+"
@@ -139,7 +139,7 @@ _ARROW = pa.schema([("word", pa.string()), ("n_near", pa.int64()), ("form_n", pa
 
 def _compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for begin, words in zip(batch.column("begin").to_pylist(), batch.column("words").to_pylist(), strict=True):
+        for begin, words in each(batch, "begin", "words"):
             out: list[dict] = []
             n = {w["word"][len(begin) :]: w["n"] for w in words}
             _summed(Acceptor(sorted(n)).near_pairs(), n, begin, out)
