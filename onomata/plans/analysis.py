@@ -147,8 +147,9 @@ def analyze_paths(
     dedupe: bool = False,
     strategy: str = "auto",
     stage_parsed: bool = False,
+    subscription_lines: bool = False,
 ) -> Analysis:
-    """The same run from paths: subscription JSON files, a dictionary directory
+    """The same run from paths: subscription JSON files (an array per file, or an entry per line), a dictionary directory
     and landed pages (JSON lines, or a DataFrame ``(url, page, body)``). Files may
     be paths, globs, directories or lists of them.
 
@@ -159,7 +160,7 @@ def analyze_paths(
     dictionary, dict_diag = load_dictionary(spark, entities_dir, dedupe=dedupe)
     files, lost = _present(spark, subscription_file)
     errors = [("ERROR", "SUBSCRIPTIONS_NOT_FOUND", p, MSG_FILE_NOT_FOUND % p) for p in lost]
-    raw = read_subscriptions(spark, files) if files else spark.createDataFrame([], SUBSCRIPTION_SCHEMA)
+    raw = read_subscriptions(spark, files, multiline=not subscription_lines) if files else spark.createDataFrame([], SUBSCRIPTION_SCHEMA)
     pages = landed
     if not isinstance(landed, DataFrame):
         files, lost = _present(spark, landed)

@@ -137,6 +137,21 @@ def shared_dir(spark) -> str:
     return base.rstrip("/")
 
 
+def landing_dir(spark) -> str:
+    """A new folder for files that a run lands before it reads them: in the shared folder, or for a local session
+    without one in a temporary folder of this machine."""
+    import tempfile
+    import uuid
+
+    try:
+        base = shared_dir(spark)
+    except ValueError:
+        if not spark.sparkContext.master.startswith("local["):
+            raise
+        base = tempfile.mkdtemp(prefix="onomata-landing-")
+    return f"{base}/landing-{uuid.uuid4().hex}"
+
+
 def stage_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` once as parquet under the shared folder; the table read back, and its path.
 

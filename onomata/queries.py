@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from . import scenario as S
 from .constants import (
+    DICTIONARY_FILES,
     ENTITY_TYPES,
     PARENT_TYPE,
     TOTAL_LABEL,
@@ -24,8 +25,9 @@ from .operators.detect import Detection, count_entities, post_terms
 from .operators.posts import filter_posts
 from .operators.report import entity_report, processing_report, type_report
 from .operators.stats import observe_posts, post_length_stats, processing_stats
-from .plans.analysis import analyze
-from .sources.dictionary import dictionary_from_rows, typed_dictionary
+from .plans.analysis import Analysis, analyze, analyze_paths
+from .plans.strategy import landing_dir
+from .sources.dictionary import dictionary_from_rows, load_dictionary, typed_dictionary
 from .sources.feeds import attach_feeds, feed_posts, feed_status
 from .sources.subscriptions import subscription_diagnostics, valid_subscriptions
 from .sources.tables import posts_from_conversations, read_table
@@ -297,6 +299,28 @@ def q_entity_phrase_mentions_wide_shuffle(spark: SparkSession, sf_dir: str) -> D
     return Detection(_wide_phrases(spark, sf_dir), "phrase", "shuffle").mentions(_kept_posts(spark, sf_dir))
 
 
+def q_dictionary_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dictionary read back from files, one per type, that the query lands first."""
+    folder = landing_dir(spark)
+    S.land_dictionary_files(read_table(spark, sf_dir, "documents"), folder)
+    return load_dictionary(spark, folder)[0]
+
+
+def _run_from_files(spark: SparkSession, sf_dir: str) -> Analysis:
+    """A whole run from files that the query lands first: subscriptions, landed pages and dictionary files."""
+    folder = landing_dir(spark)
+    S.land_run(spark, S.documents_posts(spark, sf_dir), folder)
+    return analyze_paths(spark, f"{folder}/subscriptions", f"{folder}/entities", f"{folder}/landed", subscription_lines=True)
+
+
+def q_run_from_files_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_from_files(spark, sf_dir).stats
+
+
+def q_run_from_files_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_from_files(spark, sf_dir).counts
+
+
 def q_type_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_parent_type(q_entity_type_stats(spark, sf_dir))
 
@@ -335,6 +359,9 @@ QUERIES: dict[str, QueryFn] = {
     "entity_phrase_counts_vocabulary": q_entity_phrase_counts_vocabulary,
     "entity_phrase_counts_shuffle": q_entity_phrase_counts_shuffle,
     "entity_phrase_counts_wide": q_entity_phrase_counts_wide,
+    "dictionary_from_files": q_dictionary_from_files,
+    "run_from_files_stats": q_run_from_files_stats,
+    "run_from_files_counts": q_run_from_files_counts,
     "entity_phrase_mentions_wide_shuffle": q_entity_phrase_mentions_wide_shuffle,
     "type_parents": q_type_parents,
     "diagnostics_no_posts": q_diagnostics_no_posts,
@@ -649,6 +676,16 @@ SELECT entity_type, entity_name, count(*) AS n FROM terms JOIN keyed ON term = m
 GROUP BY entity_type, entity_name"""
 
 
+def _run_counts_sql() -> str:
+    filed = {t for _, t in DICTIONARY_FILES}
+    return f"""WITH {POSTS}, {SUBS}, {PAGES},
+kept AS (SELECT p.* FROM posts p JOIN st ON p.feed = st.feed AND p.post_id // {S.PAGE_ROWS} = st.page
+         WHERE st.status = 'OK' AND {KEEP_BLANK}),
+{_dict_cte([(t, n) for t, n in S.PROBE_DICTIONARY if t in filed])},
+terms AS ({_token_terms('kept')})
+SELECT entity_type, entity_name, count(*) AS n FROM terms JOIN dict ON term = lower(entity_name) GROUP BY entity_type, entity_name"""
+
+
 def _wide_phrase_sql(per_post: bool = False) -> str:
     grams = ", ".join(
         f"list_transform(range(1, len(words) - {n - 1} + 1), lambda i: array_to_string(words[i:i + {n - 1}], ' '))" for n in (1, 2, 3)
@@ -693,6 +730,9 @@ counts AS (SELECT entity_type, entity_name, count(*) AS n FROM terms JOIN dict O
         "entity_phrase_counts_vocabulary": _benchmark_phrase_sql(),
         "entity_phrase_counts_shuffle": _benchmark_phrase_sql(),
         "entity_phrase_counts_wide": _wide_phrase_sql(),
+        "dictionary_from_files": f"WITH {_DOC_DICT} {_DOC_DICT_CLEAN}",
+        "run_from_files_stats": _STATS_SQL,
+        "run_from_files_counts": _run_counts_sql(),
         "entity_phrase_mentions_wide_shuffle": _wide_phrase_sql(per_post=True),
         "type_parents": f"""SELECT ts.*, p.parent_type FROM ({_type_stats_sql()}) ts
 LEFT JOIN (VALUES {_PARENTS}) p(entity_type, parent_type) ON ts.entity_type = p.entity_type""",

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .constants import DICTIONARY_FILES
 from .sources.feeds import attach_feeds, fetched_feeds, parse_feeds
 from .sources.subscriptions import classify_subscriptions, parse_subscription_records
 from .sources.tables import (
@@ -164,6 +165,28 @@ def document_dictionary_lines(documents: DataFrame) -> DataFrame:
     return lines.select(declared.alias("declared_type"), raw.alias("value"))
 
 
+# The file that each declared type's lines are landed in; lines of an unknown type go to the people.
+_FILE_OF_TYPE = {"Person": "people.txt", "Place": "places.txt", "University": "universities.txt", "Spanish": "people.txt"}
+
+
+def land_dictionary_files(documents: DataFrame, folder: str) -> None:
+    """The lines of ``document_dictionary_lines`` as text files named by type (folders of part files)."""
+    lines = document_dictionary_lines(documents)
+    for name in sorted(set(_FILE_OF_TYPE.values())):
+        own = [t for t, n in _FILE_OF_TYPE.items() if n == name]
+        lines.where(F.col("declared_type").isin(own)).select("value").write.text(f"{folder}/{name}")
+
+
+def land_run(spark: SparkSession, posts: DataFrame, folder: str) -> None:
+    """Everything that a run reads, as files: the subscription entries as JSON lines, the landed pages as JSON lines and
+    the probe dictionary as text by type."""
+    subscription_records(spark, posts).coalesce(1).write.text(f"{folder}/subscriptions")
+    faulty_pages(posts).write.json(f"{folder}/landed")
+    probe = spark.createDataFrame(list(PROBE_DICTIONARY), "entity_type string, entity_name string")
+    for name, kind in DICTIONARY_FILES:
+        probe.where(F.col("entity_type") == kind).select("entity_name").coalesce(1).write.text(f"{folder}/entities/{name}")
+
+
 __all__ = [
     "PROBE_DICTIONARY",
     "PHRASE_DICTIONARY",

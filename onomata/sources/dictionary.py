@@ -68,6 +68,7 @@ def load_dictionary(
 
     Returns ``(dictionary, diagnostics)``. A path that is missing or no directory
     is an error; a missing file gives a WARN row and the other files are still used.
+    A file may be a folder of part files, as Spark writes it.
     """
     base = directory.rstrip("/")
     if not is_directory(spark, base):
@@ -81,10 +82,9 @@ def load_dictionary(
     )
     if not present:
         return spark.createDataFrame([], DICTIONARY_SCHEMA), diagnostics
-    type_of_file = F.create_map(*[x for n, t in present for x in (F.lit(n), F.lit(t))])
-    raw = spark.read.text([f"{base}/{n}" for n, _ in present]).select(
-        "value", type_of_file[F.col("_metadata.file_name")].alias("declared_type")
-    )
+    path = F.col("_metadata.file_path")
+    of = [F.when(path.endswith(f"/{n}") | path.contains(f"/{n}/"), F.lit(t)) for n, t in present]
+    raw = spark.read.text([f"{base}/{n}" for n, _ in present]).select("value", F.coalesce(*of).alias("declared_type"))
     return typed_dictionary(raw, "declared_type", dedupe=dedupe), diagnostics
 
 

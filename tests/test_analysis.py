@@ -53,7 +53,7 @@ def test_top_k_two(spark, tmp_path):
 
 
 def test_unreachable_feed_counts_as_failed(spark, tmp_path):
-    a = _run(spark, tmp_path, GOOD + [{"name": "This URL should fail", "url": "https://lalalala"}])
+    a = _run(spark, tmp_path, GOOD + [{"name": "gone", "url": "feed://nowhere"}])
     s = a.stats.first()
     assert s["feeds_failed"] == 1 and s["feeds_ok"] == 2
     assert a.diagnostics.filter("code = 'FETCH_FAILED'").count() == 1
@@ -61,14 +61,14 @@ def test_unreachable_feed_counts_as_failed(spark, tmp_path):
 
 
 def test_incorrect_format_entry_is_skipped(spark, tmp_path):
-    a = _run(spark, tmp_path, GOOD + [{"incorrect_name": "incorrect_value"}])
+    a = _run(spark, tmp_path, GOOD + [{"title": "no name here"}])
     d = a.diagnostics.filter("code = 'SUBSCRIPTION_SKIPPED'").collect()
     assert len(d) == 1 and "Skipping malformed subscription" in d[0]["message"]
     assert a.ranking.count() == 10
 
 
 def test_malformed_json_file(spark, tmp_path):
-    (tmp_path / "bad.json").write_text("This is not json")
+    (tmp_path / "bad.json").write_text("name = url, one per line")
     classified = classify_subscriptions(read_subscriptions(spark, str(tmp_path / "bad.json")))
     landed = spark.createDataFrame([], "url string, page bigint, body string")
     d = spark.createDataFrame([("Person", "Turing")], "entity_type string, entity_name string")
