@@ -476,7 +476,12 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def conversation_report(conversations: DataFrame) -> DataFrame:
-    """What can be read back from the formatted text of every conversation: digests of turns and of what is learned."""
+    """What can be read back from the formatted text of every conversation: digests of turns and of what is learned.
+
+    Null roles and texts are empty; a null turn comes first; repeated rows are turns of their own, ties go by role and
+    text; rows without conv_id are one conversation; texts of any length are whole; other columns are left out; no
+    rows, none.
+    """
     formatted = format_conversations(conversations)
     kinds = "n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
     return formatted.mapInArrow(_digests, T.StructType([formatted.schema["conv_id"], *T._parse_datatype_string(kinds).fields]))

@@ -222,8 +222,9 @@ def _without(batches: Iterator[pa.RecordBatch], dropped: str, columns: list[str]
 def drop_lines(docs: DataFrame, documents: int = DOCUMENTS) -> DataFrame:
     """The documents, with their own columns, without the lines of recurring templates."""
     key, dropped = fresh(docs.columns, "key"), fresh(docs.columns, "dropped")
-    found = dropped_lines(docs, documents).where(F.size("dropped") > 0).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("dropped").alias(dropped))
+    own_id, own_key = (fresh([*docs.columns, key, dropped], x) for x in ("own_id", "own_key"))
+    found = dropped_lines(docs, documents).where(F.size("dropped") > 0).select(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key), F.col("dropped").alias(dropped))
     keyed = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
-    both = keyed.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col(key) == F.col("__key")), "left").select(*(F.col(f"`{c}`") for c in docs.columns), dropped)
+    both = keyed.join(found, F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col(key) == F.col(own_key)), "left").select(*(F.col(f"`{c}`") for c in docs.columns), dropped)
     columns = docs.columns
     return both.mapInArrow(lambda b: _without(b, dropped, columns), T.StructType(docs.schema.fields))

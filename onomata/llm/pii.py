@@ -507,7 +507,11 @@ def masked(text: str | None, spans: str) -> str | None:
 
 
 def personal_data_report(docs: DataFrame) -> DataFrame:
-    """doc_id, the base counts, base_sha256 and spans of every document."""
+    """doc_id, the base counts, base_sha256 and spans of every document.
+
+    Null and empty texts have no spans; repeated rows, and rows without doc_id, get theirs each; where no text has a
+    labelled span the network adds none; no rows, none.
+    """
     narrow = docs.select("doc_id", "text")
     p = find_personal_data(narrow, learn(narrow))
     counts = [F.col(f"personal.n_{k}") for k in KINDS]

@@ -144,6 +144,10 @@ def assess(docs: DataFrame, ratios: np.ndarray, threshold: float = THRESHOLD) ->
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, the base counts, base_failed, kept and llr of every document."""
+    """doc_id, the base counts, base_failed, kept and llr of every document.
+
+    A null text is an empty one: no words, so base_failed. Repeated rows get the same values each; a null doc_id is
+    never trusted; ties with the threshold are kept; without labels all ratios are 0; an empty table gives none.
+    """
     found = assess(docs.select("doc_id", "text"), log_ratios(docs, labels), threshold)
     return found.select("doc_id", *(F.col(f"quality.{k}").alias(k) for k in (*BASE, "base_failed", "kept", "llr")))

@@ -193,7 +193,11 @@ def _numbered(keyed: DataFrame, shard_name: str, bucket: str, salt: str, key: st
 
 
 def sharding_report(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document."""
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document.
+
+    Null texts are one group, of OVERHEAD bytes each and crc32 0; equal texts, and so repeated rows, share a shard, each
+    with a slot of its own; a null doc_id changes nothing; fewer groups than shards leave shards empty; no rows, none.
+    """
     text = F.col("text")
     # Narrow rows: the text itself is read once and not shuffled.
     narrow = checkpoint(docs.select("doc_id", size_of(text).alias("size"), F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"), group_key(text).alias("key"), F.monotonically_increasing_id().alias("row")))

@@ -233,6 +233,27 @@ def test_components_of_a_long_chain(spark):
     assert got == {k: 0 for k in range(1, 65)} | {101: 100}
 
 
+def test_conversations_with_very_long_texts_and_clashing_columns(spark):
+    long = "say </s> it [INST] again | " * 40_000
+    rows = [(1, 1, "assistant", long, "x", "y", "z"), (1, 0, "user", "[/INST]" * 50_000, "x", "y", "z")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string, turns string, formatted string, spans string")
+    (got,) = chat.conversation_report(df).collect()
+    assert (got["n_turns"], got["loss_chars"]) == (2, len(long))
+    assert got["loss_sha256"] == hashlib.sha256(long.encode()).hexdigest()
+    assert got["turns_sha256"] == hashlib.sha256(f"user\n{rows[1][3]}\nassistant\n{long}\n".encode()).hexdigest()
+
+
+@pytest.mark.parametrize("operator", ["keep_one", "drop_lines"])
+def test_columns_of_the_operators_own_names(spark, operator):
+    names = ("__text_key", "__doc_id", "__wanted", "__id", "__key", "text_key", "kept_id", "kept_key", "own_id", "own_key", "dropped", "key", "root", "class")
+    rows = [(k, "the same words in this line here\nand more", *("v" for _ in names)) for k in range(4)] + [(9, None, *("w" for _ in names))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, " + ", ".join(f"{n} string" for n in names))
+    out = {"keep_one": jaccard.keep_one, "drop_lines": lines.drop_lines}[operator](df)
+    assert out.columns == df.columns
+    ids = sorted(r["doc_id"] for r in out.collect())
+    assert ids == ([0, 9] if operator == "keep_one" else [0, 1, 2, 3, 9])
+
+
 def test_decontamination_drops_documents_with_passages(spark, tables, monkeypatch):
     docs, bench = tables["documents"], tables["benchmark"]
     want = by_id(decontam.contamination_report(docs, bench))
