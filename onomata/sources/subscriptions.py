@@ -44,11 +44,12 @@ def refusal(columns: list[str]) -> tuple[Column, Column, Column, Column]:
     not_json = F.col("sub_status") == "INVALID_JSON"
     # The file is named where it is known, so a bad one among several can be told.
     file = F.col("source_file") if "source_file" in columns else F.lit("")
+    reason = F.col("reason") if "reason" in columns else F.lit("")
     return (
         F.when(not_json, F.lit("ERROR")).otherwise(F.lit("WARN")),
         F.when(not_json, F.lit("INVALID_JSON")).otherwise(F.lit("SUBSCRIPTION_SKIPPED")),
         F.coalesce(F.col("name"), F.col("url"), file),
-        F.when(not_json, F.lit(MSG_INVALID_JSON)).otherwise(F.concat(F.lit(MSG_SKIPPED_SUBSCRIPTION + ": "), F.col("reason"))),
+        F.when(not_json, F.lit(MSG_INVALID_JSON)).otherwise(F.concat(F.lit(MSG_SKIPPED_SUBSCRIPTION + ": "), reason)),
     )
 
 
