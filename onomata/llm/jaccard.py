@@ -38,9 +38,9 @@ PLACES, SMALL, DEPTH = 64, 2048, 4
 AGREE = 0.55
 #: Probability with which a pair at the threshold meets in some run, for paths of up to DEPTH splits.
 RECALL = 0.999
-#: Runs of the first round, which need not find all. In the second, with all runs, nodes whose members are connected
-#: already need no comparison.
-FIRST_RUNS = 2
+#: Runs of the first round, which need not find all: one split each, and large nodes in blocks. In the second, with all
+#: runs, nodes whose members are connected already need no comparison.
+FIRST_RUNS = 4
 #: Classes of a block in the exact comparison.
 BLOCK = 128
 
@@ -202,8 +202,9 @@ def _candidates(classes: DataFrame, similarity: float, some_runs: range, whole:
     """Edges (u, v) between the roots of classes that the given runs find, as many as connect what is connected.
 
     ``classes`` has class, sig and root; classes of one root are known to be connected, and nodes of one root go no
-    further. Small nodes are compared by brute force. Those that stay large to the end are cut into blocks; if the
-    search is to be whole, every two blocks that do not both lie in the node's main root are compared as well.
+    further. Small nodes are compared by brute force. If the search is not to be whole, large ones are cut into blocks,
+    each compared in itself. Else they are split again; those that stay large to the end are cut into blocks, of which
+    every two are compared that do not both lie in the node's main root.
     """
     kind = "path bigint, label bigint, class binary"
     known = classes.select("class", "sig", "root", F.xxhash64("root").alias("label"))
@@ -217,18 +218,19 @@ def _candidates(classes: DataFrame, similarity: float, some_runs: range, whole:
         small = small.select(F.xxhash64("all", F.lit(0)).alias("bucket"), F.explode("all").alias("class"))
         found = small if found is None else found.union(small)
         large = sized.where(F.col("size") > SMALL)
+        if not whole:
+            block = F.pmod(F.xxhash64("class", "path"), F.ceil(F.col("size") / SMALL))
+            found = found.union(large.select(F.xxhash64("path", block).alias("bucket"), "class"))
+            break
         if large.isEmpty():
             break
         if depth < DEPTH:
             level = large.select("path", "label", "class").join(known.select("class", "sig"), "class").mapInArrow(lambda b: _split(b, similarity, range(0)), kind)
-        elif whole:
+        else:
             per = large.groupBy("path", "label").agg(F.count(F.lit(1)).alias("n"))
             main = per.groupBy("path").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("of_main"), F.sum("n").alias("members"))
             pairs = blocks_that_meet(large.select("path", "label", "class").join(main, "path"), SMALL // 2, ["path"])
             found = found.union(pairs.select(F.xxhash64("path", "left", "right").alias("bucket"), "class"))
-        else:
-            block = F.pmod(F.xxhash64("class", "path"), F.ceil(F.col("size") / SMALL))
-            found = found.union(large.select(F.xxhash64("path", block).alias("bucket"), "class"))
     members = found.join(known, "class").groupBy("bucket").agg(F.collect_list(F.struct("class", "sig", "root")).alias("members"))
     out = stage(members.select("members").mapInArrow(_brute, "u binary, v binary").distinct())
     discard(*held)
