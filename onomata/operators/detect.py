@@ -12,7 +12,8 @@ on the token and a name with a space never matches.
 Filters. Terms are tested in-row before any of them is joined or shuffled: a
 short dictionary's keys are a literal set, a longer one has a Bloom filter over
 its keys, built by one aggregate (``plans/filters.py``). What the join gets to
-see is close to the matches, whatever the dictionary's size. In phrase mode an
+see is close to the matches, whatever the dictionary's size. In phrase mode,
+where keys have more than a few lengths or there is no filter over them, an
 index by first word says which lengths of phrases may begin at a word, so only
 these are built, in one pass over the post's words.
 
@@ -42,6 +43,8 @@ from ..plans.skew import join_with_salts
 from ..plans.strategy import DictionaryShape, choose_join, literal_keys, measure_dictionary, shared_dir, stage_table, remove_table
 
 MATCH_MODES = ("token", "phrase")
+# Lengths of phrases up to which all of them are built where a filter over the keys tests them.
+FEW_LENGTHS = 3
 
 
 def key_dictionary(dictionary: DataFrame, match: str = "token") -> DataFrame:
@@ -50,9 +53,8 @@ def key_dictionary(dictionary: DataFrame, match: str = "token") -> DataFrame:
         raise ValueError(f"unknown match mode {match!r}; use one of {MATCH_MODES}")
     name = F.col("entity_name")
     key = F.lower(name) if match == "token" else phrase_key(name)
-    return dictionary.select("entity_type", "entity_name", key.alias("match_key")).filter(
-        F.col("match_key").isNotNull() & (F.col("match_key") != "")
-    )
+    # Null keys are not unequal to "" either; the key is written once here, as a filter computes it each time.
+    return dictionary.select("entity_type", "entity_name", key.alias("match_key")).filter(F.col("match_key") != "")
 
 
 def post_terms(
@@ -70,7 +72,8 @@ def post_terms(
     The empty token of a text with blanks at its ends is no term: no name has
     an empty key. In phrase mode an ``index`` of the dictionary and the
     ``lengths`` of its keys limit the phrases built to those that may match;
-    without it every phrase of 1..max_words words is built. With ``keys`` (a
+    without it every phrase of these lengths (of 1..max_words words without
+    them) is built. With ``keys`` (a
     short dictionary's) only these terms are left, with a ``key_filter`` these
     and few others.
     """
@@ -84,40 +87,48 @@ def post_terms(
     # Materialise the word array once; the phrases then slice a column
     # instead of re-splitting the text for every position.
     words = posts.select(*id_cols, phrase_words(text).alias("_words"))
-    # A subquery cannot be written inside a lambda, so the filters' arrays are
-    # named first, in a projection of their own: the optimizer puts them back
-    # into the lambda, and no row carries them. (The size keeps that projection
+    # A subquery cannot be written inside a lambda, so the index's array is
+    # named first, in a projection of its own: the optimizer puts it back
+    # into the lambda, and no row carries it. (The size keeps that projection
     # apart from the words: they are used twice and costly.)
-    arrays = [x.bits().alias(name) for name, x in (("_index", index), ("_keys", key_filter)) if x is not None]
+    arrays = [index.bits().alias("_index")] if index is not None else []
     held = words.select(*id_cols, "_words", F.size("_words").alias("_size"), *arrays)
     if index is None:
-        phrases = phrase_set_of_words(F.col("_words"), max_words)
+        phrases = phrase_set_of_words(F.col("_words"), max_words, lengths, keys=keys)
     else:
         at = lambda w: index.lengths_at(w, F.col("_index"))
-        phrases = indexed_phrases(F.col("_words"), F.col("_size"), F.array(*map(F.lit, lengths)), at, has_length)
-    if key_filter is not None:
-        phrases = F.filter(phrases, lambda p: key_filter.may_have(p, F.col("_keys")))
-    found = held.select(*id_cols, matching_set(phrases, keys).alias("_terms"))
+        phrases = matching_set(indexed_phrases(F.col("_words"), F.col("_size"), F.array(*map(F.lit, lengths)), at, has_length), keys)
+    found = held.select(*id_cols, phrases.alias("_terms"))
     # For a plain explode the optimizer adds a filter on the array's size, and
     # with it computes all of the above again, the words once per phrase.
-    return found.select(*id_cols, F.explode_outer("_terms").alias("term")).where(F.col("term").isNotNull())
+    terms = found.select(*id_cols, F.explode_outer("_terms").alias("term")).where(F.col("term").isNotNull())
+    # Tested as rows, in generated code; a lambda over the array is interpreted.
+    return terms.where(key_filter.may_have(F.col("term"), key_filter.bits())) if key_filter else terms
 
 
 class Detection:
-    """Keyed dictionary, its measured shape, its in-row filters and the chosen join strategy."""
+    """Keyed dictionary, its measured shape, its in-row filters and the chosen join strategy.
 
-    def __init__(self, dictionary: DataFrame, match: str = "token", strategy: str = "auto"):
+    The keyed dictionary is read for its shape, the index, the filter and the join. With ``stage_keys`` (for a long one,
+    or one that is costly to compute) it is computed once and staged where there is a shared folder, until ``release``.
+    """
+
+    def __init__(self, dictionary: DataFrame, match: str = "token", strategy: str = "auto", stage_keys: bool = False):
         self.match = match
+        self._staged: list[str] = []
         self.keyed = key_dictionary(dictionary, match)
+        if stage_keys:
+            self.keyed = self._once(self.keyed, "keys")
         self.shape: DictionaryShape = measure_dictionary(self.keyed)
         self.strategy = choose_join(self.shape, strategy)
-        # Phrase mode: only phrases are built of which the first word and the length occur together.
-        self.index = FirstWordIndex(self.keyed, "match_key", self.shape.rows) if match == "phrase" else None
         # Terms are filtered in-row before the join: by the keys themselves, or by a filter over them.
         self.keys = literal_keys(self.keyed, self.shape)
         useful = self.keys is None and KeyFilter.useful(self.shape.rows)
         self.key_filter = KeyFilter(self.keyed, "match_key", self.shape.rows) if useful else None
-        self._staged: list[str] = []
+        # Phrase mode: only phrases are built of which the first word and the length occur together. For few lengths all
+        # phrases are built: the filter over the keys tests them in less time than the index is asked for every word.
+        few = self.key_filter is not None and len(self.shape.lengths) <= FEW_LENGTHS
+        self.index = FirstWordIndex(self.keyed, "match_key", self.shape.rows) if match == "phrase" and not few else None
 
     @property
     def max_words(self) -> int:
@@ -127,20 +138,18 @@ class Detection:
         """``(id_cols..., term)``: the terms that the join gets to see."""
         return post_terms(posts, id_cols, self.match, self.max_words, self.keys, self.key_filter, self.index, self.shape.lengths)
 
-    def _counted_terms(self, posts: DataFrame, id_cols: Sequence[str]) -> DataFrame:
-        """The terms as they are read twice, for the sketch and for the join: staged where there is a shared folder, so
-        that the posts are split into terms once. What is staged is about as large as the result."""
-        terms = self.terms(posts, id_cols)
+    def _once(self, rows: DataFrame, name: str) -> DataFrame:
+        """Rows that are read several times: staged where there is a shared folder, so that they are computed once."""
         try:
-            shared_dir(posts.sparkSession)
+            shared_dir(rows.sparkSession)
         except ValueError:
-            return terms
-        terms, path = stage_table(terms, "terms")
+            return rows
+        rows, path = stage_table(rows, name)
         self._staged.append(path)
-        return terms
+        return rows
 
     def release(self) -> None:
-        """Delete the tables staged for mentions that have been read."""
+        """Delete the staged tables, when the results have been read."""
         while self._staged:
             remove_table(self.keyed.sparkSession, self._staged.pop())
 
@@ -152,7 +161,8 @@ class Detection:
         else:
             # A shuffled hash join: hash the dictionary's partitions, stream
             # the terms (no sort of the large side). Frequent terms are salted.
-            terms = self._counted_terms(posts, id_cols)
+            # Terms are read for the sketch and for the join; what is staged is about as large as the result.
+            terms = self._once(self.terms(posts, id_cols), "terms")
             spread = [F.col(c) for c in id_cols] or [F.col("term")]
             joined = join_with_salts(terms, lines, "term", spread, hint="shuffle_hash")
         return joined.select(*id_cols, "entity_type", "entity_name")

@@ -71,8 +71,8 @@ class KeyFilter:
 
     def may_have(self, value: Column, bits: Column) -> Column:
         """True for every key, and for few other values. ``bits`` is the filter's array (``bits()``, or a column of it)."""
-        word, mask = F.get(bits, _place(value, self.words)), self._mask(value)
-        return word.bitwiseAND(mask) == mask
+        # The mask is written once: a filter computes an expression as often as it is written.
+        return F.bitwise_not(F.get(bits, _place(value, self.words))).bitwiseAND(self._mask(value)) == 0
 
 
 class FirstWordIndex:

@@ -283,11 +283,9 @@ def q_entity_phrase_counts_shuffle(spark: SparkSession, sf_dir: str) -> DataFram
 def _wide_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dictionary with two phrases for every word of the documents: the least two and the least three words from one
     of its places on."""
-    words = read_table(spark, sf_dir, "documents").select(F.split(F.regexp_replace("text", "\n", " "), " ").alias("words"))
-    run = lambda i, n: F.array_join(F.slice("words", i + 1, n), " ")
-    places = F.transform("words", lambda w, i: F.struct(w.alias("first"), run(i, 2).alias("two"), run(i, 3).alias("three")))
-    least = words.select(F.explode(places).alias("p")).where("p.first <> ''").groupBy("p.first").agg(F.min("p.two").alias("two"), F.min("p.three").alias("three"))
-    names = least.select(F.explode(F.array("two", "three")).alias("entity_name")).distinct()
+    least = S.least_runs(read_table(spark, sf_dir, "documents"))
+    # A phrase tells its first word, so no other word has it too.
+    names = least.select(F.explode(F.array_distinct(F.array("two", "three"))).alias("entity_name"))
     return names.select(F.lit("Place").alias("entity_type"), "entity_name")
 
 
@@ -296,7 +294,7 @@ def q_entity_phrase_counts_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_entity_phrase_mentions_wide_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Detection(_wide_phrases(spark, sf_dir), "phrase", "shuffle").mentions(_kept_posts(spark, sf_dir))
+    return Detection(_wide_phrases(spark, sf_dir), "phrase", "shuffle", stage_keys=True).mentions(_kept_posts(spark, sf_dir))
 
 
 def q_dictionary_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,10 @@ pick which feeds receive which fault.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import chain, islice
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +49,9 @@ PHRASE_DICTIONARY = PROBE_DICTIONARY + [
     ("Organization", "Apache"),
 ]
 
+# Words, and bytes of them and their runs, that a task holds before it hands them on.
+RUNS_HELD, RUN_BYTES_HELD = 200_000, 32 << 20
+
 # Raw subscription entries appended to the derived ones.
 EXTRA_SUBSCRIPTION_RECORDS = [
     '{"title": "neither name nor url"}',
@@ -200,3 +207,55 @@ __all__ = [
     "document_dictionary_lines",
     "feed_url",
 ]
+
+
+def _least_runs_of_task(batches: Iterator[pa.RecordBatch], held_max: int, bytes_max: int) -> Iterator[pa.RecordBatch]:
+    """``(first, two, three)`` of the texts of a task, as bytes: they compare like Spark's strings. Rows of a word come
+    again when more words than a task may hold were handed on between them."""
+    held: dict[bytes, list[bytes]] = {}
+    size = 0
+
+    def handed_on() -> pa.RecordBatch:
+        kind = pa.binary()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(held, kind), *(pa.array([v[k] for v in held.values()], kind) for k in (0, 1))], ["first", "two", "three"]
+        )
+
+    for batch in batches:
+        for text in batch.column(0):
+            if not text.is_valid:
+                continue
+            words = text.as_py().replace(b"\n", b" ").split(b" ")
+            last, runs = words[-1], zip(words, islice(words, 1, None), islice(words, 2, None))
+            at_end = [(last, last, last)] if len(words) < 2 else [(words[-2], b" ".join(words[-2:]), b" ".join(words[-2:])), (last, last, last)]
+            for first, two, three in chain(((a, t := a + b" " + b, t + b" " + c) for a, b, c in runs), at_end):
+                least = held.get(first)
+                if least is None:
+                    if first:
+                        held[first] = [two, three]
+                        size += len(first) + len(two) + len(three)
+                    continue
+                if two < least[0]:
+                    least[0] = two
+                if three < least[1]:
+                    least[1] = three
+            if len(held) >= held_max or size >= bytes_max:
+                yield handed_on()
+                held.clear()
+                size = 0
+    if held:
+        yield handed_on()
+
+
+def least_runs(texts: DataFrame, held_max: int = RUNS_HELD, bytes_max: int = RUN_BYTES_HELD) -> DataFrame:
+    """``(first, two, three)``: every word of the column ``text`` with the least two and the least three words from one of
+    its places on (fewer where the text ends). Words are what blanks and line feeds separate.
+
+    The least of strings is aggregated by a sort, so each task first reduces its own texts by a hash table of bounded
+    size: what is sorted and shuffled is rows of words, not of places.
+    """
+    parts = texts.select(F.col("text").cast("binary").alias("text")).mapInArrow(
+        lambda batches: _least_runs_of_task(batches, held_max, bytes_max), "first binary, two binary, three binary"
+    )
+    least = parts.groupBy("first").agg(F.min("two").alias("two"), F.min("three").alias("three"))
+    return least.select(*(F.col(c).cast("string").alias(c) for c in ("first", "two", "three")))

@@ -174,3 +174,51 @@ def test_shuffled_terms_of_a_small_dictionary_are_matches(spark):
 
 def test_an_unknown_type_falls_back(spark):
     assert dictionary_from_rows(spark, [("Alien", "x")]).first()["entity_type"] == "Person"
+
+
+@pytest.mark.parametrize("held", [(200_000, 1 << 25), (2, 1 << 25), (200_000, 30)])
+def test_least_runs_match_a_plain_model(spark, held):
+    from onomata.scenario import least_runs
+
+    texts = ["b a\nc b a", "b a", "", None, "a", " a  b ", "b \tx a", "é b a é", "a\x01 b", "a", "b a\nc b a"]
+    want = {}
+    for words in (t.replace("\n", " ").split(" ") for t in texts if t is not None):
+        for i, first in enumerate(words):
+            runs = [" ".join(words[i:i + n]) for n in (2, 3)]
+            want[first] = [min(p) for p in zip(want.get(first, runs), runs)] if first else None
+    want.pop("")
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(2)
+    assert sorted(least_runs(rows, *held).collect()) == sorted((w, *v) for w, v in want.items())
+
+
+def test_a_wide_dictionary_is_computed_once(spark):
+    """The documents are split into the dictionary once and for the posts once, not for each use of the dictionary; what
+    is sorted for it are the words of a task, not their places; and no lambda tests a phrase."""
+    from onomata import queries as Q
+    from onomata.plans.strategy import physical_plan
+
+    from .conftest import SF_SMALL
+
+    det = Detection(Q._wide_phrases(spark, SF_SMALL), "phrase", "shuffle", stage_keys=True)
+    assert {f.split("/")[-2].split("-")[0] for f in det.keyed.inputFiles()} == {"keys"}
+    assert "explode(transform" not in physical_plan(Q._wide_phrases(spark, SF_SMALL)).lower()
+    posts = Q._kept_posts(spark, SF_SMALL)
+    for rows in (det.counts(posts), det.terms(posts, ("post_id",))):
+        plan = physical_plan(rows).split("Subqueries")[0]
+        assert "namedlambda" not in plan and "shiftright(xxhash64(lambda" not in plan
+    plain = Detection(Q._wide_phrases(spark, SF_SMALL), "phrase", "broadcast")
+    assert sorted(det.counts(posts).collect()) == sorted(plain.counts(posts).collect())
+    det.release()
+    assert not det._staged
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(st.sampled_from(list("aB+#-_.'(é\U0001d400İ \t\n\x0b\x85 ")), max_size=20), min_size=1, max_size=6))
+def test_phrase_words_stripped_at_once_as_one_by_one(spark, texts):
+    from pyspark.sql import functions as F
+
+    from onomata.functions.text import phrase_words, strip_edge_punct, word_tokens
+
+    one_by_one = F.filter(F.transform(word_tokens("t"), strip_edge_punct), lambda w: w != "")
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(phrase_words("t").alias("a"), one_by_one.alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in rows)
