@@ -290,7 +290,7 @@ def _wide_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_entity_phrase_counts_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Detection(_wide_phrases(spark, sf_dir), "phrase").counts(_kept_posts(spark, sf_dir))
+    return Detection(_wide_phrases(spark, sf_dir), "phrase", stage_keys=True).counts(_kept_posts(spark, sf_dir))
 
 
 def q_entity_phrase_mentions_wide_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
